@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import SEGMENT, perspectives
-from .common import LOWER, UPPER, table
+from . import language, quality
+from .common import LOWER, UPPER, crc_mod, table
 from .exact_dedup import exact_dedup
+from .mixing import mix
+from .packing import pack
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +23,39 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op10_chat_format": op10_chat_format}
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = crc_mod("doc_id", 4) == 2
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs, ~held))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score").select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), **VOCABULARY)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = crc_mod("doc_id", 3) == 1
+    found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"), ~held))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Where the packed ids come from: the vocabulary, the same one as ranks, and the ranks' pattern.
+VOCABULARY = {"vocabulary": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_mixing": op6_mixing,
+    "op8_quality": op8_quality,
+    "op10_chat_format": op10_chat_format,
+}
 
 SQL = {
     "op2_exact_dedup": f"""
