@@ -82,24 +82,26 @@ class Words:
     """The words of some texts: 64-bit hashes in order, each text's slice, byte places in the joined buffer.
 
     A word is ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; ``first[i]:first[i + 1]`` are the words of text i.
-    apart: case is kept, and runs of signs are words of their own."""
+    kind "apart": case is kept, and runs of signs are words of their own. kind "plain": signs separate words."""
 
-    def __init__(self, texts: list[bytes | None], apart: bool = False):
+    def __init__(self, texts: list[bytes | None], kind: str = "words"):
         texts = [t or b"" for t in texts]
         data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
         size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.base = np.concatenate([[0], np.cumsum(size)])
-        if apart:
-            kind = np.concatenate([[0], _CLASS[data]])
-            edge = np.flatnonzero(np.diff(kind))
-            inside = kind[edge + 1] > 0
+        if kind != "words":
+            sort = np.concatenate([[0], _CLASS[data]])
+            if kind == "plain":
+                sort[sort == 2] = 0
+            edge = np.flatnonzero(np.diff(sort))
+            inside = sort[edge + 1] > 0
             self.start, self.end = edge[inside], edge[np.flatnonzero(inside) + 1]
         else:
             edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[data]]).view(np.int8)))
             self.start, self.end = edge[0::2], edge[1::2]
         up, down = _powers(len(data))
         with np.errstate(over="ignore"):
-            part = ((data if apart else _FOLD[data]).astype(np.uint64) + np.uint64(1)) * up[: len(data)]
+            part = ((data if kind == "apart" else _FOLD[data]).astype(np.uint64) + np.uint64(1)) * up[: len(data)]
             total = np.concatenate([[np.uint64(0)], np.cumsum(part, dtype=np.uint64)])
             self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
         self.first = np.searchsorted(self.start, self.base)

@@ -136,10 +136,11 @@ def train(docs: DataFrame, allowed, sample: int = SAMPLE, id_col: str = "doc_id"
     return Filter({r["lang"]: np.frombuffer(r["grams"], np.uint64) for r in found}, counts)
 
 
-def identify(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
-    """Each row of ``docs`` as the struct ``row``, with lang_pred and score."""
+def identify(docs: DataFrame, model: Filter, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Each row of ``docs`` (of its columns ``keep``, if given) as the struct ``row``, with lang_pred and score."""
+    kept = docs.select(*keep) if keep else docs
     model = docs.sparkSession.sparkContext.broadcast(model)  # the filter: 1 MB, or 8 MB with more than 8 languages
-    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField("row", kept.schema), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for batch in batches:
@@ -147,4 +148,4 @@ def identify(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFram
                 names, scores = model.value.predict(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores)], names=["row", "lang_pred", "score"])
 
-    return docs.select(F.struct("*").alias("row"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(F.struct(*(docs[c] for c in kept.columns)).alias("row"), docs[text_col].alias("text")).mapInArrow(run, schema)

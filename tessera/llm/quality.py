@@ -30,7 +30,7 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 
 def buckets(texts: list[bytes | None], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature buckets, the text that each belongs to, and the occurrences in each text."""
-    words = Words(texts, apart=True)
+    words = Words(texts, "apart")
     owner = words.text_of()
     if len(owner) > 1:
         inside = owner[1:] == owner[:-1]
@@ -88,10 +88,11 @@ def train(docs: DataFrame, labels: DataFrame, allowed, label_col: str = "quality
     return np.frombuffer(found[0]["weights"], np.float32) if found else np.zeros((1 << bits) + 1, np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """Each row of ``docs`` as the struct ``row`` with its score, from 0 to 1."""
+def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", bits: int = BITS, keep: list[str] | None = None) -> DataFrame:
+    """Each row of ``docs`` (of its columns ``keep``, if given) as the struct ``row`` with its score, from 0 to 1."""
+    kept = docs.select(*keep) if keep else docs
     weights = docs.sparkSession.sparkContext.broadcast(weights)  # 4 MB at 20 bits
-    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField("row", kept.schema), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         w = weights.value
@@ -101,4 +102,4 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", bits: in
                 total = np.bincount(owner, weights=w[found], minlength=len(texts)) / np.sqrt(np.maximum(count, 1)) + w[-1]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-total)))], names=["row", "score"])
 
-    return docs.select(F.struct("*").alias("row"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(F.struct(*(docs[c] for c in kept.columns)).alias("row"), docs[text_col].alias("text")).mapInArrow(run, schema)

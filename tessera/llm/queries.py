@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import SEGMENT, perspectives
-from . import language, quality
+from . import language, licenses, neighbours, pitman_yor, quality
 from .common import LOWER, UPPER, crc_mod, table
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .packing import pack
+from .shingle_join import jaccard_components
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,10 +24,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = crc_mod("doc_id", 4) == 2
-    found = language.identify(docs.select("doc_id", "text"), language.train(docs, ~held))
+    found = language.identify(docs, language.train(docs, ~held), keep=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score").select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
@@ -34,6 +39,19 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), **VOCABULARY)
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_mod("doc_id", 10) == 0)
+    return pitman_yor.score(docs, "held_out")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -41,7 +59,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = crc_mod("doc_id", 3) == 1
-    found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"), ~held))
+    found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"), ~held), keep=["doc_id"])
     return found.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -49,11 +67,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 VOCABULARY = {"vocabulary": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_mixing": op6_mixing,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_quality": op8_quality,
+    "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
 }
 
