@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Unit vectors are hashed in TABLES tables by ``floor((a . v + b) / WIDTH)`` for several Gaussian directions a. A query visits its
-own bucket and then the perturbed ones in the order of their estimated success (sum of squared distances to the slots'
-borders), PROBES in each table. The tables' candidates are merged and ranked exactly: cosine in double precision on the
-original vectors, ties to the smaller id. Queries that met fewer than k candidates are ranked against all vectors, in blocks.
+own bucket and then the perturbed ones in the order of their estimated success (the sum of squared distances to the slots'
+borders) up to a limit on that sum. The tables' candidates are merged and ranked exactly: cosine in double precision on the
+original vectors, ties to the smaller id. The limit is fitted so that RECALL of the true neighbours of FITTED sampled queries
+lie within it; those are found by one pass over all vectors. Queries that would have to visit more than MOST buckets in a table,
+or that met fewer than k candidates, are ranked against all vectors, in blocks.
 
 Equal vectors are hashed and compared once; only the k + 1 smallest ids of each can matter. The number of directions follows
-the number of vectors, so that buckets keep their size as the table grows.
+the number of vectors, so that buckets keep their size as the table grows. Buckets and their queries are compared in lanes of
+at most LANE rows, as matrix products, so a hot bucket is spread over tasks.
 
 Defined cases: vectors that are null, all zero, or hold null or non-finite components take no part, neither do null ids or
 vectors of another length than most; repeated ids are rows of their own, and a query leaves out the rows with its own id;
@@ -14,8 +17,6 @@ fewer than k candidates give fewer rows; an empty table gives none; other column
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,17 +24,21 @@ from pyspark.sql import functions as F
 
 from .common import cut, mix, small
 
-TABLES, PROBES, WIDTH = 10, 40, 0.5
+TABLES, WIDTH = 4, 2.5
 #: Vectors in a bucket, about, if they lay evenly.
-FILL = 40
-#: Queries that the exact ranking takes at a time.
-BLOCK = 4096
+FILL = 12
+#: Sampled queries that the limit is fitted on, and the share of their true neighbours that must lie within it.
+FITTED, RECALL = 160, 0.96
+#: Buckets that a query visits in a table at most.
+MOST = 3000
+#: Vectors of a bucket, or queries of a bucket, in a row; queries that the exact ranking takes at a time.
+LANE, BLOCK = 256, 2048
 SEED = 20240229
 
 
 def directions_for(n: int) -> int:
-    """Directions in a table: each one splits a unit ball's projections into about four populated slots."""
-    return int(np.clip(round(np.log(max(n, 2) / FILL) / np.log(2.2)), 4, 24))
+    """Directions in a table: one more multiplies the populated buckets by about 2.4."""
+    return int(np.clip(round(np.log(max(n, 2) / FILL) / np.log(2.4)), 3, 24))
 
 
 class Tables:
@@ -56,40 +61,61 @@ class Tables:
         with np.errstate(over="ignore"):
             return mix((slots.astype(np.int64).view(np.uint64) * self.coef).sum(axis=-1, dtype=np.uint64) + self.salt).view(np.int64)
 
-    def probes(self, place: np.ndarray, count: int) -> np.ndarray:
-        """(tables, count) keys of a query's buckets, likeliest first. place: (tables, directions)."""
-        slot = np.floor(place)
-        out = np.empty((self.tables, count), np.int64)
+    def cost(self, query: np.ndarray, other: np.ndarray) -> float:
+        """The least perturbation cost at which the place ``query`` visits the bucket of ``other`` in some table."""
+        slot, low = np.floor(query), query - np.floor(query)
+        step = np.floor(other) - slot
+        each = np.where(step == 0, 0.0, np.where(step == -1, low**2, np.where(step == 1, (1 - low) ** 2, np.inf)))
+        return float(each.sum(axis=1).min())
+
+    def probes(self, place: np.ndarray, limit: float, most: int = MOST) -> np.ndarray | None:
+        """Keys of the buckets within the limit, each table's likeliest first; None if a table has more than ``most``."""
+        slot, out = np.floor(place), []
         for t in range(self.tables):
             low = place[t] - slot[t]
-            cost = np.concatenate([low, 1 - low]) ** 2
-            order = np.argsort(cost)
-            sets = perturbations(cost[order].tolist(), [(int(i) % self.directions) for i in order], count - 1)
-            delta = np.zeros((count, self.directions))
-            for k, s in enumerate(sets, 1):
-                for j in s:
-                    i = order[j]
-                    delta[k, i % self.directions] = -1 if i < self.directions else 1
+            total = np.zeros(1)
             with np.errstate(over="ignore"):
-                total = ((slot[t] + delta[: len(sets) + 1]).astype(np.int64).view(np.uint64) * self.coef).sum(axis=-1, dtype=np.uint64)
-                keys = mix(total + self.salt[t]).view(np.int64)
-            out[t] = np.concatenate([keys, np.full(count - len(keys), keys[0])])
-        return out
-
-
-def perturbations(cost: list[float], axis: list[int], count: int) -> list[tuple[int, ...]]:
-    """The cheapest ``count`` sets of perturbations with one at most on each axis; cost is ascending."""
-    out: list[tuple[int, ...]] = []
-    heap = [(cost[0], (0,))]
-    while heap and len(out) < count:
-        total, s = heapq.heappop(heap)
-        if len({axis[j] for j in s}) == len(s):
-            out.append(s)
-        last = s[-1]
-        if last + 1 < len(cost):
-            heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*s[:-1], last + 1)))
-            heapq.heappush(heap, (total + cost[last + 1], (*s, last + 1)))
-    return out
+                key = (slot[t].astype(np.int64).view(np.uint64) * self.coef).sum(keepdims=True, dtype=np.uint64) + self.salt[t]
+                for j in range(self.directions):
+                    total = np.concatenate([total, total + low[j] ** 2, total + (1 - low[j]) ** 2])
+                    key = np.concatenate([key, key - self.coef[j], key + self.coef[j]])
+                    near = total <= limit
+                    total, key = total[near], key[near]
+                    if len(total) > most:
+                        return None
+            out.append(mix(key[np.argsort(total, kind="stable")]).view(np.int64))
+        return np.concatenate(out)
+
+
+class Best:
+    """The best candidates of each query met so far, with ties at the end."""
+
+    def __init__(self, k: int):
+        self.k, self.rows, self.least = k, {}, {}
+
+    def add(self, queries: list[bytes], scores: np.ndarray, vectors: list, ids: list) -> None:
+        for q, row in zip(queries, scores, strict=True):
+            fresh = np.flatnonzero(row >= self.least.get(q, -2.0))
+            if len(fresh):
+                found = self.rows.setdefault(q, {})
+                for j in fresh.tolist():
+                    found[vectors[j]] = (float(row[j]), ids[j])
+                if len(found) > 4 * self.k:
+                    self.trim(q)
+
+    def trim(self, q: bytes) -> None:
+        found = self.rows[q]
+        if len(found) >= self.k:
+            least = sorted((x[0] for x in found.values()), reverse=True)[self.k - 1] - 1e-9
+            self.least[q] = least
+            self.rows[q] = {v: x for v, x in found.items() if x[0] >= least}
+
+    def batch(self) -> pa.RecordBatch:
+        for q in self.rows:
+            self.trim(q)
+        flat = [(q, v, ids) for q, found in self.rows.items() for v, (_, ids) in found.items()]
+        self.rows, self.least = {}, {}
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in flat], pa.binary()), pa.array([x[1] for x in flat], pa.binary()), pa.array([x[2] for x in flat])] if flat else [], names=["q", "v", "ids"] if flat else [])
 
 
 def _matrix(column: pa.Array, dim: int, kind: str) -> np.ndarray:
@@ -102,7 +128,7 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, probes: int = PROBES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row that passes ``is_query`` (a condition on the column vec_id)."""
     spark = vectors.sparkSession
     kind = "<f8" if vectors.schema[vector_col].dataType.elementType.typeName() == "double" else "<f4"
@@ -110,101 +136,128 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, prob
     rows = vectors.select(vectors[id_col].alias("vec_id"), vectors[vector_col].alias("e")).where("vec_id is not null and e is not null")
     fine = ~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("e", lambda x: x != 0)
     rows = rows.where(fine)
+    none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double")
     common = rows.groupBy(F.size("e").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     if not common:
-        return spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double")
+        return none
     dim = common[0]["n"]
 
     def pack(batches):
         for batch in batches:
             values = np.asarray(batch.column(1).flatten()).astype(kind).reshape(-1, dim) + 0.0  # no negative zero
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in values], pa.binary())], names=["vec_id", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.astype(kind).tobytes() for v in values], pa.binary())], names=["vec_id", "v"])
 
     rows = rows.where(F.size("e") == dim).mapInArrow(pack, f"vec_id {ids}, v binary")
     first = Window.partitionBy("v").orderBy("vec_id")
     few = rows.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     kinds = cut(few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # k + 1 ids at most
     asking = cut(rows.where(is_query).distinct())
-    asked = cut(asking.select("v").distinct())
-    n = kinds.count()
-    hashes = spark.sparkContext.broadcast(Tables(dim, directions_for(n), tables))
+    asked = cut(asking.select(F.col("v").alias("q")).distinct().withColumn("h", F.xxhash64("q")))
+    n, n_asked = kinds.count(), asked.count()
+    if not n_asked:
+        return none
+    found_schema = f"q binary, v binary, ids array<{ids}>"
 
     def unit(v: np.ndarray) -> np.ndarray:
         v = v / np.abs(v).max(axis=1, keepdims=True)
         return v / np.linalg.norm(v, axis=1, keepdims=True)
 
+    def against_all(names: list[bytes]):
+        """The best of all vectors for the given queries."""
+        held = spark.sparkContext.broadcast((names, unit(_matrix(pa.array(names, pa.binary()), dim, kind))))
+
+        def run(batches):
+            best, (queries, those) = Best(k + 1), held.value
+            for batch in batches:
+                for at in range(0, len(batch), 2000):
+                    part = batch.slice(at, 2000)
+                    v = part.column(0).to_pylist()
+                    best.add(queries, those @ unit(_matrix(part.column(0), dim, kind)).T, v, part.column(1).to_pylist())
+            if best.rows:
+                yield best.batch()
+
+        return kinds.select("v", "ids").mapInArrow(run, found_schema)
+
+    def settled(found: DataFrame) -> DataFrame:
+        """Exact scores of what was found, and the best k + 1 rows of each query."""
+
+        def exact(batches):
+            for batch in batches:
+                scores = cosines(_matrix(batch.column(0), dim, kind), _matrix(batch.column(1), dim, kind)) if len(batch) else np.zeros(0)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=["q", "v", "ids", "score"])
+
+        one = found.groupBy("q", "v").agg(F.first("ids").alias("ids")).mapInArrow(exact, f"{found_schema}, score double")
+        single = one.select("q", "score", F.explode("ids").alias("vec_id"))
+        place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+        return single.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k + 1).drop("n")
+
+    # the limit, from the true neighbours of some queries
+    hashes = Tables(dim, directions_for(n), tables)
+    some = [bytes(r["q"]) for r in asked.orderBy("h", "q").limit(FITTED).collect()]
+    pairs = against_all(some).collect()  # FITTED (k + 1) rows in each task at most, and their ties
+    place = dict(zip(some, hashes.places(unit(_matrix(pa.array(some, pa.binary()), dim, kind))), strict=True))
+    best = Best(k + 1)
+    for r in pairs:
+        q, v = bytes(r["q"]), bytes(r["v"])
+        if q != v:
+            a, b = (_matrix(pa.array([x], pa.binary()), dim, kind) for x in (q, v))
+            best.add([q], cosines(a, b)[:, None], [v], [None])
+    costs = []
+    for q, found in best.rows.items():
+        for v, _ in sorted(found.items(), key=lambda x: -x[1][0])[:k]:
+            costs.append(hashes.cost(place[q], hashes.places(unit(_matrix(pa.array([v], pa.binary()), dim, kind)))[0]))
+    limit = float(np.quantile(costs, recall, method="higher")) if costs else 0.0
+    tables_ = spark.sparkContext.broadcast(hashes)
+
     def index(batches):
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.slice(at, 1000)
-                keys = hashes.value.keys(np.floor(hashes.value.places(unit(_matrix(part.column(0), dim, kind)))))
-                again = pa.array(np.repeat(np.arange(len(part)), hashes.value.tables))
+                keys = tables_.value.keys(np.floor(tables_.value.places(unit(_matrix(part.column(0), dim, kind)))))
+                again = pa.array(np.repeat(np.arange(len(part)), tables_.value.tables))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column(0).take(again), part.column(1).take(again)], names=["key", "v", "ids"])
 
     def probe(batches):
+        """(key, query) for every bucket that a query visits; no key for queries left to the exact ranking."""
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.slice(at, 200)
-                places = hashes.value.places(unit(_matrix(part.column(0), dim, kind)))
-                keys = np.stack([hashes.value.probes(p, probes) for p in places]).reshape(len(part), -1) if len(part) else np.zeros((0, 0), np.int64)
-                again = pa.array(np.repeat(np.arange(len(part)), keys.shape[1] if len(part) else 0))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column(0).take(again)], names=["key", "q"])
-
-    def rank(batches):
-        """The best k + 1 candidates of each query in each batch."""
+                keys = [tables_.value.probes(p, limit) if np.isfinite(limit) else None for p in tables_.value.places(unit(_matrix(part.column(0), dim, kind)))]
+                again = pa.array(np.repeat(np.arange(len(part)), [1 if x is None else len(x) for x in keys]))
+                flat = pa.concat_arrays([pa.array([None], pa.int64()) if x is None else pa.array(x) for x in keys]) if keys else pa.array([], pa.int64())
+                yield pa.RecordBatch.from_arrays([flat, part.column(0).take(again)], names=["key", "q"])
+
+    def laned(rows: DataFrame, what: str) -> DataFrame:
+        """Rows of at most about LANE members of a bucket."""
+        number = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LANE).alias("lanes"))
+        named = rows.join(number, "key").withColumn("lane", F.pmod(F.xxhash64(what), F.col("lanes")))
+        return named.groupBy("key", "lane").agg(F.collect_list(F.struct(*(c for c in rows.columns if c != "key"))).alias(what)).drop("lane")
+
+    visits = cut(asked.select("q").mapInArrow(probe, "key long, q binary"))
+    buckets = laned(kinds.select("v", "ids").mapInArrow(index, f"key long, v binary, ids array<{ids}>"), "v")
+    meetings = laned(visits.where("key is not null"), "q").join(buckets, "key").select("q", "v")
+
+    def compare(batches):
+        best = Best(k + 1)
         for batch in batches:
-            q, v = batch.column(0), batch.column(1)
-            if not len(batch):
-                continue
-            scores = cosines(_matrix(q, dim, kind), _matrix(v, dim, kind))
-            names = q.dictionary_encode()
-            who, what = np.asarray(names.indices), np.asarray(v.dictionary_encode().indices)
-            order = np.lexsort((what, -scores, who))
-            who, what = who[order], what[order]
-            fresh = np.concatenate([[True], (who[1:] != who[:-1]) | (what[1:] != what[:-1])])  # one of each candidate
-            order, who = order[fresh], who[fresh]
-            start = np.concatenate([[0], np.flatnonzero(np.diff(who)) + 1])
-            place = np.arange(len(who)) - np.repeat(start, np.diff(np.concatenate([start, [len(who)]])))
-            edge = np.where(place == k, scores[order], -np.inf)  # ties with the last one stay
-            least = np.maximum.reduceat(edge, start)[np.cumsum(np.concatenate([[0], np.diff(who) != 0]))] if len(who) else edge
-            keep = pa.array(order[(place <= k) | (scores[order] >= least)])
-            yield pa.RecordBatch.from_arrays([q.take(keep), v.take(keep), batch.column(2).take(keep), pa.array(scores).take(keep)], names=["q", "v", "ids", "score"])
-
-    ranked = f"q binary, v binary, ids array<{ids}>, score double"
-    buckets = kinds.select("v", "ids").mapInArrow(index, f"key long, v binary, ids array<{ids}>")
-    met = asked.mapInArrow(probe, "key long, q binary").distinct().join(buckets, "key").select("q", "v", "ids").mapInArrow(rank, ranked)
-
-    def best(found: DataFrame) -> DataFrame:
-        one = found.groupBy("q", "v").agg(F.first("ids").alias("ids"), F.max("score").alias("score"))
-        single = one.select("q", "score", F.explode("ids").alias("vec_id"))
-        place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-        return single.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k + 1)
-
-    found = cut(best(met))
-    short = found.groupBy("q").count().where(F.col("count") > k).select("q")
-    rest = cut(asked.select(F.col("v").alias("q")).join(short, "q", "left_anti").withColumn("block", F.pmod(F.xxhash64("q"), F.lit(1 << 30))))
+            for queries, members in zip(batch.column(0), batch.column(1), strict=True):
+                q, v = queries.values.field("q"), members.values
+                names = q.to_pylist()
+                best.add(names, unit(_matrix(q, dim, kind)) @ unit(_matrix(v.field("v"), dim, kind)).T, v.field("v").to_pylist(), v.field("ids").to_pylist())
+            if len(best.rows) > 20_000:
+                yield best.batch()
+        if best.rows:
+            yield best.batch()
+
+    found = cut(settled(meetings.mapInArrow(compare, found_schema)))
+    enough = found.groupBy("q").count().where(F.col("count") > k).select("q")
+    rest = cut(asked.join(enough, "q", "left_anti"))
     blocks = -(-rest.count() // BLOCK)
     for i in range(blocks):
-        those = _matrix(pa.array([bytes(r["q"]) for r in rest.where(F.pmod("block", F.lit(blocks)) == i).select("q").collect()]), dim, kind)  # BLOCK, about
-        those = spark.sparkContext.broadcast(those)
-
-        def exact(batches, those=those):
-            for batch in batches:
-                v, some = _matrix(batch.column(0), dim, kind), those.value
-                out = []
-                for j, one in enumerate(some):
-                    scores = cosines(np.broadcast_to(one, v.shape), v)
-                    top = np.argsort(-scores, kind="stable")
-                    last = scores[top[min(k, len(top) - 1)]] if len(top) else 0
-                    keep = np.flatnonzero(scores >= last)
-                    out.append((np.full(len(keep), j), keep, scores[keep]))
-                j, keep, scores = (np.concatenate(x) for x in zip(*out, strict=True))
-                names = pa.array([x.astype(kind).tobytes() for x in some], pa.binary())
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(j)), batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(scores)], names=["q", "v", "ids", "score"])
-
-        if len(those.value):
-            more = cut(best(kinds.mapInArrow(exact, ranked)))
+        names = [bytes(r["q"]) for r in rest.where(F.pmod("h", F.lit(blocks)) == i).select("q").collect()]  # BLOCK, about
+        if names:
+            more = cut(settled(against_all(names)))
             found = found.join(small(more.select("q").distinct(), BLOCK), "q", "left_anti").unionByName(more)
-    own = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).join(found.drop("n"), "q").where("query_id <> vec_id")
+    own = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).join(found, "q").where("query_id <> vec_id")
     place = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return own.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
