@@ -2,17 +2,18 @@
 
 Documents are sets of word shingles. Equal sets count as one (the smallest id stands for them). Then
 
-1. partition: every set's prefix (the rarest shingles, so many that two similar sets must share one) is posted; a set
-   joins the group of the hub, the smallest id among those it shares most postings with, if the whole sets prove similar.
-   That is one comparison for each set, and it collapses families of near copies however large they are;
-2. token-group matrix: postings that still meet in different groups give (query, group) candidates. Groups are stored in
+1. partition: every set's prefix (the rarest shingles, so many that two similar sets must share several) is posted; where
+   sets meet under a shingle, the smallest id is the hub, first inside a block of sets, then among blocks. A set joins the
+   group of the hub that it shares most shingles with if the whole sets prove similar. That is one comparison for each
+   set, and it collapses families of near copies however large they are;
+2. token-group matrix: shingles under which different groups still meet give (query, group) candidates. Groups are stored in
    pieces of GROUP sets with the union of their shingles; |query & union| bounds the overlap with any member, and only pieces
    that reach the needed overlap are opened and compared member by member. One link with a piece is enough.
 
 All links between different groups are found, so the components are exact. The order of shingles comes from a sketch of
 their frequencies over all documents; any order gives the same result.
 
-Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer words than a shingle is one
+Ids are integers. Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer words than a shingle is one
 shingle; a null id takes the component of its equals, or stays null; repeated rows are equals; an empty table gives no
 rows; other columns are ignored."""
 
@@ -24,10 +25,10 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import Words, chain, chunks, components, cut, mix, small
 
@@ -35,6 +36,10 @@ from .common import Words, chain, chunks, components, cut, mix, small
 WORDS, PERCENT = 5, 80
 #: Sets in a piece of a group; members of a hub, and queries of a piece, that one task compares at a time.
 GROUP, LANE = 128, 256
+#: Sets share one shingle more in their prefixes for each so many shingles.
+STEP = 100
+#: Postings that a block or a bucket holds, about.
+BLOCK = 1_500_000
 #: The sketch's counters, as a power of two, and its parts.
 SKETCH, PARTS = 21, 32
 
@@ -98,6 +103,40 @@ def need(n, percent: int):
     return -(-n * percent // 100)
 
 
+def least_shared(n):
+    """Shingles that the prefixes of two similar sets share at least, if the smaller has n."""
+    return 1 + n // STEP
+
+
+def prefix(n: int, percent: int) -> int:
+    """How many of a set's n shingles are posted."""
+    return min(n, n - need(n, percent) + least_shared(n))
+
+
+def dump(*arrays: np.ndarray) -> bytes:
+    """Integer arrays as compressed byte planes, the first one sorted and kept as differences."""
+    first = np.diff(arrays[0].astype(np.uint64), prepend=np.uint64(0))
+    planes = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() for x in (first, *arrays[1:]))
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def load(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(raw)
+    widths = [np.dtype(k).itemsize for k in kinds]
+    n, at, out = len(raw) // sum(widths), 0, []
+    for k, w in zip(kinds, widths, strict=True):
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * w, at).reshape(w, n).T).view(k).ravel())
+        at += n * w
+    with np.errstate(over="ignore"):
+        out[0] = np.cumsum(out[0], dtype=np.uint64)
+    return out
+
+
+def stored(shingles: np.ndarray) -> bytes:
+    """A set as it is kept for comparison: sorted, 48 bits of each shingle."""
+    return dump(np.unique(shingles >> np.uint64(16)))
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets reach the similarity."""
     small_, large = (a, b) if len(a) <= len(b) else (b, a)
@@ -117,8 +156,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) for every row."""
     spark = docs.sparkSession
-    docs = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    kind = docs.schema["doc_id"].dataType
+    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     order = spark.sparkContext.broadcast(sketch(docs.select("text"), words))  # 4 MB
 
     def describe(batches):
@@ -131,19 +169,87 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                     sizes.append(n)
                     digests.append(digest(found) if n else None)
                     rare = order.value[(found >> np.uint64(64 - SKETCH)).astype(np.int64)]
-                    fronts.append(found[np.lexsort((found, rare))[: n - need(n, percent) + 1]].view(np.int64) if n else found.view(np.int64))
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in fronts])]), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(fronts)))], names=["doc_id", "n_shingles", "digest", "front"])
-
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("front", T.ArrayType(T.LongType()))])
-    rows = cut(docs.mapInArrow(describe, schema))
-    reps = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("front").alias("front")).where("rep is not null")
-    posts = reps.select(F.explode("front").alias("token"), "rep", F.col("n").cast("int").alias("n"))
-    hubs = posts.groupBy("token").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("df")).where("df > 1").drop("df")
-    posts = cut(posts.join(hubs, "token"))
-    best = posts.where("rep <> hub").groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared"))
-    best = best.groupBy("rep").agg(F.max(F.struct("shared", F.col("hub"))).alias("best")).select("rep", F.col("best.hub").alias("hub"))
-    met = cut(posts.select("rep").distinct().join(best, "rep", "left"))
+                    fronts.append(dump(np.sort(found[np.lexsort((found, rare))[: prefix(n, percent)]])) if n else None)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary())], names=["doc_id", "n_shingles", "digest", "front"])
+
+    rows = cut(docs.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, front binary"))
+    some = rows.where("n_shingles > 0")
+    reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("front").alias("front")).where("rep is not null")
+    posted = some.agg(F.coalesce(F.sum(F.col("n_shingles") * (100 - percent + 100 // STEP) / 100), F.lit(0))).first()[0]
+    buckets = max(6, int(posted // BLOCK))
+
+    def post(batches):
+        """Postings in blocks: those that meet inside a block (bucket -1), and the first of each shingle for its bucket."""
+        fronts, names, sizes, held = [], [], [], 0
+
+        def flush():
+            token = np.concatenate(fronts)
+            count = [len(x) for x in fronts]
+            rep, n = np.repeat(np.array(names, np.int64), count), np.repeat(np.array(sizes, np.uint32), count)
+            by = np.lexsort((rep, token))
+            token, rep, n = token[by], rep[by], n[by]
+            first = np.concatenate([[True], token[1:] != token[:-1]])
+            start = np.flatnonzero(first)
+            times = np.diff(np.concatenate([start, [len(token)]]))
+            meet = np.repeat(times > 1, times)
+            hub = np.repeat(rep[start], times)
+            loads = [(-1, dump(token[meet], rep[meet], n[meet], hub[meet]))] if meet.any() else []
+            token, rep, n = token[start], rep[start], n[start]
+            bucket = ((token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            loads += [(i, dump(token[a:z], rep[a:z], n[a:z])) for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False)) if z > a]
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in loads], pa.int64()), pa.array([x[1] for x in loads], pa.binary())], names=["bucket", "load"])
+
+        for batch in batches:
+            for rep, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fronts.append(load(raw, "<u8")[0])
+                names.append(rep)
+                sizes.append(n)
+                held += len(fronts[-1])
+                if held > BLOCK:
+                    yield flush()
+                    fronts, names, sizes, held = [], [], [], 0
+        if held:
+            yield flush()
+
+    def meet(batches):
+        """Postings of shingles that several sets have: (token, rep, n, hub)."""
+
+        def out(token, rep, n, hub):
+            return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(rep), pa.array(n.astype(np.int32)), pa.array(hub)], names=["token", "rep", "n", "hub"])
+
+        def together(loads):
+            token, rep, n = (np.concatenate(x) for x in zip(*loads, strict=True))
+            by = np.lexsort((rep, token))
+            token, rep, n = token[by], rep[by], n[by]
+            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            times = np.diff(np.concatenate([start, [len(token)]]))
+            several = np.repeat(times > 1, times)
+            return out(token[several], rep[several], n[several], np.repeat(rep[start], times)[several])
+
+        number, loads = None, []
+        for batch in batches:
+            for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket < 0:
+                    yield out(*load(raw, "<u8", "<i8", "<u4", "<i8"))
+                    continue
+                if bucket != number and loads:
+                    yield together(loads)
+                    loads = []
+                number = bucket
+                loads.append(load(raw, "<u8", "<i8", "<u4"))
+        if loads:
+            yield together(loads)
+
+    dealt = reps.select("rep", F.col("n").cast("long"), "front").mapInArrow(post, "bucket long, load binary")
+    dealt = dealt.withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("load")).otherwise(F.col("bucket")))
+    dealt = dealt.repartition(buckets, "at").sortWithinPartitions("bucket").select("bucket", "load")
+    posts = cut(dealt.mapInArrow(meet, "token long, rep long, n int, hub long"))
+    pairs = posts.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+    other = F.when(F.col("rep") != F.col("hub"), F.struct("shared", "hub"))
+    met = pairs.groupBy("rep").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"), F.max(other).alias("best"))
+    wanted = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / STEP)  # the smallest similar set has need(n) shingles
+    met = cut(met.where(F.col("shared") >= wanted).select("rep", F.col("best.hub").alias("hub")))
     n_met = met.count()
     if not n_met:
         return _finish(rows, None)
@@ -151,11 +257,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     def sets_of(batches):
         for batch in batches:
             for part, texts in chunks(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([np.unique(x).tobytes() for x in shingle_lists(texts, words)], pa.binary())], names=["rep", "hub", "shingles"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([stored(x) for x in shingle_lists(texts, words)], pa.binary())], names=["rep", "hub", "shingles"])
 
-    schema = T.StructType([T.StructField("rep", kind), T.StructField("hub", kind), T.StructField("shingles", T.BinaryType())])
+    kind = "long"
     texts = docs.join(small(met, n_met), F.col("doc_id") == F.col("rep")).select("rep", "hub", "text")
-    sets = cut(texts.mapInArrow(sets_of, schema))
+    sets = cut(texts.mapInArrow(sets_of, "rep long, hub long, shingles binary"))
 
     # 1: each set against its hub, in lanes of the hub's members
     lanes = met.where("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes"))
@@ -169,38 +275,39 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         for batch in batches:
             us, vs = [], []
             for key, rep, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-                found = np.frombuffer(raw.as_buffer(), np.uint64)
+                found = load(raw.as_py(), "<u8")[0]
                 if rep is None:
-                    hub = (key, found.copy())
+                    hub = (key, found)
                 elif hub and hub[0] == key and similar(found, hub[1], percent):
                     us.append(rep)
                     vs.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(us, batch.schema.field(0).type), pa.array(vs, batch.schema.field(0).type)], names=["u", "v"])
 
-    pair = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+    pair = "u long, v long"
     met_hubs = members.unionByName(heads).repartition("hub", "lane").sortWithinPartitions("hub", "lane", F.col("rep").asc_nulls_first())
     groups = components(met_hubs.mapInArrow(compare, pair))
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     groups = cut(groups.join(sizes, "label").select(F.col("node").alias("rep"), F.col("label").alias("grp"), "size"))
 
     # 2: postings that meet in different groups
-    placed = posts.drop("hub").join(groups, "rep", "left").select("token", "rep", "n", F.coalesce("grp", "rep").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"))
+    placed = posts.drop("hub").join(met.select("rep").join(groups, "rep", "left"), "rep").select("token", "rep", "n", F.coalesce("grp", "rep").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"))
     mixed = placed.groupBy("token").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("token")
     placed = cut(placed.join(mixed, "token"))
     piece = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / GROUP)).cast("int")
     pieces = placed.groupBy("token", F.col("grp").alias("g"), F.col("size").alias("g_size"), piece.alias("piece")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("grp") > F.col("g")))
     fits = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent)
-    asked = placed.join(pieces, "token").where((F.col("grp") != F.col("g")) & smaller & fits).select("rep", "grp", "g", "piece").distinct()
-    asked = cut(asked)
+    asked = placed.join(pieces, "token").where((F.col("grp") != F.col("g")) & smaller & fits)
+    asked = asked.groupBy("rep", "grp", "g", "piece").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+    asked = cut(asked.where(F.col("shared") >= wanted).drop("shared", "n"))
     n_asked = asked.count()
     if not n_asked:
         return _finish(rows, groups.select("rep", "grp"))
     lanes = cut(asked.groupBy("g", "piece").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes")))
     lanes = small(lanes, lanes.count())
     queries = asked.join(lanes, ["g", "piece"]).join(sets.drop("hub"), "rep").select("g", "piece", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), "grp", "shingles")
-    stored = sets.drop("hub").join(groups, "rep", "left").select("rep", F.coalesce("grp", "rep").alias("g"), F.coalesce("size", F.lit(1)).alias("size"), "shingles")
-    stored = stored.withColumn("piece", piece).join(lanes, ["g", "piece"]).select("g", "piece", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast(kind).alias("grp"), "shingles")
+    kept = sets.drop("hub").join(groups, "rep", "left").select("rep", F.coalesce("grp", "rep").alias("g"), F.coalesce("size", F.lit(1)).alias("size"), "shingles")
+    kept = kept.withColumn("piece", piece).join(lanes, ["g", "piece"]).select("g", "piece", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast(kind).alias("grp"), "shingles")
 
     def settle(g, inside: list[np.ndarray], waiting: list[tuple]):
         """Queries that link with the piece, by the bound on its union and then by its members."""
@@ -221,7 +328,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                 if (g, p, lane) != key:
                     out += settle(key and key[0], inside, waiting)
                     key, inside, waiting = (g, p, lane), [], []
-                found = np.frombuffer(raw.as_buffer(), np.uint64).copy()
+                found = load(raw.as_py(), "<u8")[0]
                 if grp is None:
                     inside.append(found)
                 else:
@@ -231,7 +338,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             out = list(settle(key[0], inside, waiting))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind_) for i in (0, 1)], names=["u", "v"])
 
-    matrix = queries.unionByName(stored).repartition("g", "piece", "lane").sortWithinPartitions("g", "piece", "lane", F.col("grp").asc_nulls_first())
+    matrix = queries.unionByName(kept).repartition("g", "piece", "lane").sortWithinPartitions("g", "piece", "lane", F.col("grp").asc_nulls_first())
     joined = components(matrix.mapInArrow(open_groups, pair).distinct())
     known = asked.select(F.col("rep").alias("rep"), "grp").unionByName(groups.select("rep", "grp")).unionByName(asked.select(F.col("g").alias("rep"), F.col("g").alias("grp"))).distinct()
     labels = known.join(joined, F.col("grp") == F.col("node"), "left").select("rep", F.coalesce("label", "grp").alias("grp"))
