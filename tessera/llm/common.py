@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of at most 16 bytes that may be broadcast; more go through a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of text that the word kernel takes at a time.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
+#: Bytes of a batch that goes to a Python worker, about, unless the session says otherwise.
+BATCH_BYTES = 8 << 20
 
 
 def shared(spark: SparkSession) -> None:
@@ -24,6 +29,30 @@ def shared(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(given or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
+def lean(spark: SparkSession) -> None:
+    """Smaller batches for Python workers; a value that the session has set itself stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == str(64 << 20) + "b":
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for mapInArrow, giving back to the system at a task's end the memory that a reused Python worker would keep."""
+
+    def clean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return clean
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared(df.sparkSession)
@@ -130,10 +159,13 @@ def chain(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Slices of a batch of about CHUNK_BYTES of text each; a longer text stands alone."""
-    col = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0).cast(pa.int64()))
+def chunks(batch: pa.RecordBatch, inside: int | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Slices of a batch of about CHUNK_BYTES of text each; a longer text stands alone.
+
+    The text is the column ``text``, or the field ``inside`` of the struct that comes first."""
+    col = batch.column(batch.schema.get_field_index("text")) if inside is None else pc.struct_field(batch.column(0), [inside])
+    col = col.cast(pa.large_binary())
+    sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0).cast(pa.int64()))
     begin, total = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if total and total + n > CHUNK_BYTES:

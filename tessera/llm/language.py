@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, mix
+from .common import chunks, lean, mix, tidy
 
 #: Bytes in an n-gram.
 ORDERS = (3, 5)
@@ -139,13 +139,16 @@ def train(docs: DataFrame, allowed, sample: int = SAMPLE, id_col: str = "doc_id"
 def identify(docs: DataFrame, model: Filter, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Each row of ``docs`` (of its columns ``keep``, if given) as the struct ``row``, with lang_pred and score."""
     kept = docs.select(*keep) if keep else docs
+    lean(docs.sparkSession)
+    whole = text_col in kept.columns  # the text travels once
+    place = kept.columns.index(text_col) if whole else None
     model = docs.sparkSession.sparkContext.broadcast(model)  # the filter: 1 MB, or 8 MB with more than 8 languages
     schema = T.StructType([T.StructField("row", kept.schema), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for batch in batches:
-            for part, texts in chunks(batch):
+            for part, texts in chunks(batch, place):
                 names, scores = model.value.predict(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores)], names=["row", "lang_pred", "score"])
 
-    return docs.select(F.struct(*(docs[c] for c in kept.columns)).alias("row"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(F.struct(*(docs[c] for c in kept.columns)).alias("row"), *([] if whole else [docs[text_col].alias("text")])).mapInArrow(tidy(run), schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import Words, chain, chunks
+from .common import Words, chain, chunks, lean, tidy
 
 GRAM, WINDOW = 3, 2
 #: Words that an alignment may drift from its diagonal, and the least matched share of a template.
@@ -154,6 +154,7 @@ class Index:
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, license, coverage, matched_words, template_words, start_char, end_char: a row for each match."""
+    lean(docs.sparkSession)
     index = docs.sparkSession.sparkContext.broadcast(Index(templates))  # as large as the templates
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("license", T.StringType()), T.StructField("coverage", T.DoubleType()), *(T.StructField(x, T.LongType()) for x in ("matched_words", "template_words", "start_char", "end_char"))])
 
@@ -171,4 +172,4 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float
                 columns = list(zip(*out, strict=True)) if out else [()] * 6
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.float64(), *[pa.int64()] * 4), strict=True))], names=schema.names)
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), schema)

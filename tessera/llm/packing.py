@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small
+from .common import cut, lean, small, tidy
 
 CAPACITY = 2048
 #: The id after each document.
@@ -38,10 +38,7 @@ def encoder(vocabulary: str, ranks: str | None = None, pattern: str | None = Non
     """text -> ids of the tokenizers file ``vocabulary``, no special tokens added. ``ranks``: the same vocabulary as ranks, for plain texts."""
     key = (vocabulary, ranks)
     if key not in _ENCODERS:
-        from tokenizers import Tokenizer
-
-        slow = Tokenizer.from_file(vocabulary)
-        fast = None
+        fast, slow = None, []
         if ranks:
             import tiktoken
 
@@ -50,7 +47,11 @@ def encoder(vocabulary: str, ranks: str | None = None, pattern: str | None = Non
 
         def encode(text: str) -> list[int]:
             if fast is None or _PLAIN.search(text):
-                return slow.encode(text, add_special_tokens=False).ids
+                if not slow:
+                    from tokenizers import Tokenizer
+
+                    slow.append(Tokenizer.from_file(vocabulary))
+                return slow[0].encode(text, add_special_tokens=False).ids
             return fast.encode_ordinary(text)
 
         _ENCODERS[key] = encode
@@ -65,6 +66,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, and the piece's task and rank among the task's pieces of that length."""
+    lean(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()), *(T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "task", "rank"))])
 
@@ -81,7 +83,7 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern:
             piece, *rest = zip(*out, strict=True) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)], names=schema.names)
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), schema)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
@@ -259,4 +261,4 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: st
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], *map(pa.array, found)], names=schema.names)
 
     ranked = cut_up.join(small(by_task.drop("n"), by_task.count()), ["length", "task"])
-    return ranked.select(*cut_up.columns[:5], (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(place, schema)
+    return ranked.select(*cut_up.columns[:5], (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(tidy(place), schema)

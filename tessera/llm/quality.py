@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, chain, chunks
+from .common import Words, chain, chunks, lean, tidy
 
 BITS = 20
 #: Labelled rows that training takes, about, however many there are.
@@ -47,20 +47,21 @@ def follow(texts: list[bytes | None], labels: np.ndarray, bits: int = BITS, epoc
     """Weights after FTRL-proximal over the rows in the given order; the last one is the intercept's."""
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = []
-    for i in range(0, len(texts), 256):
-        found, owner, count = buckets(texts[i : i + 256], bits)
-        order = np.argsort(owner, kind="stable")
-        ends = np.cumsum(count)
-        for k, part in enumerate(np.split(found[order], ends[:-1])):
-            at, times = np.unique(part, return_counts=True)
-            rows.append((np.append(at, size).astype(np.int32), np.append(times / max(1, count[k]) ** 0.5, 1.0).astype(np.float32)))
+
+    def rows():
+        for i in range(0, len(texts), 64):
+            found, owner, count = buckets(texts[i : i + 64], bits)
+            order = np.argsort(owner, kind="stable")
+            ends = np.cumsum(count)
+            for k, part in enumerate(np.split(found[order], ends[:-1])):
+                at, times = np.unique(part, return_counts=True)
+                yield np.append(at, size), np.append(times / max(1, count[k]) ** 0.5, 1.0), labels[i + k]
 
     def weight(zi, ni):
         return np.where(np.abs(zi) <= L1, 0.0, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
 
     for _ in range(epochs):
-        for (at, x), y in zip(rows, labels, strict=True):
+        for at, x, y in rows():
             w = weight(z[at], n[at])
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - y) * x
@@ -91,15 +92,18 @@ def train(docs: DataFrame, labels: DataFrame, allowed, label_col: str = "quality
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", bits: int = BITS, keep: list[str] | None = None) -> DataFrame:
     """Each row of ``docs`` (of its columns ``keep``, if given) as the struct ``row`` with its score, from 0 to 1."""
     kept = docs.select(*keep) if keep else docs
+    lean(docs.sparkSession)
+    whole = text_col in kept.columns  # the text travels once
+    place = kept.columns.index(text_col) if whole else None
     weights = docs.sparkSession.sparkContext.broadcast(weights)  # 4 MB at 20 bits
     schema = T.StructType([T.StructField("row", kept.schema), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         w = weights.value
         for batch in batches:
-            for part, texts in chunks(batch):
+            for part, texts in chunks(batch, place):
                 found, owner, count = buckets(texts, bits)
                 total = np.bincount(owner, weights=w[found], minlength=len(texts)) / np.sqrt(np.maximum(count, 1)) + w[-1]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-total)))], names=["row", "score"])
 
-    return docs.select(F.struct(*(docs[c] for c in kept.columns)).alias("row"), docs[text_col].alias("text")).mapInArrow(run, schema)
+    return docs.select(F.struct(*(docs[c] for c in kept.columns)).alias("row"), *([] if whole else [docs[text_col].alias("text")])).mapInArrow(tidy(run), schema)
