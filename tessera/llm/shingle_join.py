@@ -6,11 +6,12 @@ Documents are sets of word shingles. Equal sets count as one (the smallest id st
    sets meet under a shingle, the smallest id is the hub, first inside a block of sets, then among blocks. A set joins the
    group of the hub that it shares most shingles with if the whole sets prove similar. That is one comparison for each
    set, and it collapses families of near copies however large they are;
-2. token-group matrix: shingles under which different groups still meet give (query, group) candidates. Groups are stored in
-   pieces of GROUP sets with the union of their shingles; |query & union| bounds the overlap with any member, and only pieces
-   that reach the needed overlap are opened and compared member by member. One link with a piece is enough.
+2. token-group matrix: sets that share a hub, linked or not, are stored in pieces of GROUP sets with the union of their
+   shingles. Shingles under which different groups still meet say which pieces must look at each other; then |query & union|
+   bounds the overlap of a query with every member of a piece, and only a piece that reaches the needed overlap is opened:
+   one pass over its shingle lists gives the overlaps with all its members.
 
-All links between different groups are found, so the components are exact. The order of shingles comes from a sketch of
+Every link between different groups is found, or its ends are joined by others, so the components are exact. The order of shingles comes from a sketch of
 their frequencies over all documents; any order gives the same result.
 
 Ids are integers. Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer words than a shingle is one
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chain, chunks, components, cut, mix, small
+from .common import Words, chain, chunks, components, cut, lean, mix, small, tidy
 
 #: Words in a shingle and the least similarity, in per cent, unless a caller sets them.
 WORDS, PERCENT = 5, 80
@@ -88,7 +89,7 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
         return pd.DataFrame({"part": [key[0]], "lane": [0], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     schema = "part int, lane int, counts binary"
-    by_lane = docs.mapInArrow(count, schema).groupBy("part", "lane").applyInPandas(add, schema)
+    by_lane = docs.mapInArrow(tidy(count), schema).groupBy("part", "lane").applyInPandas(add, schema)
     found = {r["part"]: np.frombuffer(zlib.decompress(r["counts"]), np.int64) for r in by_lane.groupBy("part").applyInPandas(add, schema).collect()}  # PARTS rows
     total = np.concatenate([found.get(i, np.zeros(width, np.int64)) for i in range(PARTS)])
     return np.minimum(np.log2(total + 1.0) * 1500, 65535).astype(np.uint16)
@@ -155,6 +156,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) for every row."""
+    lean(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     order = spark.sparkContext.broadcast(sketch(docs.select("text"), words))  # 4 MB
@@ -172,7 +174,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                     fronts.append(dump(np.sort(found[np.lexsort((found, rare))[: prefix(n, percent)]])) if n else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary())], names=["doc_id", "n_shingles", "digest", "front"])
 
-    rows = cut(docs.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, front binary"))
+    rows = cut(docs.mapInArrow(tidy(describe), "doc_id long, n_shingles long, digest binary, front binary"))
     some = rows.where("n_shingles > 0")
     reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("front").alias("front")).where("rep is not null")
     posted = some.agg(F.coalesce(F.sum(F.col("n_shingles") * (100 - percent + 100 // STEP) / 100), F.lit(0))).first()[0]
@@ -241,10 +243,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         if loads:
             yield together(loads)
 
-    dealt = reps.select("rep", F.col("n").cast("long"), "front").mapInArrow(post, "bucket long, load binary")
+    dealt = reps.select("rep", F.col("n").cast("long"), "front").mapInArrow(tidy(post), "bucket long, load binary")
     dealt = dealt.withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("load")).otherwise(F.col("bucket")))
     dealt = dealt.repartition(buckets, "at").sortWithinPartitions("bucket").select("bucket", "load")
-    posts = cut(dealt.mapInArrow(meet, "token long, rep long, n int, hub long"))
+    posts = cut(dealt.mapInArrow(tidy(meet), "token long, rep long, n int, hub long"))
     pairs = posts.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
     other = F.when(F.col("rep") != F.col("hub"), F.struct("shared", "hub"))
     met = pairs.groupBy("rep").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"), F.max(other).alias("best"))
@@ -261,7 +263,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     kind = "long"
     texts = docs.join(small(met, n_met), F.col("doc_id") == F.col("rep")).select("rep", "hub", "text")
-    sets = cut(texts.mapInArrow(sets_of, "rep long, hub long, shingles binary"))
+    sets = cut(texts.mapInArrow(tidy(sets_of), "rep long, hub long, shingles binary"))
 
     # 1: each set against its hub, in lanes of the hub's members
     lanes = met.where("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes"))
@@ -285,63 +287,90 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     pair = "u long, v long"
     met_hubs = members.unionByName(heads).repartition("hub", "lane").sortWithinPartitions("hub", "lane", F.col("rep").asc_nulls_first())
-    groups = components(met_hubs.mapInArrow(compare, pair))
-    sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    groups = cut(groups.join(sizes, "label").select(F.col("node").alias("rep"), F.col("label").alias("grp"), "size"))
-
-    # 2: postings that meet in different groups
-    placed = posts.drop("hub").join(met.select("rep").join(groups, "rep", "left"), "rep").select("token", "rep", "n", F.coalesce("grp", "rep").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"))
+    groups = components(met_hubs.mapInArrow(tidy(compare), pair))
+    groups = cut(groups.select(F.col("node").alias("rep"), F.col("label").alias("grp")))
+
+    # 2: pieces of sets with a common hub (two steps up), and the shingles under which different groups meet
+    up = met.select(F.col("rep").alias("hub"), F.col("hub").alias("above"))
+    own = met.join(up, "hub", "left").select("rep", F.coalesce("above", "hub", "rep").alias("c"))
+    chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / GROUP)).cast("int")
+    members_of = own.groupBy("c").agg(F.count(F.lit(1)).alias("members"))
+    home = own.join(members_of, "c").select("rep", "c", chunk.alias("chunk")).join(groups, "rep", "left")
+    home = cut(home.select("rep", "c", "chunk", F.coalesce("grp", "rep").alias("grp")))
+    placed = posts.drop("hub").join(home, "rep")
     mixed = placed.groupBy("token").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("token")
-    placed = cut(placed.join(mixed, "token"))
-    piece = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / GROUP)).cast("int")
-    pieces = placed.groupBy("token", F.col("grp").alias("g"), F.col("size").alias("g_size"), piece.alias("piece")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("grp") > F.col("g")))
-    fits = (F.col("high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("low") * percent)
-    asked = placed.join(pieces, "token").where((F.col("grp") != F.col("g")) & smaller & fits)
-    asked = asked.groupBy("rep", "grp", "g", "piece").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
+    seen = placed.join(mixed, "token").groupBy("token", "c", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("a"), F.max("grp").alias("b"))
+    seen = cut(seen)
+    other = seen.select("token", *(F.col(x).alias(f"{x}2") for x in ("c", "chunk", "low", "high", "a", "b")))
+    once = (F.col("c") > F.col("c2")) | ((F.col("c") == F.col("c2")) & (F.col("chunk") >= F.col("chunk2")))
+    apart = F.least("a", "a2") != F.greatest("b", "b2")
+    fits = (F.col("high2") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("low2") * percent)
+    asked = seen.join(other, "token").where(once & apart & fits).groupBy("c", "chunk", "c2", "chunk2").agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("n"))
     asked = cut(asked.where(F.col("shared") >= wanted).drop("shared", "n"))
     n_asked = asked.count()
     if not n_asked:
-        return _finish(rows, groups.select("rep", "grp"))
-    lanes = cut(asked.groupBy("g", "piece").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes")))
+        return _finish(rows, groups)
+    held = home.groupBy("c", "chunk").agg(F.count(F.lit(1)).alias("members"))
+    lanes = asked.join(held, ["c", "chunk"]).groupBy("c2", "chunk2").agg(F.ceil(F.sum("members") / LANE).cast("int").alias("lanes"))
+    lanes = cut(lanes)
     lanes = small(lanes, lanes.count())
-    queries = asked.join(lanes, ["g", "piece"]).join(sets.drop("hub"), "rep").select("g", "piece", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), "grp", "shingles")
-    kept = sets.drop("hub").join(groups, "rep", "left").select("rep", F.coalesce("grp", "rep").alias("g"), F.coalesce("size", F.lit(1)).alias("size"), "shingles")
-    kept = kept.withColumn("piece", piece).join(lanes, ["g", "piece"]).select("g", "piece", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast(kind).alias("grp"), "shingles")
-
-    def settle(g, inside: list[np.ndarray], waiting: list[tuple]):
-        """Queries that link with the piece, by the bound on its union and then by its members."""
-        if not waiting or not inside:
-            return
-        union = np.unique(np.concatenate(inside))
-        for grp, found in waiting:
-            if overlap(found, union) >= need(len(found), percent) and any(similar(found, x, percent) for x in inside):
-                yield grp, g
-
-    def open_groups(batches):
-        key, inside, waiting = None, [], []
-        kind_ = None
+    filled = sets.drop("hub").join(home, "rep")
+    queries = filled.join(small(asked, n_asked), ["c", "chunk"]).join(lanes, ["c2", "chunk2"])
+    queries = queries.select("c2", "chunk2", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), F.lit(1).alias("asks"), "grp", "shingles")
+    stored_ = filled.select(F.col("c").alias("c2"), F.col("chunk").alias("chunk2"), "grp", "shingles").join(lanes, ["c2", "chunk2"])
+    stored_ = stored_.select("c2", "chunk2", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(0).alias("asks"), "grp", "shingles")
+
+    class Piece:
+        """The members of a piece: their shingles in one sorted list, and which of them already belong together."""
+
+        def __init__(self, members: list[tuple[int, np.ndarray]]):
+            self.groups = [g for g, _ in members]
+            self.sizes = np.array([len(x) for _, x in members])
+            every, owner = np.concatenate([x for _, x in members]), np.repeat(np.arange(len(members)), self.sizes)
+            by = np.argsort(every, kind="stable")
+            self.every, self.owner = every[by], owner[by]
+            self.parent: dict[int, int] = {}
+
+        def top(self, g: int) -> int:
+            while self.parent.get(g, g) != g:
+                g = self.parent[g]
+            return g
+
+        def links(self, grp: int, found: np.ndarray):
+            """Groups that the query joins and that were apart from it so far."""
+            low, high = np.searchsorted(self.every, found, "left"), np.searchsorted(self.every, found, "right")
+            times = high - low
+            if np.count_nonzero(times) < need(len(found), percent):  # the bound by the union
+                return
+            at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+            common = np.bincount(self.owner[at], minlength=len(self.sizes))
+            for i in np.flatnonzero(100 * common >= percent * (len(found) + self.sizes - common)).tolist():
+                a, b = self.top(grp), self.top(self.groups[i])
+                if a != b:
+                    self.parent[max(a, b)] = min(a, b)
+                    yield max(a, b), min(a, b)
+
+    def open_pieces(batches):
+        key, inside, piece = None, [], None
         for batch in batches:
-            out = []
-            kind_ = batch.schema.field(0).type
-            for g, p, lane, grp, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
-                if (g, p, lane) != key:
-                    out += settle(key and key[0], inside, waiting)
-                    key, inside, waiting = (g, p, lane), [], []
+            us, vs = [], []
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for c, p, lane, asks, grp, raw in zip(*columns, batch.column(5), strict=True):
+                if (c, p, lane) != key:
+                    key, inside, piece = (c, p, lane), [], None
                 found = load(raw.as_py(), "<u8")[0]
-                if grp is None:
-                    inside.append(found)
-                else:
-                    waiting.append((grp, found))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind_) for i in (0, 1)], names=["u", "v"])
-        if key:
-            out = list(settle(key[0], inside, waiting))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind_) for i in (0, 1)], names=["u", "v"])
-
-    matrix = queries.unionByName(kept).repartition("g", "piece", "lane").sortWithinPartitions("g", "piece", "lane", F.col("grp").asc_nulls_first())
-    joined = components(matrix.mapInArrow(open_groups, pair).distinct())
-    known = asked.select(F.col("rep").alias("rep"), "grp").unionByName(groups.select("rep", "grp")).unionByName(asked.select(F.col("g").alias("rep"), F.col("g").alias("grp"))).distinct()
-    labels = known.join(joined, F.col("grp") == F.col("node"), "left").select("rep", F.coalesce("label", "grp").alias("grp"))
+                if not asks:
+                    inside.append((grp, found))
+                    continue
+                piece = piece or Piece(inside)
+                for u, v in piece.links(grp, found):
+                    us.append(u)
+                    vs.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    matrix = queries.unionByName(stored_).repartition("c2", "chunk2", "lane").sortWithinPartitions("c2", "chunk2", "lane", "asks")
+    joined = components(matrix.mapInArrow(tidy(open_pieces), pair).distinct())
+    labels = home.join(joined, F.col("grp") == F.col("node"), "left").select("rep", F.coalesce("label", "grp").alias("grp"))
     return _finish(rows, labels)
 
 
