@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, mix, small
+from .common import cut, mix, small, tidy
 
 TABLES, WIDTH = 4, 2.5
 #: Vectors in a bucket, about, if they lay evenly.
-FILL = 12
+FILL = 64
 #: Sampled queries that the limit is fitted on, and the share of their true neighbours that must lie within it.
 FITTED, RECALL = 160, 0.96
 #: Buckets that a query visits in a table at most.
@@ -147,7 +147,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
             values = np.asarray(batch.column(1).flatten()).astype(kind).reshape(-1, dim) + 0.0  # no negative zero
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.astype(kind).tobytes() for v in values], pa.binary())], names=["vec_id", "v"])
 
-    rows = rows.where(F.size("e") == dim).mapInArrow(pack, f"vec_id {ids}, v binary")
+    rows = rows.where(F.size("e") == dim).mapInArrow(tidy(pack), f"vec_id {ids}, v binary")
     first = Window.partitionBy("v").orderBy("vec_id")
     few = rows.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     kinds = cut(few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # k + 1 ids at most
@@ -176,36 +176,33 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
             if best.rows:
                 yield best.batch()
 
-        return kinds.select("v", "ids").mapInArrow(run, found_schema)
+        return kinds.select("v", "ids").mapInArrow(tidy(run), found_schema)
 
-    def settled(found: DataFrame) -> DataFrame:
-        """Exact scores of what was found, and the best k + 1 rows of each query."""
+    def scored(found: DataFrame) -> DataFrame:
+        """What was found, once, with exact scores; of each query the best k + 2 and their ties."""
 
         def exact(batches):
             for batch in batches:
                 scores = cosines(_matrix(batch.column(0), dim, kind), _matrix(batch.column(1), dim, kind)) if len(batch) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=["q", "v", "ids", "score"])
 
-        one = found.groupBy("q", "v").agg(F.first("ids").alias("ids")).mapInArrow(exact, f"{found_schema}, score double")
-        single = one.select("q", "score", F.explode("ids").alias("vec_id"))
+        one = found.groupBy("q", "v").agg(F.first("ids").alias("ids")).mapInArrow(tidy(exact), f"{found_schema}, score double")
+        best = Window.partitionBy("q").orderBy(F.desc("score"))
+        return one.withColumn("n", F.rank().over(best)).where(F.col("n") <= k + 2).drop("n")
+
+    def settled(found: DataFrame) -> DataFrame:
+        """The best k + 1 rows of each query."""
+        single = scored(found).select("q", "score", F.explode("ids").alias("vec_id"))
         place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
         return single.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k + 1).drop("n")
 
     # the limit, from the true neighbours of some queries
     hashes = Tables(dim, directions_for(n), tables)
     some = [bytes(r["q"]) for r in asked.orderBy("h", "q").limit(FITTED).collect()]
-    pairs = against_all(some).collect()  # FITTED (k + 1) rows in each task at most, and their ties
-    place = dict(zip(some, hashes.places(unit(_matrix(pa.array(some, pa.binary()), dim, kind))), strict=True))
-    best = Best(k + 1)
-    for r in pairs:
-        q, v = bytes(r["q"]), bytes(r["v"])
-        if q != v:
-            a, b = (_matrix(pa.array([x], pa.binary()), dim, kind) for x in (q, v))
-            best.add([q], cosines(a, b)[:, None], [v], [None])
-    costs = []
-    for q, found in best.rows.items():
-        for v, _ in sorted(found.items(), key=lambda x: -x[1][0])[:k]:
-            costs.append(hashes.cost(place[q], hashes.places(unit(_matrix(pa.array([v], pa.binary()), dim, kind)))[0]))
+    true = scored(against_all(some)).where("q <> v").withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "v"))).where(F.col("n") <= k)
+    true = true.select("q", "v").collect()  # FITTED k rows
+    ends = [hashes.places(unit(_matrix(pa.array([bytes(r[x]) for r in true], pa.binary()), dim, kind))) for x in ("q", "v")] if true else []
+    costs = [hashes.cost(a, b) for a, b in zip(*ends, strict=True)]
     limit = float(np.quantile(costs, recall, method="higher")) if costs else 0.0
     tables_ = spark.sparkContext.broadcast(hashes)
 
@@ -233,8 +230,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
         named = rows.join(number, "key").withColumn("lane", F.pmod(F.xxhash64(what), F.col("lanes")))
         return named.groupBy("key", "lane").agg(F.collect_list(F.struct(*(c for c in rows.columns if c != "key"))).alias(what)).drop("lane")
 
-    visits = cut(asked.select("q").mapInArrow(probe, "key long, q binary"))
-    buckets = laned(kinds.select("v", "ids").mapInArrow(index, f"key long, v binary, ids array<{ids}>"), "v")
+    visits = cut(asked.select("q").mapInArrow(tidy(probe), "key long, q binary"))
+    buckets = laned(kinds.select("v", "ids").mapInArrow(tidy(index), f"key long, v binary, ids array<{ids}>"), "v")
     meetings = laned(visits.where("key is not null"), "q").join(buckets, "key").select("q", "v")
 
     def compare(batches):
@@ -249,7 +246,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
         if best.rows:
             yield best.batch()
 
-    found = cut(settled(meetings.mapInArrow(compare, found_schema)))
+    found = cut(settled(meetings.mapInArrow(tidy(compare), found_schema)))
     enough = found.groupBy("q").count().where(F.col("count") > k).select("q")
     rest = cut(asked.join(enough, "q", "left_anti"))
     blocks = -(-rest.count() // BLOCK)
