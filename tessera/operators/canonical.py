@@ -15,7 +15,7 @@ PARENT_RULE, RELATION_RULE = "R23", "R24"
 
 def parent_labels(lemmas: str, ids: str):
     """Display labels of parents: what follows the first colon of ``id:lemma; lemma``, lists joined by ``; ``; the ids without any."""
-    label = lambda x: F.array_join(F.filter(F.transform(F.split(F.regexp_replace(x, "^[^:]*:", ""), ";"), F.trim), lambda p: p != ""), "; ")
+    label = lambda x: F.array_join(F.filter(F.transform(F.split(F.regexp_replace(x, "^[^:]*:", ""), ";"), lambda p: F.trim(p)), lambda p: p != ""), "; ")
     labels = F.filter(F.transform(F.coalesce(lemmas, F.array().cast("array<string>")), label), lambda x: x != "")
     return F.when(F.size(labels) > 0, labels).otherwise(F.coalesce(ids, F.array().cast("array<string>")))
 
