@@ -34,14 +34,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near copies (five words, a similarity of 0.8), the one with the smallest id."""
     groups = jaccard_components(docs)
     gone = cut(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(small(gone, gone.count()), docs["doc_id"] == F.col("gone"), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("key"))  # no other name can clash
+    return rows.join(small(gone, gone.count()), F.col("key") == F.col("gone"), "left_anti").select("row.*")
 
 
 def interleave(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, written in the order of the mixing schedule."""
     places = cut(mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.min("position").alias("position")))
-    placed = docs.join(small(places, places.count()), docs["doc_id"].eqNullSafe(F.col("id")))
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(*(docs[c] for c in docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("key"))
+    placed = rows.join(small(places, places.count()), F.col("key").eqNullSafe(F.col("id")))
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
 def fill(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

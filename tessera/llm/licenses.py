@@ -71,7 +71,8 @@ def winnow(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 def align(template: np.ndarray, part: np.ndarray, shift: int, band: int = BAND) -> tuple[int, int, int]:
-    """Matched words, first and last matched place in ``part``, of the best alignment of the whole template.
+    """Matched words, first and last matched place in ``part``, of the best alignment of the whole template; of equal ones that
+    which ends nearest to the diagonal.
 
     Word i of the template may meet part[i + shift - band .. i + shift + band]; a match scores 1, a word left out costs 0.1."""
     width = 2 * band + 1
@@ -93,7 +94,7 @@ def align(template: np.ndarray, part: np.ndarray, shift: int, band: int = BAND)
                 best = (s - 0.1, m, f, e)
             row.append(best)
         before = row
-    _, matched, first, last = max(before, key=lambda x: (x[0], x[1], -x[2]))
+    _, (_, matched, first, last) = max(enumerate(before), key=lambda x: (x[1][0], x[1][1], -abs(x[0] - band)))
     return matched, first, last
 
 

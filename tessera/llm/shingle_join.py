@@ -117,7 +117,7 @@ def prefix(n: int, percent: int) -> int:
 def dump(*arrays: np.ndarray) -> bytes:
     """Integer arrays as compressed byte planes, the first one sorted and kept as differences."""
     first = np.diff(arrays[0].astype(np.uint64), prepend=np.uint64(0))
-    planes = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() for x in (first, *arrays[1:]))
+    planes = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes() for x in (first, *arrays[1:]))
     return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
