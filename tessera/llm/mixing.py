@@ -27,8 +27,8 @@ BLOCK_ROWS = 16
 UNITS = 1000
 #: Weight of a source that the weights do not name.
 DEFAULT = 1.0
-#: Sources that can be mixed; the phases' table grows with their square.
-MOST_SOURCES = 2000
+#: Sources that can be mixed. There are as many phases at most, and UNITS slots in a cycle, so the slots table has 250,000 rows at most.
+MOST_SOURCES = 500
 
 
 def units(weights: dict, total: int = UNITS) -> dict:
