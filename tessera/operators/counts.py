@@ -47,7 +47,7 @@ BY_NAME = {s.name: s for s in SPECS}
 def distinct_sorted(facts: DataFrame, name: str) -> Column:
     """Sorted distinct values of a string column, or of the members of an array column, over a group."""
     if facts.schema[name].dataType.typeName() == "array":
-        found = F.array_distinct(F.flatten(F.collect_set(name)))  # equal arrays meet once, map-side
+        found = F.array_distinct(F.flatten(F.collect_set(name)))
     else:
         found = F.collect_set(name)
     return F.array_sort(F.filter(found, lambda x: x.isNotNull() & (x != "")))
@@ -56,22 +56,26 @@ def distinct_sorted(facts: DataFrame, name: str) -> Column:
 def count_table(facts: DataFrame, spec: CountSpec) -> DataFrame:
     """count, caption_count, the smallest EXAMPLES captions, and distinct evidence of each key.
 
-    Captions are counted and chosen without ever holding a key's captions together: the facts are first brought to one row
-    for each key and caption map-side, and a window group limit keeps EXAMPLES of a key in every task."""
-    keys = list(spec.keys)
-    extras = {x: distinct_sorted(facts, x) for x in spec.extras}
-    main = facts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.count_distinct("caption_id").alias("caption_count"),
-        distinct_sorted(facts, "raw_variants").alias("raw_variants"),
-        F.array_sort(F.array_distinct(F.concat(F.flatten(F.collect_set("rule_ids")), F.array(F.lit(COUNT_RULE))))).alias("rule_ids"),
-        *(c.alias(x) for x, c in extras.items()),
+    Facts are first counted by key and evidence as it stands, which hash aggregation does map-side without building any list; lists
+    are united only over the distinct combinations. Captions are counted and chosen without ever holding a key's captions
+    together: a window group limit keeps EXAMPLES of a key in every task."""
+    keys, evidence = list(spec.keys), [*spec.extras, "raw_variants"]
+    rules = [c for c in facts.columns if c == "rule_ids" or c.startswith("rules_")]
+    once = facts.groupBy(*keys, *evidence, *rules).agg(F.count(F.lit(1)).alias("_n"))
+    all_rules = F.concat(*(F.flatten(F.collect_set(r)) for r in rules), F.array(F.lit(COUNT_RULE)))
+    main = once.groupBy(*keys).agg(
+        F.sum("_n").alias("count"),
+        *(distinct_sorted(facts, x).alias(x) for x in evidence),
+        F.array_sort(F.array_distinct(all_rules)).alias("rule_ids"),
     )
-    place = Window.partitionBy(*keys).orderBy("caption_id")
-    few = facts.select(*keys, "caption_id").distinct().withColumn("n", F.row_number().over(place)).where(F.col("n") <= EXAMPLES)
-    few = few.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.array_sort(F.collect_list("caption_id")).alias("example_caption_ids"))
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
-    out = main.join(few, same, "left").drop(*(f"_{k}" for k in keys))
+    named = [F.col(k).alias(f"_{k}") for k in keys]
+    seen = facts.select(*named, "caption_id").distinct()
+    place = Window.partitionBy(*(f"_{k}" for k in keys)).orderBy("caption_id")
+    few = seen.withColumn("n", F.row_number().over(place)).where(F.col("n") <= EXAMPLES)
+    few = few.groupBy(*(f"_{k}" for k in keys)).agg(F.array_sort(F.collect_list("caption_id")).alias("example_caption_ids"))
+    total = seen.groupBy(*(F.col(f"_{k}").alias(f"__{k}") for k in keys)).agg(F.count(F.lit(1)).alias("caption_count"))
+    same = lambda a, b: reduce(lambda x, y: x & y, (F.col(f"{a}{k}").eqNullSafe(F.col(f"{b}{k}")) for k in keys))
+    out = main.join(few, same("", "_"), "left").join(total, same("", "__"), "left")
     key = F.concat_ws(":", F.lit(spec.prefix), *keys)
     return out.select(key.alias("count_key"), *keys, *spec.extras, "count", "caption_count", "example_caption_ids", "raw_variants", "rule_ids")
 
@@ -159,3 +163,9 @@ def requested_captions(facts: DataFrame, terms: DataFrame, key: str) -> DataFram
     asked = terms.select(F.lower(F.trim("term")).alias("term")).distinct()
     found = hit.join(asked, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("count"), F.count_distinct("caption_id").alias("caption_count"))
     return asked.join(found, "term", "left").fillna(0, ["count", "caption_count"])
+
+
+def caption_sets(facts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """term, caption_id: the captions of each requested term, each once. Rows stay rows, so a frequent term needs no large list."""
+    asked = terms.select(F.lower(F.trim("term")).alias("term")).distinct()
+    return facts.select(F.lower(F.col(key)).alias("term"), "caption_id").join(asked, "term", "left_semi").distinct()

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_query, separator_key, surface_variant_keys
 from ..schema import MISSING_SOURCE, MISSING_TARGET, RAW_EDGE, RAW_MENTION
-from .fold import closure, first_per_key, greedy_spans, longest_spans
+from .fold import closure, dimension, first_per_key, greedy_spans, longest_spans
 
 # Dependencies and parts of speech that the rules name.
 BLOCKED_START_DEPS = ("case", "cc", "det", "mark", "punct")
@@ -86,7 +86,7 @@ def preposition_matches(annotated: DataFrame, prepositions: DataFrame) -> DataFr
         starts = F.when(F.size("w") >= k, F.sequence(F.lit(0), F.size("w") - k)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda s: F.struct(s.alias("start"), (s + k).alias("end"), F.array_join(F.slice(F.col("w"), s + 1, k), " ").alias("key")))
 
-    found = sentence.select("caption_id", F.inline(F.concat(*map(grams, widths)))).join(F.broadcast(prepositions), "key")
+    found = sentence.select("caption_id", F.inline(F.concat(*map(grams, widths)))).join(dimension(prepositions), "key")
     return longest_spans(found, ["caption_id"], "start", "end")
 
 
@@ -125,7 +125,7 @@ def object_spans(annotated: DataFrame, objects: DataFrame) -> DataFrame:
     lemma = F.array_join(F.concat(F.slice(words, 1, F.size(words) - 1), F.array(normalize_query(last.lemma))), " ")
     surfaces = F.array_distinct(F.array(normalize_query(raw), F.when(F.coalesce(last.lemma, F.lit("")) != "", lemma).otherwise(normalize_query(raw))))
     tried = starts.where(fine).select("caption_id", "chunk_ix", "chunk", "root_i", "c_start", "c_end", "start", "span", normalize_query(raw).alias("exact"), F.posexplode(surfaces).alias("n", "key"))
-    hits = tried.join(F.broadcast(objects), "key")
+    hits = tried.join(dimension(objects), "key")
     hits = first_per_key(hits, ["caption_id", "chunk_ix"], ["start", F.when(normalize_query("query") == F.col("exact"), 0).otherwise(1), "n"])
     some = lambda *cs: F.filter(F.array(*(F.coalesce(c, F.lit("")) for c in cs)), lambda x: x != "")
     none = F.array().cast("array<string>")
@@ -166,7 +166,7 @@ def modifiers(tokens: DataFrame, kids: DataFrame, objects: DataFrame, taken: Dat
     spans = ends.join(words, key).select(*key, "i", "base", "words", F.explode(F.sequence(F.col("open"), F.col("i") - 1)).alias("start"))
     part = F.slice("words", F.col("start") - F.col("base") + 1, F.col("i") - F.col("start") + 1)
     spans = spans.select(*key, "start", (F.col("i") + 1).alias("end"), F.col("i").alias("anchor"), separator_key(_surface(part)).alias("key"), _surface(part).alias("text"), _surface(part, "lemma").alias("lemma"))
-    chosen = cut(greedy_spans(spans.join(F.broadcast(phrases), "key"), key, "start", "end", [F.col("start") - F.col("end"), -F.col("anchor"), F.col("start")]))
+    chosen = cut(greedy_spans(spans.join(dimension(phrases), "key"), key, "start", "end", [F.col("start") - F.col("end"), -F.col("anchor"), F.col("start")]))
     covered = chosen.select(*key, F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("i"))
     whole = chosen.select(*key, F.lit("attribute").alias("kind"), "start", "end", "text", "lemma", F.lit("mwe").alias("unit"), "span_key", F.lit("attribute_mwe").alias("source"), _order(1, "chunk_ix", 1, "start").alias("ord"))
     single = usable.join(covered, [*key, "i"], "left_anti")
@@ -185,7 +185,7 @@ def floating_attributes(annotated: DataFrame, tokens: DataFrame, objects: DataFr
     bare = segments.join(o, (F.col("caption_id") == F.col("cid")) & (F.col("core_start") >= F.col("s")) & (F.col("core_start") < F.col("e")), "left_anti")
     words = tokens.join(bare, "caption_id").where("i >= s and i < e").where(~F.coalesce(F.col("pos").isin("PUNCT", "SPACE"), F.lit(False)))
     lists = words.groupBy("caption_id", "seg_ix", "segment_id").agg(F.array_sort(F.collect_list(F.struct("i", "text", "lemma", "pos", "tag"))).alias("w")).withColumn("key", separator_key(_surface(F.col("w"))))
-    known = lists.join(F.broadcast(phrases), "key", "left")
+    known = lists.join(dimension(phrases), "key", "left")
     first, last = F.col("w")[0], F.element_at("w", -1)
     is_phrase = (F.size("w") >= 2) & F.col("span_key").isNotNull()
     is_word = (F.size("w") == 1) & (F.coalesce(first.pos.isin(*FLOATING_POS), F.lit(False)) | F.coalesce(first.tag.isin(*FLOATING_TAGS), F.lit(False)))
@@ -224,7 +224,7 @@ def actions(tokens: DataFrame, kids: DataFrame, taken: DataFrame, lexicons: Lexi
             kind(both.unionByName(under.select(both.columns)), 0, F.array("head", "p", "q"), F.when(F.col("p_prep"), F.array("p", "q")).otherwise(F.array("q")), F.concat_ws(" ", "text", "p_text", "q_text")),
         ],
     ).distinct()
-    known = all_.join(F.broadcast(lexicons.actions.select("key", "synset")), "key", "left")
+    known = all_.join(dimension(lexicons.actions.select("key", "synset")), "key", "left")
     good = F.when(F.coalesce("synset", F.lit("")) != "", 0).otherwise(1)
     bare = F.when(good == 1, F.when(F.col("rank") == 3, 0).otherwise(1)).otherwise(0)  # without a sense: the bare verb
     return first_per_key(known, ["caption_id", "head"], [good, bare, -F.size("parts"), "rank", "parts"])

@@ -1,4 +1,8 @@
-"""Atomic facts of a canonical graph, one typed table for each kind of fact."""
+"""Atomic facts of a canonical graph, one typed table for each kind of fact.
+
+A fact's rules are the sorted union of the rules of its edge and of both mentions. That costs a fold over arrays for every row, so
+the generators can also leave the parts side by side (``united=False``: columns rules_0, rules_1, …); a count table unites them
+once for each distinct combination instead."""
 
 from __future__ import annotations
 
@@ -18,12 +22,17 @@ def _no_strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def with_rules(mentions: DataFrame) -> DataFrame:
-    """Adds rule_ids (sorted, distinct) and raw_variants (lower-case text, else lemma)."""
+def with_rules(mentions: DataFrame, united: bool = True) -> DataFrame:
+    """Adds rule_ids (sorted and distinct if united) and raw_variants (lower-case text, else lemma)."""
     rule = F.create_map(*(F.lit(x) for pair in MENTION_RULES.items() for x in pair))[F.col("mention_type")]
+    rules = F.array(rule, "canonical_rule_id", "parent_rule_id")
     variant = F.coalesce(F.nullif(lexicon_key("raw_text"), F.lit("")), lexicon_key("raw_lemma"))
     parents = {x: F.coalesce(x, _no_strings()) for x in ("parent_concepts", "parent_synset_ids")}
-    return mentions.withColumns({**parents, "rule_ids": sorted_union(F.array(rule, "canonical_rule_id", "parent_rule_id")), "raw_variants": F.array(variant)})
+    return mentions.withColumns({**parents, "rule_ids": sorted_union(rules) if united else F.array_compact(rules), "raw_variants": F.array(variant)})
+
+
+def _rules(united: bool, *parts: Column) -> list[Column]:
+    return [sorted_union(*parts).alias("rule_ids")] if united else [F.array_compact(p).alias(f"rules_{i}") for i, p in enumerate(parts)]
 
 
 def _of_mentions(mentions: DataFrame, kind: str, *columns: Column) -> DataFrame:
@@ -61,27 +70,27 @@ def joined_edges(mentions: DataFrame, edges: DataFrame) -> DataFrame:
     return out
 
 
-def _of_edges(joined: DataFrame, kind: str, *columns: Column) -> DataFrame:
-    rules = sorted_union(F.array("rule_id", "canonical_rule_id"), F.col("s.rule_ids"), F.col("t.rule_ids"))
-    return joined.select("caption_id", F.lit(kind).alias("fact_type"), rules.alias("rule_ids"), F.array("source_mention_id", "target_mention_id").alias("source_mention_ids"), F.array("edge_id").alias("source_edge_ids"), *columns, _no_strings().alias("raw_variants"))
+def _of_edges(joined: DataFrame, united: bool, kind: str, *columns: Column) -> DataFrame:
+    rules = _rules(united, F.array("rule_id", "canonical_rule_id"), F.col("s.rule_ids"), F.col("t.rule_ids"))
+    return joined.select("caption_id", F.lit(kind).alias("fact_type"), *rules, F.array("source_mention_id", "target_mention_id").alias("source_mention_ids"), F.array("edge_id").alias("source_edge_ids"), *columns, _no_strings().alias("raw_variants"))
 
 
-def has_attribute(joined: DataFrame) -> DataFrame:
+def has_attribute(joined: DataFrame, united: bool = True) -> DataFrame:
     rows = joined.where("edge_type in ('has_attribute', 'has_quantity')")
     kind = F.when(F.col("edge_type") == "has_attribute", "attribute").otherwise("quantity")
-    return _of_edges(rows, "has_attribute", F.col("s.canonical").alias("object"), F.col("t.canonical").alias("attribute"), kind.alias("attribute_kind"), F.col("s.parent_concepts").alias("object_parent_concepts"), F.col("s.parent_synset_ids").alias("object_parent_synset_ids"))
+    return _of_edges(rows, united, "has_attribute", F.col("s.canonical").alias("object"), F.col("t.canonical").alias("attribute"), kind.alias("attribute_kind"), F.col("s.parent_concepts").alias("object_parent_concepts"), F.col("s.parent_synset_ids").alias("object_parent_synset_ids"))
 
 
-def event_role(joined: DataFrame) -> DataFrame:
+def event_role(joined: DataFrame, united: bool = True) -> DataFrame:
     raw = F.coalesce(F.nullif(F.col("raw_role"), F.lit("")), F.col("canonical_label"))
     voice = F.coalesce(F.nullif(F.col("voice_normalization"), F.lit("")), F.lit("none"))
     target = (F.col("t.parent_concepts").alias("target_parent_concepts"), F.col("t.parent_synset_ids").alias("target_parent_synset_ids"))
-    return _of_edges(joined.where("edge_type = 'event_role'"), "event_role", F.col("s.canonical").alias("action"), F.col("canonical_label").alias("role"), F.col("t.canonical").alias("target"), *target, raw.alias("raw_role"), voice.alias("voice_normalization"))
+    return _of_edges(joined.where("edge_type = 'event_role'"), united, "event_role", F.col("s.canonical").alias("action"), F.col("canonical_label").alias("role"), F.col("t.canonical").alias("target"), *target, raw.alias("raw_role"), voice.alias("voice_normalization"))
 
 
-def relation(joined: DataFrame) -> DataFrame:
+def relation(joined: DataFrame, united: bool = True) -> DataFrame:
     parents = [F.col(f"{side}.{x}").alias(f"{name}_{x}") for side, name in (("s", "source"), ("t", "target")) for x in ("parent_concepts", "parent_synset_ids")]
-    return _of_edges(joined.where("edge_type = 'relation'"), "relation", F.col("s.canonical").alias("source"), F.col("canonical_label").alias("relation"), F.col("t.canonical").alias("target"), *parents)
+    return _of_edges(joined.where("edge_type = 'relation'"), united, "relation", F.col("s.canonical").alias("source"), F.col("canonical_label").alias("relation"), F.col("t.canonical").alias("target"), *parents)
 
 
 def relation_component(edges: DataFrame) -> DataFrame:
@@ -133,18 +142,26 @@ def ambiguous_candidates(joined: DataFrame) -> DataFrame:
     return each.withColumns({**status, "fact_type": F.lit("ambiguous_relation_candidate")}).drop("occurrence", "no_source", "no_target")
 
 
-def object_pairs(mentions: DataFrame) -> DataFrame:
-    """Ordered pairs of different objects of a caption. Objects are summed up for each caption before they are paired."""
-    union = lambda x: F.array_sort(F.array_distinct(F.flatten(F.collect_set(x))))
-    objects = mentions.where("mention_type = 'object'").groupBy("caption_id", "canonical").agg(
-        union("parent_concepts").alias("parent_concepts"), union("parent_synset_ids").alias("parent_synset_ids"), union("rule_ids").alias("rule_ids"), F.array_sort(F.collect_list("mention_id")).alias("ids")
-    )
-    lists = objects.groupBy("caption_id").agg(F.collect_list(F.struct("canonical", "parent_concepts", "parent_synset_ids", "rule_ids", "ids")).alias("all"))
-    pairs = lists.where(F.size("all") > 1).select("caption_id", "all", F.explode("all").alias("s")).select("caption_id", "s", F.explode("all").alias("t")).where("s.canonical <> t.canonical")
+def object_pairs(mentions: DataFrame, united: bool = True) -> DataFrame:
+    """Ordered pairs of different objects of a caption.
+
+    A caption's objects are brought together once; equal objects are summed up inside that array before they are paired."""
+    item = F.struct("canonical", "parent_concepts", "parent_synset_ids", "rule_ids", F.col("mention_id").alias("id"))
+    lists = mentions.where("mention_type = 'object'").groupBy("caption_id").agg(F.collect_list(item).alias("m"))
+    names = F.array_sort(F.array_distinct(F.transform("m", lambda x: x.canonical)))
+    lists = lists.withColumn("names", names).where(F.size("names") > 1)
+
+    def summed(c: Column) -> Column:
+        mine = F.filter("m", lambda x: x.canonical == c)
+        union = lambda field: F.array_sort(F.array_distinct(F.flatten(F.transform(mine, lambda x: x[field]))))
+        return F.struct(c.alias("canonical"), *(union(x).alias(x) for x in ("parent_concepts", "parent_synset_ids", "rule_ids")), F.array_sort(F.transform(mine, lambda x: x.id)).alias("ids"))
+
+    lists = lists.select("caption_id", F.transform("names", summed).alias("all"))
+    pairs = lists.select("caption_id", "all", F.explode("all").alias("s")).select("caption_id", "s", F.explode("all").alias("t")).where("s.canonical <> t.canonical")
     return pairs.select(
         "caption_id",
         F.lit("object_pair_in_caption").alias("fact_type"),
-        sorted_union(F.col("s.rule_ids"), F.col("t.rule_ids"), F.array(F.lit("R25"))).alias("rule_ids"),
+        *_rules(united, F.col("s.rule_ids"), F.col("t.rule_ids"), F.array(F.lit("R25"))),
         F.concat("s.ids", "t.ids").alias("source_mention_ids"),
         _no_strings().alias("source_edge_ids"),
         F.col("s.canonical").alias("source_object"),
@@ -160,21 +177,21 @@ def object_pairs_by_join(mentions: DataFrame) -> DataFrame:
     return o.withColumnRenamed("canonical", "source_object").join(o.withColumnRenamed("canonical", "target_object"), "caption_id").where("source_object <> target_object")
 
 
-def all_facts(mentions: DataFrame, edges: DataFrame) -> dict[str, DataFrame]:
+def all_facts(mentions: DataFrame, edges: DataFrame, united: bool = True) -> dict[str, DataFrame]:
     """Every kind of fact, by name."""
-    ruled = with_rules(mentions)
+    ruled = with_rules(mentions, united)
     joined = joined_edges(ruled, edges)
     return {
         "entity_exists": entity_exists(ruled),
         "attribute_exists": attribute_exists(ruled),
         "object_parent": object_parent(ruled),
         "action_event": action_event(ruled),
-        "has_attribute": has_attribute(joined),
-        "event_role": event_role(joined),
-        "relation": relation(joined),
+        "has_attribute": has_attribute(joined, united),
+        "event_role": event_role(joined, united),
+        "relation": relation(joined, united),
         "relation_component": relation_component(edges),
         "ambiguous_relation_candidate": ambiguous_candidates(joined),
-        "object_pair_in_caption": object_pairs(ruled),
+        "object_pair_in_caption": object_pairs(ruled, united),
     }
 
 

@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from ..functions.text import _c
 
 
+#: Rows of a dimension table that may be broadcast.
+DIMENSION_ROWS = 300_000
+
+
+def dimension(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
+    """A dimension table for a join: broadcast if it is counted to be small, else left to a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def greedy_spans(spans: DataFrame, by: Sequence[str], start: str, end: str, order: Sequence[Column | str]) -> DataFrame:
     """Rows of each group taken in the given order, each kept unless it overlaps one kept before.
 

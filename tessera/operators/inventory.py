@@ -218,3 +218,10 @@ def series_statistics(rows: DataFrame, key: str, series: str) -> DataFrame:
     total = F.aggregate(s, F.lit(0.0), lambda a, x: a + F.coalesce(x.cast("double"), F.lit(0.0)))
     mean: Column = F.when(F.size(s) > 0, total / F.size(s))
     return rows.select(key, mean.alias("mean_frequency"), F.array_max(s).cast("double").alias("max_frequency"), F.size(F.filter(s, lambda x: x > 0)).alias("nonzero_years"))
+
+
+def bundle_problems(paths: dict[str, str], required: tuple[str, ...], ready: dict[str, DataFrame]) -> list[str]:
+    """Why an inventory bundle must not be published: absent components, and components that still have open decisions.
+    ready: for each component its blocking rows."""
+    missing = [f"missing: {n}" for n in required if not paths.get(n)]
+    return missing + [f"open decisions: {n}" for n, rows in ready.items() if rows.limit(1).count()]

@@ -49,5 +49,21 @@ def sentences_only(captions: DataFrame) -> DataFrame:
     return captions.withColumn("caption_shape", F.when(fine, F.col("caption_shape")).otherwise(F.raise_error(F.lit("tag lists have a path of their own"))))
 
 
+def interleave(order: DataFrame, sentences: DataFrame, tags: DataFrame) -> DataFrame:
+    """Sentence and tag rows brought back into the order of ``order`` (caption_id, caption_index); a caption that is lost, foreign or
+    there twice fails the job."""
+    both = sentences.unionByName(tags, allowMissingColumns=True)
+    n = both.groupBy("caption_id").agg(F.count(F.lit(1)).alias("_n"))
+    place = order.select("caption_id", "caption_index").join(n, "caption_id", "full")
+    fine = (F.col("_n") == 1) & F.col("caption_index").isNotNull()
+    place = place.select("caption_id", F.when(F.coalesce(fine, F.lit(False)), F.col("caption_index")).otherwise(F.raise_error(F.concat(F.lit("not exactly once: "), F.col("caption_id")))).alias("caption_index"))
+    return both.join(place, "caption_id").orderBy("caption_index")
+
+
+def shard_sizes(n: int, shards: int) -> list[int]:
+    """Sizes of contiguous shards of n rows, the first ones larger by one where n does not divide."""
+    return [n // shards + (i < n % shards) for i in range(shards)]
+
+
 def summary(captions: DataFrame) -> DataFrame:
     return captions.groupBy("caption_shape", "caption_type", F.coalesce("skip_reason", F.lit("")).alias("skip_reason")).agg(F.count(F.lit(1)).alias("captions"))

@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None):
 
 def _count_query(spec: counts.CountSpec) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return counts.flat(counts.count_table(all_facts(*adapters.graph(spark, sf_dir))[spec.fact_type], spec))
+        return counts.flat(counts.count_table(all_facts(*adapters.graph(spark, sf_dir), united=False)[spec.fact_type], spec))
 
     return run
 
@@ -225,7 +225,7 @@ def object_pairs_by_join_query(spark, sf_dir):
 
 
 def _halves(spark, sf_dir, spec):
-    f = _facts(spark, sf_dir, spec.fact_type)
+    f = all_facts(*adapters.graph(spark, sf_dir), united=False)[spec.fact_type]
     return [counts.count_table(f.where(F.pmod(F.col("caption_id").cast("long"), F.lit(2)) == i), spec) for i in (0, 1)]
 
 
@@ -243,7 +243,7 @@ def merge_partitioned_counts(spark, sf_dir):
 
 @query("count_integrity", f"WITH {adapters.GRAPH_SQL}, {adapters.OBJECTS_SQL} " + " UNION ALL ".join(f"SELECT '{k}' AS fact_type, count(*) AS facts, count(*) AS counted, true AS agree FROM ({q}) x" for k, q in adapters.FACT_SQL.items()))
 def count_integrity(spark, sf_dir):
-    facts = all_facts(*adapters.graph(spark, sf_dir))
+    facts = all_facts(*adapters.graph(spark, sf_dir), united=False)
     return counts.integrity(facts, counts.count_tables(facts))
 
 
@@ -308,7 +308,7 @@ def canonical_summary(spark, sf_dir):
 
 
 def _pair_view(spark, sf_dir):
-    facts = all_facts(*adapters.graph(spark, sf_dir))
+    facts = all_facts(*adapters.graph(spark, sf_dir), united=False)
     table = counts.count_table(facts["has_attribute"], counts.BY_NAME["object_attribute_pair_counts"])
     none = F.array().cast("array<string>")
     view = table.select("object", none.alias("object_raw_surfaces"), F.col("object_parent_concepts"), "attribute", "attribute_kind", none.alias("attribute_raw_surfaces"), "count", "caption_count", "example_caption_ids")
@@ -364,7 +364,7 @@ def kind_collisions(spark, sf_dir):
 @query("report_views")
 def report_views(spark, sf_dir):
     mentions, edges = adapters.graph(spark, sf_dir)
-    facts = all_facts(mentions, edges)
+    facts = all_facts(mentions, edges, united=False)
     views = report.views(counts.count_tables(facts), counts.triples(edges, mentions))
     rows = [v.agg(F.lit(name).alias("view_name"), F.count(F.lit(1)).alias("rows"), F.sum("count").alias("total")) for name, v in views.items()]
     return reduce(DataFrame.unionByName, rows)
@@ -473,6 +473,65 @@ def label_matches(spark, sf_dir):
     return compare.matched_labels(labels, words)
 
 
+@query("caption_sets", f"WITH {adapters.GRAPH_SQL} SELECT DISTINCT lower(canonical) AS term, caption_id FROM mention WHERE mention_type = 'object' AND canonical IN ('Brand#1', 'Brand#7')")
+def caption_sets(spark, sf_dir):
+    terms = spark.createDataFrame([("BRAND#1 ",), ("brand#7",), ("none",)], "term string")
+    return counts.caption_sets(_facts(spark, sf_dir, "entity_exists"), terms, "object")
+
+
+@query("interleave", "SELECT cast(doc_id AS VARCHAR) AS caption_id, doc_id AS caption_index, CASE WHEN doc_id % 10 = 0 THEN 'tag_list' ELSE 'sentence' END AS caption_shape FROM documents")
+def interleave(spark, sf_dir):
+    rows = shape.route(adapters.captions(spark, sf_dir))
+    order = adapters.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("caption_id"), F.col("doc_id").alias("caption_index"))
+    return shape.interleave(order, *shape.split(rows)).select("caption_id", "caption_index", "caption_shape")
+
+
+@query("label_conflicts", "SELECT p_brand AS label, count(DISTINCT p_type) AS synsets, array_to_string(list_sort(list(DISTINCT 'set' || (p_size % 3))), '|') AS datasets FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1")
+def label_conflicts(spark, sf_dir):
+    p = adapters.table(spark, sf_dir, "part")
+    return inventory.label_conflicts(p.select(F.concat(F.lit("set"), (F.col("p_size") % 3).cast("string")).alias("dataset"), F.col("p_brand").alias("label"), F.col("p_type").alias("synset")))
+
+
+@query("series_statistics", "SELECT vec_id, round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 9) AS mean_frequency, round(list_max(embedding)::DOUBLE, 9) AS max_frequency, cast(len(list_filter(embedding, lambda x: x > 0)) AS INTEGER) AS nonzero_years FROM embeddings")
+def series_statistics(spark, sf_dir):
+    out = inventory.series_statistics(adapters.table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return out.select("vec_id", F.round("mean_frequency", 9).alias("mean_frequency"), F.round("max_frequency", 9).alias("max_frequency"), "nonzero_years")
+
+
+@query("preposition_inventory", """WITH s AS (SELECT lower(p_name) AS surface, 'small' AS source FROM part WHERE p_size < 30 UNION ALL SELECT lower(p_name), 'large' FROM part WHERE p_size > 20)
+SELECT surface, array_to_string(list_sort(list(DISTINCT source)), '|') AS sources, count(DISTINCT source) AS n_sources, cast(len(string_split(surface, ' ')) AS INTEGER) AS n_tokens FROM s GROUP BY 1 HAVING n_tokens >= 2""")
+def preposition_inventory(spark, sf_dir):
+    p = adapters.table(spark, sf_dir, "part").withColumn("surface", F.upper("p_name"))
+    return inventory.preposition_inventory([("small", p.where("p_size < 30")), ("large", p.where("p_size > 20"))])
+
+
+@query("export_lexicon", "SELECT DISTINCT lower(p_name) AS raw, lower(p_name) || ' x' AS canonical FROM part UNION SELECT DISTINCT 'q ' || lower(p_name), lower(p_name) || ' x' FROM part")
+def export_lexicon(spark, sf_dir):
+    p = adapters.table(spark, sf_dir, "part").select(F.upper("p_name").alias("span_key"), F.concat(F.lit("Q  "), "p_name").alias("selected_query"), F.concat(F.lower("p_name"), F.lit(" x")).alias("canonical_surface"), F.lit("chosen").alias("decision_status"))
+    return inventory.export_lexicon(p)
+
+
+@query("source_histograms")
+def source_histograms(spark, sf_dir):
+    return counts.flat(inventory.source_histograms(adapters.table(spark, sf_dir, "part"), "p_brand", ["p_type"]).withColumn("p_type_counts", F.to_json("p_type_counts")))
+
+
+@query("reuse_by_query", """WITH a AS (SELECT p_brand, min(p_type) AS syn FROM part WHERE p_size > 45 GROUP BY 1 HAVING count(DISTINCT p_type) = 1)
+SELECT p_partkey, CASE WHEN p_size <= 10 AND syn IS NOT NULL THEN syn WHEN p_size > 10 THEN 'own' ELSE '' END AS selected_oewn_synset FROM part LEFT JOIN a USING (p_brand)""")
+def reuse_by_query(spark, sf_dir):
+    p = adapters.table(spark, sf_dir, "part")
+    prior = p.where("p_size > 45").select(F.col("p_brand").alias("selected_query"), F.col("p_type").alias("selected_oewn_synset"), F.lit("chosen").alias("decision_status"))
+    rows = p.select("p_partkey", F.col("p_brand").alias("selected_query"), F.when(F.col("p_size") > 10, "own").otherwise("").alias("selected_oewn_synset"))
+    return inventory.reuse_by_query(rows, prior).select("p_partkey", "selected_oewn_synset")
+
+
+@query("json_events", "SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM events WHERE contains(props, '{') GROUP BY 1")
+def json_events(spark, sf_dir):
+    e = adapters.table(spark, sf_dir, "events").where(F.contains("props", F.lit("{")))
+    parsed = e.select("event_type", "user_id", F.from_json("props", "map<string,string>").alias("p")).where("p is not null")
+    return parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"))
+
+
 # --- extraction
 
 
