@@ -32,7 +32,7 @@ def canonicalize_mentions(raw: DataFrame, attributes: DataFrame, actions: DataFr
     rows = rows.join(lexicon, (F.col("mention_type") == F.col("k")) & (F.col("label") == F.col("r")), "left")
     is_object = F.col("mention_type") == "object"
     inventory = F.when(is_object, F.nullif(F.col("canonical_surface"), F.lit("")))
-    source = F.when(inventory.isNotNull(), "gpic_observed_inventory").when(F.col("found").isNotNull(), "lexicon").otherwise("raw_fallback")
+    source = F.when(inventory.isNotNull(), "observed_inventory").when(F.col("found").isNotNull(), "lexicon").otherwise("raw_fallback")
     none = F.array().cast("array<string>")
     parents = F.when(is_object, parent_labels("parent_lemmas", "parent_synset_ids")).otherwise(none)
     ids = F.when(is_object, F.coalesce("parent_synset_ids", none)).otherwise(none)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.extract import Lexicons
 from ..schema import ANNOTATED
@@ -71,3 +72,12 @@ def inventories(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame, D
 
 def lexicons(spark: SparkSession) -> Lexicons:
     return files.lexicons(*inventories(spark))
+
+
+def many(spark: SparkSession, ids: DataFrame) -> DataFrame:
+    """The captions over and over: one for each row of ``ids`` (a column ``n``), taken in turn."""
+    some = captions(spark)
+    names = F.array(*(F.lit(n) for n in CASES))
+    turn = ids.select("n", F.get(names, F.col("n") % len(CASES)).alias("name"))
+    rows = turn.join(F.broadcast(some), F.col("name") == F.col("caption_id"))  # a dozen captions
+    return rows.select(F.concat_ws("-", "caption_id", F.col("n").cast("string")).alias("caption_id"), *(c for c in some.columns if c != "caption_id"))

@@ -282,7 +282,7 @@ _CANON_SQL = f"""{adapters.GRAPH_SQL}, canon AS (SELECT caption_id, mention_id,
   CASE mention_type WHEN 'object' THEN CASE canonical WHEN 'Brand#1' THEN lower(trim(raw_text)) ELSE canonical END WHEN 'attribute' THEN CASE lower(trim(raw_text)) WHEN 'r' THEN 'returned' WHEN 'a' THEN 'accepted' ELSE lower(trim(raw_text)) END
        WHEN 'action' THEN CASE lower(trim(raw_text)) WHEN '1-urgent' THEN 'hurry' ELSE lower(trim(raw_text)) END ELSE lower(trim(raw_text)) END AS canonical,
   CASE mention_type WHEN 'object' THEN array_to_string(parent_concepts, '|') ELSE '' END AS parent_concepts,
-  CASE WHEN mention_type = 'object' AND canonical = 'Brand#1' THEN 'raw_fallback' WHEN mention_type = 'object' THEN 'gpic_observed_inventory' WHEN mention_type = 'attribute' AND lower(trim(raw_text)) IN ('r', 'a') THEN 'lexicon' WHEN mention_type = 'action' AND lower(trim(raw_text)) = '1-urgent' THEN 'lexicon' ELSE 'raw_fallback' END AS canonical_source FROM mention)"""
+  CASE WHEN mention_type = 'object' AND canonical = 'Brand#1' THEN 'raw_fallback' WHEN mention_type = 'object' THEN 'observed_inventory' WHEN mention_type = 'attribute' AND lower(trim(raw_text)) IN ('r', 'a') THEN 'lexicon' WHEN mention_type = 'action' AND lower(trim(raw_text)) = '1-urgent' THEN 'lexicon' ELSE 'raw_fallback' END AS canonical_source FROM mention)"""
 
 
 @query("canonicalize_mentions", f"WITH {_CANON_SQL} SELECT caption_id, mention_id, canonical, parent_concepts, canonical_source, CASE canonical_source WHEN 'raw_fallback' THEN 'medium' ELSE 'high' END AS confidence, CASE WHEN parent_concepts <> '' THEN 'R23' ELSE '' END AS parent_rule_id FROM canon")
@@ -545,6 +545,18 @@ def golden_graph_edges(spark, sf_dir):
     return extract(golden.captions(spark), golden.lexicons(spark), _cut)[1]
 
 
+@query("annotated_to_counts", """WITH c AS (SELECT o_orderkey % 13 AS k FROM orders), o(k, object, n) AS (VALUES (0, 'dog', 1), (0, 'ball', 1), (1, 'dog', 1), (1, 'bench', 1), (2, 'dog', 1), (3, 'dog', 1), (4, 'jersey', 1), (5, 'man', 1), (5, 'dog', 1), (6, 'dog', 1), (6, 'house', 1), (7, 'dog', 1), (7, 'bench', 1), (7, 'sign', 1), (8, 'dog', 1), (8, 'people', 1), (9, 'ball', 1), (9, 'dog', 1), (10, 'man', 1), (10, 'ball', 1), (11, 'house', 1), (12, 'dog', 1), (12, 'road', 1), (12, 'river', 1))
+SELECT object, count(*) AS count, count(*) AS caption_count FROM c JOIN o USING (k) GROUP BY 1""")
+def annotated_to_counts(spark, sf_dir):
+    """The whole path, from annotated captions (one for each order) to a count table."""
+    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
+    raw_mentions, raw_edges = extract(rows, golden.lexicons(spark), _cut)
+    none = spark.createDataFrame([], "raw string, canonical string")
+    m = canonical.canonicalize_mentions(raw_mentions, none, none)
+    found = all_facts(m, canonical.canonicalize_edges(raw_edges, m), united=False)
+    return counts.count_table(found["entity_exists"], counts.BY_NAME["object_counts"]).select("object", "count", "caption_count")
+
+
 @query("preposition_matches", f"""WITH {TEXT_SQL}, t AS (SELECT key AS caption_id, regexp_extract_all(lower(caption), '[\\p{{L}}\\p{{N}}]+|[^\\s]') AS w FROM src WHERE caption_type <> 'tag'),
 g AS (SELECT caption_id, unnest(range(len(w) - 1)) AS s, w FROM t WHERE len(w) > 1) SELECT caption_id, cast(s AS INTEGER) AS start, cast(s + 2 AS INTEGER) AS "end", w[s + 1] || ' ' || w[s + 2] AS key FROM g WHERE w[s + 1] || ' ' || w[s + 2] IN ('of the', 'que de', 'der die')""")
 def preposition_matches_query(spark, sf_dir):
