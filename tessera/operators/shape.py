@@ -57,7 +57,7 @@ def interleave(order: DataFrame, sentences: DataFrame, tags: DataFrame) -> DataF
     place = order.select("caption_id", "caption_index").join(n, "caption_id", "full")
     fine = (F.col("_n") == 1) & F.col("caption_index").isNotNull()
     place = place.select("caption_id", F.when(F.coalesce(fine, F.lit(False)), F.col("caption_index")).otherwise(F.raise_error(F.concat(F.lit("not exactly once: "), F.col("caption_id")))).alias("caption_index"))
-    return both.join(place, "caption_id").orderBy("caption_index")
+    return place.join(both, "caption_id", "left").orderBy("caption_index")
 
 
 def shard_sizes(n: int, shards: int) -> list[int]:
