@@ -1,8 +1,8 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
 Every word is a customer in the restaurant of the word before it; every table there sends one customer to the shared parent
-restaurant, whose base is uniform over the training words and one unknown word. Restaurants of their own have the CONTEXTS most frequent
-training words (and the text's end, which opens a text); after any other word a customer sits down in the parent directly.
+restaurant, whose base is uniform over the training words and one unknown word. Every training word has its restaurant (and the
+text's end, which opens a text); after a word never seen in training the parent alone decides.
 
 Seating is sampled by Gibbs on the numbers of tables: given everything else, the tables t of c customers of one word in one
 restaurant have probability proportional to S(c, t) a^t, with the generalised Stirling number S and a = (strength +
@@ -10,9 +10,10 @@ discount T) P_parent(word); drawn exactly up to EXACT customers, and further cus
 predictive probabilities of SAMPLES seatings are averaged.
 
 Everything about a word lies in the bucket of its hash: its counts after every context, its tables, and where it
-stands in which texts. Buckets are coupled only by the restaurants' totals (CONTEXTS numbers), which are brought
-together between the rounds. The most frequent words, which would overfill a bucket, are the contexts themselves; their counts are
-a bounded table, sampled on the driver and broadcast. So a token travels once, packed with others, and the corpus is read twice.
+stands in which texts. The CONTEXTS most frequent words would overfill a bucket: what they count after each other is a bounded
+table, sampled on the driver and broadcast, and where they follow a rarer word they lie in the bucket of that context instead.
+Buckets are coupled by the restaurants' totals: those of the frequent contexts are summed on the driver, those of a rarer context in its
+bucket, which gets them from the words' buckets in packed notes and sends the sums back. CONTEXTS decides where a count is kept, not whether.
 
 Defined cases: a null or empty text is one token, the end; a null id is carried; repeated rows are scored and counted each
 on their own; without any training text every probability is 1; an empty table gives no rows; other columns are ignored."""
@@ -37,7 +38,7 @@ STRENGTH = 1.0
 EXACT = 64
 #: Gibbs sweeps before each exchange of totals, before the first sample, and samples.
 SWEEPS, BURN_IN, SAMPLES = 3, 2, 4
-#: Tokens of the rarer words in a bucket, and tokens in a block of texts, about.
+#: Tokens in a bucket, and tokens in a block of texts, about.
 BUCKET, BLOCK = 3_000_000, 2_500_000
 END = int(mix(np.array([2**63 + 5], dtype=np.uint64))[0])
 
@@ -185,6 +186,71 @@ def parent_share(totals: np.ndarray, d2: float) -> np.ndarray:
     return out
 
 
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash; it grows with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _ascending(steps: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumsum(steps, dtype=np.uint64)
+
+
+class Followers:
+    """A bucket of rarer contexts: where the frequent words follow them, and how those are seated."""
+
+    def __init__(self, number: int, blocks: list[tuple[int, bytes]], size: int, seed: int, d2: float):
+        self.chunks, loads = [c for c, _ in blocks], [_load(raw) for _, raw in blocks]
+        contexts = [np.repeat(_ascending(x[0]), x[1]) for x in loads]
+        self.lengths, self.size, self.d2 = [len(x) for x in contexts], size, d2
+        self.names, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *contexts]), return_inverse=True)
+        self.rank = np.concatenate([np.zeros(0, np.int64), *(x[2].astype(np.int64) for x in loads)])
+        self.owner = [x[3].astype(np.int64) for x in loads]
+        learn = np.concatenate([np.zeros(0, bool), *(np.unpackbits(x[4])[x[3]] == 0 for x in loads)])
+        self.token = at * size + self.rank
+        self.key, c = np.unique(self.token[learn], return_counts=True)
+        self.context, self.word = self.key // max(size, 1), self.key % max(size, 1)
+        self.c, self.t = c.astype(np.float64), np.ones(len(c))
+        self.rng, self.log = np.random.default_rng(seed + 1 + number), stirling(d2)
+
+    def totals(self) -> np.ndarray:
+        """[customers, tables] that the frequent words have in each restaurant."""
+        return np.stack([np.bincount(self.context, weights=x, minlength=len(self.names)) for x in (self.c, self.t)], axis=1)
+
+    def sweep(self, tables_of: np.ndarray, parent: np.ndarray) -> None:
+        self.t = tables(self.rng, self.c, (STRENGTH + self.d2 * tables_of[self.context]) * parent[self.word], self.d2, self.log)
+
+    def probabilities(self, totals: np.ndarray, parent: np.ndarray) -> np.ndarray:
+        """The averaged probability of each token, given the restaurants' totals."""
+        own = np.zeros(len(self.c))
+        for i in range(BURN_IN + SAMPLES):
+            self.sweep(totals[:, 1], parent)
+            if i >= BURN_IN:
+                own += (self.c - self.d2 * self.t) / (STRENGTH + totals[self.context, 0])
+        share = (STRENGTH + self.d2 * totals[:, 1]) / (STRENGTH + totals[:, 0])
+        prob = share[self.token // max(self.size, 1)] * parent[self.rank]
+        return prob + _found(self.key, own / SAMPLES, self.token)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the wanted keys, 0 for others."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0.0)
+
+
+def _by_text(owners: list[np.ndarray], lengths: list[int], *columns: np.ndarray):
+    """For each block its texts and the sums of the columns over their tokens, as bytes."""
+    first = 0
+    for owner, n in zip(owners, lengths, strict=True):
+        part = slice(first, first + n)
+        first += n
+        texts = np.flatnonzero(np.bincount(owner))
+        sums = [np.bincount(owner, weights=x[part])[texts] for x in columns]
+        yield np.concatenate([texts.astype("<f8"), *sums]).astype("<f8").tobytes()
+
+
 def _pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray | None, contexts: int) -> tuple[np.ndarray, ...]:
     key = word * (contexts + 1) + context
     if count is None:
@@ -220,13 +286,13 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
     top = counts.orderBy(F.desc("n"), "h").limit(contexts).collect()  # CONTEXTS rows
     ranks, often = Ranks([r["h"] & (1 << 64) - 1 for r in top]), np.array([r["n"] for r in top], dtype=np.float64)
     size = ranks.size
-    rare = n - int(often.sum())
-    buckets = max(6, -(-rare // BUCKET))
+    buckets = max(6, -(-n // BUCKET))
     d1 = min(0.95, max(0.1, one / (one + 2 * two))) if one + two else 0.5
     discounts, uniform, floor = (d1, 0.8), 1 / (v + 1), math.log10(n + 0.1 * (v + 1))
 
     def spread(batches):
-        """A row of ids and frequent words for each block of texts, and a row of rarer words for each of its buckets."""
+        """A row of ids and frequent pairs for each block of texts, a row of rarer words for each of its buckets, and one of rarer
+        contexts of frequent words for each bucket of contexts (numbered on from ``buckets``)."""
         number, task = 0, TaskContext.get().partitionId()
         ids, helds, hashes, befores, owners, tokens = [], [], [], [], [], 0
 
@@ -236,20 +302,31 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
             flags = np.concatenate(helds).astype(np.uint8)
             context, rank = (ranks.of(b) + 1).astype(np.uint16), ranks.of(h)
             per_text = np.bincount(owner, minlength=len(flags)).astype(np.uint32)
-            usual = rank >= 0
-            places = np.bincount(owner[usual], minlength=len(flags)).astype(np.uint32)
+            usual, tail, owner = rank >= 0, context == 0, owner.astype(np.uint16)
+            near, far = usual & ~tail, usual & tail
+            places = np.bincount(owner[near], minlength=len(flags)).astype(np.uint32)
             chunk = task << 24 | number
             number += 1
-            all_ids = pa.concat_arrays(ids)
-            found = [(-1, chunk, _dump(flags, per_text, places, context[usual], rank[usual].astype(np.uint16)))]
-            h, owner, context = h[~usual], owner[~usual].astype(np.uint16), context[~usual]
-            bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            order = np.lexsort((owner, context, h))
-            h, owner, context, bucket = h[order], owner[order], context[order], bucket[order]
-            for i, (a, z) in enumerate(zip(*(np.searchsorted(bucket, np.arange(buckets), x) for x in ("left", "right")), strict=True)):
-                if z > a:
-                    word, times = np.unique(h[a:z], return_counts=True)
-                    found.append((i, chunk, _dump(np.diff(word, prepend=np.uint64(0)), times.astype(np.uint32), context[a:z], owner[a:z], np.packbits(flags))))
+            all_ids, packed_flags = pa.concat_arrays(ids), np.packbits(flags)
+            found = [(-1, chunk, _dump(flags, per_text, places, context[near], rank[near].astype(np.uint16)))]
+
+            def parts(bucket):
+                edges = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
+                return [(i, a, z) for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False)) if z > a]
+
+            order = np.flatnonzero(far)
+            order = order[np.lexsort((owner[order], rank[order], b[order]))]
+            u, o, r = b[order], owner[order], rank[order].astype(np.uint16)
+            for i, a, z in parts(_bucket(u, buckets)):
+                name, times = np.unique(u[a:z], return_counts=True)
+                found.append((buckets + i, chunk, _dump(np.diff(name, prepend=np.uint64(0)), times.astype(np.uint32), r[a:z], o[a:z], packed_flags)))
+            order = np.flatnonzero(~usual)
+            order = order[np.lexsort((owner[order], b[order], context[order], h[order]))]
+            h, u, o, k = h[order], b[order], owner[order], context[order]
+            for i, a, z in parts(_bucket(h, buckets)):
+                word, times = np.unique(h[a:z], return_counts=True)
+                name, at = np.unique(u[a:z][k[a:z] == 0], return_inverse=True)
+                found.append((i, chunk, _dump(np.diff(word, prepend=np.uint64(0)), times.astype(np.uint32), k[a:z], o[a:z], packed_flags, np.diff(name, prepend=np.uint64(0)), at.astype(np.uint32))))
             lists = pa.ListArray.from_arrays(pa.array([0] + [len(all_ids)] * len(found), pa.int32()), all_ids)
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), lists, pa.array([x[2] for x in found], pa.binary())], names=["bucket", "chunk", "ids", "load"])
 
@@ -270,21 +347,39 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
 
     packed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("load", T.BinaryType())])
     dealt = rows.mapInArrow(tidy(spread), packed).withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("chunk")).otherwise(F.col("bucket")))
-    dealt = cut(dealt.repartition(buckets, "at").sortWithinPartitions("bucket", "chunk").drop("at"))
+    dealt = cut(dealt.repartition(2 * buckets, "at").sortWithinPartitions("bucket", "chunk").drop("at"))
+
+    def by_bucket(batches):
+        """(number, blocks, notes) of each bucket; rows: bucket, part, load and, where there are notes, whether a row is one."""
+        number, blocks, notes = None, [], []
+        for batch in batches:
+            told = batch.column(3).to_pylist() if batch.num_columns > 3 else [False] * len(batch)
+            for b, c, raw, note in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), told, strict=True):
+                if b != number and (blocks or notes):
+                    yield number, blocks, notes
+                    blocks, notes = [], []
+                number = b
+                (notes if note else blocks).append((c, raw.as_py()))
+        if blocks or notes:
+            yield number, blocks, notes
 
     def usual_counts(batches):
-        """Counts of (context, frequent word) in the training texts of a task."""
+        """Counts of (context, frequent word) in the training texts of a task; for context 0, how many rarer contexts the word has."""
         total = np.zeros((size + 1) * size, np.int64)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
+        for b, blocks, _ in by_bucket(batches):
+            if b >= 0:
+                total[:size] += np.bincount(Followers(b, blocks, size, seed, discounts[1]).word, minlength=size)
+                continue
+            for _, raw in blocks:
                 flags, _, places, context, rank = _load(raw)
                 learn = np.repeat(flags == 0, places)
                 total += np.bincount(context[learn].astype(np.int64) * size + rank[learn], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
+    blocks = dealt.select("bucket", F.col("chunk").alias("part"), "load")
     if size:
-        found = dealt.where("bucket < 0").select("load").mapInArrow(tidy(usual_counts), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # (CONTEXTS + 1) CONTEXTS rows at most
+        found = blocks.where((F.col("bucket") < 0) | (F.col("bucket") >= buckets)).mapInArrow(tidy(usual_counts), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # (CONTEXTS + 1) CONTEXTS rows at most
         pair, times = (found.column(x).to_numpy() for x in ("pair", "n"))
     else:
         pair = times = np.zeros(0, np.int64)
@@ -293,79 +388,126 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
     usual = Seating(pair % max(size, 1), pair // max(size, 1), times, size, size, seed, discounts, uniform)
 
     class Bucket:
-        """The blocks of one bucket: its words, its pairs and their seating."""
+        """The blocks of one bucket: its words, its pairs and their seating. Rarer contexts are numbered on from the frequent ones."""
 
         def __init__(self, number: int, blocks: list[tuple[int, bytes]]):
             self.chunks, loads = [c for c, _ in blocks], [_load(raw) for _, raw in blocks]
-            with np.errstate(over="ignore"):
-                words = [np.repeat(np.cumsum(x[0], dtype=np.uint64), x[1]) for x in loads]
+            words = [np.repeat(_ascending(x[0]), x[1]) for x in loads]
             self.lengths = [len(x) for x in words]
             self.context = np.concatenate([x[2] for x in loads]).astype(np.int64)
             self.owner = [x[3].astype(np.int64) for x in loads]
             learn = np.concatenate([np.unpackbits(x[4])[x[3]] == 0 for x in loads])
+            self.tails, place = np.unique(np.concatenate([_ascending(x[5]) for x in loads]), return_inverse=True)
+            first = np.cumsum([0] + [len(x[5]) for x in loads])
+            self.context[self.context == 0] = size + 1 + place[np.concatenate([x[6].astype(np.int64) + f for x, f in zip(loads, first, strict=False)])]
             names, self.word = np.unique(np.concatenate(words), return_inverse=True)
-            del words, loads
-            word, context, times, self.key = _pairs(self.word[learn], self.context[learn], None, size)
+            del words, loads, place
+            self.contexts = size + len(self.tails)
+            word, context, times, self.key = _pairs(self.word[learn], self.context[learn], None, self.contexts)
             self.known = np.bincount(self.word[learn], minlength=len(names))
-            self.seating = Seating(word, context, times, len(names), size, seed + 1 + number, discounts, uniform)
-
-    def by_bucket(batches):
-        number, blocks = None, []
-        for batch in batches:
-            for b, c, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if b != number and blocks:
-                    yield Bucket(number, blocks)
-                    blocks = []
-                number = b
-                blocks.append((c, raw.as_py()))
-        if blocks:
-            yield Bucket(number, blocks)
+            self.seating = Seating(word, context, times, len(names), self.contexts, seed + 1 + number, discounts, uniform)
 
     start = usual.totals()
+    note = "bucket long, part long, load binary"
+
+    def notes_of(rows_):
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows_], pa.int64()), pa.array([x[1] for x in rows_], pa.int64()), pa.array([x[2] for x in rows_], pa.binary())], names=["bucket", "part", "load"])
 
     def gather(batches):
-        total = np.zeros((size + 1, 2))
-        for b in by_bucket(batches):
+        """Seats the rarer words; notes to the buckets of the rarer contexts, and the frequent contexts' totals (bucket -1)."""
+        for number, own, _ in by_bucket(batches):
+            b = Bucket(number, own)
+            for _ in range(SWEEPS):
+                guess = buckets * b.seating.totals()  # a bucket is a fair sample of the rarer words
+                guess[: size + 1] += start
+                b.seating.sweep(guess)
+            total = b.seating.totals()
+            out = [(-1, number, total[: size + 1].astype("<f8").tobytes())]
+            edges = np.searchsorted(_bucket(b.tails, buckets), np.arange(buckets + 1)).tolist()
+            for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False)):
+                if z > a:
+                    c, t = total[size + 1 + a : size + 1 + z].T
+                    out.append((buckets + i, number, _dump(np.diff(b.tails[a:z], prepend=np.uint64(0)), c.astype(np.uint32), t.astype(np.uint32))))
+            yield notes_of(out)
+
+    def summed(notes, width):
+        """The sum of the numbers that notes to the driver hold."""
+
+        def add(batches):
+            total = np.zeros(width)
+            for batch in batches:
+                for raw in batch.column(0).to_pylist():
+                    total += np.frombuffer(raw, "<f8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], names=["k", "x"])
+
+        out = np.zeros(width)
+        for r in notes.where("bucket = -1").select("load").mapInArrow(tidy(add), "k long, x double").groupBy("k").agg(F.sum("x").alias("x")).collect():  # 2 CONTEXTS + 2 rows
+            out[r["k"]] = r["x"]
+        return out
+
+    def told(own, notes):
+        """Blocks of buckets, then the notes to them."""
+        both = own.withColumn("note", F.lit(False)).unionByName(notes.where("bucket >= 0").withColumn("note", F.lit(True)))
+        return both.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket", "note", "part")
+
+    sent = cut(blocks.where(F.col("bucket").between(0, buckets - 1)).mapInArrow(tidy(gather), note))
+    rarer = summed(sent, 2 * (size + 1)).reshape(size + 1, 2)
+    for _ in range(SWEEPS):
+        usual.sweep(rarer + usual.totals())
+    guess = usual.parent(rarer + usual.totals())[:size]
+
+    def seat(batches):
+        """Seats the frequent words in the rarer contexts; the contexts' totals to all who have them, and each word's tables (bucket -1)."""
+        for number, own, notes in by_bucket(batches):
+            b, told_ = Followers(number, own, size, seed, discounts[1]), [(i, _load(raw)) for i, raw in notes]
+            told_ = [(i, _ascending(x[0]), x[1], x[2]) for i, x in told_]
+            names, at = np.unique(np.concatenate([b.names, *(x[1] for x in told_)]), return_inverse=True)
+            at = np.split(at, np.cumsum([len(b.names)] + [len(x[1]) for x in told_])[:-1])
+            others = np.zeros((len(names), 2))
+            for place, (_, _, c, t) in zip(at[1:], told_, strict=True):
+                others[place, 0] += c
+                others[place, 1] += t
             for _ in range(SWEEPS):
-                b.seating.sweep(start + buckets * b.seating.totals())  # a bucket is a fair sample of the rarer words
-            total += b.seating.totals()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(total[:, 0]), pa.array(total[:, 1])], names=["k", "c", "t"])
-
-    blocks = dealt.where("bucket >= 0").select("bucket", "chunk", "load")
-    totals = np.zeros((size + 1, 2))
-    for r in blocks.mapInArrow(tidy(gather), "k long, c double, t double").groupBy("k").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():  # CONTEXTS + 1 rows
-        totals[r["k"]] = r["c"], r["t"]
+                b.sweep(others[at[0], 1] + b.totals()[:, 1], guess)
+            others[at[0]] += b.totals()
+            total = others.astype(np.uint64)
+            out = [(-1, number, np.bincount(b.word, weights=b.t, minlength=size).astype("<f8").tobytes())]
+            for i, place in zip([number, *(x[0] for x in told_)], at, strict=True):
+                if len(place):
+                    out.append((i, number, _dump(total[place, 0], total[place, 1])))
+            yield notes_of(out)
+
+    replies = cut(told(blocks.where(F.col("bucket") >= buckets), sent).mapInArrow(tidy(seat), note))
+    usual.direct = summed(replies, size)
     for _ in range(SWEEPS):
-        usual.sweep(totals + usual.totals())
-    totals += usual.totals()
+        usual.sweep(rarer + usual.totals())
+    totals = rarer + usual.totals()
     share = parent_share(totals, discounts[1])
     own, base = usual.averaged(totals)
-    matrix = share[:, None] * base[None, :size]
-    matrix[0] = base[:size]
+    base = base[:size]
+    matrix = share[:, None] * base[None, :]
+    matrix[0] = base
     np.add.at(matrix, (usual.context, usual.word), own)
     with np.errstate(divide="ignore"):
         usual_log = docs.sparkSession.sparkContext.broadcast(np.log10(matrix))  # (CONTEXTS + 1) CONTEXTS numbers
+    usual_plain = np.log10(often + 0.1) - floor
 
     def judge(batches):
         """For each bucket and block: known words, base and model score of each text."""
-        for b in by_bucket(batches):
-            own, base = b.seating.averaged(totals)
-            key = b.word * (size + 1) + b.context
-            prob = share[b.context] * base[:-1][b.word]
-            if len(b.key):
-                at = np.minimum(np.searchsorted(b.key, key), len(b.key) - 1)
-                prob += np.where(b.key[at] == key, own[at], 0.0)
-            log, plain, known = np.log10(prob), np.log10(b.known[b.word] + 0.1) - floor, b.known[b.word] > 0
-            first, out = 0, []
-            for owner, n_ in zip(b.owner, b.lengths, strict=True):
-                part = slice(first, first + n_)
-                first += n_
-                texts = np.flatnonzero(np.bincount(owner))
-                sums = [np.bincount(owner, weights=x[part])[texts] for x in (log, plain, known)]
-                out.append(np.concatenate([texts.astype("<f8"), *sums]).astype("<f8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(b.chunks, pa.int64()), pa.array(out, pa.binary())], names=["chunk", "load"])
-
-    sums = blocks.mapInArrow(tidy(judge), "chunk long, load binary").select("chunk", F.lit(1).alias("part"), F.lit(None).cast(T.ArrayType(kind)).alias("ids"), "load")
+        for number, own, notes in by_bucket(batches):
+            tail = np.concatenate([np.zeros((0, 2)), *(np.stack(_load(raw), axis=1).astype(np.float64) for _, raw in notes)])
+            if number >= buckets:
+                b = Followers(number, own, size, seed, discounts[1])
+                log, plain, known = np.log10(b.probabilities(tail, base)), usual_plain[b.rank], np.ones(len(b.rank))
+            else:
+                b = Bucket(number, own)
+                every = np.concatenate([totals, tail])
+                own_, parent = b.seating.averaged(every)
+                prob = parent_share(every, discounts[1])[b.context] * parent[:-1][b.word] + _found(b.key, own_, b.word * (b.contexts + 1) + b.context)
+                log, plain, known = np.log10(prob), np.log10(b.known[b.word] + 0.1) - floor, b.known[b.word] > 0
+            yield pa.RecordBatch.from_arrays([pa.array(b.chunks, pa.int64()), pa.array(_by_text(b.owner, b.lengths, log, plain, known), pa.binary())], names=["chunk", "load"])
+
+    sums = told(blocks.where("bucket >= 0"), replies).mapInArrow(tidy(judge), "chunk long, load binary").select("chunk", F.lit(1).alias("part"), F.lit(None).cast(T.ArrayType(kind)).alias("ids"), "load")
     heads = dealt.where("bucket < 0").select("chunk", F.lit(0).alias("part"), "ids", "load")
     out = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
@@ -376,7 +518,6 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
             ids, flags, per_text, known, plain, log = head
             return pa.RecordBatch.from_arrays([ids, pa.array(flags.astype(bool)), pa.array(per_text.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(flags), n, np.int64)), pa.array(plain), pa.array(log)], names=out.names)
 
-        usual_plain = np.log10(often + 0.1) - floor
         for batch in batches:
             for part, ids, raw in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 if part == 0:

@@ -116,3 +116,14 @@ def test_stirling_and_tables():
     assert np.allclose(np.bincount(got.astype(int), minlength=4)[1:] / 40_000, weights / weights.sum(), atol=0.01)
     large = pitman_yor.tables(rng, np.full(100, 5000.0), np.full(100, 2.0), d, pitman_yor.stirling(d))
     assert np.all((large >= 1) & (large <= 5000))
+
+
+def test_lm_every_context_has_its_restaurant(spark):
+    """Words far below the most frequent ones keep what follows them, wherever their counts are kept."""
+    train = [(i, f"x{i % 40} y{i % 40} z the") for i in range(400)] + [(1000 + i, "the the the") for i in range(50)]
+    asked = [(10_000, "x5 y5"), (10_001, "x5 y6"), (10_002, "x5 z y5"), (10_003, "x5 the")]
+    rows = spark.createDataFrame([(i, t, False) for i, t in train] + [(i, t, True) for i, t in asked], "doc_id long, text string, held boolean")
+    for contexts in (2, 512):
+        got = {r["doc_id"]: r["score"] for r in pitman_yor.score(rows, "held", contexts=contexts).collect()}
+        assert got[10_000] - got[10_001] > 1.5  # y5 has always followed x5, y6 never
+        assert got[10_000] == pytest.approx(-4.7, abs=0.5)  # the mean over seeds with all contexts on the driver
