@@ -32,7 +32,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, a similarity of 0.8), the one with the smallest id."""
-    groups = jaccard_components(docs)
+    groups = jaccard_components(docs, links=False)
     gone = cut(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
     rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("key"))  # no other name can clash
     return rows.join(small(gone, gone.count()), F.col("key") == F.col("gone"), "left_anti").select("row.*")

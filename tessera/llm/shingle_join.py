@@ -11,7 +11,9 @@ Documents are sets of word shingles. Equal sets count as one (the smallest id st
    bounds the overlap of a query with every member of a piece, and only a piece that reaches the needed overlap is opened:
    one pass over its shingle lists gives the overlaps with all its members.
 
-Every link between different groups is found, or its ends are joined by others, so the components are exact. The order of shingles comes from a sketch of
+Pieces are compared inside a group too, so every link between different sets is found once and counted for both ends, weighted by the
+rows of the other end's set; a row's equals are its links as well. A group of m near copies has about m^2 links, and counting them costs as
+much; a caller that needs the components only leaves out pairs of pieces inside one group (links=False). The order of shingles comes from a sketch of
 their frequencies over all documents; any order gives the same result.
 
 Ids are integers. Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer words than a shingle is one
@@ -154,8 +156,8 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id reachable by links) for every row."""
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest id reachable by links) and, unless ``links`` is False, n_links (the other rows that are similar) for every row."""
     lean(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
@@ -176,7 +178,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     rows = cut(docs.mapInArrow(tidy(describe), "doc_id long, n_shingles long, digest binary, front binary"))
     some = rows.where("n_shingles > 0")
-    reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("front").alias("front")).where("rep is not null")
+    reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("many")).where("rep is not null")
     posted = some.agg(F.coalesce(F.sum(F.col("n_shingles") * (100 - percent + 100 // STEP) / 100), F.lit(0))).first()[0]
     buckets = max(6, int(posted // BLOCK))
 
@@ -254,7 +256,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     met = cut(met.where(F.col("shared") >= wanted).select("rep", F.col("best.hub").alias("hub")))
     n_met = met.count()
     if not n_met:
-        return _finish(rows, None)
+        return _finish(rows, None, None, links)
 
     def sets_of(batches):
         for batch in batches:
@@ -296,89 +298,120 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / GROUP)).cast("int")
     members_of = own.groupBy("c").agg(F.count(F.lit(1)).alias("members"))
     home = own.join(members_of, "c").select("rep", "c", chunk.alias("chunk")).join(groups, "rep", "left")
-    home = cut(home.select("rep", "c", "chunk", F.coalesce("grp", "rep").alias("grp")))
+    home = home.select("rep", "c", "chunk", F.coalesce("grp", "rep").alias("grp"))
+    home = cut(home.join(reps.groupBy("rep").agg(F.sum("many").alias("many")), "rep") if links else home.withColumn("many", F.lit(1).cast("long")))
     placed = posts.drop("hub").join(home, "rep")
     mixed = placed.groupBy("token").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("token")
-    seen = placed.join(mixed, "token").groupBy("token", "c", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("a"), F.max("grp").alias("b"))
+    seen = (placed if links else placed.join(mixed, "token")).groupBy("token", "c", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("a"), F.max("grp").alias("b"))
     seen = cut(seen)
     other = seen.select("token", *(F.col(x).alias(f"{x}2") for x in ("c", "chunk", "low", "high", "a", "b")))
     once = (F.col("c") > F.col("c2")) | ((F.col("c") == F.col("c2")) & (F.col("chunk") >= F.col("chunk2")))
     apart = F.least("a", "a2") != F.greatest("b", "b2")
     fits = (F.col("high2") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("low2") * percent)
-    asked = seen.join(other, "token").where(once & apart & fits).groupBy("c", "chunk", "c2", "chunk2").agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("n"))
+    asked = seen.join(other, "token").where(once & fits if links else once & apart & fits).groupBy("c", "chunk", "c2", "chunk2").agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("n"))
     asked = cut(asked.where(F.col("shared") >= wanted).drop("shared", "n"))
     n_asked = asked.count()
     if not n_asked:
-        return _finish(rows, groups)
+        return _finish(rows, groups, None, links)
     held = home.groupBy("c", "chunk").agg(F.count(F.lit(1)).alias("members"))
     lanes = asked.join(held, ["c", "chunk"]).groupBy("c2", "chunk2").agg(F.ceil(F.sum("members") / LANE).cast("int").alias("lanes"))
     lanes = cut(lanes)
     lanes = small(lanes, lanes.count())
     filled = sets.drop("hub").join(home, "rep")
     queries = filled.join(small(asked, n_asked), ["c", "chunk"]).join(lanes, ["c2", "chunk2"])
-    queries = queries.select("c2", "chunk2", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), F.lit(1).alias("asks"), "grp", "shingles")
-    stored_ = filled.select(F.col("c").alias("c2"), F.col("chunk").alias("chunk2"), "grp", "shingles").join(lanes, ["c2", "chunk2"])
-    stored_ = stored_.select("c2", "chunk2", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(0).alias("asks"), "grp", "shingles")
+    queries = queries.select("c2", "chunk2", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), F.when((F.col("c") == F.col("c2")) & (F.col("chunk") == F.col("chunk2")), 2).otherwise(1).alias("asks"), "grp", "rep", "many", "shingles")
+    stored_ = filled.select(F.col("c").alias("c2"), F.col("chunk").alias("chunk2"), "grp", "rep", "many", "shingles").join(lanes, ["c2", "chunk2"])
+    stored_ = stored_.select("c2", "chunk2", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(0).alias("asks"), "grp", "rep", "many", "shingles")
 
     class Piece:
-        """The members of a piece: their shingles in one sorted list, and which of them already belong together."""
+        """The members of a piece: their shingles in one sorted list, which of them already belong together, and their links."""
 
-        def __init__(self, members: list[tuple[int, np.ndarray]]):
-            self.groups = [g for g, _ in members]
-            self.sizes = np.array([len(x) for _, x in members])
-            every, owner = np.concatenate([x for _, x in members]), np.repeat(np.arange(len(members)), self.sizes)
+        def __init__(self, members: list[tuple[int, int, int, np.ndarray]]):
+            self.groups, self.reps = [g for g, *_ in members], np.array([r for _, r, *_ in members])
+            self.many = np.array([m for _, _, m, _ in members])
+            self.sizes = np.array([len(x) for *_, x in members])
+            every, owner = np.concatenate([x for *_, x in members]), np.repeat(np.arange(len(members)), self.sizes)
             by = np.argsort(every, kind="stable")
             self.every, self.owner = every[by], owner[by]
             self.parent: dict[int, int] = {}
+            self.linked = np.zeros(len(members), np.int64)
 
         def top(self, g: int) -> int:
             while self.parent.get(g, g) != g:
                 g = self.parent[g]
             return g
 
-        def links(self, grp: int, found: np.ndarray):
-            """Groups that the query joins and that were apart from it so far."""
+        def similar(self, rep: int, found: np.ndarray) -> np.ndarray:
+            """The members that a query is linked with, itself left out."""
             low, high = np.searchsorted(self.every, found, "left"), np.searchsorted(self.every, found, "right")
             times = high - low
             if np.count_nonzero(times) < need(len(found), percent):  # the bound by the union
-                return
+                return np.zeros(0, np.int64)
             at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
             common = np.bincount(self.owner[at], minlength=len(self.sizes))
-            for i in np.flatnonzero(100 * common >= percent * (len(found) + self.sizes - common)).tolist():
-                a, b = self.top(grp), self.top(self.groups[i])
+            return np.flatnonzero((100 * common >= percent * (len(found) + self.sizes - common)) & (self.reps != rep))
+
+        def joins(self, grp: int, hits: np.ndarray):
+            """Groups that the query joins and that were apart from it so far."""
+            for other in {self.groups[i] for i in hits.tolist()}:
+                a, b = self.top(grp), self.top(other)
                 if a != b:
                     self.parent[max(a, b)] = min(a, b)
                     yield max(a, b), min(a, b)
 
     def open_pieces(batches):
-        key, inside, piece = None, [], None
+        """Pairs of groups that belong together (n null), and for a set the linked rows that a piece adds (v null)."""
+        key, inside, piece, seen_ = None, [], None, set()
+
+        def counted():
+            if piece and links:
+                at = np.flatnonzero(piece.linked)
+                yield from zip(piece.reps[at].tolist(), piece.linked[at].tolist(), strict=True)
+
+        def out(pairs, counts):
+            us, vs, ns = [x for x, _ in pairs] + [x for x, _ in counts], [x for _, x in pairs] + [None] * len(counts), [None] * len(pairs) + [x for _, x in counts]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (us, vs, ns)], names=["u", "v", "n"])
+
         for batch in batches:
-            us, vs = [], []
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for c, p, lane, asks, grp, raw in zip(*columns, batch.column(5), strict=True):
+            pairs, counts = [], []
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for c, p, lane, asks, grp, rep, many, raw in zip(*columns, batch.column(7), strict=True):
                 if (c, p, lane) != key:
-                    key, inside, piece = (c, p, lane), [], None
-                found = load(raw.as_py(), "<u8")[0]
+                    counts += counted()
+                    key, inside, piece, seen_ = (c, p, lane), [], None, set()
+                raw = raw.as_py()
+                if (asks > 0, asks == 2, rep, raw) in seen_:  # a repeated row
+                    continue
+                seen_.add((asks > 0, asks == 2, rep, raw))
+                found = load(raw, "<u8")[0]
                 if not asks:
-                    inside.append((grp, found))
+                    inside.append((grp, rep, many, found))
                     continue
                 piece = piece or Piece(inside)
-                for u, v in piece.links(grp, found):
-                    us.append(u)
-                    vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+                hits = piece.similar(rep, found)
+                if not len(hits):
+                    continue
+                pairs += piece.joins(grp, hits)
+                if links:
+                    counts.append((rep, int(piece.many[hits].sum())))
+                    if asks == 1:  # in its own piece each of the two asks
+                        piece.linked[hits] += many
+            yield out(pairs, counts)
+        yield out([], list(counted()))
 
     matrix = queries.unionByName(stored_).repartition("c2", "chunk2", "lane").sortWithinPartitions("c2", "chunk2", "lane", "asks")
-    joined = components(matrix.mapInArrow(tidy(open_pieces), pair).distinct())
+    opened = cut(matrix.mapInArrow(tidy(open_pieces), "u long, v long, n long"))
+    joined = components(opened.where("n is null").select("u", "v").distinct())
+    linked = opened.where("n is not null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("linked")) if links else None
     labels = home.join(joined, F.col("grp") == F.col("node"), "left").select("rep", F.coalesce("label", "grp").alias("grp"))
-    return _finish(rows, labels)
+    return _finish(rows, labels, linked, links)
 
 
-def _finish(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Every row with the component of its set; labels: (rep, grp) of the sets that have company."""
-    classes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    if labels is not None:
-        classes = classes.join(labels, "rep", "left").select("digest", F.coalesce("grp", "rep").alias("component_id"))
-    else:
-        classes = classes.select("digest", F.col("rep").alias("component_id"))
-    return rows.join(classes, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+def _finish(rows: DataFrame, labels: DataFrame | None, linked: DataFrame | None, links: bool) -> DataFrame:
+    """Every row with the component and the links of its set; labels: (rep, grp), linked: (rep, linked) of the sets that have company."""
+    classes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("many"))
+    classes = classes.join(labels, "rep", "left") if labels is not None else classes.withColumn("grp", F.col("rep"))
+    classes = classes.join(linked, "rep", "left") if linked is not None else classes.withColumn("linked", F.lit(0))
+    classes = classes.select("digest", F.coalesce("grp", "rep").alias("component_id"), (F.col("many") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"))
+    out = [F.col("doc_id"), F.col("n_shingles"), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
+    return rows.join(classes, "digest", "left").select(*out, *([F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []))

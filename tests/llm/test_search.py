@@ -179,3 +179,23 @@ def test_join_cases(edge, edge_rows, empty):
     assert all(got[i] == i for i in (3, 4, 5, 9, 10))
     assert {(r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is None} == {(0, None), (1, 6)}
     assert jaccard_components(empty, 4, 85).count() == 0
+
+
+def test_links_are_all_counted(spark):
+    """Inside a family every pair that is similar counts, equal rows on both sides too."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(150):
+        t = [f"f{x}" for x in range(100)]
+        for j in rng.choice(100, 1 + i % 3, replace=False):
+            t[j] = f"edit{i}_{j}"
+        rows.append((i, " ".join(t)))
+    rows += [(200, rows[0][1]), (201, rows[0][1]), (300, "alone with some words here"), (301, ""), (None, rows[0][1])]
+    sets = [shingles(t, 4) for _, t in rows]
+    want = sorted((i or 0, sum(100 * len(s & t) >= 85 * len(s | t) for k, t in enumerate(sets) if k != a and s and t)) for a, ((i, _), s) in enumerate(zip(rows, sets, strict=True)))
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4, 85).collect()
+    assert sorted((r["doc_id"] or 0, r["n_links"]) for r in got) == want
+    again = spark.createDataFrame([(6, rows[0][1]), (6, rows[0][1]), (7, rows[3][1])], "doc_id long, text string")
+    near = 100 * len(sets[0] & sets[3]) >= 85 * len(sets[0] | sets[3])
+    assert sorted((r["doc_id"], r["n_links"]) for r in jaccard_components(again, 4, 85).collect()) == [(6, 1 + near), (6, 1 + near), (7, 2 * near)]
+    assert "n_links" not in jaccard_components(again, 4, 85, links=False).columns
