@@ -1,110 +1,113 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's rows are cut into blocks. Block k of a source with w of W weight units is released at slot floor(k W / w)
+Each source's rows are cut into blocks. Of sources with the weights w of W in all, block k is released at slot floor(k W / w)
 and due by ceil((k + 1) W / w); earliest deadline first among released blocks fills the slots, so that at any slot no source
-is a whole block away from its share. The schedule repeats after W slots, so one cycle is computed for each set of
-sources that still have blocks; when a source runs out, the next phase goes on with the others' weights. Every row is placed
-exactly once.
+is a whole block away from its share. Weights are taken as they are: every float is a fraction, and all windows are whole-number
+arithmetic on those fractions, so the bound holds against the given weights however long the table and however small a
+weight. When a source runs out, a new phase goes on with the others. Every row is placed exactly once.
 
-Rows are numbered inside their source without bringing a source into one task: the ids are range-partitioned by (source,
-hash, id), numbered inside each partition, and shifted by the counts of the partitions before.
+The driver holds a number for each block and each source, no rows. Blocks have BLOCK_ROWS rows, or as many more as keep their number
+within BLOCKS, which bounds the slots that are sent to the executors (12 bytes for a block).
+
+Rows are numbered inside their source without bringing a source into one task: they are range-partitioned by (source,
+hash, id, task), numbered inside each partition, and shifted by the counts of the partitions before.
 
 Defined cases: a null source is a source of its own; a null id sorts first; repeated ids are numbered one after the other;
-sources without a weight get DEFAULT; an empty table gives no rows; other columns are ignored."""
+sources without a weight get DEFAULT; a weight that is not positive and finite is an error; an empty table gives no rows; other
+columns are ignored, or carried inside ``row``."""
 
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_right
+import math
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import small, written
 
 BLOCK_ROWS = 16
-#: Weight units in all, about; every source has at least one.
-UNITS = 1000
+#: Blocks at most, besides one for each source; larger tables have larger blocks.
+BLOCKS = 1 << 20
 #: Weight of a source that the weights do not name.
 DEFAULT = 1.0
-#: Sources that can be mixed. There are as many phases at most, and UNITS slots in a cycle, so the slots table has 250,000 rows at most.
-MOST_SOURCES = 500
-
-
-def units(weights: dict, total: int = UNITS) -> dict:
-    """Weights as whole units."""
-    whole = sum(weights.values())
-    return {k: max(1, round(total * v / whole)) for k, v in weights.items()}
 
 
-def cycle(shares: dict) -> dict:
-    """One cycle of the schedule: the slots of each source, in order. shares: whole units."""
-    total = sum(shares.values())
-    out: dict = {k: [] for k in shares}
-    names = list(shares)
-    waiting = [(0, i) for i in range(len(names))]  # (release, source)
-    ready: list[tuple[int, int]] = []  # (deadline, source)
-    for slot in range(total):
-        while waiting and waiting[0][0] <= slot:
-            _, i = heapq.heappop(waiting)
-            w = shares[names[i]]
-            heapq.heappush(ready, (-(-(len(out[names[i]]) + 1) * total // w), i))
-        _, i = heapq.heappop(ready)
-        done, w = out[names[i]], shares[names[i]]
-        done.append(slot)
-        if len(done) < w:
-            heapq.heappush(waiting, (len(done) * total // w, i))
-    return out
+def whole(weights: list[float]) -> list[int]:
+    """Weights as whole numbers in exactly the same proportion."""
+    for w in weights:
+        if not (math.isfinite(w) and w > 0):
+            raise ValueError(f"a weight must be positive and finite: {w}")
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(x.denominator for x in exact)) if exact else 1
+    return [int(x * scale) for x in exact]
 
 
-def phases(blocks: dict, shares: dict) -> tuple[list[tuple], list[tuple]]:
-    """(phase, source, first block, end block, first slot, units, cycle length) and (phase, source, number in the cycle, slot in the cycle)."""
-    left, used, base, spans, slots = dict(blocks), dict.fromkeys(blocks, 0), 0, [], []
-    left = {k: v for k, v in left.items() if v}
-    number = 0
+def schedule(blocks: list[int], weights: list[float]) -> tuple[list[list[int]], list[int]]:
+    """The slots of each source's blocks, in order, and the first slot of each phase."""
+    units, slots, starts, base = whole(weights), [[] for _ in blocks], [], 0
+    left = {i: n for i, n in enumerate(blocks) if n}
     while left:
-        part = {k: shares[k] for k in left}
-        turn, total = cycle(part), sum(part.values())
-        last = min((left[k] - 1) // part[k] * total + turn[k][(left[k] - 1) % part[k]] for k in left)  # the slot at which a source runs out
-        for k in list(left):
-            took = last // total * part[k] + bisect_right(turn[k], last % total)
-            spans.append((number, k, used[k], used[k] + took, base, part[k], total))
-            slots += [(number, k, i, s) for i, s in enumerate(turn[k][: min(took, part[k])])]
-            used[k] += took
-            left[k] -= took
-            if not left[k]:
-                del left[k]
-        base += last + 1
-        number += 1
-    return spans, slots
-
-
-def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """doc_id, source, phase, block, slot, position for every row; ordered by position, the rows are mixed.
-
-    weights: any positive numbers; None: the square root of each source's rows."""
+        total = sum(units[i] for i in left)
+        starts.append(base)
+        done = dict.fromkeys(left, 0)
+        waiting: list[tuple[int, int]] = []  # (release, source)
+        ready = [(-(-total // units[i]), i) for i in left]  # (deadline, source)
+        heapq.heapify(ready)
+        slot, over = 0, None
+        while over is None:
+            while waiting and waiting[0][0] <= slot:
+                _, i = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(done[i] + 1) * total // units[i]), i))
+            _, i = heapq.heappop(ready)
+            slots[i].append(base + slot)
+            done[i] += 1
+            slot += 1
+            if done[i] == left[i]:
+                over = i
+            else:
+                heapq.heappush(waiting, (done[i] * total // units[i], i))
+        left = {i: n - done[i] for i, n in left.items() if n > done[i]}
+        base += slot
+    return slots, starts
+
+
+def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source", carry: bool = False) -> DataFrame:
+    """doc_id, source, phase, block, slot, position for every row, and the whole row as ``row`` if ``carry``; ordered by position,
+    the rows are mixed. weights: any positive numbers; None: the square root of each source's rows."""
     spark = docs.sparkSession
-    ids = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), F.xxhash64(docs[id_col]).alias("h"))
-    order = ("source", "h", "doc_id")
-    ids = cut(ids.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "source", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
-    spans = ids.groupBy("source", "part").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("n"))
+    whole_row = [F.struct("*").alias("row")] if carry else []
+    rows = docs.select(*whole_row, docs[id_col].alias("doc_id"), docs[source_col].alias("source"), F.xxhash64(docs[id_col]).alias("h"), F.spark_partition_id().alias("task"))
+    order = ("source", "h", "doc_id", "task")  # the task deals rows with equal ids, too
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("h", "task")
+    rows = written(rows.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}))
+    spans = rows.groupBy("source", "part").agg(F.min("at").alias("low"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    spans = cut(spans.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")))
-    rows = spans.groupBy("source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources; group them before mixing")
-    rows.sort(key=lambda r: (r["source"] is not None, r["source"]))
-    counts = {r["source"]: r["n"] for r in rows}
-    given = {k: n**0.5 for k, n in counts.items()} if weights is None else {k: weights.get(k, DEFAULT) for k in counts}
-    plan, slots = phases({k: -(-n // block_rows) for k, n in counts.items()}, units(given) if given else {})
+    spans = written(spans.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")))
+    found = spans.groupBy("source").agg(F.sum("n").alias("n")).collect()  # a row for each source
+    found.sort(key=lambda r: (r["source"] is not None, r["source"]))
+    names, counts = [r["source"] for r in found], [r["n"] for r in found]
+    size = max(block_rows, -(-sum(counts) // BLOCKS))
+    given = [n**0.5 for n in counts] if weights is None else [float(weights.get(k, DEFAULT)) for k in names]
+    slots, starts = schedule([-(-n // size) for n in counts], given)
+    phases, number = [], 0
+    for turn in slots:
+        number, own = 0, []
+        for s in turn:
+            while number + 1 < len(starts) and starts[number + 1] <= s:
+                number += 1
+            own.append(number)
+        phases.append(own)
     kind = docs.schema[source_col].dataType.simpleString()
-    plan = spark.createDataFrame(plan, f"phase int, s {kind}, first long, end long, base long, units long, cycle long")
-    slots = spark.createDataFrame(slots, f"p int, z {kind}, k long, turn long")
-    numbered = ids.join(small(spans.select(F.col("source").alias("src"), F.col("part").alias("pt"), "shift"), spans.count()), F.col("source").eqNullSafe(F.col("src")) & (F.col("part") == F.col("pt")))
-    numbered = numbered.select("doc_id", "source", (F.col("at") + F.col("shift")).alias("row"))
-    numbered = numbered.withColumn("block", F.floor(F.col("row") / block_rows))
-    in_phase = numbered.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("end")))
-    in_phase = in_phase.withColumn("i", F.col("block") - F.col("first"))
-    placed = in_phase.join(F.broadcast(slots), F.col("source").eqNullSafe(F.col("z")) & (F.col("phase") == F.col("p")) & (F.col("i") % F.col("units") == F.col("k")))
-    placed = placed.withColumn("slot", F.col("base") + F.floor(F.col("i") / F.col("units")) * F.col("cycle") + F.col("turn"))
-    return placed.select("doc_id", "source", "phase", "block", "slot", (F.col("slot") * block_rows + F.col("row") % block_rows).alias("position"))
+    plan = pa.table({"s": pa.array(names, pa.string()), "slots": pa.array(slots, pa.list_(pa.int64())), "phases": pa.array(phases, pa.list_(pa.int32()))})
+    plan = spark.createDataFrame(plan, "s string, slots array<long>, phases array<int>").withColumn("s", F.col("s").cast(kind))
+    spans = spans.select(F.col("source").alias("src"), F.col("part").alias("pt"), "shift")
+    numbered = rows.join(small(spans, spans.count()), F.col("source").eqNullSafe(F.col("src")) & (F.col("part") == F.col("pt")))
+    numbered = numbered.withColumn("number", F.col("at") + F.col("shift")).withColumn("block", F.floor(F.col("number") / size))
+    placed = numbered.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")))  # BLOCKS slots and the sources' names
+    place = F.col("block").cast("int")
+    placed = placed.withColumns({"slot": F.get("slots", place), "phase": F.get("phases", place)})
+    columns = ["doc_id", "source", "phase", "block", "slot", (F.col("slot") * size + F.col("number") % size).alias("position")]
+    return placed.select(*(["row"] if carry else []), *columns)

@@ -1,24 +1,26 @@
 """N-gram Jaccard join with a token-group matrix.
 
-Documents are sets of word shingles. Equal sets count as one (the smallest id stands for them). Then
+Documents are sets of word shingles (64-bit hashes). Equal sets count as one. Then
 
 1. partition: every set's prefix (the rarest shingles, so many that two similar sets must share several) is posted; where
-   sets meet under a shingle, the smallest id is the hub, first inside a block of sets, then among blocks. A set joins the
+   sets meet under a shingle, the smallest number is the hub, first inside a block of sets, then among blocks. A set joins the
    group of the hub that it shares most shingles with if the whole sets prove similar. That is one comparison for each
    set, and it collapses families of near copies however large they are;
-2. token-group matrix: sets that share a hub, linked or not, are stored in pieces of GROUP sets with the union of their
-   shingles. Shingles under which different groups still meet say which pieces must look at each other; then |query & union|
-   bounds the overlap of a query with every member of a piece, and only a piece that reaches the needed overlap is opened:
-   one pass over its shingle lists gives the overlaps with all its members.
+2. token-group matrix: sets that share a hub, linked or not, are stored in pieces of about GROUP sets and CELLS shingles: the
+   sorted union of their shingles, and for each set its columns in that union. Shingles that several pieces post say which pieces
+   must look at each other. Of such a pair first the unions alone meet: their overlap bounds every overlap of their sets, and only
+   pairs that reach the least need are opened. There the overlap of each set with the other union is its bound, and the sets that
+   reach their need are compared all at once, as a product of the two matrices over the common columns.
 
 Pieces are compared inside a group too, so every link between different sets is found once and counted for both ends, weighted by the
 rows of the other end's set; a row's equals are its links as well. A group of m near copies has about m^2 links, and counting them costs as
 much; a caller that needs the components only leaves out pairs of pieces inside one group (links=False). The order of shingles comes from a sketch of
 their frequencies over all documents; any order gives the same result.
 
-Ids are integers. Defined cases: a null or blank text has no shingles and links with nothing; a text with fewer words than a shingle is one
-shingle; a null id takes the component of its equals, or stays null; repeated rows are equals; an empty table gives no
-rows; other columns are ignored."""
+Rows are numbered in a written copy of the table, and all steps go by that number, so ids may be repeated or null. Defined cases: a null or
+blank text has no shingles and links with nothing; a text with fewer words than a shingle is one shingle; component_id is the smallest
+id of the component, null if it has none; repeated rows and ids are rows of their own; an empty table gives no rows; other columns are
+ignored, or carried inside ``row``."""
 
 from __future__ import annotations
 
@@ -33,12 +35,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chain, chunks, components, cut, lean, mix, small, tidy
+from .common import Words, chain, chunks, components, cut, lean, mix, small, tidy, written
 
 #: Words in a shingle and the least similarity, in per cent, unless a caller sets them.
 WORDS, PERCENT = 5, 80
-#: Sets in a piece of a group; members of a hub, and queries of a piece, that one task compares at a time.
-GROUP, LANE = 128, 256
+#: Sets in a piece of a group, and shingles in it, about.
+GROUP, CELLS = 256, 1 << 18
+#: Members of a hub that one task compares at a time, and pieces that meet one piece, or under one shingle, in a task.
+LANE, WIDE = 256, 64
+#: Cells of the matrices that are multiplied at a time.
+DENSE = 1 << 22
 #: Sets share one shingle more in their prefixes for each so many shingles.
 STEP = 100
 #: Postings that a block or a bucket holds, about.
@@ -136,8 +142,8 @@ def load(raw: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def stored(shingles: np.ndarray) -> bytes:
-    """A set as it is kept for comparison: sorted, 48 bits of each shingle."""
-    return dump(np.unique(shingles >> np.uint64(16)))
+    """A set as it is kept for comparison: sorted."""
+    return dump(np.unique(shingles))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -156,11 +162,92 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
+def bundle(*arrays: np.ndarray) -> bytes:
+    """Arrays of any lengths as compressed byte planes."""
+    head = np.array([n for x in arrays for n in (len(x), x.dtype.itemsize)], dtype="<i8").tobytes()
+    planes = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes() for x in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(head + planes)
+
+
+def unbundle(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(raw)
+    at, out = 16 * len(kinds), []
+    for kind, (n, width) in zip(kinds, np.frombuffer(raw, "<i8", 2 * len(kinds)).reshape(-1, 2).tolist(), strict=True):
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
+
+
+class Piece:
+    """A piece of the token-group matrix: the union of its sets' shingles, and each set's columns in it."""
+
+    def __init__(self, union: bytes, matrix: bytes):
+        self.union = load(union, "<u8")[0]
+        self.reps, self.groups, self.many, sizes, self.column = unbundle(matrix, "<i8", "<i8", "<i8", "<u4", "<u4")
+        self.sizes = sizes.astype(np.int64)
+        self.owner = np.repeat(np.arange(len(sizes)), self.sizes)
+
+    @staticmethod
+    def of(members: list[tuple[int, int, int, np.ndarray]]) -> tuple[bytes, bytes]:
+        """The stored form of (number, group, rows, shingles)."""
+        union, column = np.unique(np.concatenate([x for *_, x in members]), return_inverse=True)
+        ints = (np.array([m[i] for m in members], dtype="<i8") for i in range(3))
+        return dump(union), bundle(*ints, np.array([len(x) for *_, x in members], dtype="<u4"), column.astype("<u4"))
+
+    def inside(self, at: np.ndarray, percent: int):
+        """The sets whose overlap with the columns ``at`` reaches their need: numbers, and (set, place in ``at``) of their shingles, by place."""
+        place = np.full(len(self.union), -1, np.int64)
+        place[at] = np.arange(len(at))
+        column = place[self.column]
+        own, column = self.owner[column >= 0], column[column >= 0]
+        fine = np.bincount(own, minlength=len(self.sizes)) >= need(self.sizes, percent)
+        rank = np.where(fine, np.cumsum(fine) - 1, -1)[own]
+        own, column = rank[rank >= 0], column[rank >= 0]
+        order = np.argsort(column, kind="stable")
+        return np.flatnonzero(fine), own[order], column[order]
+
+
+def meet(p: Piece, q: Piece, percent: int) -> np.ndarray:
+    """Which sets of p are similar to which of q; no set is similar to itself."""
+    hits = np.zeros((len(p.sizes), len(q.sizes)), bool)
+    common, at_p, at_q = np.intersect1d(p.union, q.union, assume_unique=True, return_indices=True)
+    rows, own_p, column_p = p.inside(at_p, percent)
+    columns, own_q, column_q = q.inside(at_q, percent)
+    if not len(rows) or not len(columns):
+        return hits
+    width = max(1, DENSE // (len(rows) + len(columns)))
+    total = np.zeros((len(rows), len(columns)), np.int64)
+    for first in range(0, len(common), width):
+        sides = []
+        for n, own, column in ((len(rows), own_p, column_p), (len(columns), own_q, column_q)):
+            part = slice(*np.searchsorted(column, (first, first + width)))
+            dense = np.zeros((n, min(width, len(common) - first)), np.float32)
+            dense[own[part], column[part] - first] = 1
+            sides.append(dense)
+        total += (sides[0] @ sides[1].T).astype(np.int64)
+    hits[np.ix_(rows, columns)] = 100 * total >= percent * (p.sizes[rows, None] + q.sizes[columns] - total)
+    return hits & (p.reps[:, None] != q.reps)
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) and, unless ``links`` is False, n_links (the other rows that are similar) for every row."""
+    _, marks = jaccard_marks(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), words, percent, links=links)
+    return marks.drop("uid", "first")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, of each component only one: that with the smallest id, nulls last."""
+    table, marks = jaccard_marks(docs, words, percent, id_col, text_col, links=False)
+    gone = cut(marks.where("not first").select("uid"))
+    return table.join(small(gone, gone.count()), "uid", "left_anti").select("row.*")
+
+
+def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The written rows (uid, row), and for each uid, doc_id, n_shingles, component_id, first (whether it stands for its component), n_links."""
     lean(docs.sparkSession)
     spark = docs.sparkSession
-    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    table = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")))
+    docs = table.select("uid", F.col("row")[id_col].cast("long").alias("doc_id"), F.col("row")[text_col].alias("text"))
     order = spark.sparkContext.broadcast(sketch(docs.select("text"), words))  # 4 MB
 
     def describe(batches):
@@ -174,11 +261,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                     digests.append(digest(found) if n else None)
                     rare = order.value[(found >> np.uint64(64 - SKETCH)).astype(np.int64)]
                     fronts.append(dump(np.sort(found[np.lexsort((found, rare))[: prefix(n, percent)]])) if n else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary())], names=["doc_id", "n_shingles", "digest", "front"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary())], names=["uid", "doc_id", "n_shingles", "digest", "front"])
 
-    rows = cut(docs.mapInArrow(tidy(describe), "doc_id long, n_shingles long, digest binary, front binary"))
+    rows = written(docs.mapInArrow(tidy(describe), "uid long, doc_id long, n_shingles long, digest binary, front binary"))
     some = rows.where("n_shingles > 0")
-    reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("many")).where("rep is not null")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid"))
+    reps = some.groupBy("digest").agg(best.alias("best"), F.first("n_shingles").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("many"))
+    reps = written(reps.withColumn("rep", F.col("best.uid")))
     posted = some.agg(F.coalesce(F.sum(F.col("n_shingles") * (100 - percent + 100 // STEP) / 100), F.lit(0))).first()[0]
     buckets = max(6, int(posted // BLOCK))
 
@@ -216,7 +305,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         if held:
             yield flush()
 
-    def meet(batches):
+    def gather(batches):
         """Postings of shingles that several sets have: (token, rep, n, hub)."""
 
         def out(token, rep, n, hub):
@@ -248,31 +337,30 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     dealt = reps.select("rep", F.col("n").cast("long"), "front").mapInArrow(tidy(post), "bucket long, load binary")
     dealt = dealt.withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("load")).otherwise(F.col("bucket")))
     dealt = dealt.repartition(buckets, "at").sortWithinPartitions("bucket").select("bucket", "load")
-    posts = cut(dealt.mapInArrow(tidy(meet), "token long, rep long, n int, hub long"))
+    posts = cut(dealt.mapInArrow(tidy(gather), "token long, rep long, n int, hub long"))
     pairs = posts.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
     other = F.when(F.col("rep") != F.col("hub"), F.struct("shared", "hub"))
     met = pairs.groupBy("rep").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"), F.max(other).alias("best"))
     wanted = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / STEP)  # the smallest similar set has need(n) shingles
-    met = cut(met.where(F.col("shared") >= wanted).select("rep", F.col("best.hub").alias("hub")))
+    met = cut(met.where(F.col("shared") >= wanted).select("rep", "n", F.col("best.hub").alias("hub")))
     n_met = met.count()
     if not n_met:
-        return _finish(rows, None, None, links)
+        return table, _marks(rows, reps, None, None, links)
 
     def sets_of(batches):
         for batch in batches:
             for part, texts in chunks(batch):
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([stored(x) for x in shingle_lists(texts, words)], pa.binary())], names=["rep", "hub", "shingles"])
 
-    kind = "long"
-    texts = docs.join(small(met, n_met), F.col("doc_id") == F.col("rep")).select("rep", "hub", "text")
-    sets = cut(texts.mapInArrow(tidy(sets_of), "rep long, hub long, shingles binary"))
+    texts = docs.join(small(met, n_met), F.col("uid") == F.col("rep")).select("rep", "hub", "text")
+    sets = written(texts.mapInArrow(tidy(sets_of), "rep long, hub long, shingles binary"))
 
     # 1: each set against its hub, in lanes of the hub's members
     lanes = met.where("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes"))
     lanes = cut(lanes)
     lanes = small(lanes, lanes.count())
     members = sets.where("hub is not null").join(lanes, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), "rep", "shingles")
-    heads = sets.drop("hub").join(lanes, F.col("rep") == F.col("hub")).select("hub", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast(kind).alias("rep"), "shingles")
+    heads = sets.drop("hub").join(lanes, F.col("rep") == F.col("hub")).select("hub", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast("long").alias("rep"), "shingles")
 
     def compare(batches):
         hub = None
@@ -285,133 +373,138 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
                 elif hub and hub[0] == key and similar(found, hub[1], percent):
                     us.append(rep)
                     vs.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(us, batch.schema.field(0).type), pa.array(vs, batch.schema.field(0).type)], names=["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    pair = "u long, v long"
     met_hubs = members.unionByName(heads).repartition("hub", "lane").sortWithinPartitions("hub", "lane", F.col("rep").asc_nulls_first())
-    groups = components(met_hubs.mapInArrow(tidy(compare), pair))
-    groups = cut(groups.select(F.col("node").alias("rep"), F.col("label").alias("grp")))
+    groups = components(met_hubs.mapInArrow(tidy(compare), "u long, v long"))
+    groups = groups.select(F.col("node").alias("rep"), F.col("label").alias("grp"))
 
-    # 2: pieces of sets with a common hub (two steps up), and the shingles under which different groups meet
+    # 2: pieces of sets with a common hub (two steps up): which of them must look at each other
     up = met.select(F.col("rep").alias("hub"), F.col("hub").alias("above"))
-    own = met.join(up, "hub", "left").select("rep", F.coalesce("above", "hub", "rep").alias("c"))
-    chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / GROUP)).cast("int")
-    members_of = own.groupBy("c").agg(F.count(F.lit(1)).alias("members"))
-    home = own.join(members_of, "c").select("rep", "c", chunk.alias("chunk")).join(groups, "rep", "left")
-    home = home.select("rep", "c", "chunk", F.coalesce("grp", "rep").alias("grp"))
-    home = cut(home.join(reps.groupBy("rep").agg(F.sum("many").alias("many")), "rep") if links else home.withColumn("many", F.lit(1).cast("long")))
-    placed = posts.drop("hub").join(home, "rep")
-    mixed = placed.groupBy("token").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("token")
-    seen = (placed if links else placed.join(mixed, "token")).groupBy("token", "c", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("a"), F.max("grp").alias("b"))
-    seen = cut(seen)
-    other = seen.select("token", *(F.col(x).alias(f"{x}2") for x in ("c", "chunk", "low", "high", "a", "b")))
-    once = (F.col("c") > F.col("c2")) | ((F.col("c") == F.col("c2")) & (F.col("chunk") >= F.col("chunk2")))
+    own = met.join(up, "hub", "left").select("rep", "n", F.coalesce("above", "hub", "rep").alias("c"))
+    split = cut(own.groupBy("c").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / CELLS)).alias("chunks")))
+    home = own.join(small(split, split.count()), "c").join(groups, "rep", "left").join(reps.select("rep", "many"), "rep")
+    piece = F.xxhash64("c", F.pmod(F.xxhash64("rep"), "chunks"))
+    home = cut(home.select("rep", "n", piece.alias("piece"), F.coalesce("grp", "rep").alias("grp"), "many"))
+    seen = posts.select("token", "rep").join(home, "rep").groupBy("token", "piece")
+    seen = seen.agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("a"), F.max("grp").alias("b"))
+    per = seen.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("a").alias("least"), F.max("b").alias("most"))
+    per = per.where("k > 1" if links else "k > 1 and least <> most").select("token", F.ceil(F.col("k") / WIDE).cast("long").alias("lanes"))
+    seen = cut(seen.join(per, "token"))
+    one = seen.withColumn("lane", F.pmod(F.xxhash64("piece"), "lanes")).drop("lanes")
+    other = seen.select("token", *(F.col(x).alias(f"{x}2") for x in ("piece", "low", "high", "a", "b")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)).alias("lane"))
     apart = F.least("a", "a2") != F.greatest("b", "b2")
     fits = (F.col("high2") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("low2") * percent)
-    asked = seen.join(other, "token").where(once & fits if links else once & apart & fits).groupBy("c", "chunk", "c2", "chunk2").agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("n"))
-    asked = cut(asked.where(F.col("shared") >= wanted).drop("shared", "n"))
-    n_asked = asked.count()
-    if not n_asked:
-        return _finish(rows, groups, None, links)
-    held = home.groupBy("c", "chunk").agg(F.count(F.lit(1)).alias("members"))
-    lanes = asked.join(held, ["c", "chunk"]).groupBy("c2", "chunk2").agg(F.ceil(F.sum("members") / LANE).cast("int").alias("lanes"))
-    lanes = cut(lanes)
-    lanes = small(lanes, lanes.count())
-    filled = sets.drop("hub").join(home, "rep")
-    queries = filled.join(small(asked, n_asked), ["c", "chunk"]).join(lanes, ["c2", "chunk2"])
-    queries = queries.select("c2", "chunk2", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), F.when((F.col("c") == F.col("c2")) & (F.col("chunk") == F.col("chunk2")), 2).otherwise(1).alias("asks"), "grp", "rep", "many", "shingles")
-    stored_ = filled.select(F.col("c").alias("c2"), F.col("chunk").alias("chunk2"), "grp", "rep", "many", "shingles").join(lanes, ["c2", "chunk2"])
-    stored_ = stored_.select("c2", "chunk2", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(0).alias("asks"), "grp", "rep", "many", "shingles")
-
-    class Piece:
-        """The members of a piece: their shingles in one sorted list, which of them already belong together, and their links."""
-
-        def __init__(self, members: list[tuple[int, int, int, np.ndarray]]):
-            self.groups, self.reps = [g for g, *_ in members], np.array([r for _, r, *_ in members])
-            self.many = np.array([m for _, _, m, _ in members])
-            self.sizes = np.array([len(x) for *_, x in members])
-            every, owner = np.concatenate([x for *_, x in members]), np.repeat(np.arange(len(members)), self.sizes)
-            by = np.argsort(every, kind="stable")
-            self.every, self.owner = every[by], owner[by]
-            self.parent: dict[int, int] = {}
-            self.linked = np.zeros(len(members), np.int64)
-
-        def top(self, g: int) -> int:
-            while self.parent.get(g, g) != g:
-                g = self.parent[g]
-            return g
-
-        def similar(self, rep: int, found: np.ndarray) -> np.ndarray:
-            """The members that a query is linked with, itself left out."""
-            low, high = np.searchsorted(self.every, found, "left"), np.searchsorted(self.every, found, "right")
-            times = high - low
-            if np.count_nonzero(times) < need(len(found), percent):  # the bound by the union
-                return np.zeros(0, np.int64)
-            at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
-            common = np.bincount(self.owner[at], minlength=len(self.sizes))
-            return np.flatnonzero((100 * common >= percent * (len(found) + self.sizes - common)) & (self.reps != rep))
-
-        def joins(self, grp: int, hits: np.ndarray):
-            """Groups that the query joins and that were apart from it so far."""
-            for other in {self.groups[i] for i in hits.tolist()}:
-                a, b = self.top(grp), self.top(other)
-                if a != b:
-                    self.parent[max(a, b)] = min(a, b)
-                    yield max(a, b), min(a, b)
+    asked = one.join(other, ["token", "lane"]).where((F.col("piece") > F.col("piece2")) & (fits if links else fits & apart))
+    asked = asked.groupBy("piece", "piece2").agg(F.count(F.lit(1)).alias("shared"), F.min("low").alias("n"))
+    asked = cut(asked.where(F.col("shared") >= wanted).select("piece", "piece2"))
 
-    def open_pieces(batches):
-        """Pairs of groups that belong together (n null), and for a set the linked rows that a piece adds (v null)."""
-        key, inside, piece, seen_ = None, [], None, set()
+    def store(batches):
+        """One row for each piece; rows of a piece come together."""
+        number, members = None, []
 
-        def counted():
-            if piece and links:
-                at = np.flatnonzero(piece.linked)
-                yield from zip(piece.reps[at].tolist(), piece.linked[at].tolist(), strict=True)
+        def out():
+            sizes, groups_ = [len(x) for *_, x in members], [g for _, g, *_ in members]
+            union, matrix = Piece.of(members)
+            row = [number, len(members), min(sizes), min(groups_) != max(groups_), union, matrix]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["piece", "members", "low", "mixed", "union", "matrix"])
 
-        def out(pairs, counts):
-            us, vs, ns = [x for x, _ in pairs] + [x for x, _ in counts], [x for _, x in pairs] + [None] * len(counts), [None] * len(pairs) + [x for _, x in counts]
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (us, vs, ns)], names=["u", "v", "n"])
+        for batch in batches:
+            for p, rep, grp, many, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
+                if p != number and members:
+                    yield out()
+                    members = []
+                number = p
+                members.append((rep, grp, many, load(raw.as_py(), "<u8")[0]))
+        if members:
+            yield out()
+
+    filled = sets.select("rep", "shingles").join(home, "rep").select("piece", "rep", "grp", "many", "shingles")
+    pieces = written(filled.repartition("piece").sortWithinPartitions("piece").mapInArrow(tidy(store), "piece long, members long, low long, mixed boolean, union binary, matrix binary"))
+
+    def beside(pairs: DataFrame, key: str, partner: str, columns: list[str]) -> DataFrame:
+        """Columns of a piece beside each pair, WIDE pairs of a piece in a task."""
+        lanes = cut(pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / WIDE).cast("long").alias("lanes")))
+        lanes = small(lanes, lanes.count())
+        left = pairs.join(lanes, key).withColumn("lane", F.pmod(F.xxhash64(partner), "lanes")).drop("lanes")
+        right = pieces.select(F.col("piece").alias(key), *(F.col(x).alias(x + key[5:]) for x in columns)).join(lanes, key)
+        return left.join(right.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1))).drop("lanes"), [key, "lane"]).drop("lane")
+
+    def bound(batches):
+        """The pairs whose unions share as much as their smallest sets need."""
+        for batch in batches:
+            p, q, union, low, union2, low2 = (batch.column(i) for i in range(6))
+            fine = [overlap(*(load(x.as_py(), "<u8")[0] for x in (a, b))) >= need(max(m, n), percent) for a, m, b, n in zip(union, low.to_pylist(), union2, low2.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([p, q, pa.array(fine, pa.bool_())], names=["piece", "piece2", "fine"])
+
+    unions = beside(beside(asked, "piece", "piece2", ["union", "low"]), "piece2", "piece", ["union", "low"])
+    ready = unions.select("piece", "piece2", "union", "low", "union2", "low2").mapInArrow(tidy(bound), "piece long, piece2 long, fine boolean")
+    ready = cut(ready.where("fine").drop("fine"))
+    parts = ["union", "matrix"]
+    pairs = beside(beside(ready, "piece", "piece2", parts), "piece2", "piece", parts).select("piece", *parts, "piece2", "union2", "matrix2")
+    alone = pieces.where("members > 1" if links else "members > 1 and mixed")
+    nothing = F.lit(None).cast("binary")
+    pairs = pairs.unionByName(alone.select("piece", *parts, F.col("piece").alias("piece2"), nothing.alias("union2"), nothing.alias("matrix2")))
 
+    def open_pieces(batches):
+        """Pairs of groups that belong together (n null), and for a set the linked rows that a pair of pieces adds (v null)."""
+        kept: dict[int, Piece] = {}
         for batch in batches:
-            pairs, counts = [], []
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for c, p, lane, asks, grp, rep, many, raw in zip(*columns, batch.column(7), strict=True):
-                if (c, p, lane) != key:
-                    counts += counted()
-                    key, inside, piece, seen_ = (c, p, lane), [], None, set()
-                raw = raw.as_py()
-                if (asks > 0, asks == 2, rep, raw) in seen_:  # a repeated row
-                    continue
-                seen_.add((asks > 0, asks == 2, rep, raw))
-                found = load(raw, "<u8")[0]
-                if not asks:
-                    inside.append((grp, rep, many, found))
-                    continue
-                piece = piece or Piece(inside)
-                hits = piece.similar(rep, found)
-                if not len(hits):
+            joined, reps_, counts = set(), [], []
+            for i in range(len(batch)):
+                both = []
+                for at in (0, 3):
+                    name = batch.column(at)[i].as_py()
+                    if name not in kept:
+                        while len(kept) > 1:
+                            kept.pop(next(iter(kept)))
+                        kept[name] = Piece(batch.column(at + 1)[i].as_py(), batch.column(at + 2)[i].as_py())
+                    both.append(kept[name])
+                p, q = both
+                hits = meet(p, q, percent)
+                if not hits.any():
                     continue
-                pairs += piece.joins(grp, hits)
                 if links:
-                    counts.append((rep, int(piece.many[hits].sum())))
-                    if asks == 1:  # in its own piece each of the two asks
-                        piece.linked[hits] += many
-            yield out(pairs, counts)
-        yield out([], list(counted()))
-
-    matrix = queries.unionByName(stored_).repartition("c2", "chunk2", "lane").sortWithinPartitions("c2", "chunk2", "lane", "asks")
-    opened = cut(matrix.mapInArrow(tidy(open_pieces), "u long, v long, n long"))
-    joined = components(opened.where("n is null").select("u", "v").distinct())
+                    reps_.append(p.reps)
+                    counts.append(hits @ q.many)
+                    if p is not q:
+                        reps_.append(q.reps)
+                        counts.append(p.many @ hits)
+                a, b = np.nonzero(hits)
+                a, b = p.groups[a], q.groups[b]
+                joined |= set(zip(np.minimum(a, b)[a != b].tolist(), np.maximum(a, b)[a != b].tolist(), strict=True))
+            rep, at = np.unique(np.concatenate([np.zeros(0, np.int64), *reps_]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([np.zeros(0), *counts]), minlength=len(rep)).astype(np.int64)
+            us, vs, ns = [x for x, _ in joined] + rep.tolist(), [x for _, x in joined] + [None] * len(rep), [None] * len(joined) + n.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (us, vs, ns)], names=["u", "v", "n"])
+
+    opened = cut(pairs.mapInArrow(tidy(open_pieces), "u long, v long, n long"))
+    joined = components(opened.where("n is null").select("u", "v"))
     linked = opened.where("n is not null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("linked")) if links else None
     labels = home.join(joined, F.col("grp") == F.col("node"), "left").select("rep", F.coalesce("label", "grp").alias("grp"))
-    return _finish(rows, labels, linked, links)
-
-
-def _finish(rows: DataFrame, labels: DataFrame | None, linked: DataFrame | None, links: bool) -> DataFrame:
-    """Every row with the component and the links of its set; labels: (rep, grp), linked: (rep, linked) of the sets that have company."""
-    classes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("many"))
-    classes = classes.join(labels, "rep", "left") if labels is not None else classes.withColumn("grp", F.col("rep"))
-    classes = classes.join(linked, "rep", "left") if linked is not None else classes.withColumn("linked", F.lit(0))
-    classes = classes.select("digest", F.coalesce("grp", "rep").alias("component_id"), (F.col("many") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"))
-    out = [F.col("doc_id"), F.col("n_shingles"), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
-    return rows.join(classes, "digest", "left").select(*out, *([F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []))
+    return table, _marks(rows, reps, labels, linked, links)
+
+
+def _marks(rows: DataFrame, reps: DataFrame, labels: DataFrame | None, linked: DataFrame | None, links: bool) -> DataFrame:
+    """Every row with the component and the links of its set; labels: (rep, grp), linked: (rep, linked) of the sets that have company.
+
+    Rows find their set by its digest; sets that many rows have are broadcast, and rows without shingles take no part."""
+    classes = reps.select("digest", "rep", "best", "many")
+    if labels is not None:
+        each = labels.join(classes.select("rep", "best"), "rep")
+        heads = each.groupBy("grp").agg(F.min("best").alias("head"))
+        known = each.join(heads, "grp").select("rep", "head")
+        known = known.join(linked, "rep", "left") if linked is not None else known.withColumn("linked", F.lit(0))
+        classes = classes.join(known, "rep", "left")
+    else:
+        classes = classes.withColumns({"head": F.col("best"), "linked": F.lit(0)})
+    n_links = (F.col("many") - 1 + F.coalesce("linked", F.lit(0))).cast("long")
+    head = F.coalesce("head", "best")
+    classes = cut(classes.select("digest", "many", head["doc_id"].alias("component_id"), head["uid"].alias("head"), n_links.alias("n_links")))
+    often = max(1000, rows.count() // 10_000)
+    hot = F.broadcast(classes.where(F.col("many") > often))  # 10,000 sets at most
+    some = rows.where("n_shingles > 0").select("uid", "doc_id", "n_shingles", "digest")
+    found = some.join(hot, "digest").unionByName(some.join(hot.select("digest"), "digest", "left_anti").join(classes.where(F.col("many") <= often), "digest"))
+    out = ["uid", "doc_id", "n_shingles", "component_id", (F.col("uid") == F.col("head")).alias("first"), *(["n_links"] if links else [])]
+    none = rows.where("n_shingles = 0").select("uid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"), *([F.lit(0).cast("long").alias("n_links")] if links else []))
+    return found.select(*out).unionByName(none)

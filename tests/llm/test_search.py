@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import licenses, neighbours
-from tessera.llm.shingle_join import jaccard_components
+from tessera.llm import common, licenses, neighbours
+from tessera.llm.shingle_join import Piece, jaccard_components, meet, one_of_each
 
 # --- nearest neighbours
 
@@ -199,3 +199,60 @@ def test_links_are_all_counted(spark):
     near = 100 * len(sets[0] & sets[3]) >= 85 * len(sets[0] | sets[3])
     assert sorted((r["doc_id"], r["n_links"]) for r in jaccard_components(again, 4, 85).collect()) == [(6, 1 + near), (6, 1 + near), (7, 2 * near)]
     assert "n_links" not in jaccard_components(again, 4, 85, links=False).columns
+
+
+def test_many_blank_texts_and_a_hot_shingle(spark):
+    """A tenth of the rows blank, and one passage that is nearly all of the rest: many pieces meet under its shingles."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, None if i % 10 == 0 else f"{passage} a{i} b{i} c{i}" if i % 3 else f"{passage} " + " ".join(f"x{i}_{j}" for j in range(i % 40))) for i in range(700)]
+    got = {r["doc_id"]: r for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), 4, 85).collect()}
+    assert {i: r["component_id"] for i, r in got.items()} == reached(rows, 4, 85)
+    sets = [shingles(t, 4) for _, t in rows]
+    for i in (1, 3, 6, 111):
+        assert got[i]["n_links"] == sum(100 * len(sets[i] & t) >= 85 * len(sets[i] | t) for k, t in enumerate(sets) if k != i and t)
+
+
+def test_pieces_of_the_matrix():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64) * np.uint64(2**58 + 1)) for _ in range(40)]
+    a, b = ([(i, i, 1, sets[i]) for i in x] for x in (range(25), range(15, 40)))
+    hits = meet(Piece(*Piece.of(a)), Piece(*Piece.of(b)), 50)
+    for i, *_, x in a:
+        for j, *_, y in b:
+            assert hits[i, j - 15] == (i != j and 2 * len(np.intersect1d(x, y)) >= len(np.union1d(x, y)))
+
+
+@pytest.mark.parametrize("shape", ["chain", "hills", "star", "pairs"])
+def test_components(spark, shape):
+    n = 400
+    edges = {"chain": [(i, i + 1) for i in range(n)], "hills": [(min(i, n - i) * 2 + (2 * i > n), min(i + 1, n - i - 1) * 2 + (2 * i + 2 > n)) for i in range(n)], "star": [(7, i) for i in range(n)], "pairs": [(2 * i, 2 * i + 1) for i in range(n)]}[shape]
+    cuts = []
+    real = common.cut
+    common.cut = lambda df: (cuts.append(1), real(df))[1]
+    try:
+        got = {r["node"]: r["label"] for r in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    finally:
+        common.cut = real
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for u, v in edges:
+        x, y = find(u), find(v)
+        top[max(x, y)] = min(x, y)
+    assert got == {x: find(x) for x in list(top) if x in got}
+    assert set(got) == {x for e in edges for x in e if e[0] != e[1]}
+    assert (len(cuts) - 2) / 2 <= 9  # rounds
+
+
+def test_one_of_each_goes_by_rows(spark):
+    """Repeated and null ids: an unrelated text stays, whatever its id, and a near copy goes even without one."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more"), (2, "an unrelated text that has some words of its own"), (None, text + " other"), (None, None), (None, "")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, uid string")
+    kept = one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in (rows[0], rows[2], rows[4], rows[5]))
