@@ -2,9 +2,13 @@
 
 Texts are tokenised where they lie; only (length, rank among equal lengths) matters afterwards. The histogram of lengths
 has at most ``capacity`` entries whatever the corpus, so the packing itself is solved on the driver for the histogram:
-best-fit decreasing gives the first incumbent; bin completion then takes the largest length left, enumerates undominated
-fillings around it, prunes by the waste that an improvement may still spend, and applies a filling as often as the counts
-allow. Each piece finds its place from its length and rank with a table of filling runs.
+best-fit decreasing gives the first incumbent; bin completion then takes the largest length left and enumerates the fillings around
+it lazily, least waste first, leaving out dominated ones (a filling beside which another piece would fit, and all others where one
+piece fills the room), prunes by the waste that an improvement may still spend, and applies a filling as often as the counts
+allow, on the way back also once. The search ends when the lower bound is reached, when all is enumerated, or after NODES
+fillings beyond the first descent; every row tells the sequences used and the lower bound, so that the gap is seen.
+Each piece finds its place from its length and rank with a table of filling runs; ranks follow the order of the input's files, so of
+pieces with equal lengths those that come first in the table come first in the packing.
 
 Defined cases: a null text is empty (one token, the end mark); a null id is carried; repeated rows are packed each on their
 own; an empty table gives no rows; other columns are ignored."""
@@ -14,6 +18,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, lean, small, tidy
+from .common import BROADCAST_ROWS, cut, lean, small, tidy
 
 CAPACITY = 2048
 #: The id after each document.
 END = 0
-#: Nodes that the branch and bound may open beyond its first descent.
-NODES = 400
+#: Fillings that the branch and bound may try beyond its first descent.
+NODES = 20_000
 #: On these characters both libraries split alike; other texts go through the slower one.
 _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ]|<\|")
 _ENCODERS: dict = {}
@@ -65,25 +70,31 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, and the piece's task and rank among the task's pieces of that length."""
+    """doc_id, piece, start, length, ids_crc32, the piece's slice of the input and rank among the slice's pieces of that length; on one
+    piece of each slice where it lies in the input."""
     lean(docs.sparkSession)
     kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()), *(T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "task", "rank"))])
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()), *(T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "slice", "rank")), T.StructField("place", T.StringType())])
 
     def run(batches):
-        encode, seen, task = encoder(vocabulary, ranks, pattern), [0] * (capacity + 1), TaskContext.get().partitionId()
+        encode, task, number, current, seen = encoder(vocabulary, ranks, pattern), TaskContext.get().partitionId() << 24, 0, None, []
         for batch in batches:
             at, out = [], []
-            for i, text in enumerate(batch.column(1)):
+            for i, (text, place) in enumerate(zip(batch.column(1), batch.column(2).to_pylist(), strict=True)):
+                if place != current:
+                    current, number, seen, told = place, number + 1, [0] * (capacity + 1), place
                 ids = np.array([*encode(text.as_py() or ""), END], dtype="<u4")
                 for piece, (start, n) in enumerate(cuts(len(ids), capacity)):
                     at.append(i)
-                    out.append((piece, start, n, zlib.crc32(ids[start : start + n].tobytes()), task, seen[n]))
+                    out.append((piece, start, n, zlib.crc32(ids[start : start + n].tobytes()), task | number, seen[n], told))
                     seen[n] += 1
-            piece, *rest = zip(*out, strict=True) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in rest)], names=schema.names)
+                    told = None
+            piece, *rest, places = zip(*out, strict=True) if out else [()] * 7
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in rest), pa.array(places, pa.string())], names=schema.names)
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(tidy(run), schema)
+    block = F.lpad(F.input_file_block_start().cast("string"), 20, "0")
+    place = F.concat_ws("|", F.input_file_name(), block, F.lpad(F.spark_partition_id().cast("string"), 9, "0"))
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), place.alias("place")).mapInArrow(tidy(run), schema)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
@@ -129,57 +140,80 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: np.ndarray, room: int, most: int = 3) -> list[dict[int, int]]:
-    """Undominated fillings of ``room``, least waste first, then fewest pieces. One piece that fills it all dominates the rest."""
-    if room <= 0:
-        return [{}]
-    if counts[room]:
-        return [{room: 1}]
+def likely(counts: np.ndarray, room: int) -> Iterator[dict[int, int]]:
+    """Some fillings without waste, found by table look-ups: the pair with the largest member, then triples."""
     have = counts[: room + 1] > 0
     sizes = np.flatnonzero(have)
-    if not len(sizes):
-        return [{}]
-    out: list[dict[int, int]] = []
 
     def pair(rest: int, used: dict[int, int], top: int) -> dict[int, int] | None:
         """The pair with sum ``rest`` with the largest member, no member above top."""
         a = sizes[(sizes <= min(rest - 1, top)) & (sizes >= (rest + 1) // 2)][::-1]
         for x in a[have[rest - a]].tolist():
-            need: dict[int, int] = dict(used)
+            want: dict[int, int] = dict(used)
             for y in (x, rest - x):
-                need[y] = need.get(y, 0) + 1
-            if all(counts[y] >= k for y, k in need.items()):
-                return need
+                want[y] = want.get(y, 0) + 1
+            if all(counts[y] >= k for y, k in want.items()):
+                return want
         return None
 
     if found := pair(room, {}, room):
-        out.append(found)
+        yield found
     for x in sizes[::-1].tolist():
-        if len(out) >= most:
-            break
         if room - x >= 2 and (found := pair(room - x, {x: 1}, x)):
-            out.append(found)
-    if len(out) < most:  # reachable sums, largest pieces first; also fillings of four and more pieces, and with waste
-        reach, via = 1, []
-        full = (1 << (room + 1)) - 1
-        for x in sizes[::-1].tolist():
-            for _ in range(min(int(counts[x]), room // x)):
-                new = (reach | reach << x) & full
-                if new == reach:
-                    break
-                via.append((x, new & ~reach))
-                reach = new
-            if reach >> room & 1:
-                break
-        total, fill = reach.bit_length() - 1, {}
-        last = len(via)
-        while total:
-            last, x = next((i, via[i][0]) for i in range(last - 1, -1, -1) if via[i][1] >> total & 1)
-            fill[x] = fill.get(x, 0) + 1
-            total -= x
-        if fill not in out and (not out or sum(k * v for k, v in fill.items()) == room):
-            out.append(fill)
-    return out
+            yield found
+            return
+
+
+def fillings(counts: np.ndarray, room: int, waste: int) -> Iterator[dict[int, int]]:
+    """All undominated fillings of ``room`` that waste no more than ``waste``, least waste first, each once.
+
+    One piece that fills it all dominates the rest; a filling beside which another piece would fit is dominated by that one."""
+    if room <= 0:
+        yield {}
+        return
+    if counts[room]:
+        yield {room: 1}
+        return
+    sizes = np.flatnonzero(counts[: room + 1])[::-1].tolist()
+    if not sizes:
+        if room <= waste:
+            yield {}
+        return
+    given = []
+    for fill in likely(counts, room):
+        given.append(fill)
+        yield fill
+    # after[i]: a bit for every sum that pieces from sizes[i] on can make
+    after, full = [1] * (len(sizes) + 1), (1 << (room + 1)) - 1
+    for i in range(len(sizes) - 1, -1, -1):
+        reach, x, n, step = after[i + 1], sizes[i], min(int(counts[sizes[i]]), room // sizes[i]), 1
+        while n > 0:
+            reach |= reach << (x * min(step, n)) & full
+            n, step = n - step, 2 * step
+        after[i] = reach
+
+    def exactly(i: int, rest: int) -> Iterator[list[tuple[int, int]]]:
+        """(length, copies) of pieces from sizes[i] on with the sum ``rest``, largest first."""
+        if not rest:
+            yield []
+            return
+        while i < len(sizes) and after[i] >> rest & 1:
+            x = sizes[i]
+            i += 1
+            for n in range(min(int(counts[x]), rest // x), 0, -1):
+                if after[i] >> (rest - n * x) & 1:
+                    for more in exactly(i, rest - n * x):
+                        yield [(x, n), *more]
+
+    for lost in range(min(waste, room) + 1):
+        small_ = [x for x in reversed(sizes) if x <= lost]  # all of them must be used up
+        if sum(x * int(counts[x]) for x in small_) > room - lost:
+            return
+        if after[0] >> (room - lost) & 1:
+            for found in exactly(0, room - lost):
+                fill = dict(found)
+                if fill not in given and all(fill.get(x, 0) == counts[x] for x in small_):
+                    yield fill
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[int, dict[int, int]]]:
@@ -191,37 +225,46 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
     start = np.zeros(capacity + 1, dtype=np.int64)
     for k, v in counts.items():
         start[k] = v
-    stack, opened = [(start, 0, None)], 0
-    while stack and bins > least and opened <= nodes:
-        left, waste, done = stack.pop()
-        opened += 1
-        while True:
-            if waste > (bins - 1) * capacity - total:  # no better than the incumbent any more
-                break
-            sizes = np.flatnonzero(left)
-            if not len(sizes):
-                fills = []
-                while done:
-                    fills.append(done[0])
-                    done = done[1]
-                best, bins = fills, sum(t for t, _ in fills)
-                break
-            top = int(sizes[-1])
-            left[top] -= 1
-            choices = fillings(left, capacity - top)
-            left[top] += 1
-            nexts = []
-            for fill in choices:
-                whole = dict(fill)
-                whole[top] = whole.get(top, 0) + 1
-                times = int(min(left[k] // v for k, v in whole.items()))
-                after = left.copy()
-                for k, v in whole.items():
-                    after[k] -= v * times
-                nexts.append((after, waste + times * (capacity - sum(k * v for k, v in whole.items())), ((times, whole), done)))
-            if opened + len(stack) < nodes:
-                stack += nexts[:0:-1]
-            left, waste, done = nexts[0]
+
+    def options(left: np.ndarray, waste: int):
+        """(times, filling) around the largest piece left: as often as possible, and once for each on the way back."""
+        top = int(np.flatnonzero(left)[-1])
+        left = left.copy()
+        left[top] -= 1
+        again = []
+        for fill in fillings(left, capacity - top, (bins - 1) * capacity - total - waste):
+            whole = fill | {top: fill.get(top, 0) + 1}
+            times = min((int(left[k]) + (k == top)) // v for k, v in whole.items())
+            lost = capacity - sum(k * v for k, v in whole.items())
+            if lost:
+                times = max(1, min(times, ((bins - 1) * capacity - total - waste) // lost))
+            yield times, whole
+            if times > 1:
+                again.append(whole)
+        for whole in again:
+            yield 1, whole
+
+    stack, tried, reached = [(start, 0, None, options(start, 0))] if len(counts) else [], 0, False
+    while stack and bins > least and tried <= nodes:
+        left, waste, done, more = stack[-1]
+        times, whole = next(more, (0, None))
+        if whole is None:
+            stack.pop()
+            continue
+        tried += reached
+        after, spent = left.copy(), waste + times * (capacity - sum(k * v for k, v in whole.items()))
+        for k, v in whole.items():
+            after[k] -= v * times
+        if spent > (bins - 1) * capacity - total:  # no better than the incumbent
+            reached = True
+        elif after.any():
+            stack.append((after, spent, ((times, whole), done), options(after, spent)))
+        else:
+            fills, at = [(times, whole)], done
+            while at:
+                fills.append(at[0])
+                at = at[1]
+            best, bins, reached = fills, sum(t for t, _ in fills), True
     return best
 
 
@@ -242,13 +285,17 @@ def runs(fills: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
 
 
 def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every piece of every document in its place."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every piece of every document in its place; and in every row the
+    sequences in all and the lower bound on them."""
     cut_up = cut(pieces(docs, vocabulary, ranks, pattern, capacity, id_col, text_col))
-    by_task = cut_up.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    by_task = cut(by_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
-    plan = runs(bin_completion(counts, capacity))
+    by_slice = cut_up.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
+    places = cut(cut_up.where("place is not null").select("slice", "place"))  # a row for each split of the input
+    by_slice = by_slice.join(small(places, places.count()), "slice")
+    before = Window.partitionBy("length").orderBy("place", "slice").rowsBetween(Window.unboundedPreceding, -1)
+    by_slice = cut(by_slice.select("length", "slice", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    counts = {r["length"]: r["n"] for r in by_slice.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    fills = bin_completion(counts, capacity)
+    plan, used, least = runs(fills), sum(t for t, _ in fills), lower_bound(counts, capacity)
     starts = plan["length"] << 48 | plan["rank"]
     schema = T.StructType([*cut_up.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
@@ -260,5 +307,6 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: st
             found = (plan["sequence"][at] + i // k, plan["offset"][at] + i % k * length)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], *map(pa.array, found)], names=schema.names)
 
-    ranked = cut_up.join(small(by_task.drop("n"), by_task.count()), ["length", "task"])
-    return ranked.select(*cut_up.columns[:5], (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(tidy(place), schema)
+    ranked = cut_up.join(small(by_slice.drop("n"), by_slice.count(), BROADCAST_ROWS // 2), ["length", "slice"])
+    found = ranked.select(*cut_up.columns[:5], (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(tidy(place), schema)
+    return found.withColumns({"sequences": F.lit(used).cast("long"), "lower_bound": F.lit(least).cast("long")})

@@ -90,24 +90,24 @@ SELECT doc_id,
 FROM n""",
     "op10_chat_format": f"""
 WITH r AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
-         cast(floor(coalesce(turn, 0) / {SEGMENT}.0) AS BIGINT) AS segment
+  SELECT conv_id, regexp_replace(replace(coalesce(role, 'unknown'), '<|', '<\\|'), '[\r\n]+', ' ', 'g') AS speaker, replace(coalesce(text, ''), '<|', '<\\|') AS text,
+         turn, sha256(coalesce(text, '')) AS digest
   FROM conversations),
+i AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, digest) - 1 AS i FROM r),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM r WHERE speaker <> 'system'),
 m AS (
-  SELECT r.conv_id, p.perspective, r.segment, r.turn, r.speaker, r.text, r.speaker = p.perspective AS mine,
-         CASE WHEN r.speaker = p.perspective THEN '<|im_start|>assistant' || chr(10)
-              WHEN r.speaker = 'system' THEN '<|im_start|>system' || chr(10)
-              ELSE '<|im_start|>user name=' || r.speaker || chr(10) END AS head,
-         r.text || '<|im_end|>' || chr(10) AS body
-  FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
+  SELECT i.conv_id, p.perspective, cast(floor(i.i / {SEGMENT}.0) AS BIGINT) AS segment, i.i, i.speaker = p.perspective AS mine,
+         CASE WHEN i.speaker = p.perspective THEN '<|im_start|>assistant' || chr(10)
+              WHEN i.speaker = 'system' THEN '<|im_start|>system' || chr(10)
+              ELSE '<|im_start|>user name=' || i.speaker || chr(10) END AS head,
+         i.text || '<|im_end|>' || chr(10) AS body
+  FROM i JOIN p ON i.conv_id IS NOT DISTINCT FROM p.conv_id),
 o AS (
-  SELECT *, sum(length(head) + length(body)) OVER w - length(body) AS b, sum(length(head) + length(body)) OVER w - 1 AS e,
-         row_number() OVER w AS k
-  FROM m WINDOW w AS (PARTITION BY conv_id, perspective, segment ORDER BY turn NULLS FIRST, speaker, text ROWS UNBOUNDED PRECEDING))
-SELECT conv_id, perspective, segment, count(*) AS n_messages, count(*) FILTER (mine) AS n_trained,
-       string_agg(head || body, '' ORDER BY k) AS rendered,
-       string_agg(CASE WHEN mine THEN '1' ELSE '0' END, '' ORDER BY k) AS mask,
-       coalesce(string_agg(b || '-' || e, ';' ORDER BY k) FILTER (mine), '') AS train_spans
+  SELECT *, sum(length(head) + length(body)) OVER w - length(body) AS b, sum(length(head) + length(body)) OVER w - 1 AS e
+  FROM m WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY i ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, segment, cast(min(b - length(head)) AS BIGINT) AS start_char, count(*) AS n_messages, count(*) FILTER (mine) AS n_trained,
+       string_agg(head || body, '' ORDER BY i) AS rendered,
+       string_agg(CASE WHEN mine THEN '1' ELSE '0' END, '' ORDER BY i) AS mask,
+       coalesce(string_agg(cast(b AS BIGINT) || '-' || cast(e AS BIGINT), ';' ORDER BY i) FILTER (mine), '') AS train_spans
 FROM o GROUP BY conv_id, perspective, segment""",
 }

@@ -48,6 +48,35 @@ def test_small_histograms_are_optimal(counts):
     assert bins(packing.bin_completion(counts, 12)) == optimum(counts, 12)
 
 
+def test_random_instances_are_optimal():
+    """13 pieces at a capacity of 40, where a few hand-picked fillings are not enough."""
+    rng = np.random.default_rng(11)
+    cases = [{21: 2, 16: 4, 14: 1, 10: 1, 19: 1, 11: 1, 6: 1, 20: 1, 8: 1}]
+    for i in range(2000):
+        sizes = rng.integers(*((1, 41), (5, 25), (8, 21), (10, 30))[i % 4], 13).tolist()
+        cases.append({k: sizes.count(k) for k in set(sizes)})
+    for counts in cases:
+        assert bins(packing.bin_completion(counts, 40)) == optimum(counts, 40)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 9), st.integers(1, 3), max_size=5), st.integers(1, 14))
+def test_every_undominated_filling_is_listed_once(counts, room):
+    have = np.zeros(16, np.int64)
+    for k, v in counts.items():
+        have[k] = v
+    got = [tuple(sorted(f.items())) for f in packing.fillings(have, room, room)]
+    assert len(set(got)) == len(got)
+    every = [{}]
+    for k, v in counts.items():
+        every = [f | {k: n} if n else f for f in every for n in range(v + 1)]
+    rest = lambda f: room - sum(k * n for k, n in f.items())
+    full = {tuple(sorted(f.items())) for f in every if rest(f) >= 0 and not any(k <= rest(f) and f.get(k, 0) < v for k, v in counts.items())}
+    assert set(got) == ({((room, 1),)} if counts.get(room) else full)
+    wasted = [room - sum(k * n for k, n in f) for f in got]
+    assert wasted == sorted(wasted)
+
+
 def test_completion_beats_best_fit():
     counts = {6: 2, 5: 2, 4: 2, 3: 2, 2: 1}  # best fit decreasing needs a bin more than the optimum on sets like this
     assert bins(packing.bin_completion(counts, 10)) == optimum(counts, 10)
@@ -87,11 +116,21 @@ def test_pieces_and_places(edge, edge_rows, capacity):
 def test_documents_reach_the_bound(docs):
     rows = packing.pack(docs, **VOCABULARY).collect()
     n = check(rows, [r["text"] for r in docs.select("text").collect()], 2048)
+    assert {r["sequences"] for r in rows} == {n}
     counts = {}
     for r in rows:
         counts[r["length"]] = counts.get(r["length"], 0) + 1
+    assert {r["lower_bound"] for r in rows} == {packing.lower_bound(counts, 2048)}
     assert n <= packing.lower_bound(counts, 2048) + 1
 
 
+def test_equal_lengths_keep_the_order_of_the_files(spark, tmp_path):
+    """Rows written in ranges of a position are ranked in that order, whatever tasks read them."""
+    spark.range(400).selectExpr("id as doc_id", "'some words' as text").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(f"{tmp_path}/x")
+    rows = packing.pack(spark.read.parquet(f"{tmp_path}/x"), **VOCABULARY).collect()
+    order = sorted(rows, key=lambda r: (r["sequence_id"], r["offset"]))
+    assert [r["doc_id"] for r in order] == list(range(400))
+
+
 def test_empty(empty):
     assert packing.pack(empty, **VOCABULARY).count() == 0
