@@ -3,7 +3,8 @@
 Sampled splitters range-partition the rows on the first characters of the normalised text and a content hash; each
 partition is sorted by the whole normalised text (Spark's external sort), so equals are adjacent, and the window
 operator compares neighbouring keys in full. Texts so frequent that one of them would fill a partition are counted
-first; they are aggregated map-side instead of being sorted together, and their rows never meet in one task.
+first; they are aggregated map-side instead of being sorted together, and only rows that share their text and the winning id meet in one task,
+where a window streams over them.
 
 Defined cases: a null text counts as empty; a null id ranks behind all others; of rows with the same text and the same
 winning id exactly one is kept; an empty table gives an empty result; other columns are carried, whatever their names."""
@@ -29,7 +30,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("id").desc_nulls_last() if keep == "max" else F.col("id").asc_nulls_last()
     rows = docs.select(F.struct("*").alias("row"), docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("raw"))
-    rows = rows.withColumn("h", F.xxhash64(F.lower("raw")))  # equal normalised texts have equal h
+    rows = rows.withColumn("h", F.xxhash64(lower_az(F.col("raw"))))
     total = docs.count()
     hot = rows.groupBy("h").count().where(F.col("count") > max(1, total // (HOT * parts))).select("h").collect()  # HOT * parts at most
     usual = rows
@@ -52,7 +53,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     often = rows.join(keys, "h", "left_semi").withColumn("norm", lower_az(F.col("raw")))
     best = F.max("id") if keep == "max" else F.min("id")
     groups = often.groupBy("norm").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size")).select(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
-    marked = often.select("row", "id", F.sha2("norm", 256).alias("text_sha256")).join(F.broadcast(groups), "text_sha256")  # a row for each hot text
+    marked = often.select("row", "id", F.sha2("norm", 256).alias("text_sha256")).join(F.broadcast(groups), "text_sha256")  # a row for each hot text: HOT * parts, and those whose hashes collide with one
     first = Window.partitionBy("text_sha256").orderBy("id")
     top = marked.where(F.col("id").eqNullSafe(F.col("keep_id"))).withColumn("kept", F.row_number().over(first) == 1)
     rest = marked.where(~F.col("id").eqNullSafe(F.col("keep_id"))).withColumn("kept", F.lit(False))

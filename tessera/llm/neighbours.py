@@ -5,18 +5,21 @@ own bucket and then the perturbed ones in the order of their estimated success (
 borders) up to a limit on that sum. The tables' candidates are merged and ranked exactly: cosine in double precision on the
 original vectors, ties to the smaller id. The limit is fitted so that RECALL of the true neighbours of FITTED sampled queries
 lie within it; those are found by one pass over all vectors. Queries that would have to visit more than MOST buckets in a table,
-or that met fewer than k candidates, are ranked against all vectors, in blocks.
+or that met fewer than k candidates, are ranked against all vectors, each block of queries with each block of vectors, in one job.
 
 Equal vectors are hashed and compared once; only the k + 1 smallest ids of each can matter. The number of directions follows
 the number of vectors, so that buckets keep their size as the table grows. Buckets and their queries are compared in lanes of
-at most LANE rows, as matrix products, so a hot bucket is spread over tasks.
+at most LANE rows, as matrix products; every lane of a bucket's vectors is a key of its own, so a hot bucket is spread over tasks.
 
-Defined cases: vectors that are null, all zero, or hold null or non-finite components take no part, neither do null ids or
-vectors of another length than most; repeated ids are rows of their own, and a query leaves out the rows with its own id;
-fewer than k candidates give fewer rows; an empty table gives none; other columns are ignored."""
+Defined cases: vectors that are null, all zero, or hold null or non-finite components take no part, neither do null ids; vectors are
+compared with those of their own length only; repeated ids and repeated rows are rows of their own, and a query leaves out just its own
+row; components of any size are scaled by a power of two first, so that no cosine overflows; fewer than k candidates give
+fewer rows; an empty table gives none; other columns are ignored."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -31,7 +34,7 @@ FILL = 64
 FITTED, RECALL = 160, 0.96
 #: Buckets that a query visits in a table at most.
 MOST = 3000
-#: Vectors of a bucket, or queries of a bucket, in a row; queries that the exact ranking takes at a time.
+#: Vectors of a bucket, or queries of a bucket, in a row; queries, and vectors, that the exact ranking takes at a time.
 LANE, BLOCK = 256, 2048
 SEED = 20240229
 
@@ -124,11 +127,12 @@ def _matrix(column: pa.Array, dim: int, kind: str) -> np.ndarray:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision."""
+    """Row by row, in double precision; scaling by powers of two changes nothing but the exponents."""
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (a, b))
     return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, recall: float = RECALL, most: int = MOST, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row that passes ``is_query`` (a condition on the column vec_id)."""
     spark = vectors.sparkSession
     kind = "<f8" if vectors.schema[vector_col].dataType.elementType.typeName() == "double" else "<f4"
@@ -137,21 +141,29 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
     fine = ~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("e", lambda x: x != 0)
     rows = rows.where(fine)
     none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double")
-    common = rows.groupBy(F.size("e").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    if not common:
-        return none
-    dim = common[0]["n"]
+    rows = rows.withColumn("n", F.size("e"))
+    lengths = [r["n"] for r in rows.groupBy("n").count().orderBy(F.desc("count"), "n").collect()]  # a row for each length of vectors
+    if len(lengths) > 1:
+        rows = cut(rows)
+    out = [_of_length(rows.where(F.col("n") == n).select("vec_id", "e"), n, is_query, k, tables, recall, most, kind, ids) for n in lengths]
+    return reduce(DataFrame.unionByName, out, none) if len(out) != 1 else out[0]
+
+
+def _of_length(rows: DataFrame, dim: int, is_query, k: int, tables: int, recall: float, most: int, kind: str, ids: str) -> DataFrame:
+    """The same for vectors of one length: rows of vec_id and e."""
+    spark = rows.sparkSession
+    none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double")
 
     def pack(batches):
         for batch in batches:
             values = np.asarray(batch.column(1).flatten()).astype(kind).reshape(-1, dim) + 0.0  # no negative zero
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.astype(kind).tobytes() for v in values], pa.binary())], names=["vec_id", "v"])
 
-    rows = rows.where(F.size("e") == dim).mapInArrow(tidy(pack), f"vec_id {ids}, v binary")
+    rows = rows.mapInArrow(tidy(pack), f"vec_id {ids}, v binary")
     first = Window.partitionBy("v").orderBy("vec_id")
-    few = rows.distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+    few = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
     kinds = cut(few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # k + 1 ids at most
-    asking = cut(rows.where(is_query).distinct())
+    asking = cut(rows.where(is_query).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies")))
     asked = cut(asking.select(F.col("v").alias("q")).distinct().withColumn("h", F.xxhash64("q")))
     n, n_asked = kinds.count(), asked.count()
     if not n_asked:
@@ -192,7 +204,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
 
     def settled(found: DataFrame) -> DataFrame:
         """The best k + 1 rows of each query."""
-        single = scored(found).select("q", "score", F.explode("ids").alias("vec_id"))
+        each = scored(found).select("q", "score", (F.col("q") == F.col("v")).alias("same"), F.posexplode("ids").alias("at", "vec_id"), "ids")
+        single = each.select("q", "score", "vec_id", (F.col("same") & (F.array_position("ids", F.col("vec_id")) == F.col("at") + 1)).alias("own"))  # the first row of that id with the query's vector
         place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
         return single.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k + 1).drop("n")
 
@@ -219,20 +232,22 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.slice(at, 200)
-                keys = [tables_.value.probes(p, limit) if np.isfinite(limit) else None for p in tables_.value.places(unit(_matrix(part.column(0), dim, kind)))]
+                keys = [tables_.value.probes(p, limit, most) if np.isfinite(limit) else None for p in tables_.value.places(unit(_matrix(part.column(0), dim, kind)))]
                 again = pa.array(np.repeat(np.arange(len(part)), [1 if x is None else len(x) for x in keys]))
                 flat = pa.concat_arrays([pa.array([None], pa.int64()) if x is None else pa.array(x) for x in keys]) if keys else pa.array([], pa.int64())
                 yield pa.RecordBatch.from_arrays([flat, part.column(0).take(again)], names=["key", "q"])
 
-    def laned(rows: DataFrame, what: str) -> DataFrame:
-        """Rows of at most about LANE members of a bucket."""
-        number = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LANE).alias("lanes"))
-        named = rows.join(number, "key").withColumn("lane", F.pmod(F.xxhash64(what), F.col("lanes")))
-        return named.groupBy("key", "lane").agg(F.collect_list(F.struct(*(c for c in rows.columns if c != "key"))).alias(what)).drop("lane")
+    def laned(rows: DataFrame, what: str, keys: list[str]) -> DataFrame:
+        """Rows of at most about LANE members of a bucket, or of a lane of one."""
+        number = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / LANE).alias("lanes"))
+        named = rows.join(number, keys).withColumn("own", F.pmod(F.xxhash64(what), F.col("lanes")))
+        return named.groupBy(*keys, "own").agg(F.collect_list(F.struct(*(c for c in rows.columns if c not in keys))).alias(what))
 
     visits = cut(asked.select("q").mapInArrow(tidy(probe), "key long, q binary"))
-    buckets = laned(kinds.select("v", "ids").mapInArrow(tidy(index), f"key long, v binary, ids array<{ids}>"), "v")
-    meetings = laned(visits.where("key is not null"), "q").join(buckets, "key").select("q", "v")
+    indexed = kinds.select("v", "ids").mapInArrow(tidy(index), f"key long, v binary, ids array<{ids}>")
+    buckets = cut(laned(indexed, "v", ["key"]).withColumnRenamed("own", "lane"))
+    lanes = buckets.select("key", "lane")  # every lane of a bucket meets all its queries
+    meetings = laned(visits.where("key is not null").join(lanes, "key"), "q", ["key", "lane"]).join(buckets, ["key", "lane"]).select("q", "v")
 
     def compare(batches):
         best = Best(k + 1)
@@ -250,11 +265,30 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
     enough = found.groupBy("q").count().where(F.col("count") > k).select("q")
     rest = cut(asked.join(enough, "q", "left_anti"))
     blocks = -(-rest.count() // BLOCK)
-    for i in range(blocks):
-        names = [bytes(r["q"]) for r in rest.where(F.pmod("h", F.lit(blocks)) == i).select("q").collect()]  # BLOCK, about
-        if names:
-            more = cut(settled(against_all(names)))
-            found = found.join(small(more.select("q").distinct(), BLOCK), "q", "left_anti").unionByName(more)
-    own = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).join(found, "q").where("query_id <> vec_id")
+    if blocks:
+
+        def grid(batches):
+            best, held = Best(k + 1), (None, None)
+            for batch in batches:
+                for number, queries, members in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                    if number != held[0]:
+                        if best.rows:
+                            yield best.batch()
+                        names = queries.as_py()
+                        held = (number, names, unit(_matrix(pa.array(names, pa.binary()), dim, kind)))
+                    v = members.values
+                    best.add(held[1], held[2] @ unit(_matrix(v.field("v"), dim, kind)).T, v.field("v").to_pylist(), v.field("ids").to_pylist())
+            if best.rows:
+                yield best.batch()
+
+        asks = rest.groupBy(F.pmod("h", F.lit(blocks)).alias("block")).agg(F.collect_list("q").alias("queries"))  # BLOCK, about
+        chunks_ = -(-n // BLOCK)
+        against = kinds.groupBy(F.pmod(F.xxhash64("v"), F.lit(chunks_)).alias("chunk")).agg(F.collect_list(F.struct("v", "ids")).alias("members"))  # BLOCK, about
+        against = against.select("members", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+        cells = against.join(asks, "block").select("block", "queries", "members")
+        more = cut(settled(cells.mapInArrow(tidy(grid), found_schema)))
+        found = found.join(rest.select("q"), "q", "left_anti").unionByName(more)
+    mine = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "copies").join(found, "q").where(~((F.col("query_id") == F.col("vec_id")) & F.col("own")))
     place = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
-    return own.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = mine.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")

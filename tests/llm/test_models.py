@@ -46,12 +46,43 @@ def test_language_held_out(spark):
 def test_language_filter_returns_all_languages():
     a, b = np.arange(500, dtype=np.uint64), np.arange(300, 900, dtype=np.uint64)
     f = language.Filter({"a": a, "b": b}, {})
-    masks = f.having(np.arange(900, dtype=np.uint64))
+    masks = f.having(np.arange(900, dtype=np.uint64))[0]
     assert np.all(masks[:300] & 1)
     assert np.all(masks[300:500] == 3)
     assert np.mean(masks[500:] == 2) > 0.99
 
 
+def test_more_languages_than_bits():
+    profiles = {f"l{i:03}": np.arange(i * 50, i * 50 + 60, dtype=np.uint64) for i in range(150)}
+    f = language.Filter(profiles, {})
+    for i in (0, 63, 64, 149):
+        found = f.having(np.arange(i * 50 + 10, i * 50 + 50, dtype=np.uint64))
+        assert all(f.of(found, i))
+        assert np.mean(sum(f.of(found, j).astype(int) for j in range(150))) < 1.2
+
+
+def test_language_by_hand(spark):
+    """The prediction of every text, from profiles and Bloom slots computed one by one."""
+    texts = {"aa": ["the cat and the dog are in the house"] * 4 + ["the " * 300_000], "bb": ["le chat et le chien sont dans la maison"] * 4}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((k, t) for k, v in texts.items() for t in v)] + [(90, "the chien", None), (91, "zzqqxx", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, F.lit(True))
+    got = {r["row"]["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(docs, model).collect()}
+
+    def grams(text):
+        t = f" {text} "
+        return [t[i : i + k] for k in language.ORDERS for i in range(len(t) - k + 1) if " " not in t[i + 1 : i + k - 1] and t[i : i + k].strip(" ") and not (t[i] == " " == t[i + k - 1])]
+
+    profiles = {k: {g for g, n in Counter(g for t in v for g in grams(t)).items() if n > 1} for k, v in texts.items()}
+    for i, text, _ in rows:
+        g = grams(text)
+        share = {k: sum(x in p for x in g) / len(g) for k, p in profiles.items()}
+        total = sum(share.values())
+        best = max(share, key=share.get) if total else max(texts, key=lambda k: (len(texts[k]), k))
+        assert got[i][0] == best
+        assert got[i][1] == pytest.approx(share[best] / total if total else 0.5, abs=0.02)
+
+
 def test_language_cases(edge, empty):
     rows = {r["row"]["doc_id"]: r for r in language.identify(edge, language.train(edge, F.lit(True))).collect()}
     for i in (3, 4, 5, 10):
