@@ -40,6 +40,8 @@ EXACT = 64
 SWEEPS, BURN_IN, SAMPLES = 3, 2, 4
 #: Tokens in a bucket, and tokens in a block of texts, about.
 BUCKET, BLOCK = 3_000_000, 2_500_000
+#: A rarer context is named by the first 48 bits of its hash: two of ten million words share a name with a chance of one in six.
+NAME = np.uint64(2**64 - 2**16)
 END = int(mix(np.array([2**63 + 5], dtype=np.uint64))[0])
 
 
@@ -301,6 +303,7 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
             h, b, owner = np.concatenate(hashes), np.concatenate(befores), np.concatenate(owners)
             flags = np.concatenate(helds).astype(np.uint8)
             context, rank = (ranks.of(b) + 1).astype(np.uint16), ranks.of(h)
+            b = b & NAME
             per_text = np.bincount(owner, minlength=len(flags)).astype(np.uint32)
             usual, tail, owner = rank >= 0, context == 0, owner.astype(np.uint16)
             near, far = usual & ~tail, usual & tail
