@@ -71,7 +71,7 @@ def written(df: DataFrame) -> DataFrame:
     Rows numbered with monotonically_increasing_id keep their numbers, since they are read and not made again."""
     shared(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     atexit.register(removed, df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -17,7 +17,7 @@ rows of the other end's set; a row's equals are its links as well. A group of m
 much; a caller that needs the components only leaves out pairs of pieces inside one group (links=False). The order of shingles comes from a sketch of
 their frequencies over all documents; any order gives the same result.
 
-Rows are numbered in a written copy of the table, and all steps go by that number, so ids may be repeated or null. Defined cases: a null or
+Rows are numbered when they are first read, and all steps go by that number, so ids may be repeated or null. Defined cases: a null or
 blank text has no shingles and links with nothing; a text with fewer words than a shingle is one shingle; component_id is the smallest
 id of the component, null if it has none; repeated rows and ids are rows of their own; an empty table gives no rows; other columns are
 ignored, or carried inside ``row``."""
@@ -40,7 +40,7 @@ from .common import Words, chain, chunks, components, cut, lean, mix, small, tid
 #: Words in a shingle and the least similarity, in per cent, unless a caller sets them.
 WORDS, PERCENT = 5, 80
 #: Sets in a piece of a group, and shingles in it, about.
-GROUP, CELLS = 256, 1 << 18
+GROUP, CELLS = 1024, 1 << 19
 #: Members of a hub that one task compares at a time, and pieces that meet one piece, or under one shingle, in a task.
 LANE, WIDE = 256, 64
 #: Cells of the matrices that are multiplied at a time.
@@ -141,11 +141,6 @@ def load(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def stored(shingles: np.ndarray) -> bytes:
-    """A set as it is kept for comparison: sorted."""
-    return dump(np.unique(shingles))
-
-
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets reach the similarity."""
     small_, large = (a, b) if len(a) <= len(b) else (b, a)
@@ -231,23 +226,23 @@ def meet(p: Piece, q: Piece, percent: int) -> np.ndarray:
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) and, unless ``links`` is False, n_links (the other rows that are similar) for every row."""
-    _, marks = jaccard_marks(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), words, percent, links=links)
-    return marks.drop("uid", "first")
+    return jaccard_marks(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), words, percent, links).drop("uid", "first")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, of each component only one: that with the smallest id, nulls last."""
-    table, marks = jaccard_marks(docs, words, percent, id_col, text_col, links=False)
+    table = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")))
+    marks = jaccard_marks(table.select("uid", F.col("row")[id_col].cast("long").alias("doc_id"), F.col("row")[text_col].alias("text")), words, percent, links=False)
     gone = cut(marks.where("not first").select("uid"))
     return table.join(small(gone, gone.count()), "uid", "left_anti").select("row.*")
 
 
-def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The written rows (uid, row), and for each uid, doc_id, n_shingles, component_id, first (whether it stands for its component), n_links."""
+def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True) -> DataFrame:
+    """uid, doc_id, n_shingles, component_id, first (whether the row stands for its component), n_links for rows of doc_id and text, and uid if
+    they are numbered already."""
     lean(docs.sparkSession)
     spark = docs.sparkSession
-    table = written(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")))
-    docs = table.select("uid", F.col("row")[id_col].cast("long").alias("doc_id"), F.col("row")[text_col].alias("text"))
+    numbered = "uid" in docs.columns
     order = spark.sparkContext.broadcast(sketch(docs.select("text"), words))  # 4 MB
 
     def describe(batches):
@@ -261,13 +256,16 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_
                     digests.append(digest(found) if n else None)
                     rare = order.value[(found >> np.uint64(64 - SKETCH)).astype(np.int64)]
                     fronts.append(dump(np.sort(found[np.lexsort((found, rare))[: prefix(n, percent)]])) if n else None)
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary())], names=["uid", "doc_id", "n_shingles", "digest", "front"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary()), *part.columns[2:]], names=names)
 
-    rows = written(docs.mapInArrow(tidy(describe), "uid long, doc_id long, n_shingles long, digest binary, front binary"))
+    names = ["doc_id", "n_shingles", "digest", "front", *(["uid"] if numbered else [])]
+    kinds = "doc_id long, n_shingles long, digest binary, front binary" + ", uid long" * numbered
+    rows = docs.select("doc_id", "text", *names[4:]).mapInArrow(tidy(describe), kinds)
+    rows = written(rows if numbered else rows.withColumn("uid", F.monotonically_increasing_id()))
     some = rows.where("n_shingles > 0")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid"))
-    reps = some.groupBy("digest").agg(best.alias("best"), F.first("n_shingles").alias("n"), F.first("front").alias("front"), F.count(F.lit(1)).alias("many"))
-    reps = written(reps.withColumn("rep", F.col("best.uid")))
+    reps = some.groupBy("digest").agg(best.alias("best"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("many"))
+    reps = written(reps.withColumn("rep", F.col("best")["uid"]))
     posted = some.agg(F.coalesce(F.sum(F.col("n_shingles") * (100 - percent + 100 // STEP) / 100), F.lit(0))).first()[0]
     buckets = max(6, int(posted // BLOCK))
 
@@ -334,10 +332,11 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_
         if loads:
             yield together(loads)
 
-    dealt = reps.select("rep", F.col("n").cast("long"), "front").mapInArrow(tidy(post), "bucket long, load binary")
+    fronts = some.join(reps.select("rep"), F.col("uid") == F.col("rep"), "left_semi").select("uid", F.col("n_shingles"), "front")
+    dealt = fronts.mapInArrow(tidy(post), "bucket long, load binary")
     dealt = dealt.withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("load")).otherwise(F.col("bucket")))
     dealt = dealt.repartition(buckets, "at").sortWithinPartitions("bucket").select("bucket", "load")
-    posts = cut(dealt.mapInArrow(tidy(gather), "token long, rep long, n int, hub long"))
+    posts = written(dealt.mapInArrow(tidy(gather), "token long, rep long, n int, hub long"))
     pairs = posts.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
     other = F.when(F.col("rep") != F.col("hub"), F.struct("shared", "hub"))
     met = pairs.groupBy("rep").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"), F.max(other).alias("best"))
@@ -345,15 +344,36 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_
     met = cut(met.where(F.col("shared") >= wanted).select("rep", "n", F.col("best.hub").alias("hub")))
     n_met = met.count()
     if not n_met:
-        return table, _marks(rows, reps, None, None, links)
+        return _marks(rows, reps, None, None, links)
 
     def sets_of(batches):
+        """The sets of those texts that have the digest wanted, or of all where none is given; (text, digest or null, …)."""
         for batch in batches:
             for part, texts in chunks(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([stored(x) for x in shingle_lists(texts, words)], pa.binary())], names=["rep", "hub", "shingles"])
-
-    texts = docs.join(small(met, n_met), F.col("uid") == F.col("rep")).select("rep", "hub", "text")
-    sets = written(texts.mapInArrow(tidy(sets_of), "rep long, hub long, shingles binary"))
+                wanted, found = part.column(1).to_pylist(), list(shingle_lists(texts, words))
+                sets_ = [np.unique(x) for x in found]
+                digests = [digest(x) for x in sets_]
+                at = pa.array([i for i, (a, d) in enumerate(zip(wanted, digests, strict=True)) if a is None or a == d], pa.int64())
+                loads = [dump(sets_[i]) for i in at.to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in part.columns[2:]), pa.array(digests, pa.binary()).take(at), pa.array(loads, pa.binary())], names=[*part.schema.names[2:], "digest", "shingles"])
+
+    no = F.lit(None).cast("binary")
+    if numbered:
+        texts = docs.join(small(met, n_met), F.col("uid") == F.col("rep")).select("text", no.alias("digest"), "rep", "hub")
+        sets = texts.mapInArrow(tidy(sets_of), "rep long, hub long, digest binary, shingles binary")
+    else:  # by the id where just one set has it, else by the digest; rows that are equal in both give a set more than once
+        asked_for = met.join(reps.select("rep", "digest", F.col("best")["doc_id"].alias("id")), "rep").select("rep", "hub", "digest", "id")
+        times = asked_for.groupBy(F.col("id").alias("same")).agg(F.count(F.lit(1)).alias("sets"))
+        asked_for = cut(asked_for.join(times, F.col("id").eqNullSafe(F.col("same"))).select("rep", "hub", "digest", "id", (F.col("sets") == 1).alias("alone")))
+        alone, shared = asked_for.where("alone and id is not null"), asked_for.where("not alone or id is null")
+        texts = docs.join(small(alone, n_met), F.col("doc_id") == F.col("id")).select("text", "digest", "rep", "hub")
+        sets = texts.mapInArrow(tidy(sets_of), "rep long, hub long, digest binary, shingles binary")
+        if n_shared := shared.count():
+            ids = shared.select("id").distinct()
+            texts = docs.join(small(ids, n_shared), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text", no.alias("digest"))
+            more = texts.mapInArrow(tidy(sets_of), "digest binary, shingles binary").join(small(shared, n_shared), "digest")
+            sets = sets.unionByName(more.select("rep", "hub", "digest", "shingles"))
+    sets = written(sets.drop("digest"))
 
     # 1: each set against its hub, in lanes of the hub's members
     lanes = met.where("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes"))
@@ -390,7 +410,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_
     seen = seen.agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("grp").alias("a"), F.max("grp").alias("b"))
     per = seen.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("a").alias("least"), F.max("b").alias("most"))
     per = per.where("k > 1" if links else "k > 1 and least <> most").select("token", F.ceil(F.col("k") / WIDE).cast("long").alias("lanes"))
-    seen = cut(seen.join(per, "token"))
+    seen = written(seen.join(per, "token"))
     one = seen.withColumn("lane", F.pmod(F.xxhash64("piece"), "lanes")).drop("lanes")
     other = seen.select("token", *(F.col(x).alias(f"{x}2") for x in ("piece", "low", "high", "a", "b")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)).alias("lane"))
     apart = F.least("a", "a2") != F.greatest("b", "b2")
@@ -415,12 +435,14 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_
                     yield out()
                     members = []
                 number = p
+                if members and members[-1][0] == rep:  # an equal row
+                    continue
                 members.append((rep, grp, many, load(raw.as_py(), "<u8")[0]))
         if members:
             yield out()
 
-    filled = sets.select("rep", "shingles").join(home, "rep").select("piece", "rep", "grp", "many", "shingles")
-    pieces = written(filled.repartition("piece").sortWithinPartitions("piece").mapInArrow(tidy(store), "piece long, members long, low long, mixed boolean, union binary, matrix binary"))
+    filled = sets.select("rep", "shingles").join(small(home, n_met), "rep").select("piece", "rep", "grp", "many", "shingles")
+    pieces = written(filled.repartition("piece").sortWithinPartitions("piece", "rep").mapInArrow(tidy(store), "piece long, members long, low long, mixed boolean, union binary, matrix binary"))
 
     def beside(pairs: DataFrame, key: str, partner: str, columns: list[str]) -> DataFrame:
         """Columns of a piece beside each pair, WIDE pairs of a piece in a task."""
@@ -482,7 +504,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, id_col: str = "doc_
     joined = components(opened.where("n is null").select("u", "v"))
     linked = opened.where("n is not null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("linked")) if links else None
     labels = home.join(joined, F.col("grp") == F.col("node"), "left").select("rep", F.coalesce("label", "grp").alias("grp"))
-    return table, _marks(rows, reps, labels, linked, links)
+    return _marks(rows, reps, labels, linked, links)
 
 
 def _marks(rows: DataFrame, reps: DataFrame, labels: DataFrame | None, linked: DataFrame | None, links: bool) -> DataFrame:
