@@ -203,13 +203,11 @@ def label_conflicts(decisions: DataFrame) -> DataFrame:
 
 
 def source_histograms(rows: DataFrame, by: str, kinds: list[str]) -> DataFrame:
-    """For each value of ``by`` its occurrences and, for each kind column, its values with their counts as a map."""
+    """by, kind, value, n, occurrences: for each value of ``by`` and each kind column its values with their counts. Values stay rows, so
+    no key's values are ever held in one row."""
     total = rows.groupBy(by).agg(F.count(F.lit(1)).alias("occurrences"))
-    for k in kinds:
-        h = rows.where(F.col(k).isNotNull()).groupBy(by, k).agg(F.count(F.lit(1)).alias("n"))
-        h = h.groupBy(by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, "n")))).alias(f"{k}_counts"))
-        total = total.join(h, by, "left")
-    return total
+    each = [rows.where(F.col(k).isNotNull()).groupBy(by, F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")) for k in kinds]
+    return reduce(DataFrame.unionByName, each).join(total, by)
 
 
 def series_statistics(rows: DataFrame, key: str, series: str) -> DataFrame:

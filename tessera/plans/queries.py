@@ -146,12 +146,18 @@ def surface_variant_keys_query(spark, sf_dir):
     return adapters.table(spark, sf_dir, "part").select("p_partkey", pipe_join(F.array_sort(surface_variant_keys("p_name"))).alias("keys"))
 
 
-@query("lookup_queries")
+@query("lookup_queries", f"""WITH q AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) AS exact, {_SPACED} AS sep FROM part)
+SELECT p_partkey, 'exact' AS kind, exact AS query FROM q WHERE exact <> '' UNION ALL SELECT p_partkey, 'separator', sep FROM q WHERE sep <> '' AND sep <> exact
+UNION ALL SELECT p_partkey, 'joined', replace(sep, ' ', '') FROM q WHERE replace(sep, ' ', '') NOT IN ('', exact, sep)""")
 def lookup_queries_query(spark, sf_dir):
     return adapters.table(spark, sf_dir, "part").select("p_partkey", F.inline(lookup_queries("p_name")))
 
 
-@query("surface_key")
+_FOLDED = "translate(text, '‘’‛ʼ“”‐‑‒–—−', repeat(chr(39), 4) || repeat(chr(34), 2) || '------')"
+
+
+@query("surface_key", f"""WITH f AS (SELECT item_id, regexp_replace({_FOLDED}, '\\s*([-' || chr(39) || '])\\s*', '\\1', 'g') AS t FROM benchmark)
+SELECT item_id, trim(regexp_replace(lower(strip_accents(t)), '\\s+', ' ', 'g')) AS surface_key, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS display_surface FROM f""")
 def surface_key_query(spark, sf_dir):
     return adapters.table(spark, sf_dir, "benchmark").select("item_id", surface_key("text").alias("surface_key"), display_surface("text").alias("display_surface"))
 
@@ -171,9 +177,20 @@ def decision_status_query(spark, sf_dir):
     return o.select("o_orderkey", decision_status(explicit, F.lit(None).cast("string"), old).alias("status"))
 
 
-@query("crc_partitions")
+def _remainders() -> str:
+    """The 256 remainders of the CRC-32 polynomial, as a SQL list."""
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        out.append(str(n))
+    return "[" + ", ".join(out) + "]::BIGINT[]"
+
+
+@query("crc_partitions", f"""WITH b AS (SELECT p_partkey, p_name, list_prepend(4294967295::BIGINT, list_transform(string_split(p_name, ''), lambda c: ascii(c)::BIGINT)) AS bytes, {_remainders()} AS remainders FROM part)
+SELECT p_partkey, cast(xor(list_reduce(bytes, lambda crc, c: xor(crc >> 8, remainders[cast((xor(crc, c) & 255) + 1 AS INTEGER)])), 4294967295::BIGINT) % 16 AS INTEGER) AS part, sha256(p_name) AS digest FROM b""")
 def crc_partitions(spark, sf_dir):
-    return adapters.table(spark, sf_dir, "part").select("p_partkey", partition_of("p_name", 16).alias("part"), F.sha2("p_name", 256).alias("digest"))
+    return adapters.table(spark, sf_dir, "part").select("p_partkey", partition_of("p_name", 16).cast("int").alias("part"), F.sha2("p_name", 256).alias("digest"))
 
 
 @query("compare_statistics", """SELECT l_returnflag, count(*) AS n, round(avg(abs(l_extendedprice - l_quantity * 1000)), 4) AS mae, round(avg(abs((l_extendedprice - l_quantity * 1000) * 100 / nullif(l_quantity * 1000, 0))), 6) AS mape,
@@ -361,7 +378,19 @@ def kind_collisions(spark, sf_dir):
     return counts.flat(report.kind_collisions(table))
 
 
-@query("report_views")
+_VIEW_KEYS = {
+    "objects": ("entity_exists", "object", ""), "attributes": ("attribute_exists", "attribute, attribute_kind", ""), "actions": ("action_event", "action", ""),
+    "relations": ("relation", "source, relation, target", ""), "object_cooccurrence": ("object_pair_in_caption", "source_object, target_object", ""),
+    "attribute_object_pairs": ("has_attribute", "object, attribute, attribute_kind", ""), "patient_action_pairs": ("event_role", "target, action", "WHERE role = 'patient'"),
+    "agent_action_pairs": ("event_role", "target, action", "WHERE role = 'agent'"), "relation_components": ("relation_component", "relation, component_index, component", ""),
+}
+_VIEWS_SQL = f"WITH {adapters.GRAPH_SQL}, {adapters.OBJECTS_SQL}, r AS (SELECT caption_id, src, label, s, t FROM joined WHERE edge_type = 'event_role'), "
+_VIEWS_SQL += ", ".join(f"v_{v} AS (SELECT count(*) AS n FROM ({adapters.FACT_SQL[k]}) x {w} GROUP BY {c})" for v, (k, c, w) in _VIEW_KEYS.items())
+_VIEWS_SQL += ", v_patient_action_agent_triples AS (SELECT count(*) AS n FROM r p JOIN r a ON p.caption_id = a.caption_id AND p.src = a.src AND p.label = 'patient' AND a.label = 'agent' GROUP BY p.t, p.s, a.t) "
+_VIEWS_SQL += " UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS rows, cast(sum(n) AS BIGINT) AS total FROM v_{v}" for v in (*_VIEW_KEYS, "patient_action_agent_triples"))
+
+
+@query("report_views", _VIEWS_SQL)
 def report_views(spark, sf_dir):
     mentions, edges = adapters.graph(spark, sf_dir)
     facts = all_facts(mentions, edges, united=False)
@@ -511,9 +540,9 @@ def export_lexicon(spark, sf_dir):
     return inventory.export_lexicon(p)
 
 
-@query("source_histograms")
+@query("source_histograms", " UNION ALL ".join(f"SELECT p_brand, '{k}' AS kind, cast({k} AS VARCHAR) AS value, count(*) AS n, cast(sum(count(*)) OVER (PARTITION BY p_brand) AS BIGINT) AS occurrences FROM part GROUP BY p_brand, {k}" for k in ("p_type", "p_size")))
 def source_histograms(spark, sf_dir):
-    return counts.flat(inventory.source_histograms(adapters.table(spark, sf_dir, "part"), "p_brand", ["p_type"]).withColumn("p_type_counts", F.to_json("p_type_counts")))
+    return inventory.source_histograms(adapters.table(spark, sf_dir, "part"), "p_brand", ["p_type", "p_size"])
 
 
 @query("reuse_by_query", """WITH a AS (SELECT p_brand, min(p_type) AS syn FROM part WHERE p_size > 45 GROUP BY 1 HAVING count(DISTINCT p_type) = 1)
@@ -535,17 +564,27 @@ def json_events(spark, sf_dir):
 # --- extraction
 
 
-@query("golden_graph_mentions")
+def _golden(spark, sf_dir):
+    """The graph of one golden caption for each order."""
+    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
+    return extract(rows, golden.lexicons(spark), _cut)
+
+
+@query("golden_graph_mentions", golden.expected_sql(golden.MENTIONS, "mention_type, text, token_start, token_end"))
 def golden_graph_mentions(spark, sf_dir):
-    return extract(golden.captions(spark), golden.lexicons(spark), _cut)[0]
+    return _golden(spark, sf_dir)[0].select("caption_id", "mention_type", "text", "token_start", "token_end")
 
 
-@query("golden_graph_edges")
+@query("golden_graph_edges", golden.expected_sql(golden.EDGES, "edge_type, source, label, target, rule_id"))
 def golden_graph_edges(spark, sf_dir):
-    return extract(golden.captions(spark), golden.lexicons(spark), _cut)[1]
+    mentions, edges = _golden(spark, sf_dir)
+    for end in ("source", "target"):
+        names = mentions.select("caption_id", F.col("mention_id").alias(f"{end}_mention_id"), F.col("text").alias(end))
+        edges = edges.join(names, ["caption_id", f"{end}_mention_id"], "left")
+    return edges.select("caption_id", "edge_type", F.coalesce("source", F.lit("")).alias("source"), "label", F.coalesce("target", F.lit("")).alias("target"), "rule_id")
 
 
-@query("annotated_to_counts", """WITH c AS (SELECT o_orderkey % 13 AS k FROM orders), o(k, object, n) AS (VALUES (0, 'dog', 1), (0, 'ball', 1), (1, 'dog', 1), (1, 'bench', 1), (2, 'dog', 1), (3, 'dog', 1), (4, 'jersey', 1), (5, 'man', 1), (5, 'dog', 1), (6, 'dog', 1), (6, 'house', 1), (7, 'dog', 1), (7, 'bench', 1), (7, 'sign', 1), (8, 'dog', 1), (8, 'people', 1), (9, 'ball', 1), (9, 'dog', 1), (10, 'man', 1), (10, 'ball', 1), (11, 'house', 1), (12, 'dog', 1), (12, 'road', 1), (12, 'river', 1))
+@query("annotated_to_counts", """WITH c AS (SELECT o_orderkey % 13 AS k FROM orders), o(k, object, n) AS (VALUES (0, 'cat', 1), (0, 'kite', 1), (1, 'lamp', 1), (1, 'chair', 1), (2, 'boat', 1), (3, 'boat', 1), (4, 'curtain', 1), (5, 'girl', 1), (5, 'boat', 1), (6, 'lamp', 1), (6, 'desk', 1), (7, 'cat', 1), (7, 'desk', 1), (7, 'shelf', 1), (8, 'bird', 1), (8, 'girl', 1), (9, 'kite', 1), (9, 'bird', 1), (10, 'girl', 1), (10, 'lamp', 1), (11, 'shelf', 1), (12, 'boat', 1), (12, 'bridge', 1), (12, 'tower', 1))
 SELECT object, count(*) AS count, count(*) AS caption_count FROM c JOIN o USING (k) GROUP BY 1""")
 def annotated_to_counts(spark, sf_dir):
     """The whole path, from annotated captions (one for each order) to a count table."""
