@@ -138,6 +138,27 @@ IRREGULAR = {
 }
 
 
+def stems(col: Column | str) -> Column:
+    """Base forms that a label's last word may be an inflected form of: without a plural, past or -ing ending, and irregular ones by
+    IRREGULAR; the label itself is not among them."""
+    label = normalize_query(col)
+    last = F.regexp_extract(label, r"([^ ]*)$", 1)
+    front = F.regexp_extract(label, r"^(.*?)[^ ]*$", 1)
+    cut = lambda pattern, put: F.when(last.rlike(pattern), F.regexp_replace(last, pattern, put))
+    regular = [
+        cut("ies$", "y"), cut("(s|x|z|ch|sh)es$", "$1"), cut("([^s])s$", "$1"), cut("ied$", "y"), cut("ed$", ""), cut("ed$", "e"), cut("ing$", ""), cut("ing$", "e"),
+        cut(r"([b-df-hj-np-tv-z])\1(ed|ing)$", "$1"),
+    ]
+    back = {}
+    for base, forms in IRREGULAR.items():
+        for form in forms:
+            back.setdefault(form, []).append(base)
+    table = F.create_map(*(x for k, v in sorted(back.items()) for x in (F.lit(k), F.array(*map(F.lit, sorted(v))))))
+    found = F.concat(F.array_compact(F.array(*regular)), F.coalesce(table[last], F.array().cast("array<string>")))
+    found = F.filter(F.array_distinct(found), lambda x: (F.length(x) > 1) & (x != last))
+    return F.transform(found, lambda x: F.concat(front, x))
+
+
 def inflections(col: Column | str) -> Column:
     """Plural, past and -ing forms of a label's last word, the label first; irregular forms from IRREGULAR."""
     label = normalize_query(col)

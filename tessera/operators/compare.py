@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import band, relative_difference
-from ..functions.text import inflections, normalize_query, separator_variants
+from ..functions.text import inflections, normalize_query, separator_variants, stems
 
 
 def table_differences(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -16,17 +18,19 @@ def table_differences(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def matched_labels(labels: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """label, match, match_kind: exactly, else by another separator, else by an inflected form; the first kind that hits wins."""
+    """label, match, match_kind: exactly, else by another separator, else by a base form of the label, else by an inflected form of it; the
+    first kind that hits wins."""
     forms = [
         labels.select("label", F.lit(0).alias("rank"), normalize_query("label").alias("form")),
         labels.select("label", F.lit(1).alias("rank"), F.explode(separator_variants("label")).alias("form")),
-        labels.select("label", F.lit(2).alias("rank"), F.explode(inflections("label")).alias("form")),
+        labels.select("label", F.lit(2).alias("rank"), F.explode(stems("label")).alias("form")),
+        labels.select("label", F.lit(3).alias("rank"), F.explode(inflections("label")).alias("form")),
     ]
-    tried = forms[0].unionByName(forms[1]).unionByName(forms[2])
+    tried = reduce(DataFrame.unionByName, forms)
     hits = tried.join(vocabulary.select(normalize_query("term").alias("form"), F.col("term").alias("match")), "form")
     place = Window.partitionBy("label").orderBy("rank", "match")
     best = hits.withColumn("n", F.row_number().over(place)).where("n = 1")
-    kind = F.when(F.col("rank") == 0, "exact").when(F.col("rank") == 1, "separator").otherwise("inflection")
+    kind = F.when(F.col("rank") == 0, "exact").when(F.col("rank") == 1, "separator").when(F.col("rank") == 2, "stem").otherwise("inflection")
     return labels.join(best.select("label", "match", kind.alias("match_kind")), "label", "left")
 
 

@@ -58,26 +58,24 @@ def count_table(facts: DataFrame, spec: CountSpec) -> DataFrame:
 
     Facts are first counted by key and evidence as it stands, which hash aggregation does map-side without building any list; lists
     are united only over the distinct combinations. Captions are counted and chosen without ever holding a key's captions
-    together: a window group limit keeps EXAMPLES of a key in every task."""
-    keys, evidence = list(spec.keys), [*spec.extras, "raw_variants"]
+    together: a window group limit keeps EXAMPLES of a key in every task. The key is one struct throughout, so that the aggregates come out
+    partitioned alike and are joined without another exchange."""
+    evidence, key = [*spec.extras, "raw_variants"], F.struct(*spec.keys).alias("k")
     rules = [c for c in facts.columns if c == "rule_ids" or c.startswith("rules_")]
-    once = facts.groupBy(*keys, *evidence, *rules).agg(F.count(F.lit(1)).alias("_n"))
+    once = facts.groupBy(key, *evidence, *rules).agg(F.count(F.lit(1)).alias("_n"))
     all_rules = F.concat(*(F.flatten(F.collect_set(r)) for r in rules), F.array(F.lit(COUNT_RULE)))
-    main = once.groupBy(*keys).agg(
+    main = once.groupBy("k").agg(
         F.sum("_n").alias("count"),
         *(distinct_sorted(facts, x).alias(x) for x in evidence),
         F.array_sort(F.array_distinct(all_rules)).alias("rule_ids"),
     )
-    named = [F.col(k).alias(f"_{k}") for k in keys]
-    seen = facts.select(*named, "caption_id").distinct()
-    place = Window.partitionBy(*(f"_{k}" for k in keys)).orderBy("caption_id")
-    few = seen.withColumn("n", F.row_number().over(place)).where(F.col("n") <= EXAMPLES)
-    few = few.groupBy(*(f"_{k}" for k in keys)).agg(F.array_sort(F.collect_list("caption_id")).alias("example_caption_ids"))
-    total = seen.groupBy(*(F.col(f"_{k}").alias(f"__{k}") for k in keys)).agg(F.count(F.lit(1)).alias("caption_count"))
-    same = lambda a, b: reduce(lambda x, y: x & y, (F.col(f"{a}{k}").eqNullSafe(F.col(f"{b}{k}")) for k in keys))
-    out = main.join(few, same("", "_"), "left").join(total, same("", "__"), "left")
-    key = F.concat_ws(":", F.lit(spec.prefix), *keys)
-    return out.select(key.alias("count_key"), *keys, *spec.extras, "count", "caption_count", "example_caption_ids", "raw_variants", "rule_ids")
+    seen = facts.select(key, "caption_id").distinct()
+    few = seen.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("caption_id"))).where(F.col("n") <= EXAMPLES)
+    few = few.groupBy("k").agg(F.array_sort(F.collect_list("caption_id")).alias("example_caption_ids"))
+    total = seen.groupBy("k").agg(F.count(F.lit(1)).alias("caption_count"))
+    out = main.join(few, "k", "left").join(total, "k", "left").select("k.*", *evidence, "count", "caption_count", "example_caption_ids", "rule_ids")
+    name = F.concat_ws(":", F.lit(spec.prefix), *spec.keys)
+    return out.select(name.alias("count_key"), *spec.keys, *spec.extras, "count", "caption_count", "example_caption_ids", "raw_variants", "rule_ids")
 
 
 def ordered(table: DataFrame) -> DataFrame:
@@ -94,15 +92,23 @@ def count_tables(facts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {s.name: count_table(facts[s.fact_type], s) for s in SPECS}
 
 
-def triples(edges: DataFrame, mentions: DataFrame) -> DataFrame:
-    """patient, action, agent: the agents of each action mention times its patients."""
+TRIPLE = CountSpec("patient_action_agent_triples", "triple", "patient_action_agent", ("patient", "action", "agent"))
+
+
+def triple_facts(edges: DataFrame, mentions: DataFrame) -> DataFrame:
+    """caption_id, patient, action, agent: the agents of each action mention times its patients."""
     name = mentions.select("caption_id", F.col("mention_id").alias("id"), "canonical")
     roles = edges.where("edge_type = 'event_role'").select("caption_id", F.col("source_mention_id").alias("act"), F.col("target_mention_id").alias("id"), "canonical_label").join(name, ["caption_id", "id"])
     agents = roles.where("canonical_label = 'agent'").select("caption_id", "act", F.col("canonical").alias("agent"))
     patients = roles.where("canonical_label = 'patient'").select("caption_id", "act", F.col("canonical").alias("patient"))
     actions = name.select("caption_id", F.col("id").alias("act"), F.col("canonical").alias("action"))
-    each = agents.join(patients, ["caption_id", "act"]).join(actions, ["caption_id", "act"]).withColumns({"raw_variants": F.array().cast("array<string>"), "rule_ids": F.array().cast("array<string>")})
-    return count_table(each, CountSpec("patient_action_agent_triples", "triple", "patient_action_agent", ("patient", "action", "agent"))).drop("raw_variants")
+    return agents.join(patients, ["caption_id", "act"]).join(actions, ["caption_id", "act"]).select("caption_id", "patient", "action", "agent")
+
+
+def triples(edges: DataFrame, mentions: DataFrame) -> DataFrame:
+    """The table of patient, action, agent."""
+    none = F.array().cast("array<string>")
+    return count_table(triple_facts(edges, mentions).withColumns({"raw_variants": none, "rule_ids": none}), TRIPLE).drop("raw_variants")
 
 
 def merge(parts: list[DataFrame], spec: CountSpec) -> DataFrame:

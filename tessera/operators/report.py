@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import pipe_join, sorted_union
+from .fold import dimension
 
 # The views with their columns.
 _TAIL = ("count", "caption_count", "example_caption_ids")
@@ -121,7 +122,7 @@ def _clamp(n: int, to: tuple[int, int]) -> int:
     return min(max(n, to[0]), to[1])
 
 
-def rows(view: DataFrame, q: str = "", filters: dict[str, list[str]] | None = None, sort: str = DEFAULT_SORT, direction: str = DEFAULT_DIR, page: int = 1, page_size: int = 50) -> DataFrame:
+def rows(view: DataFrame, q: str = "", filters: dict[str, list[str]] | None = None, sort: str = DEFAULT_SORT, direction: str = DEFAULT_DIR, page: int = 1, page_size: int = 20) -> DataFrame:
     """One page of a view, with ``total`` matching rows on each. An unknown sort column means the default; ties go by _row_id."""
     size = _clamp(page_size, PAGE)
     by = sort if sort in view.columns else DEFAULT_SORT
@@ -164,12 +165,14 @@ _RENAMED = {
     "relations": ("relation", {"source_object": "source", "relation": "relation", "target_object": "target"}),
     "object_cooccurrence": ("object_pair_in_caption", {"source_object": "source_object", "target_object": "target_object"}),
     "attribute_object_pairs": ("has_attribute", {"object": "object", "attribute": "attribute", "attribute_kind": "attribute_kind"}),
+    "patient_action_agent_triples": ("triple", {"patient_object": "patient", "action": "action", "agent_object": "agent"}),
     "relation_components": ("relation_component", {"relation": "relation", "component_index": "component_index", "component": "component"}),
 }
 
 
 def caption_index(facts: dict[str, DataFrame], numbered_views: dict[str, DataFrame]) -> DataFrame:
-    """view_name, row_id, caption_id, each once. A row whose kinds are joined by a pipe stands for each of them."""
+    """view_name, row_id, caption_id, each once. A row whose kinds are joined by a pipe stands for each of them. ``facts`` has the kinds of
+    all_facts, and ``triple`` (counts.triple_facts) where that view is indexed; a view that is not known is an error."""
     each = []
     for name, view in numbered_views.items():
         if name in ("patient_action_pairs", "agent_action_pairs"):
@@ -179,12 +182,12 @@ def caption_index(facts: dict[str, DataFrame], numbered_views: dict[str, DataFra
             kind, columns = _RENAMED[name]
             found = facts[kind].select("caption_id", *(F.col(c).alias(k) for k, c in columns.items()))
         else:
-            continue
+            raise ValueError(f"no such view: {name}")
         keys = list(KEYS[name])
         named = view.select(F.col("_row_id").alias("row_id"), *keys)
         if "attribute_kind" in keys:
             named = named.withColumn("attribute_kind", F.explode(F.split("attribute_kind", "[|]")))
-        each.append(found.distinct().join(named, keys).select(F.lit(name).alias("view_name"), "row_id", "caption_id"))
+        each.append(found.distinct().join(dimension(named), keys).select(F.lit(name).alias("view_name"), "row_id", "caption_id"))
     return reduce(DataFrame.unionByName, each).distinct()
 
 

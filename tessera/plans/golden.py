@@ -60,7 +60,7 @@ EDGES = {
 
 SINGULAR = {"cats": "cat", "chairs": "chair", "boats": "boat", "curtains": "curtain", "girls": "girl", "birds": "bird"}
 OBJECTS = (*SINGULAR, "boat", "bridge", "desk", "girl", "kite", "lamp", "shelf", "top", "tower", "window")
-ACTIONS = ("wait for", "follow", "sing", "dance", "sleep")
+ACTIONS = ("waits for", "follow", "sing", "dance", "sleep")
 PHRASES = ("dark green", "pale yellow")
 PREPOSITIONS = ("on top of", "top of", "ahead of")
 

@@ -355,6 +355,19 @@ def caption_index(spark, sf_dir):
     return report.caption_index(facts, {"attribute_object_pairs": view})
 
 
+@query("triple_index", f"""WITH {adapters.GRAPH_SQL}, r AS (SELECT caption_id, src, label, s, t FROM joined WHERE edge_type = 'event_role'),
+tf AS (SELECT p.caption_id, p.t AS patient, p.s AS action, a.t AS agent FROM r p JOIN r a ON p.caption_id = a.caption_id AND p.src = a.src AND p.label = 'patient' AND a.label = 'agent'),
+tv AS (SELECT row_number() OVER (ORDER BY count(*) DESC, patient, action, agent) AS row_id, patient, action, agent FROM tf GROUP BY 2, 3, 4)
+SELECT DISTINCT 'patient_action_agent_triples' AS view_name, row_id, caption_id FROM tf JOIN tv USING (patient, action, agent)""")
+def triple_index(spark, sf_dir):
+    mentions, edges = adapters.graph(spark, sf_dir)
+    none = F.array().cast("array<string>")
+    view = counts.triples(edges, mentions).withColumnsRenamed({"patient": "patient_object", "agent": "agent_object"})
+    view = view.withColumns({f"{x}_raw_surfaces": none for x in ("patient_object", "action", "agent_object")})
+    numbered = report.numbered(view, "patient_action_agent_triples", _cut)
+    return report.caption_index({"triple": counts.triple_facts(edges, mentions)}, {"patient_action_agent_triples": numbered})
+
+
 @query("row_captions", f"WITH {_PAIR_SQL}, c AS (SELECT DISTINCT f.caption_id FROM fact f JOIN v USING (object, attribute, attribute_kind) WHERE v.row_id = 3 ORDER BY 1 LIMIT 10 OFFSET 10) SELECT caption_id, o_orderpriority AS caption FROM ord JOIN c USING (caption_id)")
 def row_captions(spark, sf_dir):
     facts, view = _pair_view(spark, sf_dir)
@@ -495,11 +508,19 @@ def count_comparison(spark, sf_dir):
     return compare.count_comparison(*halves, "object").withColumn("difference", F.round("difference", 8))
 
 
-@query("label_matches")
+#: Words of the vocabulary that the labels are matched with, beside those that the labels are made of.
+_TERMS = "WITH t AS (SELECT DISTINCT lower(p_type) || ' ' || w AS term FROM part, (VALUES ('box'), ('berry'), ('person'), ('walk'), ('bake')) v(w) UNION SELECT DISTINCT replace(lower(p_type), ' ', '-') || '-traffic-light' FROM part)"
+_MADE = "lower(p_type) || ' ' || CASE p_partkey % 8 WHEN 0 THEN 'box' WHEN 1 THEN 'boxes' WHEN 2 THEN 'berries' WHEN 3 THEN 'people' WHEN 4 THEN 'walked' WHEN 5 THEN 'baking' WHEN 6 THEN 'traffic light' ELSE 'zebra' END"
+
+
+@query("label_matches", f"""{_TERMS}, l AS (SELECT DISTINCT {_MADE} AS label, p_partkey % 8 AS k, lower(p_type) AS p FROM part)
+SELECT label, CASE k WHEN 0 THEN label WHEN 1 THEN p || ' box' WHEN 2 THEN p || ' berry' WHEN 3 THEN p || ' person' WHEN 4 THEN p || ' walk' WHEN 5 THEN p || ' bake' WHEN 6 THEN replace(p, ' ', '-') || '-traffic-light' END AS match,
+       CASE WHEN k = 0 THEN 'exact' WHEN k = 6 THEN 'separator' WHEN k < 6 THEN 'stem' END AS match_kind FROM l""")
 def label_matches(spark, sf_dir):
-    labels = spark.createDataFrame([("boxes",), ("Traffic Light",), ("running",), ("box",), ("people",)], "label string")
-    words = spark.createDataFrame([("box",), ("traffic-light",), ("run",), ("person",), ("boxes",)], "term string")
-    return compare.matched_labels(labels, words)
+    p = adapters.table(spark, sf_dir, "part")
+    words = p.select(F.lower("p_type").alias("t"), F.explode(F.array(*map(F.lit, ("box", "berry", "person", "walk", "bake")))).alias("w"))
+    hyphens = p.select(F.concat(F.replace(F.lower("p_type"), F.lit(" "), F.lit("-")), F.lit("-traffic-light")).alias("term"))
+    return compare.matched_labels(p.select(F.expr(_MADE).alias("label")).distinct(), words.select(F.concat_ws(" ", "t", "w").alias("term")).unionByName(hyphens).distinct())
 
 
 @query("caption_sets", f"WITH {adapters.GRAPH_SQL} SELECT DISTINCT lower(canonical) AS term, caption_id FROM mention WHERE mention_type = 'object' AND canonical IN ('Brand#1', 'Brand#7')")

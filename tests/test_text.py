@@ -29,6 +29,12 @@ def test_surface_key_strips_accents_and_folds(spark):
     assert one(spark, "Café – Crème ’s", text.surface_key("v")) == "cafe-creme's"
 
 
+def test_stems(spark):
+    for label, base in (("dogs", "dog"), ("red berries", "red berry"), ("boxes", "box"), ("walked", "walk"), ("baked", "bake"), ("running", "run"), ("stopped", "stop"), ("two people", "two person"), ("carried", "carry")):
+        assert base in one(spark, label, text.stems("v"))
+    assert one(spark, "glass", text.stems("v")) == []
+
+
 def test_inflections(spark):
     assert {"boxes", "boxed", "boxing"} <= set(one(spark, "box", text.inflections("v")))
     assert {"red berries", "red berried"} <= set(one(spark, "red berry", text.inflections("v")))
