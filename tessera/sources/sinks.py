@@ -28,15 +28,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot rename {part} to {path}")
+    options = jvm.org.apache.hadoop.fs.Options
+    how = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)
+    how[0] = getattr(options, "Rename").OVERWRITE  # replaces the old file in one step, so there is always one of them
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), fs.makeQualified(target), how)
 
 
 def write_count_table(table: DataFrame, path: str) -> None:
-    """A tab-separated file: lists pipe-joined, most frequent first, the header there even without rows."""
-    flat(ordered(table)).coalesce(1).write.mode("overwrite").options(sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="").csv(path)
+    """Tab-separated part files, in order: lists pipe-joined, most frequent first, a header in each, and one there even without rows. The
+    global sort stays distributed; no task sees the whole table."""
+    flat(ordered(table)).write.mode("overwrite").options(sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="").csv(path)
 
 
 def write_facts(facts: DataFrame, path: str, mode: str = "write") -> None:
@@ -59,7 +60,7 @@ def write_lexicons(lexicons: dict[str, DataFrame], path: str) -> dict[str, int]:
     """Lexicon files and a state file with their sizes."""
     sizes = {}
     for name, rows in lexicons.items():
-        rows.coalesce(1).write.mode("overwrite").options(sep="\t", header=True, quote="").csv(f"{path}/{name}.tsv")
+        rows.write.mode("overwrite").options(sep="\t", header=True, quote="").csv(f"{path}/{name}.tsv")
         sizes[name] = rows.count()
     write_text(next(iter(lexicons.values())).sparkSession, f"{path}/state.json", json.dumps(sizes, sort_keys=True))
     return sizes

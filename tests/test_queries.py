@@ -2,7 +2,7 @@
 
 import pytest
 
-from tessera.plans import queries
+from tessera.plans import queries, round_trips  # noqa: F401 - registers its queries
 from tests.oracle import assert_same, connect
 
 
