@@ -58,6 +58,7 @@ class Kind:
         self.without_sense, self.none_reason, self.manual_reason = without_sense, none_reason, manual_reason
 
 
+# What a decision is called where no sense is found, and where one must be made by hand.
 OBJECT = Kind("object", OBJECT_LEXFILES, CONDITIONAL_OBJECT_LEXFILES, "excluded", "no_oewn_noun_synset", "manual_objectness_required")
 ATTRIBUTE = Kind("attribute", ATTRIBUTE_LEXFILES, CONDITIONAL_ATTRIBUTE_LEXFILES, "chosen", "no_oewn_attribute_synset", "manual_attribute_gate_required")
 

@@ -29,6 +29,7 @@ class CountSpec:
 
 _ENDS = tuple(f"{end}_parent_{what}" for end in ("source", "target") for what in ("concepts", "synset_ids"))
 
+# The count tables with their columns.
 SPECS = (
     CountSpec("object_counts", "entity_exists", "object", ("object",), ("parent_concepts", "parent_synset_ids")),
     CountSpec("attribute_counts", "attribute_exists", "attribute", ("attribute", "attribute_kind")),

@@ -24,7 +24,7 @@ VIEWS: dict[str, tuple[str, ...]] = {
     "patient_action_agent_triples": ("patient_object", "patient_object_raw_surfaces", "action", "action_raw_surfaces", "agent_object", "agent_object_raw_surfaces", *_TAIL),
     "relation_components": ("relation", "component_index", "component", *_TAIL),
 }
-#: The columns that name a row of a view.
+# The columns that name a row of a view.
 KEYS: dict[str, tuple[str, ...]] = {
     "objects": ("canonical_object",), "attributes": ("canonical_attribute", "attribute_kind"), "actions": ("canonical_action",),
     "relations": ("source_object", "relation", "target_object"), "object_cooccurrence": ("source_object", "target_object"),
