@@ -42,6 +42,8 @@ SWEEPS, BURN_IN, SAMPLES = 3, 2, 4
 BUCKET, BLOCK = 3_000_000, 2_500_000
 #: A rarer context is named by the first 48 bits of its hash: two of ten million words share a name with a chance of one in six.
 NAME = np.uint64(2**64 - 2**16)
+#: Logarithms of a text's tokens in a bucket are sent as multiples of this.
+UNIT = 2.0**-32
 END = int(mix(np.array([2**63 + 5], dtype=np.uint64))[0])
 
 
@@ -193,6 +195,17 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """A checkpoint that still knows by what its rows are partitioned; one made under adaptive execution does not."""
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut(df)
+    finally:
+        conf.set(name, before)
+
+
 def _ascending(steps: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return np.cumsum(steps, dtype=np.uint64)
@@ -242,15 +255,15 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return np.where(keys[at] == wanted, values[at], 0.0)
 
 
-def _by_text(owners: list[np.ndarray], lengths: list[int], *columns: np.ndarray):
-    """For each block its texts and the sums of the columns over their tokens, as bytes."""
+def _by_text(owners: list[np.ndarray], lengths: list[int], log: np.ndarray, plain: np.ndarray, known: np.ndarray):
+    """For each block its texts, and sums over their tokens: known ones, and both logarithms in whole parts of UNIT."""
     first = 0
     for owner, n in zip(owners, lengths, strict=True):
         part = slice(first, first + n)
         first += n
         texts = np.flatnonzero(np.bincount(owner))
-        sums = [np.bincount(owner, weights=x[part])[texts] for x in columns]
-        yield np.concatenate([texts.astype("<f8"), *sums]).astype("<f8").tobytes()
+        logs = (np.rint(-np.bincount(owner, weights=x[part])[texts] / UNIT).astype(np.uint64) for x in (log, plain))
+        yield _dump(texts.astype(np.uint16), np.bincount(owner, weights=known[part])[texts].astype(np.uint32), *logs)
 
 
 def _pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray | None, contexts: int) -> tuple[np.ndarray, ...]:
@@ -350,26 +363,25 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
 
     packed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("load", T.BinaryType())])
     dealt = rows.mapInArrow(tidy(spread), packed).withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("chunk")).otherwise(F.col("bucket")))
-    dealt = cut(dealt.repartition(2 * buckets, "at").sortWithinPartitions("bucket", "chunk").drop("at"))
+    dealt = _placed(dealt.repartition(2 * buckets, "at").sortWithinPartitions("bucket", "chunk"))
 
     def by_bucket(batches):
-        """(number, blocks, notes) of each bucket; rows: bucket, part, load and, where there are notes, whether a row is one."""
-        number, blocks, notes = None, [], []
+        """(number, blocks) of each bucket; rows: bucket, part, load."""
+        number, blocks = None, []
         for batch in batches:
-            told = batch.column(3).to_pylist() if batch.num_columns > 3 else [False] * len(batch)
-            for b, c, raw, note in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), told, strict=True):
-                if b != number and (blocks or notes):
-                    yield number, blocks, notes
-                    blocks, notes = [], []
+            for b, c, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if b != number and blocks:
+                    yield number, blocks
+                    blocks = []
                 number = b
-                (notes if note else blocks).append((c, raw.as_py()))
-        if blocks or notes:
-            yield number, blocks, notes
+                blocks.append((c, raw.as_py()))
+        if blocks:
+            yield number, blocks
 
     def usual_counts(batches):
         """Counts of (context, frequent word) in the training texts of a task; for context 0, how many rarer contexts the word has."""
         total = np.zeros((size + 1) * size, np.int64)
-        for b, blocks, _ in by_bucket(batches):
+        for b, blocks in by_bucket(batches):
             if b >= 0:
                 total[:size] += np.bincount(Followers(b, blocks, size, seed, discounts[1]).word, minlength=size)
                 continue
@@ -381,6 +393,7 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
     blocks = dealt.select("bucket", F.col("chunk").alias("part"), "load")
+    placed = dealt.select("at", "bucket", F.col("chunk").alias("part"), "load")
     if size:
         found = blocks.where((F.col("bucket") < 0) | (F.col("bucket") >= buckets)).mapInArrow(tidy(usual_counts), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # (CONTEXTS + 1) CONTEXTS rows at most
         pair, times = (found.column(x).to_numpy() for x in ("pair", "n"))
@@ -418,7 +431,7 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
 
     def gather(batches):
         """Seats the rarer words; notes to the buckets of the rarer contexts, and the frequent contexts' totals (bucket -1)."""
-        for number, own, _ in by_bucket(batches):
+        for number, own in by_bucket(batches):
             b = Bucket(number, own)
             for _ in range(SWEEPS):
                 guess = buckets * b.seating.totals()  # a bucket is a fair sample of the rarer words
@@ -448,10 +461,15 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
             out[r["k"]] = r["x"]
         return out
 
-    def told(own, notes):
-        """Blocks of buckets, then the notes to them."""
-        both = own.withColumn("note", F.lit(False)).unionByName(notes.where("bucket >= 0").withColumn("note", F.lit(True)))
-        return both.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket", "note", "part")
+    def told(own, notes, run, schema):
+        """``run`` over number, blocks and notes of each bucket. Blocks stay in the partitions that the checkpoint keeps; only notes move."""
+        notes = notes.where("bucket >= 0").select(F.col("bucket").alias("at"), "part", "load").repartition(2 * buckets, "at")
+
+        def together(key, left, right):
+            rows_ = [sorted(zip(x.column("part").to_pylist(), x.column("load").to_pylist(), strict=True)) for x in (left, right)]
+            return pa.Table.from_batches(tidy(lambda sides_: run(key[0].as_py(), *sides_))(rows_))
+
+        return own.groupBy("at").cogroup(notes.groupBy("at")).applyInArrow(together, schema)
 
     sent = cut(blocks.where(F.col("bucket").between(0, buckets - 1)).mapInArrow(tidy(gather), note))
     rarer = summed(sent, 2 * (size + 1)).reshape(size + 1, 2)
@@ -459,28 +477,27 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
         usual.sweep(rarer + usual.totals())
     guess = usual.parent(rarer + usual.totals())[:size]
 
-    def seat(batches):
+    def seat(number, own, notes):
         """Seats the frequent words in the rarer contexts; the contexts' totals to all who have them, and each word's tables (bucket -1)."""
-        for number, own, notes in by_bucket(batches):
-            b, told_ = Followers(number, own, size, seed, discounts[1]), [(i, _load(raw)) for i, raw in notes]
-            told_ = [(i, _ascending(x[0]), x[1], x[2]) for i, x in told_]
-            names, at = np.unique(np.concatenate([b.names, *(x[1] for x in told_)]), return_inverse=True)
-            at = np.split(at, np.cumsum([len(b.names)] + [len(x[1]) for x in told_])[:-1])
-            others = np.zeros((len(names), 2))
-            for place, (_, _, c, t) in zip(at[1:], told_, strict=True):
-                others[place, 0] += c
-                others[place, 1] += t
-            for _ in range(SWEEPS):
-                b.sweep(others[at[0], 1] + b.totals()[:, 1], guess)
-            others[at[0]] += b.totals()
-            total = others.astype(np.uint64)
-            out = [(-1, number, np.bincount(b.word, weights=b.t, minlength=size).astype("<f8").tobytes())]
-            for i, place in zip([number, *(x[0] for x in told_)], at, strict=True):
-                if len(place):
-                    out.append((i, number, _dump(total[place, 0], total[place, 1])))
-            yield notes_of(out)
-
-    replies = cut(told(blocks.where(F.col("bucket") >= buckets), sent).mapInArrow(tidy(seat), note))
+        b, told_ = Followers(number, own, size, seed, discounts[1]), [(i, _load(raw)) for i, raw in notes]
+        told_ = [(i, _ascending(x[0]), x[1], x[2]) for i, x in told_]
+        names, at = np.unique(np.concatenate([b.names, *(x[1] for x in told_)]), return_inverse=True)
+        at = np.split(at, np.cumsum([len(b.names)] + [len(x[1]) for x in told_])[:-1])
+        others = np.zeros((len(names), 2))
+        for place, (_, _, c, t) in zip(at[1:], told_, strict=True):
+            others[place, 0] += c
+            others[place, 1] += t
+        for _ in range(SWEEPS):
+            b.sweep(others[at[0], 1] + b.totals()[:, 1], guess)
+        others[at[0]] += b.totals()
+        total = others.astype(np.uint64)
+        out = [(-1, number, np.bincount(b.word, weights=b.t, minlength=size).astype("<f8").tobytes())]
+        for i, place in zip([number, *(x[0] for x in told_)], at, strict=True):
+            if len(place):
+                out.append((i, number, _dump(total[place, 0], total[place, 1])))
+        yield notes_of(out)
+
+    replies = cut(told(placed.where(F.col("bucket") >= buckets), sent, seat, note))
     usual.direct = summed(replies, size)
     for _ in range(SWEEPS):
         usual.sweep(rarer + usual.totals())
@@ -495,22 +512,21 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
         usual_log = docs.sparkSession.sparkContext.broadcast(np.log10(matrix))  # (CONTEXTS + 1) CONTEXTS numbers
     usual_plain = np.log10(often + 0.1) - floor
 
-    def judge(batches):
-        """For each bucket and block: known words, base and model score of each text."""
-        for number, own, notes in by_bucket(batches):
-            tail = np.concatenate([np.zeros((0, 2)), *(np.stack(_load(raw), axis=1).astype(np.float64) for _, raw in notes)])
-            if number >= buckets:
-                b = Followers(number, own, size, seed, discounts[1])
-                log, plain, known = np.log10(b.probabilities(tail, base)), usual_plain[b.rank], np.ones(len(b.rank))
-            else:
-                b = Bucket(number, own)
-                every = np.concatenate([totals, tail])
-                own_, parent = b.seating.averaged(every)
-                prob = parent_share(every, discounts[1])[b.context] * parent[:-1][b.word] + _found(b.key, own_, b.word * (b.contexts + 1) + b.context)
-                log, plain, known = np.log10(prob), np.log10(b.known[b.word] + 0.1) - floor, b.known[b.word] > 0
-            yield pa.RecordBatch.from_arrays([pa.array(b.chunks, pa.int64()), pa.array(_by_text(b.owner, b.lengths, log, plain, known), pa.binary())], names=["chunk", "load"])
-
-    sums = told(blocks.where("bucket >= 0"), replies).mapInArrow(tidy(judge), "chunk long, load binary").select("chunk", F.lit(1).alias("part"), F.lit(None).cast(T.ArrayType(kind)).alias("ids"), "load")
+    def judge(number, own, notes):
+        """For each block of a bucket: known words, base and model score of each text."""
+        tail = np.concatenate([np.zeros((0, 2)), *(np.stack(_load(raw), axis=1).astype(np.float64) for _, raw in notes)])
+        if number >= buckets:
+            b = Followers(number, own, size, seed, discounts[1])
+            log, plain, known = np.log10(b.probabilities(tail, base)), usual_plain[b.rank], np.ones(len(b.rank))
+        else:
+            b = Bucket(number, own)
+            every = np.concatenate([totals, tail])
+            own_, parent = b.seating.averaged(every)
+            prob = parent_share(every, discounts[1])[b.context] * parent[:-1][b.word] + _found(b.key, own_, b.word * (b.contexts + 1) + b.context)
+            log, plain, known = np.log10(prob), np.log10(b.known[b.word] + 0.1) - floor, b.known[b.word] > 0
+        yield pa.RecordBatch.from_arrays([pa.array(b.chunks, pa.int64()), pa.array(_by_text(b.owner, b.lengths, log, plain, known), pa.binary())], names=["chunk", "load"])
+
+    sums = told(placed.where("bucket >= 0"), replies, judge, "chunk long, load binary").select("chunk", F.lit(1).alias("part"), F.lit(None).cast(T.ArrayType(kind)).alias("ids"), "load")
     heads = dealt.where("bucket < 0").select("chunk", F.lit(0).alias("part"), "ids", "load")
     out = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
@@ -531,9 +547,8 @@ def score(docs: DataFrame, held: str, contexts: int = CONTEXTS, id_col: str = "d
                     context, rank = context.astype(np.int64), rank.astype(np.int64)
                     head = (ids.values, flags, per_text, places.astype(np.float64), *(np.bincount(owner, weights=x, minlength=len(flags)).astype(np.float64) for x in (usual_plain[rank], usual_log.value[context, rank])))
                 else:
-                    texts, log, plain, known = np.frombuffer(raw, "<f8").reshape(4, -1)
-                    texts = texts.astype(np.int64)
-                    for total, more in zip(head[3:], (known, plain, log), strict=True):
+                    texts, known, log, plain = _load(raw)
+                    for total, more in zip(head[3:], (known, plain * -UNIT, log * -UNIT), strict=True):
                         total[texts] += more
         if head:
             yield done()
