@@ -14,7 +14,8 @@ Documents are sets of word shingles (64-bit hashes). Equal sets count as one. Th
 
 Pieces are compared inside a group too, so every link between different sets is found once and counted for both ends, weighted by the
 rows of the other end's set; a row's equals are its links as well. A group of m near copies has about m^2 links, and counting them costs as
-much; a caller that needs the components only leaves out pairs of pieces inside one group (links=False). The order of shingles comes from a sketch of
+much; a caller that needs the components only leaves out pairs of pieces inside one group (links=False), and only then the comparison
+of step 1 is worth its exchange: where all links are counted every set is a group of its own until the pieces are opened. The order of shingles comes from a sketch of
 their frequencies over all documents; any order gives the same result.
 
 Rows are numbered when they are first read, and all steps go by that number, so ids may be repeated or null. Defined cases: a null or
@@ -224,6 +225,23 @@ def meet(p: Piece, q: Piece, percent: int) -> np.ndarray:
     return hits & (p.reps[:, None] != q.reps)
 
 
+def stars(a: np.ndarray, b: np.ndarray):
+    """Pairs that connect what the pairs (a, b) connect: the smallest of each component with every other."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = np.split(at, 2)
+    label, every = np.arange(len(names)), np.arange(len(names))
+    while True:
+        low, least = label.copy(), np.minimum(label[u], label[v])
+        np.minimum.at(low, u, least)
+        np.minimum.at(low, v, least)
+        low = low[low]
+        if np.array_equal(low, label):
+            break
+        label = low
+    at = every[label != every]
+    return zip(names[label[at]].tolist(), names[at].tolist(), strict=True)
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) and, unless ``links`` is False, n_links (the other rows that are similar) for every row."""
     return jaccard_marks(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), words, percent, links).drop("uid", "first")
@@ -373,14 +391,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
             texts = docs.join(small(ids, n_shared), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text", no.alias("digest"))
             more = texts.mapInArrow(tidy(sets_of), "digest binary, shingles binary").join(small(shared, n_shared), "digest")
             sets = sets.unionByName(more.select("rep", "hub", "digest", "shingles"))
-    sets = written(sets.drop("digest"))
-
-    # 1: each set against its hub, in lanes of the hub's members
-    lanes = met.where("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes"))
-    lanes = cut(lanes)
-    lanes = small(lanes, lanes.count())
-    members = sets.where("hub is not null").join(lanes, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), "rep", "shingles")
-    heads = sets.drop("hub").join(lanes, F.col("rep") == F.col("hub")).select("hub", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast("long").alias("rep"), "shingles")
+    sets = sets.drop("digest")
 
     def compare(batches):
         hub = None
@@ -395,15 +406,23 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
                     vs.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    met_hubs = members.unionByName(heads).repartition("hub", "lane").sortWithinPartitions("hub", "lane", F.col("rep").asc_nulls_first())
-    groups = components(met_hubs.mapInArrow(tidy(compare), "u long, v long"))
-    groups = groups.select(F.col("node").alias("rep"), F.col("label").alias("grp"))
+    if not links:  # 1: each set against its hub, in lanes of the hub's members
+        sets = written(sets)
+        lanes = met.where("hub is not null").groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LANE).cast("int").alias("lanes"))
+        lanes = cut(lanes)
+        lanes = small(lanes, lanes.count())
+        members = sets.where("hub is not null").join(lanes, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("lanes")).cast("int").alias("lane"), "rep", "shingles")
+        heads = sets.drop("hub").join(lanes, F.col("rep") == F.col("hub")).select("hub", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"), F.lit(None).cast("long").alias("rep"), "shingles")
+        met_hubs = members.unionByName(heads).repartition("hub", "lane").sortWithinPartitions("hub", "lane", F.col("rep").asc_nulls_first())
+        groups = components(met_hubs.mapInArrow(tidy(compare), "u long, v long"))
+        groups = groups.select(F.col("node").alias("rep"), F.col("label").alias("grp"))
 
     # 2: pieces of sets with a common hub (two steps up): which of them must look at each other
     up = met.select(F.col("rep").alias("hub"), F.col("hub").alias("above"))
     own = met.join(up, "hub", "left").select("rep", "n", F.coalesce("above", "hub", "rep").alias("c"))
     split = cut(own.groupBy("c").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / CELLS)).alias("chunks")))
-    home = own.join(small(split, split.count()), "c").join(groups, "rep", "left").join(reps.select("rep", "many"), "rep")
+    home = own.join(small(split, split.count()), "c").join(reps.select("rep", "many"), "rep")
+    home = home.withColumn("grp", F.col("rep")) if links else home.join(groups, "rep", "left")
     piece = F.xxhash64("c", F.pmod(F.xxhash64("rep"), "chunks"))
     home = cut(home.select("rep", "n", piece.alias("piece"), F.coalesce("grp", "rep").alias("grp"), "many"))
     seen = posts.select("token", "rep").join(home, "rep").groupBy("token", "piece")
@@ -493,8 +512,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
                         reps_.append(q.reps)
                         counts.append(p.many @ hits)
                 a, b = np.nonzero(hits)
-                a, b = p.groups[a], q.groups[b]
-                joined |= set(zip(np.minimum(a, b)[a != b].tolist(), np.maximum(a, b)[a != b].tolist(), strict=True))
+                joined |= set(stars(p.groups[a], q.groups[b]))
             rep, at = np.unique(np.concatenate([np.zeros(0, np.int64), *reps_]), return_inverse=True)
             n = np.bincount(at, weights=np.concatenate([np.zeros(0), *counts]), minlength=len(rep)).astype(np.int64)
             us, vs, ns = [x for x, _ in joined] + rep.tolist(), [x for _, x in joined] + [None] * len(rep), [None] * len(joined) + n.tolist()
