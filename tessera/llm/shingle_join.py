@@ -50,6 +50,8 @@ DENSE = 1 << 22
 STEP = 100
 #: Postings that a block or a bucket holds, about.
 BLOCK = 1_500_000
+#: Bitmaps of 4 KB, for 32,768 row numbers each, that may be broadcast.
+BITMAPS = 8192
 #: The sketch's counters, as a power of two, and its parts.
 SKETCH, PARTS = 21, 32
 
@@ -350,7 +352,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
         if loads:
             yield together(loads)
 
-    fronts = some.join(reps.select("rep"), F.col("uid") == F.col("rep"), "left_semi").select("uid", F.col("n_shingles"), "front")
+    fronts = _chosen(some, reps.select("rep")).select("uid", F.col("n_shingles"), "front")
     dealt = fronts.mapInArrow(tidy(post), "bucket long, load binary")
     dealt = dealt.withColumn("at", F.when(F.col("bucket") < 0, F.xxhash64("load")).otherwise(F.col("bucket")))
     dealt = dealt.repartition(buckets, "at").sortWithinPartitions("bucket").select("bucket", "load")
@@ -525,6 +527,19 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
     return _marks(rows, reps, labels, linked, links)
 
 
+def _chosen(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """The rows whose uid is a rep, by bitmaps of the reps, so that rows need no exchange; beyond BITMAPS of them by a shuffle."""
+    block = F.bitmap_bucket_number("rep").alias("block")
+    maps = reps.select("rep", block).repartition("block").groupBy("block").agg(F.bitmap_construct_agg(F.bitmap_bit_position("rep")).alias("bits"))
+    maps = cut(maps)
+    if maps.count() > BITMAPS:
+        return rows.join(reps, F.col("uid") == F.col("rep"), "left_semi")
+    place = "cast(bitmap_bit_position(uid) AS int)"
+    byte = f"cast(conv(hex(substring(bits, cast({place} div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    found = rows.join(F.broadcast(maps), F.bitmap_bucket_number("uid") == F.col("block"))
+    return found.where(f"shiftright({byte}, {place} % 8) & 1 = 1").drop("block", "bits")
+
+
 def _marks(rows: DataFrame, reps: DataFrame, labels: DataFrame | None, linked: DataFrame | None, links: bool) -> DataFrame:
     """Every row with the component and the links of its set; labels: (rep, grp), linked: (rep, linked) of the sets that have company.
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import common, licenses, neighbours
+from tessera.llm import common, licenses, neighbours, shingle_join
 from tessera.llm.shingle_join import Piece, jaccard_components, meet, one_of_each
 
 # --- nearest neighbours
@@ -336,3 +336,18 @@ def test_one_of_each_goes_by_rows(spark):
     kept = one_of_each(df)
     assert kept.columns == df.columns
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in (rows[0], rows[2], rows[4], rows[5]))
+
+
+def test_rows_are_chosen_by_bitmaps_as_by_a_join(spark, monkeypatch):
+    rows = spark.range(0, 70_000, 1, 3).select(F.monotonically_increasing_id().alias("uid"))
+    reps = rows.where("uid % 7 = 0 or uid % 32768 in (0, 1, 32767)").select(F.col("uid").alias("rep"))
+    got = shingle_join._chosen(rows, reps)
+    monkeypatch.setattr(shingle_join, "BITMAPS", -1)
+    want = shingle_join._chosen(rows, reps)
+    assert got.count() == want.count() > 10_000 and not got.exceptAll(want).count()
+    assert not shingle_join._chosen(rows, reps.where("false")).count()
+
+
+def test_stars_connect_what_pairs_connect():
+    a, b = np.array([5, 9, 9, 2, 40]), np.array([9, 7, 3, 2, 41])
+    assert sorted(shingle_join.stars(a, b)) == [(3, 5), (3, 7), (3, 9), (40, 41)]
