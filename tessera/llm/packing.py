@@ -5,8 +5,9 @@ has at most ``capacity`` entries whatever the corpus, so the packing itself is s
 best-fit decreasing gives the first incumbent; bin completion then takes the largest length left and enumerates the fillings around
 it lazily, least waste first, leaving out dominated ones (a filling beside which another piece would fit, and all others where one
 piece fills the room), prunes by the waste that an improvement may still spend, and applies a filling as often as the counts
-allow, on the way back also once. The search ends when the lower bound is reached, when all is enumerated, or after NODES
-fillings beyond the first descent; every row tells the sequences used and the lower bound, so that the gap is seen.
+allow, on the way back also once. The search ends when the lower bound is reached, when all is enumerated, or when its STEPS are
+used up: every filling, every way back and every step inside an enumeration counts, dead ends too. The best packing found
+stands then; every row tells the sequences used and the lower bound, so that the gap is seen.
 Each piece finds its place from its length and rank with a table of filling runs; ranks follow the order of the input's files, so of
 pieces with equal lengths those that come first in the table come first in the packing.
 
@@ -32,8 +33,8 @@ from .common import BROADCAST_ROWS, cut, lean, small, tidy
 CAPACITY = 2048
 #: The id after each document.
 END = 0
-#: Fillings that the branch and bound may try beyond its first descent.
-NODES = 20_000
+#: Steps that the branch and bound may take, dead ends and the steps of enumerations included; some seconds at most.
+STEPS = 1_000_000
 #: On these characters both libraries split alike; other texts go through the slower one.
 _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ]|<\|")
 _ENCODERS: dict = {}
@@ -140,6 +141,18 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
+class Steps:
+    """What is left of a search's steps."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+    def take(self, n: int = 1) -> bool:
+        """Use n steps; whether any were left."""
+        self.left -= n
+        return self.left >= 0
+
+
 def likely(counts: np.ndarray, room: int) -> Iterator[dict[int, int]]:
     """Some fillings without waste, found by table look-ups: the pair with the largest member, then triples."""
     have = counts[: room + 1] > 0
@@ -164,10 +177,11 @@ def likely(counts: np.ndarray, room: int) -> Iterator[dict[int, int]]:
             return
 
 
-def fillings(counts: np.ndarray, room: int, waste: int) -> Iterator[dict[int, int]]:
-    """All undominated fillings of ``room`` that waste no more than ``waste``, least waste first, each once.
+def fillings(counts: np.ndarray, room: int, waste: int, steps: Steps | None = None) -> Iterator[dict[int, int]]:
+    """All undominated fillings of ``room`` that waste no more than ``waste``, least waste first, each once, as far as the steps go.
 
     One piece that fills it all dominates the rest; a filling beside which another piece would fit is dominated by that one."""
+    steps = steps or Steps(STEPS)
     if room <= 0:
         yield {}
         return
@@ -179,6 +193,8 @@ def fillings(counts: np.ndarray, room: int, waste: int) -> Iterator[dict[int, in
         if room <= waste:
             yield {}
         return
+    if not steps.take(len(sizes)):
+        return
     given = []
     for fill in likely(counts, room):
         given.append(fill)
@@ -201,6 +217,8 @@ def fillings(counts: np.ndarray, room: int, waste: int) -> Iterator[dict[int, in
             x = sizes[i]
             i += 1
             for n in range(min(int(counts[x]), rest // x), 0, -1):
+                if not steps.take():
+                    return
                 if after[i] >> (rest - n * x) & 1:
                     for more in exactly(i, rest - n * x):
                         yield [(x, n), *more]
@@ -209,6 +227,8 @@ def fillings(counts: np.ndarray, room: int, waste: int) -> Iterator[dict[int, in
         small_ = [x for x in reversed(sizes) if x <= lost]  # all of them must be used up
         if sum(x * int(counts[x]) for x in small_) > room - lost:
             return
+        if not steps.take(1 + len(small_)):
+            return
         if after[0] >> (room - lost) & 1:
             for found in exactly(0, room - lost):
                 fill = dict(found)
@@ -216,13 +236,13 @@ def fillings(counts: np.ndarray, room: int, waste: int) -> Iterator[dict[int, in
                     yield fill
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[int, dict[int, int]]]:
+def bin_completion(counts: dict[int, int], capacity: int, steps: int = STEPS) -> list[tuple[int, dict[int, int]]]:
     """Packs a histogram of lengths; (times, {length: copies}) for each filling."""
     counts = {k: v for k, v in counts.items() if v}
     best = best_fit(counts, capacity)
     bins, least = sum(t for t, _ in best), lower_bound(counts, capacity)
     total = sum(k * v for k, v in counts.items())
-    start = np.zeros(capacity + 1, dtype=np.int64)
+    start, left_over = np.zeros(capacity + 1, dtype=np.int64), Steps(steps)
     for k, v in counts.items():
         start[k] = v
 
@@ -232,7 +252,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
         left = left.copy()
         left[top] -= 1
         again = []
-        for fill in fillings(left, capacity - top, (bins - 1) * capacity - total - waste):
+        for fill in fillings(left, capacity - top, (bins - 1) * capacity - total - waste, left_over):
             whole = fill | {top: fill.get(top, 0) + 1}
             times = min((int(left[k]) + (k == top)) // v for k, v in whole.items())
             lost = capacity - sum(k * v for k, v in whole.items())
@@ -244,27 +264,26 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
         for whole in again:
             yield 1, whole
 
-    stack, tried, reached = [(start, 0, None, options(start, 0))] if len(counts) else [], 0, False
-    while stack and bins > least and tried <= nodes:
+    stack = [(start, 0, None, options(start, 0))] if len(counts) else []
+    while stack and bins > least and left_over.take(10):
         left, waste, done, more = stack[-1]
         times, whole = next(more, (0, None))
         if whole is None:
             stack.pop()
             continue
-        tried += reached
         after, spent = left.copy(), waste + times * (capacity - sum(k * v for k, v in whole.items()))
         for k, v in whole.items():
             after[k] -= v * times
         if spent > (bins - 1) * capacity - total:  # no better than the incumbent
-            reached = True
-        elif after.any():
+            continue
+        if after.any():
             stack.append((after, spent, ((times, whole), done), options(after, spent)))
-        else:
-            fills, at = [(times, whole)], done
-            while at:
-                fills.append(at[0])
-                at = at[1]
-            best, bins, reached = fills, sum(t for t, _ in fills), True
+            continue
+        fills, at = [(times, whole)], done
+        while at:
+            fills.append(at[0])
+            at = at[1]
+        best, bins = fills, sum(t for t, _ in fills)
     return best
 
 

@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -82,6 +83,25 @@ def test_completion_beats_best_fit():
     assert bins(packing.bin_completion(counts, 10)) == optimum(counts, 10)
 
 
+def test_search_ends_where_best_fit_misses_the_bound():
+    """Lengths of real documents, and lengths whose optimum is far above the bound; all end, with dead ends counted."""
+    rng = np.random.default_rng(3)
+    for low, high, n in ((650, 1000, 600), (500, 900, 5000), (300, 1100, 600), (4, 2049, 900)):
+        sizes = rng.integers(low, high, n).tolist()
+        counts = {k: sizes.count(k) for k in set(sizes)}
+        began = time.perf_counter()
+        fills = packing.bin_completion(counts, 2048)
+        assert time.perf_counter() - began < 30
+        assert {k: sum(t * f.get(k, 0) for t, f in fills) for k in counts} == counts
+        assert packing.lower_bound(counts, 2048) <= bins(fills) <= bins(packing.best_fit(counts, 2048))
+
+
+def test_no_step_is_free():
+    """A search without steps returns its incumbent at once."""
+    counts = {21: 2, 16: 4, 14: 1, 10: 1, 19: 1, 11: 1, 6: 1, 20: 1, 8: 1}
+    assert bins(packing.bin_completion(counts, 40, steps=0)) == bins(packing.best_fit(counts, 40))
+
+
 def test_cuts():
     assert packing.cuts(5, 4) == [(0, 1), (1, 4)]
     assert packing.cuts(8, 4) == [(0, 4), (4, 4)]
