@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +107,8 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes up to which a word's hash may be a polynomial; modulo 2**64 words of 512 bytes and more can be made, or happen, to agree.
+_SHORT = 32
 #: 0 white space, 1 ASCII letters and digits and all that is not ASCII, 2 other signs.
 _CLASS = np.full(256, 2, dtype=np.uint8)
 _CLASS[_SPACE] = 0
@@ -156,9 +159,12 @@ class Words:
             self.start, self.end = edge[0::2], edge[1::2]
         up, down = _powers(len(data))
         with np.errstate(over="ignore"):
-            part = ((data if kind == "apart" else _FOLD[data]).astype(np.uint64) + np.uint64(1)) * up[: len(data)]
+            folded = data if kind == "apart" else _FOLD[data]
+            part = (folded.astype(np.uint64) + np.uint64(1)) * up[: len(data)]
             total = np.concatenate([[np.uint64(0)], np.cumsum(part, dtype=np.uint64)])
             self.hash = mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        for i in np.flatnonzero(self.end - self.start > _SHORT).tolist():
+            self.hash[i] = xxhash.xxh3_64_intdigest(folded[self.start[i] : self.end[i]].tobytes(), seed=_B)
         self.first = np.searchsorted(self.start, self.base)
         self.data = data
 
