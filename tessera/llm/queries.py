@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import SEGMENT, perspectives
-from . import language, licenses, neighbours, pitman_yor, quality
+from . import language, licenses, neighbours, pitman_yor, quality, ranked
 from .common import LOWER, UPPER, crc_mod, table
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -63,6 +63,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item, all documents ranked."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 #: Where the packed ids come from: the vocabulary, the same one as ranks, and the ranks' pattern.
 VOCABULARY = {"vocabulary": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 SQL = {
@@ -110,4 +116,16 @@ SELECT conv_id, perspective, segment, cast(min(b - length(head)) AS BIGINT) AS s
        string_agg(CASE WHEN mine THEN '1' ELSE '0' END, '' ORDER BY i) AS mask,
        coalesce(string_agg(cast(b AS BIGINT) || '-' || cast(e AS BIGINT), ';' ORDER BY i) FILTER (mine), '') AS train_spans
 FROM o GROUP BY conv_id, perspective, segment""",
+    "op12_ranked_search": f"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM documents WHERE text IS NOT NULL),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL),
+t AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, t GROUP BY term),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM benchmark WHERE text IS NOT NULL),
+s AS (
+  SELECT item_id, doc_id, sum(w * (1000000000 * tf // (1000 * tf + 8 * (100 - 75 + 75 * n * n_docs // n_terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN n USING (doc_id) JOIN w USING (term), t GROUP BY ALL)
+SELECT item_id, cast(row_number() OVER o AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER o <= 10""",
 }
