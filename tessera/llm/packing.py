@@ -40,9 +40,10 @@ _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ]|<\|")
 _ENCODERS: dict = {}
 
 
-def encoder(vocabulary: str, ranks: str | None = None, pattern: str | None = None):
-    """text -> ids of the tokenizers file ``vocabulary``, no special tokens added. ``ranks``: the same vocabulary as ranks, for plain texts."""
-    key = (vocabulary, ranks)
+def encoder(vocabulary: str, ranks: str | None = None, pattern: str | None = None, literal: bool = False):
+    """text -> ids of the tokenizers file ``vocabulary``, no special tokens added. ``ranks``: the same vocabulary as ranks, for plain
+    texts; ``literal``: special tokens' strings inside texts are plain text."""
+    key = (vocabulary, ranks, literal)
     if key not in _ENCODERS:
         fast, slow = None, []
         if ranks:
@@ -57,6 +58,7 @@ def encoder(vocabulary: str, ranks: str | None = None, pattern: str | None = Non
                     from tokenizers import Tokenizer
 
                     slow.append(Tokenizer.from_file(vocabulary))
+                    slow[0].encode_special_tokens = literal
                 return slow[0].encode(text, add_special_tokens=False).ids
             return fast.encode_ordinary(text)
 

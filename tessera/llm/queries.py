@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import SEGMENT, perspectives
-from . import language, licenses, neighbours, pitman_yor, quality, ranked
+from . import alignment, language, licenses, neighbours, pitman_yor, quality, ranked
 from .common import LOWER, UPPER, crc_mod, table
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -63,6 +63,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut by two tokenizers, the cuts aligned; pairs of ids counted over all documents."""
+    return alignment.align(table(spark, sf_dir, "documents"), pieces=PIECES, **VOCABULARY)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item, all documents ranked."""
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
@@ -70,6 +75,8 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Where the packed ids come from: the vocabulary, the same one as ranks, and the ranks' pattern.
 VOCABULARY = {"vocabulary": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+#: The second tokenizer of the alignment.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -82,6 +89,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_license_scan": op9_license_scan,
     "op10_chat_format": op10_chat_format,
+    "op11_alignment": op11_alignment,
     "op12_ranked_search": op12_ranked_search,
 }
 
