@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import SEGMENT, perspectives
-from . import alignment, language, licenses, neighbours, pitman_yor, quality, ranked
+from . import alignment, language, licenses, minhash, neighbours, pitman_yor, quality, ranked
 from .common import LOWER, UPPER, crc_mod, table
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -73,6 +73,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents by two-word shingles and a similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 #: Where the packed ids come from: the vocabulary, the same one as ranks, and the ranks' pattern.
 VOCABULARY = {"vocabulary": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 #: The second tokenizer of the alignment.
@@ -91,6 +96,7 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
     "op11_alignment": op11_alignment,
     "op12_ranked_search": op12_ranked_search,
+    "op13_minhash": op13_minhash,
 }
 
 SQL = {

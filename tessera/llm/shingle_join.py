@@ -176,6 +176,30 @@ def unbundle(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+class Rarest:
+    """Postings by prefix: a set's rarest shingles, so many that two similar sets share as many of them as ``shared`` says."""
+
+    def __init__(self, docs: DataFrame, words: int, percent: int):
+        self.percent = percent
+        self.order = docs.sparkSession.sparkContext.broadcast(sketch(docs.select("text"), words))  # 4 MB
+
+    def of(self, sets: list[np.ndarray]) -> list[np.ndarray]:
+        """Sorted tokens of each of some sets, none of them empty."""
+        out = []
+        for found in sets:
+            rare = self.order.value[(found >> np.uint64(64 - SKETCH)).astype(np.int64)]
+            out.append(np.sort(found[np.lexsort((found, rare))[: prefix(len(found), self.percent)]]))
+        return out
+
+    def expected(self, n):
+        """About how many tokens a set of n shingles posts, as a column."""
+        return n * (100 - self.percent + 100 // STEP) / 100
+
+    def shared(self, n):
+        """How many tokens a set of n shingles shares with a similar one at least, as a column."""
+        return 1 + F.floor(F.ceil(n * self.percent / 100) / STEP)  # the smallest similar set has need(n) shingles
+
+
 class Piece:
     """A piece of the token-group matrix: the union of its sets' shingles, and each set's columns in it."""
 
@@ -257,25 +281,21 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_
     return table.join(small(gone, gone.count()), "uid", "left_anti").select("row.*")
 
 
-def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True) -> DataFrame:
+def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True, posting: Rarest | None = None) -> DataFrame:
     """uid, doc_id, n_shingles, component_id, first (whether the row stands for its component), n_links for rows of doc_id and text, and uid if
-    they are numbered already."""
+    they are numbered already. ``posting`` gives the tokens under which sets meet; by default those of Rarest."""
     lean(docs.sparkSession)
     spark = docs.sparkSession
     numbered = "uid" in docs.columns
-    order = spark.sparkContext.broadcast(sketch(docs.select("text"), words))  # 4 MB
+    posting = posting or Rarest(docs, words, percent)
 
     def describe(batches):
         for batch in batches:
             for part, texts in chunks(batch):
-                sizes, digests, fronts = [], [], []
-                for found in shingle_lists(texts, words):
-                    found = np.unique(found)
-                    n = len(found)
-                    sizes.append(n)
-                    digests.append(digest(found) if n else None)
-                    rare = order.value[(found >> np.uint64(64 - SKETCH)).astype(np.int64)]
-                    fronts.append(dump(np.sort(found[np.lexsort((found, rare))[: prefix(n, percent)]])) if n else None)
+                found = [np.unique(x) for x in shingle_lists(texts, words)]
+                sizes, digests = [len(x) for x in found], [digest(x) if len(x) else None for x in found]
+                tokens = iter(posting.of([x for x in found if len(x)]))
+                fronts = [dump(next(tokens)) if n else None for n in sizes]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(fronts, pa.binary()), *part.columns[2:]], names=names)
 
     names = ["doc_id", "n_shingles", "digest", "front", *(["uid"] if numbered else [])]
@@ -286,7 +306,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "uid"))
     reps = some.groupBy("digest").agg(best.alias("best"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("many"))
     reps = written(reps.withColumn("rep", F.col("best")["uid"]))
-    posted = some.agg(F.coalesce(F.sum(F.col("n_shingles") * (100 - percent + 100 // STEP) / 100), F.lit(0))).first()[0]
+    posted = some.agg(F.coalesce(F.sum(posting.expected(F.col("n_shingles"))), F.lit(0))).first()[0]
     buckets = max(6, int(posted // BLOCK))
 
     def post(batches):
@@ -360,7 +380,7 @@ def jaccard_marks(docs: DataFrame, words: int, percent: int, links: bool = True)
     pairs = posts.groupBy("rep", "hub").agg(F.count(F.lit(1)).alias("shared"), F.max("n").alias("n"))
     other = F.when(F.col("rep") != F.col("hub"), F.struct("shared", "hub"))
     met = pairs.groupBy("rep").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"), F.max(other).alias("best"))
-    wanted = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / STEP)  # the smallest similar set has need(n) shingles
+    wanted = posting.shared(F.col("n"))
     met = cut(met.where(F.col("shared") >= wanted).select("rep", "n", F.col("best.hub").alias("hub")))
     n_met = met.count()
     if not n_met:

@@ -12,4 +12,4 @@ def test_equals_sql(spark, sf, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 13)]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 14)]
