@@ -72,7 +72,7 @@ def _with_text(spans: DataFrame, tokens: DataFrame) -> DataFrame:
 
 def protected_spans(tokens: DataFrame) -> DataFrame:
     """Quotes, then hyphen words outside quotes; overlaps go to the longest, then to the earliest span."""
-    quotes = longest_spans(quote_spans(tokens), ["caption_id"], "token_start", "token_end").withColumns({"kind": F.lit("quote"), "rule_id": F.lit("R4")})
+    quotes = longest_spans(quote_spans(tokens), ["caption_id"], "token_start", "token_end").withColumns({"kind": F.lit("quote"), "rule_id": F.lit("R3")})
     words = longest_spans(hyphen_spans(tokens), ["caption_id"], "token_start", "token_end").withColumns({"kind": F.lit("hyphen_word"), "rule_id": F.lit("R5")})
     q = quotes.select(F.col("caption_id").alias("cid"), F.col("token_start").alias("qs"), F.col("token_end").alias("qe"))
     free = words.join(q, (F.col("caption_id") == F.col("cid")) & (F.col("token_start") < F.col("qe")) & (F.col("qs") < F.col("token_end")), "left_anti")
