@@ -196,11 +196,11 @@ def floating_attributes(annotated: DataFrame, tokens: DataFrame, objects: DataFr
     )
 
 
-def actions(tokens: DataFrame, kids: DataFrame, taken: DataFrame, lexicons: Lexicons) -> DataFrame:
-    """caption_id, head, parts[] (tokens), preps[], text, synset: the best known verb phrase of each free verb."""
+def action_candidates(verbs: DataFrame, kids: DataFrame, taken: DataFrame) -> DataFrame:
+    """caption_id, head, lemma, rank, parts[] (tokens), preps[], key, text: for each verb token the verb alone, with a preposition under it, with
+    a particle, and with both; words that are taken are no parts."""
     t = taken.select("caption_id", "i")
-    free = tokens.join(t, ["caption_id", "i"], "left_anti")
-    verbs = free.where("pos = 'VERB' and caption_shape = 'sentence'").select("caption_id", F.col("i").alias("head"), "text", "lemma")
+    verbs = verbs.select("caption_id", F.col("i").alias("head"), "text", "lemma")
     loose = kids.join(t.withColumnRenamed("i", "c_i"), ["caption_id", "c_i"], "left_anti")
     is_prep = (F.col("c_dep") == "prep") | (F.col("c_pos") == "ADP")
     loose = loose.withColumn("c_prep", F.coalesce(is_prep, F.lit(False)))
@@ -215,7 +215,7 @@ def actions(tokens: DataFrame, kids: DataFrame, taken: DataFrame, lexicons: Lexi
         return df.select("caption_id", "head", "lemma", F.lit(rank).alias("rank"), parts.alias("parts"), preps.alias("preps"), normalize_query(text).alias("key"), text.alias("text"))
 
     no = F.array().cast("array<int>")
-    all_ = reduce(
+    return reduce(
         DataFrame.unionByName,
         [
             kind(verbs, 3, F.array("head"), no, F.col("text")),
@@ -224,6 +224,12 @@ def actions(tokens: DataFrame, kids: DataFrame, taken: DataFrame, lexicons: Lexi
             kind(both.unionByName(under.select(both.columns)), 0, F.array("head", "p", "q"), F.when(F.col("p_prep"), F.array("p", "q")).otherwise(F.array("q")), F.concat_ws(" ", "text", "p_text", "q_text")),
         ],
     ).distinct()
+
+
+def actions(tokens: DataFrame, kids: DataFrame, taken: DataFrame, lexicons: Lexicons) -> DataFrame:
+    """caption_id, head, parts[] (tokens), preps[], text, synset: the best known verb phrase of each free verb."""
+    free = tokens.join(taken.select("caption_id", "i"), ["caption_id", "i"], "left_anti")
+    all_ = action_candidates(free.where("pos = 'VERB' and caption_shape = 'sentence'"), kids, taken)
     known = all_.join(dimension(lexicons.actions.select("key", "synset")), "key", "left")
     good = F.when(F.coalesce("synset", F.lit("")) != "", 0).otherwise(1)
     bare = F.when(good == 1, F.when(F.col("rank") == 3, 0).otherwise(1)).otherwise(0)  # without a sense: the bare verb
