@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import pipe_join, sorted_union
+from ..schema import require
 from .fold import dimension
 
 # The views with their columns.
@@ -187,10 +188,17 @@ def caption_index(facts: dict[str, DataFrame], numbered_views: dict[str, DataFra
         named = view.select(F.col("_row_id").alias("row_id"), *keys)
         if "attribute_kind" in keys:
             named = named.withColumn("attribute_kind", F.explode(F.split("attribute_kind", "[|]")))
-        each.append(found.distinct().join(dimension(named), keys).select(F.lit(name).alias("view_name"), "row_id", "caption_id"))
+        each.append(found.distinct().join(dimension(_unambiguous(named, keys, name)), keys).select(F.lit(name).alias("view_name"), "row_id", "caption_id"))
     return reduce(DataFrame.unionByName, each).distinct()
 
 
+def _unambiguous(named: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Rows (row_id, keys) of a view; a key that two rows have fails the job, since an index over it would lead to both."""
+    one = named.groupBy(*keys).agg(F.min("row_id").alias("row_id"), F.max("row_id").alias("_other"))
+    said = F.concat(F.lit(f"two rows of {name} have the key "), F.to_json(F.struct(*keys)))
+    return one.withColumn("row_id", require(F.col("row_id") == F.col("_other"), said, F.col("row_id"))).drop("_other")
+
+
 def index_mismatches(view: DataFrame, index: DataFrame, view_name: str) -> DataFrame:
     """Rows whose caption_count is not the number of captions that the index has for them."""
     there = index.where(F.col("view_name") == view_name).groupBy("row_id").agg(F.count_distinct("caption_id").alias("indexed"))
