@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import annotate, canonical, compare, counts, report
 from ..operators.extract import extract
 from ..operators.facts import all_facts, as_one
-from ..sources import lexicons, readers, sinks
+from ..sources import archives, lexicons, readers, sinks
 from . import adapters, golden
 from .queries import TEXT_SQL, _cut, query
 
@@ -99,3 +99,32 @@ def shared_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def captions_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("caption_id"), F.col("o_orderpriority").alias("caption"))
     return report.captions_in_order(texts, ["7", "1", "5"])
+
+
+@query(
+    "archive_members",
+    "SELECT kind, doc_id, sha256(coalesce(text, '')) AS digest, octet_length(encode(coalesce(text, '')))::BIGINT AS bytes FROM documents, (VALUES ('tar'), ('zip')) k(kind)",
+)
+def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through sharded tars and zips, a member each, read back in splits of a megabyte."""
+    docs = adapters.table(spark, sf_dir, "documents").select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content"))
+    path, found = _folder(spark), []
+    for kind in ("tar", "zip"):
+        archives.write(docs, f"{path}/{kind}", kind)
+        rows = archives.members(spark, f"{path}/{kind}", "[.]txt$", split=1 << 20)
+        found.append(rows.where("part = 0").select(F.lit(kind).alias("kind"), F.regexp_extract("member", "([0-9]+)[.]txt$", 1).cast("long").alias("doc_id"), F.sha2("content", 256).alias("digest"), F.col("size").alias("bytes")))
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "caption_shards",
+    f"WITH {TEXT_SQL}, s AS (SELECT key, caption, caption_type, cast(key AS BIGINT) % 3 AS shard FROM src) SELECT key, caption, caption_type, 'part-' || lpad(cast(shard AS VARCHAR), 6, '0') || '.tar' AS shard, key || '.json' AS shard_member, row_number() OVER (PARTITION BY shard ORDER BY cast(key AS BIGINT)) - 1 AS record_index FROM s",
+)
+def caption_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All captions as JSON members of three tars, among members of another kind, read back with their place in the shard."""
+    rows, path = adapters.captions(spark, sf_dir).select("key", "caption", "caption_type"), _folder(spark)
+    both = rows.select(F.concat("key", F.lit(".json")).alias("member"), F.to_json(F.struct("key", "caption", "caption_type"), {"ignoreNullFields": "false"}).alias("content"), F.col("key").cast("long").alias("n"), F.lit(0).alias("o"))
+    both = both.unionByName(rows.select(F.concat("key", F.lit(".jpg")).alias("member"), F.repeat("key", F.lit(50)).alias("content"), F.col("key").cast("long").alias("n"), F.lit(1).alias("o")))
+    dealt = both.repartitionById(3, (F.col("n") % 3).cast("int")).sortWithinPartitions("n", "o")
+    archives.write(dealt, path)
+    return archives.caption_shards(spark, path, split=200_000).drop("split_dir")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import json
 import re
-import tarfile
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import ANNOTATED, CAPTION_SOURCE
+from . import archives
 
 
 def jsonl(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
@@ -33,31 +33,8 @@ def annotated(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tar_members(spark: SparkSession, path: str) -> DataFrame:
-    """JSON members of tar shards with where they came from. A shard is read by one task, member by member."""
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for shards in batches:
-            for name, content in zip(shards["path"], shards["content"], strict=True):
-                rows = []
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    for i, m in enumerate(x for x in tar if x.isfile() and x.name.endswith(".json")):
-                        row = json.loads(tar.extractfile(m).read())
-                        rows.append((row.get("key"), row.get("caption"), row.get("caption_type"), name.rsplit("/", 2)[-2], name.rsplit("/", 1)[-1], m.name, i))
-                        if len(rows) == 1000:
-                            yield pd.DataFrame(rows)
-                            rows = []
-                if rows:
-                    yield pd.DataFrame(rows)
-
-    schema = f"{CAPTION_SOURCE}, split_dir string, shard string, shard_member string, record_index long"
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
-
-    def named(batches):
-        for df in unpack(batches):
-            df.columns = names
-            yield df
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(named, schema)
+    """JSON members of tar shards with where they came from; shards of any size, read in splits."""
+    return archives.caption_shards(spark, path)
 
 
 def shard_range(text: str) -> list[int]:

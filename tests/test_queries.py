@@ -2,7 +2,7 @@
 
 import pytest
 
-from tessera.plans import queries, round_trips  # noqa: F401 - registers its queries
+from tessera.plans import annotated, language, queries, round_trips, stage5, updates  # noqa: F401 - they register their queries
 from tests.oracle import assert_same, connect
 
 
