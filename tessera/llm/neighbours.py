@@ -133,14 +133,15 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, recall: float = RECALL, most: int = MOST, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of every row that passes ``is_query`` (a condition on the column vec_id)."""
+    """query_id, rank, vec_id, score, probed: the k nearest found of every row that passes ``is_query`` (a condition on the column vec_id).
+    probed: whether the buckets that the query visited gave enough, or it was ranked against all rows, block by block."""
     spark = vectors.sparkSession
     kind = "<f8" if vectors.schema[vector_col].dataType.elementType.typeName() == "double" else "<f4"
     ids = vectors.schema[id_col].dataType.simpleString()
     rows = vectors.select(vectors[id_col].alias("vec_id"), vectors[vector_col].alias("e")).where("vec_id is not null and e is not null")
     fine = ~F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("e", lambda x: x != 0)
     rows = rows.where(fine)
-    none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double")
+    none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double, probed boolean")
     rows = rows.withColumn("n", F.size("e"))
     lengths = [r["n"] for r in rows.groupBy("n").count().orderBy(F.desc("count"), "n").collect()]  # a row for each length of vectors
     if len(lengths) > 1:
@@ -152,7 +153,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, tables: int = TABLES, reca
 def _of_length(rows: DataFrame, dim: int, is_query, k: int, tables: int, recall: float, most: int, kind: str, ids: str) -> DataFrame:
     """The same for vectors of one length: rows of vec_id and e."""
     spark = rows.sparkSession
-    none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double")
+    none = spark.createDataFrame([], f"query_id {ids}, rank int, vec_id {ids}, score double, probed boolean")
 
     def pack(batches):
         for batch in batches:
@@ -261,7 +262,7 @@ def _of_length(rows: DataFrame, dim: int, is_query, k: int, tables: int, recall:
         if best.rows:
             yield best.batch()
 
-    found = cut(settled(meetings.mapInArrow(tidy(compare), found_schema)))
+    found = cut(settled(meetings.mapInArrow(tidy(compare), found_schema)).withColumn("probed", F.lit(True)))
     enough = found.groupBy("q").count().where(F.col("count") > k).select("q")
     rest = cut(asked.join(enough, "q", "left_anti"))
     blocks = -(-rest.count() // BLOCK)
@@ -286,9 +287,9 @@ def _of_length(rows: DataFrame, dim: int, is_query, k: int, tables: int, recall:
         against = kinds.groupBy(F.pmod(F.xxhash64("v"), F.lit(chunks_)).alias("chunk")).agg(F.collect_list(F.struct("v", "ids")).alias("members"))  # BLOCK, about
         against = against.select("members", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
         cells = against.join(asks, "block").select("block", "queries", "members")
-        more = cut(settled(cells.mapInArrow(tidy(grid), found_schema)))
+        more = cut(settled(cells.mapInArrow(tidy(grid), found_schema)).withColumn("probed", F.lit(False)))
         found = found.join(rest.select("q"), "q", "left_anti").unionByName(more)
     mine = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "copies").join(found, "q").where(~((F.col("query_id") == F.col("vec_id")) & F.col("own")))
     place = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     ranked = mine.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    return ranked.select("query_id", "rank", "vec_id", "score", "probed", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
