@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import band, relative_difference, summary
@@ -336,12 +336,13 @@ _PAIR_SQL = f"""{adapters.GRAPH_SQL}, fact AS ({adapters.FACT_SQL['has_attribute
 v AS (SELECT row_number() OVER (ORDER BY count(*) DESC, object, attribute, attribute_kind) AS row_id, object, attribute, attribute_kind, count(*) AS count, count(DISTINCT caption_id) AS caption_count FROM fact GROUP BY 2, 3, 4)"""
 
 
-@query("view_rows_page", f"WITH {_PAIR_SQL}, w AS (SELECT * FROM v WHERE contains(lower(object || chr(31) || attribute || chr(31) || attribute_kind), 'brand#1') AND attribute_kind IN ('quantity')) SELECT row_id, object, attribute, attribute_kind, count, caption_count, (SELECT count(*) FROM w) AS total FROM w ORDER BY caption_count, row_id LIMIT 20 OFFSET 20")
+@query("view_rows_page", f"WITH {_PAIR_SQL}, w AS (SELECT * FROM v WHERE contains(lower(object || chr(31) || attribute || chr(31) || attribute_kind), 'brand#1') AND attribute_kind IN ('quantity')) SELECT (row_number() OVER (ORDER BY caption_count, row_id) - 20)::INTEGER AS position, row_id, object, attribute, attribute_kind, count, caption_count, (SELECT count(*) FROM w) AS total FROM w ORDER BY caption_count, row_id LIMIT 20 OFFSET 20")
 def view_rows_page(spark, sf_dir):
     _, view = _pair_view(spark, sf_dir)
     searched = view.drop("object_parent_concepts", "example_caption_ids", "object_raw_surfaces", "attribute_raw_surfaces")
     page = report.rows(searched, q="BRAND#1", filters={"attribute_kind": ["quantity"], "no_such": ["x"]}, sort="caption_count", direction="asc", page=2, page_size=20)
-    return page.select(F.col("_row_id").alias("row_id"), "object", "attribute", "attribute_kind", "count", "caption_count", F.col("total").cast("long").alias("total"))
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).alias("position")  # a page, in the order it came
+    return page.select(place, F.col("_row_id").alias("row_id"), "object", "attribute", "attribute_kind", "count", "caption_count", F.col("total").cast("long").alias("total"))
 
 
 @query("filter_values", f"WITH {_PAIR_SQL} SELECT attribute AS value, count(*) AS row_count, cast(sum(count) AS BIGINT) AS total FROM v WHERE contains(lower(attribute), '1') GROUP BY 1 ORDER BY total DESC, value LIMIT 10")

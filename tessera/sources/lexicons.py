@@ -20,10 +20,11 @@ ATTRIBUTE_COLUMNS = ("attribute_unit_type", "span_token_count", "anchor_token_of
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, null as '', rows numbered in ``_pos`` by their place in the file."""
+    """All columns as strings, null as '', and in ``_pos`` where each row stands: file, split of the file, place. Rows are ordered by it as they
+    stand in the files (files by name), whatever tasks read them."""
     rows = spark.read.options(sep="\t", header=True, quote="\u0000", encoding="UTF-8").csv(path)
-    rows = rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c.lstrip("﻿")) for c in rows.columns))
-    return rows.coalesce(1).withColumn("_pos", F.monotonically_increasing_id())
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    return rows.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c.lstrip("﻿")) for c in rows.columns), place.alias("_pos"))
 
 
 def _col(rows: DataFrame, name: str) -> Column:
