@@ -83,12 +83,26 @@ _CUT = "^(?:" + "|".join(p[1:-1].replace("(", "(?:").replace("(?:?:", "(?:") for
 #: A fixed expression of letters only, such as "dont".
 _BARE = _CUT.replace(_A, "").replace("['’]", "#")  # ^(?:…)$
 
-#: Chunks that are one token: a sign or letter, words that are no fixed expression, also before signs that count after digits only.
-_NO_BARE = "(?!" + _BARE[1:-1] + "[^\\p{L}]*$)"
-_ONE = f"^(?:[^\\p{{So}}]|[a-z]\\.|(?!(?:US|[CA])\\$){_NO_BARE}\\p{{L}}+[%$]*)$"
-#: Chunks that are a word between signs of which no fixed expression is made, or before a full stop.
+
+
+def _bare_words() -> set[str]:
+    """What _BARE matches, word by word."""
+    subjects, questions, not_, not_have = (x.split() for x in (SUBJECTS, QUESTIONS, NOT, NOT_HAVE))
+    out = {"im", "ima", "cannot", "gonna", "gotta", "yall", "howdy", "notve"}
+    out |= {w + e for w in subjects for e in ("ll", "d", "llve", "dve")} | {w + "ve" for w in (HAVE + " " + MODAL_HAVE).split()} | {w + "re" for w in ARE.split()} | {w + "s" for w in IS.split()}
+    out |= {w + e for w in questions for e in ("s", "ll", "d", "re", "ve", "llve", "dve")} | {w + "nt" for w in (*not_, *not_have)} | {w + "ntve" for w in not_have}
+    return {x for w in out - set(WORDS.split()) for x in (w, w[0].upper() + w[1:])}
+
+
+#: Words that are taken for plain only after a look at the rounds; looked up in a hash set.
+_UNSAFE = sorted(_bare_words() | {*TITLES.split(), "vs", "co", "US", "C", "A"})
+#: Chunks that are one token, words first; a word and one sign after it; a word between signs of which no fixed expression is made.
+_WORD_PIECE = "^\\p{L}+ ?$"
+_ONE = "^(?:[a-z]\\.|[^\\p{So}])$"
+_BEFORE = "^\\p{L}+[%$]+$"
+_ENDED = "^(?:\\p{L}+[,;:!?]|\\p{L}*(?<=\\p{L}\\p{Ll})\\.)$"
 _SAFE = '[,!?&#*"“”{}]'
-_AROUND = f"^(?!(?:{_any(TITLES)}|vs|co)\\.$)(?:{_SAFE}*+{_NO_BARE}\\p{{L}}+{_SAFE}*|{_NO_BARE}\\p{{L}}+[;:]|{_NO_BARE}\\p{{L}}*(?<=\\p{{L}}\\p{{Ll}})\\.)$"
+_AROUND = f"^{_SAFE}*+\\p{{L}}+{_SAFE}*$"
 #: Pieces of a text: chunks with the space that belongs to them, and other white space.
 _PIECES = "(?U)[^\\s\\x1c-\\x1f]+ ?|[\\s\\x1c-\\x1f]+"
 _ALL_BLANK = "(?U)^[\\s\\x1c-\\x1f]+$"
@@ -137,10 +151,13 @@ def _rest(text: Column, n: Column) -> Column:
 
 def chunk_tokens(chunk: Column) -> Column:
     """array<string>: the tokens of a text without white space. Most chunks are told by their shape, the others are folded."""
+    head, last = F.substring(chunk, F.lit(1), F.length(chunk) - 1), F.substring(chunk, F.length(chunk), F.lit(1))
     word = F.regexp_extract(chunk, "\\p{L}+", 0)
     at = F.instr(chunk, word)
     around = F.concat(_signs(F.substring(chunk, F.lit(1), at - 1)), F.array(word), _signs(_rest(chunk, at - 1 + F.length(word))))
-    return F.when(chunk.rlike(_ONE), F.array(chunk)).when(chunk.rlike(_AROUND), around).otherwise(folded_tokens(chunk))
+    safe = ~word.isin(*_UNSAFE)
+    out = F.when(chunk.rlike(_ENDED) & ~head.isin(*_UNSAFE), F.array(head, last)).when(chunk.rlike(_ONE) | (chunk.rlike("^\\p{L}+$") & safe) | (chunk.rlike(_BEFORE) & safe), F.array(chunk))
+    return out.when(chunk.rlike(_AROUND) & safe, around).otherwise(folded_tokens(chunk))
 
 
 def _signs(text: Column) -> Column:
@@ -200,8 +217,9 @@ def text_tokens(text: Column) -> Column:
 
 
 def piece_tokens(piece: Column) -> Column:
-    """The tokens of a chunk with the space that belongs to it, or of white space."""
-    return F.when(piece.rlike(_ALL_BLANK), F.array(piece)).otherwise(chunk_tokens(F.regexp_replace(piece, " $", "")))
+    """The tokens of a chunk with the space that belongs to it, or of white space. Words come first, since most pieces are words."""
+    word = F.rtrim(piece)
+    return F.when(piece.rlike(_WORD_PIECE) & ~word.isin(*_UNSAFE), F.array(word)).when(piece.rlike(_ALL_BLANK), F.array(piece)).otherwise(_let(word, chunk_tokens))
 
 
 def rule_tokens(captions: DataFrame, id_col: str = "caption_id", text_col: str = "caption") -> DataFrame:
