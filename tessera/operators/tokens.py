@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .fold import longest_spans
+from .tokenizer import rule_tokens, sentence_spans
 
 _INTS = ("i", "char_start", "char_end")
 TOKEN = T.StructType([T.StructField(x, T.IntegerType() if x in _INTS else T.StringType()) for x in ("i", "text", "char_start", "char_end", "whitespace")])
@@ -98,3 +99,44 @@ def attach(spans: DataFrame, merged: DataFrame) -> DataFrame:
 
 def summary(spans: DataFrame) -> DataFrame:
     return spans.groupBy("kind").agg(F.count(F.lit(1)).alias("spans"), F.count_distinct("caption_id").alias("captions"))
+
+
+# Rules of the second stage, and of what a model adds in the third (tags, dependencies, morphology, lemmas, noun chunks).
+TOKEN_RULE, SPAN_RULES = "R2", {"quote": "R3", "hyphen_word": "R5"}
+MODEL_RULES = ("R6", "R8", "R9", "R10", "R11")
+
+
+def rule_ids(captions: DataFrame, spans: DataFrame, model: bool = False) -> DataFrame:
+    """caption_id, rule_ids[] in the order of the rules: tokenization, the kinds of spans that the caption has, and what a model did."""
+    kinds = spans.groupBy("caption_id").agg(F.collect_set("kind").alias("kinds"))
+    out = captions.select("caption_id").join(kinds, "caption_id", "left")
+    none = F.array().cast("array<string>")
+    found = F.concat(*(F.when(F.coalesce(F.array_contains("kinds", kind), F.lit(False)), F.array(F.lit(rule))).otherwise(none) for kind, rule in SPAN_RULES.items()))
+    return out.select("caption_id", F.concat(F.array(F.lit(TOKEN_RULE)), found, F.array(*map(F.lit, MODEL_RULES)) if model else none).alias("rule_ids"))
+
+
+def preprocess(captions: DataFrame, cut=lambda df: df.checkpoint()) -> DataFrame:
+    """The records of the second stage: caption_id, caption, tokens[] with protected spans made one, protected_spans[], rule_ids[].
+
+    Tokens are made once and kept, since the spans, their texts and the merged tokens all need them. ``cut``: how lineage is cut."""
+    found = cut(rule_tokens(captions))
+    spans = cut(protected_spans(found))
+    merged = merged_tokens(found, spans)
+    placed = attach(spans, merged)
+    cells = ("i", "text", "char_start", "char_end", "whitespace")
+    lists = merged.groupBy("caption_id").agg(F.array_sort(F.collect_list(F.struct(*cells))).alias("tokens"))
+    kept = placed.groupBy("caption_id").agg(F.array_sort(F.collect_list(F.struct("char_start", "char_end", "kind", "rule_id", "text", F.col("final_start").alias("token_start"), F.col("final_end").alias("token_end")))).alias("protected_spans"))
+    out = captions.select("caption_id", "caption").join(lists, "caption_id", "left").join(kept, "caption_id", "left").join(rule_ids(captions, spans), "caption_id", "left")
+    return out.select("caption_id", "caption", "tokens", "protected_spans", "rule_ids")
+
+
+def stage3_records(annotated: DataFrame, spans: DataFrame | None = None) -> DataFrame:
+    """Annotated captions with sentences[] (by the rule of ``sentence_spans``, unless the annotator gave some) and rule_ids[]. spans: the protected
+    spans of the second stage, if there were any."""
+    tokens = annotated.select("caption_id", F.inline("tokens"))
+    rows = sentence_spans(tokens).groupBy("caption_id").agg(F.array_sort(F.collect_list(F.struct("token_start", "token_end", "char_start", "char_end"))).alias("_found"))
+    none = annotated.select("caption_id", F.lit("").alias("kind")).limit(0)
+    out = annotated.join(rows, "caption_id", "left").join(rule_ids(annotated, none if spans is None else spans, model=True), "caption_id", "left")
+    with_text = F.transform("_found", lambda s: F.struct(F.substring(F.col("caption"), s.char_start + 1, s.char_end - s.char_start).alias("text"), s.token_start.alias("token_start"), s.token_end.alias("token_end"), s.char_start.alias("char_start"), s.char_end.alias("char_end")))
+    given = F.col("sentences") if "sentences" in annotated.columns else F.lit(None)
+    return out.withColumn("sentences", F.coalesce(given, with_text) if "sentences" in annotated.columns else with_text).drop("_found")

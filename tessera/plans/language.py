@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import tokenizer
+from ..operators import shape, tokenizer, tokens
 from ..operators.tokenizer import _BARE, _CUT, _ENDS, _FIXED, _HYPHEN, _ICON, _WHOLE, _WORDS, ADDRESS, CURRENCY, FIXED, MOST, PUNCTUATION, QUOTES, UNITS, _any, _class
 from . import adapters
-from .queries import query
+from .queries import _cut, query
 
 _SPACE = "\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 
@@ -66,9 +66,9 @@ cut AS (
   SELECT chunk, list_concat(b, CASE WHEN core = '' THEN [] WHEN {_is_fixed("core")} THEN {_fixed("core")}
                                     WHEN length(core) <= {MOST} AND regexp_matches(core, {_sql(ADDRESS)}) THEN [core] ELSE {_infixed("core")} END, a) AS tokens
   FROM r WHERE done),
-tokens AS (SELECT doc_id, p, coalesce(tokens, [piece]) AS tokens FROM piece LEFT JOIN cut ON chunk = regexp_replace(piece, ' $', '') AND NOT regexp_matches(piece, '^[{_SPACE}]+$')),
-token AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p, k) - 1 AS i, text
-          FROM (SELECT doc_id, p, generate_subscripts(tokens, 1) AS k, unnest(tokens) AS text FROM tokens))"""
+tokens AS (SELECT doc_id, p, coalesce(tokens, [piece]) AS tokens, tokens IS NOT NULL AND piece LIKE '% ' AS tied FROM piece LEFT JOIN cut ON chunk = regexp_replace(piece, ' $', '') AND NOT regexp_matches(piece, '^[{_SPACE}]+$')),
+token AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p, k) - 1 AS i, text, k = last AND tied AS ws
+          FROM (SELECT doc_id, p, tied, len(tokens) AS last, generate_subscripts(tokens, 1) AS k, unnest(tokens) AS text FROM tokens))"""
 
 
 @query(
@@ -95,3 +95,29 @@ SELECT doc_id, sentence::INTEGER AS sentence, min(i)::INTEGER AS token_start, (m
 def rule_sentences(spark, sf_dir):
     docs = adapters.table(spark, sf_dir, "documents")
     return tokenizer.sentence_spans(tokenizer.rule_tokens(docs, "doc_id", "text")).select(F.col("caption_id").alias("doc_id"), "sentence", "token_start", "token_end")
+
+
+@query(
+    "stage2_records",
+    f"""WITH RECURSIVE {TOKEN_SQL},
+s AS (SELECT * FROM token WHERE doc_id % 10 <> 0),
+q AS (SELECT doc_id, i AS a, lead(i) OVER w + 1 AS e, row_number() OVER w % 2 = 1 AS opens FROM s WHERE text = '"' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+quote AS (SELECT doc_id, a, e FROM q WHERE opens AND e IS NOT NULL),
+f AS (SELECT *, regexp_matches(text, '^[\p{{L}}\p{{N}}]+$') AND regexp_matches(text, '\p{{L}}') AS part FROM s),
+t AS (SELECT *, lag(text) OVER w = '-' AND NOT lag(ws) OVER w AND lag(part, 2) OVER w AND NOT lag(ws, 2) OVER w AS tied FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r2 AS (SELECT *, sum(CASE WHEN coalesce(tied, false) THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM t WHERE part),
+word AS (SELECT doc_id, min(i) AS a, max(i) + 1 AS e FROM r2 GROUP BY doc_id, run HAVING count(*) >= 2 AND max(length(text)) >= 2),
+free AS (SELECT * FROM word w WHERE NOT EXISTS (SELECT 1 FROM quote q WHERE q.doc_id = w.doc_id AND w.a < q.e AND q.a < w.e)),
+n AS (SELECT doc_id, count(*) AS quotes, sum(e - a - 1) AS gone FROM quote GROUP BY 1), m AS (SELECT doc_id, count(*) AS words, sum(e - a - 1) AS gone FROM free GROUP BY 1),
+c AS (SELECT doc_id, count(*) AS k FROM s GROUP BY 1)
+SELECT cast(d.doc_id AS VARCHAR) AS caption_id, (coalesce(k, 0) - coalesce(n.gone, 0) - coalesce(m.gone, 0))::INTEGER AS n_tokens, coalesce(quotes, 0)::INTEGER AS n_quotes, coalesce(words, 0)::INTEGER AS n_hyphen_words,
+       'R2' || CASE WHEN quotes > 0 THEN '|R3' ELSE '' END || CASE WHEN words > 0 THEN '|R5' ELSE '' END AS rule_ids
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) WHERE d.doc_id % 10 <> 0""",
+)
+def stage2_records(spark, sf_dir):
+    """The second stage over all sentences: tokens by rules, quotes and hyphen words made one."""
+    sentences, _ = shape.split(shape.route(adapters.captions(spark, sf_dir)))
+    rows = tokens.preprocess(sentences, _cut)
+    of = lambda kind: F.coalesce(F.size(F.filter("protected_spans", lambda s: s.kind == kind)), F.lit(0))
+    count = lambda c: F.greatest(c, F.lit(0))  # noqa: E731 - the size of null is -1
+    return rows.select("caption_id", count(F.size("tokens")).alias("n_tokens"), count(of("quote")).alias("n_quotes"), count(of("hyphen_word")).alias("n_hyphen_words"), F.array_join("rule_ids", "|").alias("rule_ids"))

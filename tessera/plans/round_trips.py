@@ -118,13 +118,14 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "caption_shards",
-    f"WITH {TEXT_SQL}, s AS (SELECT key, caption, caption_type, cast(key AS BIGINT) % 3 AS shard FROM src) SELECT key, caption, caption_type, 'part-' || lpad(cast(shard AS VARCHAR), 6, '0') || '.tar' AS shard, key || '.json' AS shard_member, row_number() OVER (PARTITION BY shard ORDER BY cast(key AS BIGINT)) - 1 AS record_index FROM s",
+    f"WITH {TEXT_SQL}, s AS (SELECT key, caption, caption_type, cast(key AS BIGINT) // 400 AS shard FROM src) SELECT key, caption, caption_type, 'part-' || lpad(cast(shard AS VARCHAR), 6, '0') || '.tar' AS shard, key || '.json' AS shard_member, row_number() OVER (PARTITION BY shard ORDER BY cast(key AS BIGINT)) - 1 AS record_index FROM s",
 )
 def caption_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All captions as JSON members of three tars, among members of another kind, read back with their place in the shard."""
+    """All captions as JSON members of tars of 400 captions each, among members of another kind, read back with their place in the shard."""
     rows, path = adapters.captions(spark, sf_dir).select("key", "caption", "caption_type"), _folder(spark)
     both = rows.select(F.concat("key", F.lit(".json")).alias("member"), F.to_json(F.struct("key", "caption", "caption_type"), {"ignoreNullFields": "false"}).alias("content"), F.col("key").cast("long").alias("n"), F.lit(0).alias("o"))
     both = both.unionByName(rows.select(F.concat("key", F.lit(".jpg")).alias("member"), F.repeat("key", F.lit(50)).alias("content"), F.col("key").cast("long").alias("n"), F.lit(1).alias("o")))
-    dealt = both.repartitionById(3, (F.col("n") % 3).cast("int")).sortWithinPartitions("n", "o")
+    last = rows.agg(F.coalesce(F.max(F.col("key").cast("long")), F.lit(0))).first()[0]
+    dealt = both.repartitionById(last // 400 + 1, F.floor(F.col("n") / 400).cast("int")).sortWithinPartitions("n", "o")
     archives.write(dealt, path)
     return archives.caption_shards(spark, path, split=200_000).drop("split_dir")

@@ -55,3 +55,23 @@ def test_sentences(spark):
     tokens = tokenizer.rule_tokens(spark.createDataFrame([("k", text)], "caption_id string, caption string"))
     rows = tokenizer.sentence_spans(tokens).orderBy("sentence").collect()
     assert [text[r["char_start"] : r["char_end"]] for r in rows] == ["One.", '"Two two."', "(Three?)", "four...", "five"] or [text[r["char_start"] : r["char_end"]] for r in rows][0] == 'One. "'
+
+
+def test_stage_two_and_three_records(spark):
+    from tessera.operators import tokens
+    from tessera.schema import ANNOTATED
+
+    text = 'A "big red" hot-air balloon. It flies!'
+    rows = [("a", text), ("b", None), ("c", ""), ("d", "plain")]
+    df = spark.createDataFrame(rows, "caption_id string, caption string")
+    got = {r["caption_id"]: r for r in tokens.preprocess(df).collect()}
+    assert [t["text"] for t in got["a"]["tokens"]] == ["A", '"big red"', "hot-air", "balloon", ".", "It", "flies", "!"]
+    assert [(s["kind"], s["rule_id"], s["text"], s["token_start"], s["token_end"]) for s in got["a"]["protected_spans"]] == [("quote", "R3", '"big red"', 1, 2), ("hyphen_word", "R5", "hot-air", 2, 3)]
+    assert {k: r["rule_ids"] for k, r in got.items()} == {"a": ["R2", "R3", "R5"], "b": ["R2"], "c": ["R2"], "d": ["R2"]}
+    assert got["b"]["tokens"] is None and got["d"]["protected_spans"] is None
+    cells = [(t["i"], t["text"], "", "", "", "", "", 0, "", t["char_start"], t["char_end"], t["whitespace"]) for t in got["a"]["tokens"]]
+    annotated = spark.createDataFrame([("a", text, "sentence", cells, [], []), ("n", "", "sentence", [], [], [])], ANNOTATED)
+    spans = spark.createDataFrame([("a", "quote")], "caption_id string, kind string")
+    done = {r["caption_id"]: r for r in tokens.stage3_records(annotated, spans).collect()}
+    assert [(s["text"], s["token_start"], s["token_end"]) for s in done["a"]["sentences"]] == [('A "big red" hot-air balloon.', 0, 5), ("It flies!", 5, 8)]
+    assert done["a"]["rule_ids"] == ["R2", "R3", "R6", "R8", "R9", "R10", "R11"] and done["n"]["sentences"] is None
