@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions import status
 from ..functions.text import display_surface, normalize_query, pipe_join, separator_key, separator_variants, surface_key, surface_variant_keys
-from .extract import ATTRIBUTE_DEPS, MWE_BOUNDARY_DEPS, MWE_BOUNDARY_POS, QUANTITY_DEPS, _spread, _surface, action_candidates, children, object_spans, preposition_matches, tokens_of
+from . import inventory
+from .extract import ATTRIBUTE_DEPS, BLOCKED_START_DEPS, BLOCKED_START_POS, MWE_BOUNDARY_DEPS, MWE_BOUNDARY_POS, QUANTITY_DEPS, _spread, _surface, _written, action_candidates, children, object_spans, preposition_matches, tokens_of
 from .fold import dimension, first_per_key, greedy_spans
 
 # Modes of the attribute builder, kinds of units, parts of speech of base forms in their order, separators of phrases.
@@ -414,3 +415,64 @@ def canonical_variants(rows: DataFrame, kind: str, keys: list[str], synset_lemma
     why = F.when(state == "excluded", "not_applicable_excluded").when(state == "raw_fallback", "not_applicable_raw_fallback_no_selected_synset").when(~sense, "not_applicable_no_selected_synset").when(F.col("why").isNull(), "ambiguous_selected_synset_lookup_error").otherwise(F.col("why"))
     fine = why == F.col("why")
     return out.select(*keys, F.when(fine, F.col("name")).otherwise("").alias("canonical_surface"), why.alias("canonical_selection_tag"), F.when(fine, F.col("candidate_lemmas")).otherwise(F.array().cast("array<string>")).alias("candidate_lemmas"))
+
+
+# --- objects
+
+
+def object_lookup(keys: DataFrame, lemmas: DataFrame, morphy: DataFrame, synsets: DataFrame, sense_counts: DataFrame) -> DataFrame:
+    """The decision on every noun phrase that has senses: key, lookup_case, query, synsets[], selected, lexfile, tag, gate, decision_status, decision_reason."""
+    asked = keys.select(F.col("key").alias("span_key")).where("span_key <> ''").distinct()
+    hits = inventory.synset_hits(asked, lemmas, morphy, "n")
+    chosen = inventory.decided(hits.join(inventory.sense_choice(hits, sense_counts), "span_key"), synsets)
+    return chosen.select(F.col("span_key").alias("key"), "lookup_case", "query", "synsets", F.col("selected_oewn_synset").alias("selected"), F.col("selected_oewn_lexfile").alias("lexfile"), F.col("synset_selection_tag").alias("tag"), "gate", "decision_status", "decision_reason")
+
+
+def object_inventory(annotated: DataFrame, lookup, prior: DataFrame | None = None, cut=lambda df: df.checkpoint()) -> DataFrame:
+    """The observed objects with their decisions: span_key, observed_surface, example_surfaces, observed_count, caption_count,
+    example_caption_ids, the columns of ``object_lookup`` and reused.
+
+    Of a noun chunk the longest span that ends at its root counts which an earlier row has (``prior``: key and the columns of object_lookup), or
+    whose text, or else whose text with the root's base form, has senses; without any the root alone. ``lookup``: keys -> decisions."""
+    spans = cut(chunk_spans(annotated))
+    keys = spans.select(F.explode("keys").alias("key")).distinct()
+    answers = lookup(keys).where(F.size("synsets") > 0)
+    columns = [c for c in answers.columns if c != "key"]
+    answers = answers.select("key", F.struct(*columns).alias("d"), F.lit(False).alias("old"))
+    if prior is not None:
+        empty = F.array().cast("array<string>")
+        fill = {c: F.col(c) if c in prior.columns else (empty if c == "synsets" else F.lit(None).cast("string")) for c in columns}
+        answers = answers.unionByName(first_per_key(prior, ["key"], ["decision_status"]).select("key", F.struct(*(v.alias(c) for c, v in fill.items())).alias("d"), F.lit(True).alias("old")))
+    answers = cut(answers)
+    tried = spans.select("caption_id", "chunk_ix", "start", "surface", F.posexplode("keys").alias("n", "key"))
+    found = tried.join(dimension(answers), "key").where("not old or n = 0")
+    best = first_per_key(found, ["caption_id", "chunk_ix"], ["start", F.when(F.col("old"), 0).otherwise(1), "n"]).select("caption_id", "chunk_ix", "surface", "d", "old")
+    roots = spans.where("alone").select("caption_id", "chunk_ix", F.col("surface").alias("root"))
+    units = roots.join(best, ["caption_id", "chunk_ix"], "left").withColumn("surface", F.coalesce("surface", "root"))
+    units = units.select("caption_id", "surface", normalize_query("surface").alias("key"), *(F.col(f"d.{c}").alias(c) for c in columns), F.coalesce("old", F.lit(False)).alias("reused")).where("key <> ''")
+    none = F.col("decision_status").isNull()
+    fill = {"lookup_case": "unresolved", "tag": "unresolved_no_oewn_noun_synset", "decision_status": status.OBJECT.without_sense, "decision_reason": status.OBJECT.none_reason, "query": "", "gate": ""}
+    units = cut(units.withColumns({**{c: F.when(none, v).otherwise(F.coalesce(c, F.lit(""))) for c, v in fill.items()}, "synsets": F.coalesce("synsets", F.array().cast("array<string>"))}))
+    return _counted(units, ["key"], [], units.select("key", *columns, "reused").distinct(), ["key"]).withColumnRenamed("key", "span_key")
+
+
+def chunk_spans(annotated: DataFrame) -> DataFrame:
+    """caption_id, chunk_ix, start, surface, keys[], alone: the spans of each noun chunk that end at its root and may begin where they do; their
+    text, and the keys of their text and of it with the root's base form."""
+    chunks = annotated.select("caption_id", "tokens", F.posexplode("noun_chunks").alias("chunk_ix", "c")).where("c.root_i >= c.token_start and c.root_i < c.token_end")
+    starts = chunks.select("caption_id", "chunk_ix", "tokens", F.col("c.root_i").alias("root_i"), F.explode(F.sequence("c.token_start", "c.root_i")).alias("start"))
+    span = F.slice("tokens", F.col("start") + 1, F.col("root_i") - F.col("start") + 1)
+    starts = starts.withColumn("span", span).drop("tokens")
+    first, last = F.col("span")[0], F.element_at("span", -1)
+    alone = F.col("start") == F.col("root_i")
+    fine = alone | ~(F.coalesce(first.dep.isin(*BLOCKED_START_DEPS), F.lit(False)) | F.coalesce(first.pos.isin(*BLOCKED_START_POS), F.lit(False)))
+    raw = _written(F.col("span"))
+    words = F.split(normalize_query(raw), " ")
+    based = F.array_join(F.concat(F.slice(words, 1, F.size(words) - 1), F.array(normalize_query(last.lemma))), " ")
+    keys = F.array_distinct(F.array(normalize_query(raw), F.when(F.coalesce(last.lemma, F.lit("")) != "", based).otherwise(normalize_query(raw))))
+    return starts.where(fine).select("caption_id", "chunk_ix", "start", raw.alias("surface"), keys.alias("keys"), alone.alias("alone"))
+
+
+def ordered(rows: DataFrame) -> DataFrame:
+    """Inventory rows as files hold them: the most frequent first, then by key."""
+    return rows.orderBy(F.desc("observed_count"), "span_key")

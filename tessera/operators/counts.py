@@ -172,6 +172,20 @@ def requested_captions(facts: DataFrame, terms: DataFrame, key: str) -> DataFram
     return asked.join(found, "term", "left").fillna(0, ["count", "caption_count"])
 
 
+def requested_pairs(facts: DataFrame, pairs: DataFrame, first: str, second: str) -> DataFrame:
+    """For each requested pair of labels (first, second) the captions that have it, and those that have either label at all; zero without any.
+
+    Labels are trimmed and lower-cased on both sides; a pair asked for twice is one."""
+    label = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
+    asked = pairs.select(label("first").alias("first"), label("second").alias("second")).distinct()
+    seen = facts.select("caption_id", label(first).alias("first"), label(second).alias("second")).where("first <> '' and second <> ''")
+    out = asked
+    for keys, name in ((["first", "second"], "caption_count"), (["first"], "first_captions"), (["second"], "second_captions")):
+        hit = seen.join(asked.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.count_distinct("caption_id").alias(name))
+        out = out.join(hit, keys, "left").fillna(0, [name])
+    return out
+
+
 def caption_sets(facts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     """term, caption_id: the captions of each requested term, each once. Rows stay rows, so a frequent term needs no large list."""
     asked = terms.select(F.lower(F.trim("term")).alias("term")).distinct()

@@ -143,10 +143,15 @@ def filter_values(view: DataFrame, column: str, q: str = "", page: int = 1, page
     return out.orderBy(F.desc("total"), "value").offset((max(page, 1) - 1) * size).limit(size)
 
 
-def row_captions(index: DataFrame, captions: DataFrame, view_name: str, row_id: int, page: int = 1, page_size: int = 50) -> DataFrame:
-    """Captions behind a row, by id. The index is partitioned by view, so only that view's files are read."""
+def row_captions(index: DataFrame, captions: DataFrame, view_name: str, row_id: int, page: int = 1, page_size: int = 50, view: DataFrame | None = None) -> DataFrame:
+    """Captions behind a row, by id. The index is partitioned by view, so only that view's files are read. Where it has none for the
+    row, and the ``view`` is given, the row's own examples stand in."""
     size = _clamp(page_size, PAGE)
     ids = index.where((F.col("view_name") == view_name) & (F.col("row_id") == row_id)).select("caption_id").distinct()
+    if view is not None:
+        own = view.where(F.col("_row_id") == row_id).select(F.explode(F.split("example_caption_ids", "[|]")).alias("caption_id"), F.lit(1).alias("_by"))
+        both = ids.withColumn("_by", F.lit(0)).unionByName(own)
+        ids = both.withColumn("_first", F.min("_by").over(Window.partitionBy(F.lit(row_id)))).where("_by = _first and caption_id <> ''").select("caption_id").distinct()  # the captions of one row
     some = ids.orderBy("caption_id").offset((max(page, 1) - 1) * size).limit(size)
     return captions.join(F.broadcast(some), "caption_id", "left_semi").orderBy("caption_id")  # a page of ids
 

@@ -104,6 +104,10 @@ PRIOR = [("single_token", "small", "chosen", "a-tiny", "adj.all", "tiny"), ("mwe
 # earlier decisions on actions by key, and by query
 BY_KEY, BY_QUERY = [("spins up", "v-spinup"), ("holds on", "")], [("carry", "v-bear"), ("lif", "v-lif"), ("hold", "v-other")]
 
+# the nouns: form, synset, lexicographer file, count; base forms; earlier rows
+NOUN_SENSES = [("ring", "n-ring", "noun.artifact", 0), ("red ring", "n-redring", "noun.artifact", 0), ("gear", "n-gear", "noun.artifact", 3), ("gear", "n-stuff", "noun.artifact", 1), ("widget", "n-widget", "noun.artifact", 0), ("widget", "n-thing", "noun.artifact", 0), ("plate", "n-plating", "noun.act", 0), ("bolt", "n-bolt", "noun.artifact", 0)]
+NOUN_BASES = [("gears", "n", "gear")]
+NOUN_PRIOR = [("bolt", "chosen", "n-screw", "noun.artifact", "by_hand"), ("old rod", "excluded", None, None, "by_hand")]
 # synset, lemma, and the frequency of names in n-grams: synset, surface_key, mean_frequency
 NAMES = {
     "a-tiny": "tiny|small", "a-large": "large|big", "n-standard": "standard|criterion", "a-red": "red|reddish", "p-hyphen": "large-red|large_red", "p-exact": "small hot|small-hot", "p-base": "medium-olden|medium olden", "a-olden": "olden",
@@ -294,3 +298,37 @@ def canonical_variants(spark, sf_dir):
         blank = F.lit("")
         found.append(out.unionByName(blocked.select("span_key", blank.alias("canonical_surface"), blank.alias("canonical_selection_tag"), blank.alias("candidate_lemmas"), "blocker_reason")).withColumn("kind", F.lit(kind)))
     return found[0].unionByName(found[1])
+
+
+@query(
+    "object_inventory",
+    f"""WITH {CHUNK_SQL},
+pick AS (
+  SELECT caption_id, CASE WHEN base = 'ring' AND t2 = 'red' AND flag <> 'R' THEN 'red ' || noun WHEN noun = 'rod' AND t2 = 'old' AND flag <> 'R' THEN 'old rod' ELSE noun END AS k, base FROM chunk),
+answer(k, lookup_case, query, synsets, selected, tag, gate, decision_status, decision_reason, reused) AS (VALUES
+ ('ring', 'exact', 'ring', 'n-ring', 'n-ring', 'single_synset', 'object_compatible', 'chosen', 'selected_object_compatible', false), ('rings', 'exact', 'ring', 'n-ring', 'n-ring', 'single_synset', 'object_compatible', 'chosen', 'selected_object_compatible', false),
+ ('red ring', 'exact', 'red ring', 'n-redring', 'n-redring', 'single_synset', 'object_compatible', 'chosen', 'selected_object_compatible', false), ('red rings', 'exact', 'red ring', 'n-redring', 'n-redring', 'single_synset', 'object_compatible', 'chosen', 'selected_object_compatible', false),
+ ('gear', 'exact', 'gear', 'n-gear|n-stuff', 'n-gear', 'max_sense_count', 'object_compatible', 'chosen', 'selected_object_compatible', false), ('gears', 'morphy', 'gear', 'n-gear|n-stuff', 'n-gear', 'max_sense_count', 'object_compatible', 'chosen', 'selected_object_compatible', false),
+ ('widget', 'exact', 'widget', 'n-thing|n-widget', '', 'ambiguous', '', 'needs_manual', 'manual_synset_required', false), ('widgets', 'exact', 'widget', 'n-thing|n-widget', '', 'ambiguous', '', 'needs_manual', 'manual_synset_required', false),
+ ('plate', 'exact', 'plate', 'n-plating', 'n-plating', 'single_synset', 'hard_conflict', 'needs_manual', 'manual_objectness_required', false), ('plates', 'exact', 'plate', 'n-plating', 'n-plating', 'single_synset', 'hard_conflict', 'needs_manual', 'manual_objectness_required', false),
+ ('bolt', '', '', '', 'n-screw', '', '', 'chosen', 'by_hand', true), ('bolts', 'exact', 'bolt', 'n-bolt', 'n-bolt', 'single_synset', 'object_compatible', 'chosen', 'selected_object_compatible', false),
+ ('old rod', '', '', '', '', '', '', 'excluded', 'by_hand', true))
+SELECT (row_number() OVER (ORDER BY count(*) DESC, k))::INTEGER AS position, k AS span_key, k AS observed_surface, count(*) AS observed_count, count(DISTINCT caption_id) AS caption_count, array_to_string(list_slice(list_sort(list(DISTINCT caption_id)), 1, 5), '|') AS example_caption_ids,
+       coalesce(min(a.lookup_case), 'unresolved') AS lookup_case, coalesce(min(a.query), '') AS query, coalesce(min(a.synsets), '') AS synsets, coalesce(min(a.selected), '') AS selected, coalesce(min(a.tag), 'unresolved_no_oewn_noun_synset') AS tag,
+       coalesce(min(a.gate), '') AS gate, coalesce(min(a.decision_status), 'excluded') AS decision_status, coalesce(min(a.decision_reason), 'no_oewn_noun_synset') AS decision_reason, coalesce(bool_or(a.reused), false) AS reused
+FROM pick LEFT JOIN answer a USING (k) GROUP BY k""",
+)
+def object_inventory(spark, sf_dir):
+    """Objects of all captions with earlier rows, senses or their root alone, in the order of files."""
+    from pyspark.sql import Window
+
+    make = spark.createDataFrame
+    lemmas = make([(f, "n", s) for f, s, *_ in NOUN_SENSES], "form string, pos string, synset string")
+    synsets = make(sorted({(s, lex) for _, s, lex, _ in NOUN_SENSES}), "synset string, lexfile string")
+    uses = make([(s, f, n) for f, s, _, n in NOUN_SENSES], "synset string, lemma string, n int")
+    morphy = make(NOUN_BASES, "form string, pos string, lemma string")
+    prior = make(NOUN_PRIOR, "key string, decision_status string, selected string, lexfile string, decision_reason string")
+    lookup = partial(builders.object_lookup, lemmas=lemmas, morphy=morphy, synsets=synsets, sense_counts=uses)
+    rows = _cut(builders.ordered(builders.object_inventory(_cut(captions(spark, sf_dir)), lookup, prior, _cut)))
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))  # a row for each noun of the lexicon
+    return _flat(rows.withColumn("position", place), "position", "span_key", "observed_surface", "observed_count", "caption_count", "example_caption_ids", "reused")

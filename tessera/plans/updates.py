@@ -169,3 +169,18 @@ def lexicon_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = lambda n: part.where(F.col("p_partkey") % n != 0).groupBy(F.col("p_name").alias("raw")).agg(F.min("p_brand").alias("canonical"))
     uses = line.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_name").alias("raw")).agg(F.count(F.lit(1)).alias("count"))
     return rewrite.lexicon_comparison(lexicon(7), lexicon(5), uses)
+
+
+@query(
+    "requested_pairs",
+    f"""WITH {adapters.GRAPH_SQL}, fact AS ({adapters.FACT_SQL["has_attribute"]}), l AS (SELECT caption_id, lower(object) AS a, lower(attribute) AS b FROM fact),
+asked AS (SELECT DISTINCT lower(p_brand) AS a, unnest(['a', 'r', '7', 'nothing']) AS b FROM part WHERE p_size < 5 UNION SELECT 'no brand', 'a')
+SELECT asked.a AS first, asked.b AS second, (SELECT count(DISTINCT caption_id) FROM l WHERE l.a = asked.a AND l.b = asked.b) AS caption_count, (SELECT count(DISTINCT caption_id) FROM l WHERE l.a = asked.a) AS first_captions,
+       (SELECT count(DISTINCT caption_id) FROM l WHERE l.b = asked.b) AS second_captions FROM asked""",
+)
+def requested_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captions of requested object and attribute pairs, and of either label."""
+    facts = all_facts(*adapters.graph(spark, sf_dir), united=False)["has_attribute"]
+    brands = adapters.table(spark, sf_dir, "part").where("p_size < 5").select(F.concat(F.lit(" "), F.upper("p_brand")).alias("first"))
+    asked = brands.select("first", F.explode(F.array(*map(F.lit, ("A", "r ", "7", "nothing")))).alias("second")).unionByName(spark.createDataFrame([("no brand", "a")], "first string, second string"))
+    return counts.requested_pairs(facts, asked, "object", "attribute")
