@@ -16,19 +16,23 @@ from .shingle_join import jaccard_components
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of equal texts; of each the row with the largest id stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup(docs, keep="max").select(F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's side."""
     return perspectives(table(spark, sf_dir, "conversations"))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents similar by four-word shingles, at 85 per cent, and the links of each."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those whose id's checksum leaves another remainder than 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = crc_mod("doc_id", 4) == 2
     found = language.identify(docs, language.train(docs, ~held), keep=["doc_id"])
@@ -36,27 +40,33 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few sequences of 2,048 tokens as were found."""
     return pack(table(spark, sf_dir, "documents"), **VOCABULARY)
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
 def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of nine tenths of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", crc_mod("doc_id", 10) == 0)
     return pitman_yor.score(docs, "held_out")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License matches in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mixing schedule."""
     return mix(table(spark, sf_dir, "documents"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learnt from two thirds of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = crc_mod("doc_id", 3) == 1
     found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"), ~held), keep=["doc_id"])
