@@ -247,8 +247,7 @@ def _of_length(rows: DataFrame, dim: int, is_query, k: int, tables: int, recall:
     visits = cut(asked.select("q").mapInArrow(tidy(probe), "key long, q binary"))
     indexed = kinds.select("v", "ids").mapInArrow(tidy(index), f"key long, v binary, ids array<{ids}>")
     buckets = cut(laned(indexed, "v", ["key"]).withColumnRenamed("own", "lane"))
-    lanes = buckets.select("key", "lane")  # every lane of a bucket meets all its queries
-    meetings = laned(visits.where("key is not null").join(lanes, "key"), "q", ["key", "lane"]).join(buckets, ["key", "lane"]).select("q", "v")
+    meetings = laned(visits.where("key is not null"), "q", ["key"]).join(buckets, "key").select("q", "v")  # every lane of a bucket meets all lanes of its queries
 
     def compare(batches):
         best = Best(k + 1)
