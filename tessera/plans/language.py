@@ -103,7 +103,7 @@ def rule_sentences(spark, sf_dir):
 s AS (SELECT * FROM token WHERE doc_id % 10 <> 0),
 q AS (SELECT doc_id, i AS a, lead(i) OVER w + 1 AS e, row_number() OVER w % 2 = 1 AS opens FROM s WHERE text = '"' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 quote AS (SELECT doc_id, a, e FROM q WHERE opens AND e IS NOT NULL),
-f AS (SELECT *, regexp_matches(text, '^[\p{{L}}\p{{N}}]+$') AND regexp_matches(text, '\p{{L}}') AS part FROM s),
+f AS (SELECT *, regexp_matches(text, '^[\\p{{L}}\\p{{N}}]+$') AND regexp_matches(text, '\\p{{L}}') AS part FROM s),
 t AS (SELECT *, lag(text) OVER w = '-' AND NOT lag(ws) OVER w AND lag(part, 2) OVER w AND NOT lag(ws, 2) OVER w AS tied FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 r2 AS (SELECT *, sum(CASE WHEN coalesce(tied, false) THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM t WHERE part),
 word AS (SELECT doc_id, min(i) AS a, max(i) + 1 AS e FROM r2 GROUP BY doc_id, run HAVING count(*) >= 2 AND max(length(text)) >= 2),
