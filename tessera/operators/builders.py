@@ -145,7 +145,7 @@ def attribute_lookup(surfaces: DataFrame, lemmas: DataFrame, morphy: DataFrame,
     own = F.nullif(F.col("p.selected"), F.lit(""))
     return out.select(
         *by,
-        F.when(reused, "gpic_attribute_inventory").otherwise(F.col("lookup_case")).alias("lookup_case"),
+        F.when(reused, "prior_attribute").otherwise(F.col("lookup_case")).alias("lookup_case"),
         "query",
         F.when(reused & own.isNotNull() & (F.size("synsets") == 0), F.array(own)).otherwise(F.col("synsets")).alias("synsets"),
         F.when(reused, own).otherwise(F.col("selected")).alias("selected"),

@@ -149,7 +149,7 @@ chunk AS (
 
 #: The decisions on all words that have any, written by hand: unit, span_key, lookup_case, query, synsets, selected, tag, gate, status, reason, forms, canonical.
 ANSWERS = """answer(unit, span_key, lookup_case, query, synsets, selected, tag, gate, decision_status, decision_reason, lookup_forms, canonical_surface) AS (VALUES
- ('single_token', 'small', 'gpic_attribute_inventory', 'small', 'a-small', 'a-tiny', 'prior_decision', 'attribute_compatible', 'chosen', 'prior_decision_reused', '', 'tiny'),
+ ('single_token', 'small', 'prior_attribute', 'small', 'a-small', 'a-tiny', 'prior_decision', 'attribute_compatible', 'chosen', 'prior_decision_reused', '', 'tiny'),
  ('single_token', 'large', 'exact', 'large', 'a-large|n-large', 'a-large', 'selected_by_wn30_attribute_compatible_lemma_count', 'attribute_compatible', 'chosen', 'selected_attribute_compatible', '', ''),
  ('single_token', 'medium', 'exact', 'medium', 'a-medium|a-middle', '', 'ambiguous_attribute_compatible_wn30_tie', '', 'needs_manual', 'manual_synset_required', '', ''),
  ('single_token', 'economies', 'surface_query_conflict', 'economies|economy', 'n-savings|n-economy', '', 'ambiguous_observed_vs_surface_changed_query', '', 'needs_manual', 'manual_surface_query_conflict_required', '', ''),
@@ -164,7 +164,7 @@ ANSWERS = """answer(unit, span_key, lookup_case, query, synsets, selected, tag,
  ('mwe', 'small hot', 'mwe_exact', 'small hot', 'p-exact', 'p-exact', 'single_oewn_attribute_synset', 'attribute_compatible', 'chosen', 'selected_attribute_compatible', 'small hot', ''),
  ('mwe', 'large red', 'mwe_hyphen_variant', 'large-red', 'p-hyphen', 'p-hyphen', 'single_oewn_attribute_synset', 'attribute_compatible', 'chosen', 'selected_attribute_compatible', 'large red|large-red', ''),
  ('mwe', 'medium old', 'mwe_anchor_morphy_underscore', 'medium_olden', 'p-base', 'p-base', 'single_oewn_attribute_synset', 'attribute_compatible', 'chosen', 'selected_attribute_compatible', 'medium old|medium-old|medium_old|medium olden|medium-olden|medium_olden', ''),
- ('mwe', 'large blue', 'gpic_attribute_inventory', 'large blue', 'p-out', '', 'prior_decision', '', 'excluded', 'prior_decision_reused', 'large blue', ''),
+ ('mwe', 'large blue', 'prior_attribute', 'large blue', 'p-out', '', 'prior_decision', '', 'excluded', 'prior_decision_reused', 'large blue', ''),
  ('mwe', 'economies new', 'mwe_exact', 'economies new', 'p-doubtful', 'p-doubtful', 'single_oewn_attribute_synset', 'conditional', 'needs_manual', 'manual_attribute_gate_required', 'economies new', ''),
  ('mwe', 'small new widget', 'mwe_exact', 'small new widget', 'o-widget', 'o-widget', 'single_oewn_attribute_synset', 'attribute_compatible', 'chosen', 'selected_attribute_compatible', 'small new widget', ''),
  ('mwe', 'small new widgets', 'mwe_anchor_morphy_space', 'small new widget', 'o-widget', 'o-widget', 'single_oewn_attribute_synset', 'attribute_compatible', 'chosen', 'selected_attribute_compatible', 'small new widgets|small-new-widgets|small_new_widgets|small new widget', ''),
