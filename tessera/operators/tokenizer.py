@@ -235,12 +235,29 @@ def rule_tokens(captions: DataFrame, id_col: str = "caption_id", text_col: str =
     return rows.select("caption_id", "i", "text", (F.col("char_end") - F.length("text")).cast("int").alias("char_start"), "char_end", "whitespace")
 
 
+#: Tokens that end a sentence, and those that still belong to one that has ended.
+_ENDS_SENTENCE = "^(?:[.!?。？！।]|\\.\\.+|…)$"
+_CLOSES = f"^[{_class(QUOTES)})\\]}}]$"
+
+
+def text_sentences(captions: DataFrame, id_col: str = "caption_id", text_col: str = "caption") -> DataFrame:
+    """caption_id, sentence, token_start, token_end: the sentences of ``sentence_spans``, without a row for each token.
+
+    A text's tokens become a text of three letters (ends, closes, other) in which a pattern finds the sentences; only they are exchanged."""
+    kind = lambda t: F.when(t.rlike(_ENDS_SENTENCE), "E").when(t.rlike(_CLOSES), "C").otherwise("O")
+    letters = F.array_join(F.transform(text_tokens(captions[text_col]), kind), "")
+    found = captions.select(captions[id_col].alias("caption_id"), F.posexplode(F.regexp_extract_all(letters, F.lit("[^E]*E[EC]*|[^E]+"), 0)).alias("sentence", "s"))
+    by = Window.partitionBy("caption_id").orderBy("sentence").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.length("s")).over(by)
+    return found.select("caption_id", "sentence", (end - F.length("s")).cast("int").alias("token_start"), end.cast("int").alias("token_end"))
+
+
 def sentence_spans(tokens: DataFrame) -> DataFrame:
     """caption_id, sentence, token_start, token_end, char_start, char_end: a sentence ends after a run of closing signs that begins
     with a full stop, question or exclamation mark; what follows the last one is a sentence too."""
     by = Window.partitionBy("caption_id").orderBy("i")
-    ends = F.col("text").rlike("^(?:[.!?。？！।]|\\.\\.+|…)$")
-    closing = F.col("text").rlike(f"^[{_class(QUOTES)})\\]}}]$")
+    ends = F.col("text").rlike(_ENDS_SENTENCE)
+    closing = F.col("text").rlike(_CLOSES)
     rows = tokens.withColumns({"ends": ends, "closing": closing})
     # a closing sign belongs to the run if the last token that is none of them ended a sentence
     last = F.last(F.when(~F.col("closing"), F.col("ends")), ignorenulls=True).over(by)

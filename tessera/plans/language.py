@@ -93,8 +93,8 @@ s AS (SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY doc_i
 SELECT doc_id, sentence::INTEGER AS sentence, min(i)::INTEGER AS token_start, (max(i) + 1)::INTEGER AS token_end FROM s GROUP BY doc_id, sentence""",
 )
 def rule_sentences(spark, sf_dir):
-    docs = adapters.table(spark, sf_dir, "documents")
-    return tokenizer.sentence_spans(tokenizer.rule_tokens(docs, "doc_id", "text")).select(F.col("caption_id").alias("doc_id"), "sentence", "token_start", "token_end")
+    """The sentences of all documents as ranges of tokens."""
+    return tokenizer.text_sentences(adapters.table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("caption_id", "doc_id")
 
 
 @query(
