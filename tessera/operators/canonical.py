@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import lexicon_key
 from ..schema import MISSING_SOURCE, MISSING_TARGET, require
+from .facts import with_ends
 
 # The rule that gave the canonical label of each type of mention, of parents, and of relations.
 CANONICAL_RULES = {"object": "R19", "attribute": "R20", "quantity": "R21", "action": "R22"}
@@ -56,13 +57,11 @@ def canonicalize_mentions(raw: DataFrame, attributes: DataFrame, actions: DataFr
 
 def canonicalize_edges(raw: DataFrame, mentions: DataFrame) -> DataFrame:
     """Both ends looked up in the canonical mentions. An unknown end fails the job; a missing one is named so."""
-    names = mentions.select("caption_id", "mention_id", "canonical")
-    out = raw
-    for end, missing in (("source", MISSING_SOURCE), ("target", MISSING_TARGET)):
+    out = with_ends(mentions, raw, F.struct("canonical"))
+    for end, side, missing in (("source", "s", MISSING_SOURCE), ("target", "t", MISSING_TARGET)):
         key = f"{end}_mention_id"
-        out = out.join(names.select("caption_id", F.col("mention_id").alias(key), F.col("canonical").alias(f"{end}_canonical")), ["caption_id", key], "left")
-        found = F.when(F.col(key) == missing, f"{end}_missing").otherwise(F.col(f"{end}_canonical"))
-        out = out.withColumn(f"{end}_canonical", require(found.isNotNull(), F.concat(F.lit("no such mention: "), F.col("caption_id"), F.lit(" "), F.col(key)), found))
+        found = F.when(F.col(key) == missing, f"{end}_missing").otherwise(F.col(side)["canonical"])
+        out = out.withColumn(f"{end}_canonical", require(found.isNotNull(), F.concat(F.lit("no such mention: "), F.col("caption_id"), F.lit(" "), F.col(key)), found)).drop(side)
     related = F.col("edge_type").isin("relation", "ambiguous_relation_candidate")
     return out.withColumns(
         {

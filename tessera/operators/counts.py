@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import partition_of, pipe_join
 from ..schema import require
+from .facts import with_ends
 
 #: Captions that stand as examples of a row.
 EXAMPLES = 5
@@ -68,7 +69,7 @@ def count_table(facts: DataFrame, spec: CountSpec) -> DataFrame:
     main = once.groupBy("k").agg(
         F.sum("_n").alias("count"),
         *(distinct_sorted(facts, x).alias(x) for x in evidence),
-        F.array_sort(F.array_distinct(all_rules)).alias("rule_ids"),
+        F.array_sort(F.array_compact(F.array_distinct(all_rules))).alias("rule_ids"),
     )
     seen = facts.select(key, "caption_id").distinct()
     few = seen.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("caption_id"))).where(F.col("n") <= EXAMPLES)
@@ -98,12 +99,11 @@ TRIPLE = CountSpec("patient_action_agent_triples", "triple", "patient_action_age
 
 def triple_facts(edges: DataFrame, mentions: DataFrame) -> DataFrame:
     """caption_id, patient, action, agent: the agents of each action mention times its patients."""
-    name = mentions.select("caption_id", F.col("mention_id").alias("id"), "canonical")
-    roles = edges.where("edge_type = 'event_role'").select("caption_id", F.col("source_mention_id").alias("act"), F.col("target_mention_id").alias("id"), "canonical_label").join(name, ["caption_id", "id"])
-    agents = roles.where("canonical_label = 'agent'").select("caption_id", "act", F.col("canonical").alias("agent"))
-    patients = roles.where("canonical_label = 'patient'").select("caption_id", "act", F.col("canonical").alias("patient"))
-    actions = name.select("caption_id", F.col("id").alias("act"), F.col("canonical").alias("action"))
-    return agents.join(patients, ["caption_id", "act"]).join(actions, ["caption_id", "act"]).select("caption_id", "patient", "action", "agent")
+    roles = with_ends(mentions, edges.where("edge_type = 'event_role'"), F.struct("canonical")).where("s is not null and t is not null")
+    of = lambda role: F.collect_list(F.when(F.col("canonical_label") == role, F.struct(F.col("t.canonical").alias("name")))).alias(role)
+    acts = roles.groupBy("caption_id", F.col("source_mention_id").alias("act")).agg(F.first("s.canonical").alias("action"), of("agent"), of("patient"))
+    each = acts.select("caption_id", "action", "patient", F.explode("agent").alias("agent")).select("caption_id", "action", "agent", F.explode("patient").alias("patient"))
+    return each.select("caption_id", F.col("patient.name").alias("patient"), "action", F.col("agent.name").alias("agent"))
 
 
 def triples(edges: DataFrame, mentions: DataFrame) -> DataFrame:

@@ -178,6 +178,13 @@ def _flat(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.select(*keys, *((F.array_join(c, "|") if c in lists else F.coalesce(c, F.lit(""))).alias(c) for c in _DECISION if c in rows.columns))
 
 
+def _kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct type, name and size of the parts that lines have: few rows, made once for all branches of a look-up."""
+    used = adapters.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    part = adapters.table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_size")
+    return _cut(part.join(used, "p_partkey", "left_semi").select("p_type", "p_name", "p_size").distinct())
+
+
 def _lookup(spark: SparkSession):
     lex = lexicon(spark)
     return partial(builders.attribute_lookup, **{k: lex[k] for k in ("lemmas", "morphy", "synsets", "sense_counts", "prior")})
@@ -201,10 +208,11 @@ SELECT mode, unit, k AS span_key, len(string_split(k, ' '))::INTEGER AS span_tok
 FROM unit u JOIN answer a USING (unit) WHERE a.span_key = k GROUP BY mode, unit, k""",
 )
 def attribute_inventory(spark, sf_dir):
-    annotated, lex = _cut(captions(spark, sf_dir)), lexicon(spark)
+    cut, lex = adapters.kept(adapters.buckets_of(spark, sf_dir)), lexicon(spark)
+    annotated = cut(captions(spark, sf_dir))
     found = []
     for mode in builders.MODES:
-        rows = builders.attribute_inventory(annotated, lex["objects"], lex["prepositions"], _lookup(spark), mode, _cut)
+        rows = builders.attribute_inventory(annotated, lex["objects"], lex["prepositions"], _lookup(spark), mode, cut)
         found.append(_flat(rows, F.lit(mode).alias("mode"), "unit", "span_key", "span_token_count", "anchor_token_offset", "observed_surface", "example_surfaces", "observed_count", "caption_count", "example_caption_ids"))
     return found[0].unionByName(found[1]).unionByName(found[2])
 
@@ -222,7 +230,7 @@ FROM asked a LEFT JOIN answer x USING (unit, span_key) LEFT JOIN base ON word =
 )
 def attribute_lookup(spark, sf_dir):
     """Every type and name word, and every pair of them, looked up; types that are plural as such."""
-    part = adapters.lines(spark, sf_dir).select("p_type", "p_name").distinct()
+    part = _kinds(spark, sf_dir).select("p_type", "p_name").distinct()
     t1 = F.expr("CASE p_type " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in TYPES.items()) + " ELSE lower(p_type) END")
     t2 = F.split("p_name", " ")[0]
     single = F.lit(builders.SINGLE).alias("unit")
@@ -252,7 +260,8 @@ FROM pick JOIN answer a USING (k) GROUP BY k""",
 def action_inventory(spark, sf_dir):
     lex = lexicon(spark)
     lookup = partial(builders.action_lookup, **{k: lex[k] for k in ("lemmas", "morphy", "sense_counts", "by_key", "by_query")})
-    rows = builders.action_inventory(_cut(captions(spark, sf_dir)), lex["prepositions"], lookup, _cut)
+    cut = adapters.kept(adapters.buckets_of(spark, sf_dir))
+    rows = builders.action_inventory(cut(captions(spark, sf_dir)), lex["prepositions"], lookup, cut)
     return _flat(rows, "span_key", "observed_surface", "example_surfaces", "observed_count", "caption_count", "example_caption_ids", "candidate_types")
 
 
@@ -280,7 +289,7 @@ FROM asked LEFT JOIN named USING (kind, span_key)""",
 def canonical_variants(spark, sf_dir):
     """Names of all attributes and verb phrases that the lines' words make, and the rows that stand in the way."""
     lex = lexicon(spark)
-    part = adapters.lines(spark, sf_dir).select("p_type", "p_name", "p_size").distinct()
+    part = _kinds(spark, sf_dir)
     t1 = F.expr("CASE p_type " + " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in TYPES.items()) + " ELSE lower(p_type) END")
     t2 = F.split("p_name", " ")[0]
     single = F.lit(builders.SINGLE).alias("unit")
@@ -329,6 +338,7 @@ def object_inventory(spark, sf_dir):
     morphy = make(NOUN_BASES, "form string, pos string, lemma string")
     prior = make(NOUN_PRIOR, "key string, decision_status string, selected string, lexfile string, decision_reason string")
     lookup = partial(builders.object_lookup, lemmas=lemmas, morphy=morphy, synsets=synsets, sense_counts=uses)
-    rows = _cut(builders.ordered(builders.object_inventory(_cut(captions(spark, sf_dir)), lookup, prior, _cut)))
+    cut = adapters.kept(adapters.buckets_of(spark, sf_dir))
+    rows = _cut(builders.ordered(builders.object_inventory(cut(captions(spark, sf_dir)), lookup, prior, cut)))
     place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))  # a row for each noun of the lexicon
     return _flat(rows.withColumn("position", place), "position", "span_key", "observed_surface", "observed_count", "caption_count", "example_caption_ids", "reused")
