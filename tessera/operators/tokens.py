@@ -5,35 +5,69 @@ Window functions over (caption, position) find quotes and hyphen words, so a cap
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .fold import longest_spans
 from .tokenizer import rule_tokens, sentence_spans
 
-_INTS = ("i", "char_start", "char_end")
-TOKEN = T.StructType([T.StructField(x, T.IntegerType() if x in _INTS else T.StringType()) for x in ("i", "text", "char_start", "char_end", "whitespace")])
+#: Tokens that a worker holds at a time, about; one caption's are never divided.
+BATCH_TOKENS = 50_000
+_CELLS = {"i": pa.int32(), "text": pa.string(), "char_start": pa.int32(), "char_end": pa.int32(), "whitespace": pa.string()}
 _TOKEN = re.compile(r"[^\W_]+|[^\s]")
+QUOTE_MARKS = ('"', "“", "”")
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The other columns and tokens[] of rows whose last column is the caption, in batches of bounded size whatever the captions' lengths."""
+    for batch in batches:
+        captions, first = batch.column(batch.num_columns - 1), 0
+        sizes, cells = [0], {c: [] for c in _CELLS}
+        for at in range(len(batch)):
+            text = captions[at].as_py() or ""
+            spans = [m.span() for m in _TOKEN.finditer(text)]
+            cells["i"] += range(len(spans))
+            cells["text"] += [text[a:z] for a, z in spans]
+            cells["char_start"] += [a for a, _ in spans]
+            cells["char_end"] += [z for _, z in spans]
+            cells["whitespace"] += [x if (x := text[z : z + 1]).isspace() else "" for _, z in spans]
+            sizes.append(len(cells["i"]))
+            if sizes[-1] >= BATCH_TOKENS or at == len(batch) - 1:
+                items = pa.StructArray.from_arrays([pa.array(cells[c], t) for c, t in _CELLS.items()], names=list(_CELLS))
+                lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), items)
+                others = [x.slice(first, at + 1 - first) for x in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*others, lists], names=[*batch.schema.names[:-1], "tokens"])
+                first, sizes, cells = at + 1, [0], {c: [] for c in _CELLS}
+
+
+def token_lists(captions: DataFrame) -> DataFrame:
+    """The rows with tokens[] in place of the caption: a row for each caption, so that nothing needs an exchange to bring tokens together."""
+    others = captions.drop("caption")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others.schema)
+    return captions.select(*others.columns, "caption").mapInArrow(_tokens, f"{kinds}, tokens array<struct<i:int,text:string,char_start:int,char_end:int,whitespace:string>>")
 
 
-@F.pandas_udf(T.ArrayType(TOKEN))
-def _tokens(captions: pd.Series) -> pd.Series:
-    def of(text: str | None) -> list[dict]:
-        text = text or ""
-        return [
-            {"i": i, "text": m[0], "char_start": m.start(), "char_end": m.end(), "whitespace": text[m.end() : m.end() + 1] if text[m.end() : m.end() + 1].isspace() else ""}
-            for i, m in enumerate(_TOKEN.finditer(text))
-        ]
+def tokenize(captions: DataFrame) -> DataFrame:
+    """caption_id, token…: runs of letters and digits, every other sign on its own. Stands in where no annotator gives tokens."""
+    return token_lists(captions.select("caption_id", "caption")).select("caption_id", F.inline("tokens"))
 
-    return captions.map(of)
 
+def quote_marks(lists: DataFrame) -> DataFrame:
+    """caption_id, token… of quotation marks alone: all that quote_spans looks at, and the ends of its spans."""
+    return lists.select("caption_id", F.inline(F.filter("tokens", lambda t: t.text.isin(*QUOTE_MARKS))))
 
-def tokenize(captions: DataFrame) -> DataFrame:
-    """caption_id, token…: runs of letters and digits, every other sign on its own. Stands in where no annotator gives tokens."""
-    return captions.select("caption_id", F.inline(_tokens("caption")))
+
+def near_hyphens(lists: DataFrame) -> DataFrame:
+    """caption_id, token… within two places of a hyphen: hyphen_spans makes of them the same spans as of all tokens.
+
+    A tied part, its hyphen and the part before lie side by side there, and between tokens that are left out and the next that is not there
+    is no hyphen, so nothing is tied across a gap."""
+    is_hyphen = lambda k: F.coalesce(F.get("tokens", k)["text"] == "-", F.lit(False))
+    near = F.filter("tokens", lambda t, k: (t.text == "-") | is_hyphen(k - 1) | is_hyphen(k + 1) | is_hyphen(k - 2) | is_hyphen(k + 2))
+    return lists.where(F.exists("tokens", lambda t: t.text == "-")).select("caption_id", F.inline(near))
 
 
 def quote_spans(tokens: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ def segment_offsets(spark, sf_dir):
 SELECT key, unnest(regexp_extract_all(caption, '"[^"]*"')) AS text FROM src UNION ALL SELECT key, unnest(regexp_extract_all(caption, '“[^“”]*”')) FROM src)
 SELECT key AS caption_id, count(*) AS spans, cast(sum(length(text)) AS BIGINT) AS chars FROM q GROUP BY key""")
 def quote_spans(spark, sf_dir):
-    toks = tokens.tokenize(shape.route(adapters.captions(spark, sf_dir)))
+    toks = _cut(tokens.quote_marks(tokens.token_lists(shape.route(adapters.captions(spark, sf_dir)).select("caption_id", "caption"))))
     spans = tokens.quote_spans(toks)
     ends = toks.select("caption_id", (F.col("i") + 1).alias("token_end"), "char_end")
     out = spans.join(toks.select("caption_id", F.col("i").alias("token_start"), "char_start"), ["caption_id", "token_start"]).join(ends, ["caption_id", "token_end"])
@@ -111,7 +111,7 @@ _PART = "\\p{N}*\\p{L}[\\p{L}\\p{N}]*"
 @query("hyphen_words", f"""WITH {TEXT_SQL}, h AS (SELECT key, unnest(regexp_extract_all(caption, '{_PART}(?:-{_PART})+')) AS text FROM src)
 SELECT key AS caption_id, count(*) AS words, cast(sum(length(text)) AS BIGINT) AS chars FROM h WHERE regexp_matches(text, '[\\p{{L}}\\p{{N}}]{{2}}') GROUP BY key""")
 def hyphen_words(spark, sf_dir):
-    toks = tokens.tokenize(shape.route(adapters.captions(spark, sf_dir)))
+    toks = _cut(tokens.near_hyphens(tokens.token_lists(shape.route(adapters.captions(spark, sf_dir)).select("caption_id", "caption"))))
     spans = tokens.hyphen_spans(toks)
     inside = spans.join(toks, "caption_id").where("i >= token_start and i < token_end").groupBy("caption_id", "token_start").agg((F.max("char_end") - F.min("char_start")).alias("n"))
     return inside.groupBy("caption_id").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("chars"))
@@ -621,8 +621,7 @@ def annotated_to_counts(spark, sf_dir):
 g AS (SELECT caption_id, unnest(range(len(w) - 1)) AS s, w FROM t WHERE len(w) > 1) SELECT caption_id, cast(s AS INTEGER) AS start, cast(s + 2 AS INTEGER) AS "end", w[s + 1] || ' ' || w[s + 2] AS key FROM g WHERE w[s + 1] || ' ' || w[s + 2] IN ('of the', 'que de', 'der die')""")
 def preposition_matches_query(spark, sf_dir):
     rows = shape.route(adapters.captions(spark, sf_dir))
-    lists = tokens.tokenize(rows).groupBy("caption_id").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("tokens"))
-    lists = rows.select("caption_id", "caption_shape").join(lists, "caption_id")
+    lists = tokens.token_lists(rows.select("caption_id", "caption_shape", "caption"))
     words = spark.createDataFrame([(k, 2) for k in ("of the", "que de", "der die")], "key string, width int")
     return preposition_matches(lists, words).select("caption_id", "start", "end", "key")
 
