@@ -589,7 +589,7 @@ def json_events(spark, sf_dir):
 def _golden(spark, sf_dir):
     """The graph of one golden caption for each order."""
     rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
-    return extract(rows, golden.lexicons(spark), _cut)
+    return extract(rows, golden.lexicons(spark), adapters.kept(adapters.buckets_of(spark, sf_dir)))
 
 
 @query("golden_graph_mentions", golden.expected_sql(golden.MENTIONS, "mention_type, text, token_start, token_end"))
@@ -611,7 +611,7 @@ SELECT object, count(*) AS count, count(*) AS caption_count FROM c JOIN o USING
 def annotated_to_counts(spark, sf_dir):
     """The whole path, from annotated captions (one for each order) to a count table."""
     rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
-    raw_mentions, raw_edges = extract(rows, golden.lexicons(spark), _cut)
+    raw_mentions, raw_edges = extract(rows, golden.lexicons(spark), adapters.kept(adapters.buckets_of(spark, sf_dir)))
     none = spark.createDataFrame([], "raw string, canonical string")
     m = canonical.canonicalize_mentions(raw_mentions, none, none)
     found = all_facts(m, canonical.canonicalize_edges(raw_edges, m), united=False)

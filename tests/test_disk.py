@@ -58,3 +58,12 @@ def test_lines_carry_what_breaks_ties_only_where_there_are_ties(spark, tmp_path)
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     by_caption = next(x for x in plan.splitlines() if "RepartitionByExpression [caption_id" in x)
     assert "_tie" in plan and "_tied" in plan and by_caption
+
+
+def test_golden_graphs_are_cut_into_tables_by_caption(spark, sf, monkeypatch):
+    from tessera.plans import queries
+
+    made = []
+    monkeypatch.setattr(queries, "extract", lambda rows, lex, cut: made.append(cut(rows.select("caption_id"))) or (rows, rows))
+    queries._golden(spark, sf)
+    assert "tessera_" in made[0]._jdf.queryExecution().executedPlan().toString()  # a table of ours; before, an uncompressed checkpoint
