@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import status
 from ..functions.text import display_surface, normalize_query, pipe_join, separator_key, separator_variants, surface_key, surface_variant_keys
 from . import inventory
-from .extract import ATTRIBUTE_DEPS, BLOCKED_START_DEPS, BLOCKED_START_POS, MWE_BOUNDARY_DEPS, MWE_BOUNDARY_POS, QUANTITY_DEPS, _spread, _surface, _written, action_candidates, children, object_spans, preposition_matches, tokens_of
+from .extract import ATTRIBUTE_DEPS, BLOCKED_START_DEPS, BLOCKED_START_POS, MWE_BOUNDARY_DEPS, MWE_BOUNDARY_POS, QUANTITY_DEPS, _spread, _surface, _written, object_spans, preposition_matches
 from .fold import dimension, first_per_key, greedy_spans
 
 # Modes of the attribute builder, kinds of units, parts of speech of base forms in their order, separators of phrases.
@@ -318,15 +318,45 @@ def action_lookup(keys: DataFrame, lemmas: DataFrame, morphy: DataFrame, sense_c
     return out.fillna(fill).withColumns({"query": F.coalesce("query", "key"), "synsets": F.coalesce("synsets", F.array().cast("array<string>"))})
 
 
+def action_phrases(annotated: DataFrame, taken: DataFrame) -> DataFrame:
+    """The rows of ``action_candidates`` for all verbs, made from each caption's own tokens: nothing but the taken words meets a caption."""
+    held = taken.groupBy("caption_id").agg(F.collect_set("i").alias("taken"))
+    rows = annotated.select("caption_id", "tokens").join(held, "caption_id", "left")
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    is_prep = lambda t: yes((t.dep == "prep") | (t.pos == "ADP"))
+    word = lambda t: F.struct(t.i.alias("i"), t.head_i.alias("head_i"), t.text.alias("text"), is_prep(t).alias("prep"))
+    loose = F.filter("tokens", lambda t: yes(t.i != t.head_i) & ~yes(F.array_contains("taken", t.i)) & (is_prep(t) | yes((t.dep == "prt") | (t.tag == "RP"))))
+    particles = F.transform(F.filter("loose", lambda t: yes((t.dep == "prt") | (t.tag == "RP"))), word)
+    rows = rows.withColumn("loose", loose).select("caption_id", F.filter("tokens", lambda t: yes(t.pos == "VERB")).alias("verbs"), particles.alias("prt"), F.transform(F.filter("loose", is_prep), word).alias("prep"))
+    no = F.array().cast("array<int>")
+
+    def kind(v: Column, rank: int, parts: Column, preps: Column, text: Column) -> Column:
+        return F.struct(v.i.alias("head"), v.lemma.alias("lemma"), F.lit(rank).alias("rank"), parts.alias("parts"), preps.alias("preps"), text.alias("text"))
+
+    def of(v: Column) -> Column:
+        under = lambda w: F.filter("prep", lambda q: yes((q.head_i == w.i) & (q.i > v.i)))
+        mine = F.filter("prt", lambda p: yes(p.head_i == v.i))
+        both = lambda p: F.concat(F.filter(under(v), lambda q: q.i != p.i), under(p))
+        three = lambda p: F.transform(both(p), lambda q: kind(v, 0, F.array(v.i, p.i, q.i), F.when(p.prep, F.array(p.i, q.i)).otherwise(F.array(q.i)), F.concat_ws(" ", v.text, p.text, q.text)))
+        return F.concat(
+            F.array(kind(v, 3, F.array(v.i), no, v.text)),
+            F.transform(under(v), lambda q: kind(v, 2, F.array(v.i, q.i), F.array(q.i), F.concat_ws(" ", v.text, q.text))),
+            F.transform(mine, lambda p: kind(v, 1, F.array(v.i, p.i), F.when(p.prep, F.array(p.i)).otherwise(no), F.concat_ws(" ", v.text, p.text))),
+            F.flatten(F.transform(mine, three)),
+        )
+
+    found = rows.select("caption_id", F.inline(F.array_distinct(F.flatten(F.transform("verbs", of)))))
+    return found.select("caption_id", "head", "lemma", "rank", "parts", "preps", normalize_query("text").alias("key"), "text")
+
+
 def action_inventory(annotated: DataFrame, prepositions: DataFrame, lookup, cut=lambda df: df.checkpoint()) -> DataFrame:
     """The observed verb phrases with their decisions: span_key, observed_surface, example_surfaces, observed_count, caption_count,
     example_caption_ids, candidate_types and the columns of ``action_lookup``.
 
     ``lookup``: keys -> decisions. Of a verb's candidates that have senses the longest is counted, of equally long ones by ACTION_TYPES and
     place; without any the bare verb. Words of prepositional phrases are no parts of verb phrases."""
-    tokens = tokens_of(annotated)
     taken = _spread(preposition_matches(annotated, prepositions), "start", "end").distinct()
-    found = cut(action_candidates(tokens.where("pos = 'VERB'"), children(tokens), taken))
+    found = cut(action_phrases(annotated, taken))
     answers = cut(lookup(found.select("key").distinct()))
     known = found.join(dimension(answers), "key")
     good = F.when(F.size("synsets") > 0, 0).otherwise(1)
