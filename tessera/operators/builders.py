@@ -231,13 +231,28 @@ def attribute_candidates(annotated: DataFrame, objects: DataFrame, prepositions:
 
 
 def attribute_inventory(annotated: DataFrame, objects: DataFrame, prepositions: DataFrame, lookup, mode: str = "all", cut=lambda df: df.checkpoint()) -> DataFrame:
+    """The inventory of one mode; see ``attribute_inventories``."""
+    return attribute_inventories(annotated, objects, prepositions, lookup, (mode,), cut)[mode]
+
+
+def attribute_inventories(annotated: DataFrame, objects: DataFrame, prepositions: DataFrame, lookup, modes=MODES, cut=lambda df: df.checkpoint()) -> dict[str, DataFrame]:
     """The observed attributes with their decisions: unit, span_key, span_token_count, anchor_token_offset, observed_surface, example_surfaces,
     observed_count, caption_count, example_caption_ids and the columns of ``attribute_lookup``.
 
     ``lookup``: surfaces -> decisions, such as a partial of attribute_lookup. In a chunk the longest known phrases win, then those that end
-    last; their tokens are no single attributes. Phrases that a decision excludes are counted, but block nothing."""
-    found = cut(attribute_candidates(annotated, objects, prepositions, mode))
+    last; their tokens are no single attributes. Phrases that a decision excludes are counted, but block nothing. Several modes share the
+    candidates, of which each takes its units, and what was looked up."""
+    for mode in modes:
+        if mode not in MODES:
+            raise ValueError(f"no such mode: {mode}")
+    found = cut(attribute_candidates(annotated, objects, prepositions, modes[0] if len(modes) == 1 else "all"))
     answers = cut(lookup(found.select("unit", "span_key", "plural").distinct()))
+    units = {"all": F.lit(True), "mwe_only": F.col("unit") == PHRASE, "single_token_only": F.col("unit") == SINGLE}
+    return {mode: _attribute_units(found.where(units[mode]), answers.where(units[mode])) for mode in modes}
+
+
+def _attribute_units(found: DataFrame, answers: DataFrame) -> DataFrame:
+    """The inventory of the candidates ``found``, all of which ``answers`` decide."""
     known = found.join(dimension(answers), ["unit", "span_key", "plural"])
     phrases = known.where((F.col("unit") == PHRASE) & (F.size("synsets") > 0))
     out_ = F.col("decision_status") == "excluded"

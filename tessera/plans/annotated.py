@@ -211,8 +211,7 @@ def attribute_inventory(spark, sf_dir):
     cut, lex = adapters.kept(adapters.buckets_of(spark, sf_dir)), lexicon(spark)
     annotated = cut(captions(spark, sf_dir))
     found = []
-    for mode in builders.MODES:
-        rows = builders.attribute_inventory(annotated, lex["objects"], lex["prepositions"], _lookup(spark), mode, cut)
+    for mode, rows in builders.attribute_inventories(annotated, lex["objects"], lex["prepositions"], _lookup(spark), cut=cut).items():
         found.append(_flat(rows, F.lit(mode).alias("mode"), "unit", "span_key", "span_token_count", "anchor_token_offset", "observed_surface", "example_surfaces", "observed_count", "caption_count", "example_caption_ids"))
     return found[0].unionByName(found[1]).unionByName(found[2])
 

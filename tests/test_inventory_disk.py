@@ -47,3 +47,16 @@ def test_joins_by_caption_and_token_take_buckets_as_they_are(spark):
         seen.append(exchanges(joined.select("*")))
     assert seen == [0] and exchanges(joined.select("*", "i")) > 0
     assert adapters.bucketed(joined, 8).count() == 50 and spark.conf.get(adapters.ALL_KEYS) == "true"
+
+
+def test_modes_share_their_candidates(spark, sf, monkeypatch):
+    made = []
+    real = builders.attribute_candidates
+    monkeypatch.setattr(builders, "attribute_candidates", lambda *a: made.append(a[-1]) or real(*a))
+    asked = annotated.attribute_inventory(spark, sf)
+    assert made == ["all"]  # before, once for each mode
+    lex, rows = annotated.lexicon(spark), adapters.bucketed(annotated.captions(spark, sf), 8)
+    for mode in ("mwe_only", "single_token_only"):
+        alone = builders.attribute_inventory(rows, lex["objects"], lex["prepositions"], annotated._lookup(spark), mode)
+        key = ("unit", "span_key", "observed_count", "caption_count", "example_caption_ids", "decision_status")
+        assert made[-1] == mode and sorted(alone.select(*key).collect()) == sorted(asked.where(f"mode = '{mode}'").select(*key).collect())
