@@ -222,6 +222,12 @@ def piece_tokens(piece: Column) -> Column:
     return F.when(piece.rlike(_WORD_PIECE) & ~word.isin(*_UNSAFE), F.array(word)).when(piece.rlike(_ALL_BLANK), F.array(piece)).otherwise(_let(word, chunk_tokens))
 
 
+def text_pieces(text: Column) -> Column:
+    """array<struct<tokens,tied>>: the tokens of each piece of a text, and whether a space follows the last of them; null for null."""
+    tied = lambda p: p.rlike("(?U)[^\\s\\x1c-\\x1f] $")
+    return F.transform(F.regexp_extract_all(text, F.lit(_PIECES), 0), lambda p: F.struct(piece_tokens(p).alias("tokens"), tied(p).alias("tied")))
+
+
 def rule_tokens(captions: DataFrame, id_col: str = "caption_id", text_col: str = "caption") -> DataFrame:
     """caption_id, i, text, char_start, char_end, whitespace of every token."""
     pieces = captions.select(captions[id_col].alias("caption_id"), F.posexplode(F.regexp_extract_all(captions[text_col], F.lit(_PIECES), 0)).alias("p", "piece"))

@@ -117,7 +117,7 @@ FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN
 def stage2_records(spark, sf_dir):
     """The second stage over all sentences: tokens by rules, quotes and hyphen words made one."""
     sentences, _ = shape.split(shape.route(adapters.captions(spark, sf_dir)))
-    rows = tokens.preprocess(sentences, _cut)
+    rows = tokens.preprocess(sentences)
     of = lambda kind: F.coalesce(F.size(F.filter("protected_spans", lambda s: s.kind == kind)), F.lit(0))
     count = lambda c: F.greatest(c, F.lit(0))  # noqa: E731 - the size of null is -1
     return rows.select("caption_id", count(F.size("tokens")).alias("n_tokens"), count(of("quote")).alias("n_quotes"), count(of("hyphen_word")).alias("n_hyphen_words"), F.array_join("rule_ids", "|").alias("rule_ids"))

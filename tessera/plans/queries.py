@@ -119,9 +119,9 @@ def hyphen_words(spark, sf_dir):
 
 @query("protected_spans")
 def protected_spans(spark, sf_dir):
-    toks = tokens.tokenize(shape.route(adapters.captions(spark, sf_dir)))
-    spans = tokens.protected_spans(toks)
-    return tokens.attach(spans, tokens.merged_tokens(toks, spans))
+    lists = tokens.protected_lists(shape.route(adapters.captions(spark, sf_dir)).select("caption_id", "caption"))
+    spans = lists.select("caption_id", F.inline("protected_spans"))
+    return spans.select("caption_id", "char_start", "char_end", "token_start", "token_end", "kind", "rule_id", "text", "final_start", "final_end")
 
 
 # --- scalar functions
