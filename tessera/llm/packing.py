@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ CAPACITY = 2048
 END = 0
 #: Steps that the branch and bound may take, dead ends and the steps of enumerations included; some seconds at most.
 STEPS = 1_000_000
+#: Tables of sums that a search holds at a time, up to 0.7 MB each; an enumeration that goes on after others makes its own again.
+TABLES = 16
 #: On these characters both libraries split alike; other texts go through the slower one.
 _PLAIN = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-ɏ]|<\|")
 _ENCODERS: dict = {}
@@ -144,10 +147,11 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
 
 
 class Steps:
-    """What is left of a search's steps."""
+    """What is left of a search's steps, and the tables that its enumerations used last."""
 
     def __init__(self, left: int):
         self.left = left
+        self.tables: OrderedDict[object, tuple[list[int], list[int]]] = OrderedDict()
 
     def take(self, n: int = 1) -> bool:
         """Use n steps; whether any were left."""
@@ -158,7 +162,7 @@ class Steps:
 def likely(counts: np.ndarray, room: int) -> Iterator[dict[int, int]]:
     """Some fillings without waste, found by table look-ups: the pair with the largest member, then triples."""
     have = counts[: room + 1] > 0
-    sizes = np.flatnonzero(have)
+    sizes = np.flatnonzero(have).astype(np.int32)
 
     def pair(rest: int, used: dict[int, int], top: int) -> dict[int, int] | None:
         """The pair with sum ``rest`` with the largest member, no member above top."""
@@ -190,48 +194,59 @@ def fillings(counts: np.ndarray, room: int, waste: int, steps: Steps | None = No
     if counts[room]:
         yield {room: 1}
         return
-    sizes = np.flatnonzero(counts[: room + 1])[::-1].tolist()
-    if not sizes:
+    number = np.count_nonzero(counts[: room + 1])
+    if not number:
         if room <= waste:
             yield {}
         return
-    if not steps.take(len(sizes)):
+    if not steps.take(number):
         return
     given = []
     for fill in likely(counts, room):
         given.append(fill)
         yield fill
-    # after[i]: a bit for every sum that pieces from sizes[i] on can make
-    after, full = [1] * (len(sizes) + 1), (1 << (room + 1)) - 1
-    for i in range(len(sizes) - 1, -1, -1):
-        reach, x, n, step = after[i + 1], sizes[i], min(int(counts[sizes[i]]), room // sizes[i]), 1
-        while n > 0:
-            reach |= reach << (x * min(step, n)) & full
-            n, step = n - step, 2 * step
-        after[i] = reach
+    mine = object()
+
+    def table() -> tuple[list[int], list[int]]:
+        """The sizes, largest first, and for each i a bit for every sum that pieces from sizes[i] on can make."""
+        if mine in steps.tables:
+            steps.tables.move_to_end(mine)
+            return steps.tables[mine]
+        sizes = np.flatnonzero(counts[: room + 1])[::-1].tolist()
+        after, full = [1] * (len(sizes) + 1), (1 << (room + 1)) - 1
+        for i in range(len(sizes) - 1, -1, -1):
+            reach, x, n, step = after[i + 1], sizes[i], min(int(counts[sizes[i]]), room // sizes[i]), 1
+            while n > 0:
+                reach |= reach << (x * min(step, n)) & full
+                n, step = n - step, 2 * step
+            after[i] = reach
+        steps.tables[mine] = sizes, after
+        if len(steps.tables) > TABLES:
+            steps.tables.popitem(last=False)
+        return sizes, after
 
     def exactly(i: int, rest: int) -> Iterator[list[tuple[int, int]]]:
         """(length, copies) of pieces from sizes[i] on with the sum ``rest``, largest first."""
         if not rest:
             yield []
             return
-        while i < len(sizes) and after[i] >> rest & 1:
-            x = sizes[i]
+        while i < number and table()[1][i] >> rest & 1:
+            x = table()[0][i]
             i += 1
             for n in range(min(int(counts[x]), rest // x), 0, -1):
                 if not steps.take():
                     return
-                if after[i] >> (rest - n * x) & 1:
+                if table()[1][i] >> (rest - n * x) & 1:
                     for more in exactly(i, rest - n * x):
                         yield [(x, n), *more]
 
     for lost in range(min(waste, room) + 1):
-        small_ = [x for x in reversed(sizes) if x <= lost]  # all of them must be used up
+        small_ = [x for x in reversed(table()[0]) if x <= lost]  # all of them must be used up
         if sum(x * int(counts[x]) for x in small_) > room - lost:
             return
         if not steps.take(1 + len(small_)):
             return
-        if after[0] >> (room - lost) & 1:
+        if table()[1][0] >> (room - lost) & 1:
             for found in exactly(0, room - lost):
                 fill = dict(found)
                 if fill not in given and all(fill.get(x, 0) == counts[x] for x in small_):
@@ -249,10 +264,18 @@ def bin_completion(counts: dict[int, int], capacity: int, steps: int = STEPS) ->
         start[k] = v
 
     def options(left: np.ndarray, waste: int):
-        """(times, filling) around the largest piece left: as often as possible, and once for each on the way back."""
+        """(times, filling, what is left then) around the largest piece left: as often as possible, and once for each on the way back. ``left``
+        becomes its own."""
         top = int(np.flatnonzero(left)[-1])
-        left = left.copy()
         left[top] -= 1
+
+        def without(whole: dict[int, int], times: int) -> np.ndarray:
+            after = left.copy()
+            after[top] += 1
+            for k, v in whole.items():
+                after[k] -= v * times
+            return after
+
         again = []
         for fill in fillings(left, capacity - top, (bins - 1) * capacity - total - waste, left_over):
             whole = fill | {top: fill.get(top, 0) + 1}
@@ -260,26 +283,24 @@ def bin_completion(counts: dict[int, int], capacity: int, steps: int = STEPS) ->
             lost = capacity - sum(k * v for k, v in whole.items())
             if lost:
                 times = max(1, min(times, ((bins - 1) * capacity - total - waste) // lost))
-            yield times, whole
+            yield times, whole, without(whole, times)
             if times > 1:
                 again.append(whole)
         for whole in again:
-            yield 1, whole
+            yield 1, whole, without(whole, 1)
 
-    stack = [(start, 0, None, options(start, 0))] if len(counts) else []
+    stack = [(0, None, options(start, 0))] if len(counts) else []
     while stack and bins > least and left_over.take(10):
-        left, waste, done, more = stack[-1]
-        times, whole = next(more, (0, None))
+        waste, done, more = stack[-1]
+        times, whole, after = next(more, (0, None, None))
         if whole is None:
             stack.pop()
             continue
-        after, spent = left.copy(), waste + times * (capacity - sum(k * v for k, v in whole.items()))
-        for k, v in whole.items():
-            after[k] -= v * times
+        spent = waste + times * (capacity - sum(k * v for k, v in whole.items()))
         if spent > (bins - 1) * capacity - total:  # no better than the incumbent
             continue
         if after.any():
-            stack.append((after, spent, ((times, whole), done), options(after, spent)))
+            stack.append((spent, ((times, whole), done), options(after, spent)))
             continue
         fills, at = [(times, whole)], done
         while at:

@@ -154,3 +154,20 @@ def test_equal_lengths_keep_the_order_of_the_files(spark, tmp_path):
 
 def test_empty(empty):
     assert packing.pack(empty, **VOCABULARY).count() == 0
+
+
+def test_the_search_holds_few_tables():
+    """A search over hundreds of fillings holds an array for each and a bounded number of tables of sums."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    lengths, n = np.unique(rng.integers(1, 2049, 9_000), return_counts=True)
+    counts = dict(zip(lengths.tolist(), n.tolist(), strict=True))
+    tracemalloc.start()
+    try:
+        fills = packing.bin_completion(counts, 2048, steps=100_000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(t * v * k for t, f in fills for k, v in f.items()) == sum(k * v for k, v in counts.items())
+    assert peak < 45e6
