@@ -1,6 +1,6 @@
-"""Raw concept graphs from annotated captions, by joins on (caption, token).
+"""Raw concept graphs from annotated captions, inside each caption where the lexicons are small, else by joins on (caption, token).
 
-Every step is a table keyed by caption_id, so after the first exchange on it the steps share one partitioning. Steps run in an order
+Of the joins, every step is a table keyed by caption_id, so after the first exchange on it the steps share one partitioning. Steps run in an order
 that matters, because later ones leave alone the tokens that earlier ones took: prepositional phrases, objects with their modifiers,
 phrase relations, actions, roles, inherited agents, single prepositions. Ids are given at the very end, in the order of
 emission, by one window over the caption.
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_query, separator_key, surface_variant_keys
 from ..schema import MISSING_SOURCE, MISSING_TARGET, RAW_EDGE, RAW_MENTION
+from . import caption_graph
 from .fold import closure, dimension, first_per_key, greedy_spans, longest_spans
 
 # Dependencies and parts of speech that the rules name.
@@ -237,7 +238,39 @@ def actions(tokens: DataFrame, kids: DataFrame, taken: DataFrame, lexicons: Lexi
 
 
 def extract(annotated: DataFrame, lexicons: Lexicons, cut=lambda df: df.checkpoint()) -> tuple[DataFrame, DataFrame]:
-    """Raw mentions and raw edges. ``cut``: how lineage is cut between steps."""
+    """Raw mentions and raw edges. ``cut``: how lineage is cut between steps.
+
+    Small lexicons travel to the captions, which are then read once (see caption_graph); larger ones are joined with their tokens."""
+    graph = _small(lexicons)
+    if graph is None:
+        return extract_joined(annotated, lexicons, cut)
+    rows = cut(caption_graph.graphs(annotated, graph))
+    return rows.select("caption_id", F.inline("mentions")), rows.select("caption_id", F.inline("edges"))
+
+
+def extract_rows(annotated: DataFrame, lexicons: Lexicons, cut=lambda df: df.checkpoint()) -> DataFrame:
+    """caption_id, mentions[], edges[]: the graph of each caption in a row; captions without any may be left out."""
+    graph = _small(lexicons)
+    if graph is not None:
+        return caption_graph.graphs(annotated, graph)
+    mentions, edges = extract_joined(annotated, lexicons, cut)
+    lists = [df.groupBy("caption_id").agg(F.collect_list(F.struct(*df.columns[1:])).alias(name)) for df, name in ((mentions, "mentions"), (edges, "edges"))]
+    return lists[0].join(lists[1], "caption_id", "full")
+
+
+def _small(lexicons: Lexicons) -> caption_graph.Graph | None:
+    """The lexicons as dictionaries, if all of them are counted to be small."""
+    found = {}
+    for name, lexicon in (("objects", lexicons.objects), ("actions", lexicons.actions.select("key", "synset")), ("phrases", lexicons.attribute_phrases.select("key", "span_key")), ("prepositions", lexicons.prepositions)):
+        found[name] = caption_graph.small(lexicon, caption_graph.LEXICON_ROWS)
+        if found[name] is None:
+            return None
+    found["actions"] = {k: r["synset"] for k, r in found["actions"].items()}
+    return caption_graph.Graph(found, sorted({r["width"] for r in found["prepositions"].values()}))
+
+
+def extract_joined(annotated: DataFrame, lexicons: Lexicons, cut=lambda df: df.checkpoint()) -> tuple[DataFrame, DataFrame]:
+    """``extract`` by joins on (caption, token), for lexicons of any size."""
     annotated = cut(annotated.repartition("caption_id"))
     tokens = tokens_of(annotated)
     kids = children(tokens)

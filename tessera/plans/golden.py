@@ -113,10 +113,12 @@ def lexicons(spark: SparkSession) -> Lexicons:
     return files.lexicons(*inventories(spark))
 
 
-def many(spark: SparkSession, ids: DataFrame) -> DataFrame:
-    """The captions over and over: one for each row of ``ids`` (a column ``n``), taken in turn."""
+def many(spark: SparkSession, ids: DataFrame, parts: int | None = None) -> DataFrame:
+    """The captions over and over: one for each row of ``ids`` (a column ``n``), taken in turn. ``parts``: partitions that the ids are dealt into
+    first, since a small file of ids is one task and its captions are many times larger."""
     some = captions(spark)
     names = F.array(*(F.lit(n) for n in CASES))
     turn = ids.select("n", F.get(names, F.col("n") % len(CASES)).alias("name"))
+    turn = turn.repartition(parts, "n") if parts else turn
     rows = turn.join(F.broadcast(some), F.col("name") == F.col("caption_id"))  # a dozen captions
     return rows.select(F.concat_ws("-", "caption_id", F.col("n").cast("string")).alias("caption_id"), *(c for c in some.columns if c != "caption_id"))

@@ -12,7 +12,7 @@ from ..functions.stats import band, relative_difference, summary
 from ..functions.status import decision_status
 from ..functions.text import display_surface, lookup_queries, normalize_query, partition_of, pipe_join, sense_key, separator_key, separator_variants, surface_key, surface_variant_keys
 from ..operators import canonical, compare, counts, fold, inventory, report, segments, shape, tokens
-from ..operators.extract import extract, preposition_matches
+from ..operators.extract import extract, extract_rows, preposition_matches
 from ..operators.facts import all_facts, object_pairs_by_join
 from . import adapters, golden
 
@@ -586,34 +586,35 @@ def json_events(spark, sf_dir):
 # --- extraction
 
 
-def _golden(spark, sf_dir):
+def _golden(spark, sf_dir, cut=None):
     """The graph of one golden caption for each order."""
-    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
-    return extract(rows, golden.lexicons(spark), adapters.kept(adapters.buckets_of(spark, sf_dir)))
+    buckets = adapters.buckets_of(spark, sf_dir)
+    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")), buckets)
+    return extract(rows, golden.lexicons(spark), cut or adapters.kept(buckets))
 
 
 @query("golden_graph_mentions", golden.expected_sql(golden.MENTIONS, "mention_type, text, token_start, token_end"))
 def golden_graph_mentions(spark, sf_dir):
-    return _golden(spark, sf_dir)[0].select("caption_id", "mention_type", "text", "token_start", "token_end")
+    return _golden(spark, sf_dir, lambda df: df)[0].select("caption_id", "mention_type", "text", "token_start", "token_end")
 
 
 @query("golden_graph_edges", golden.expected_sql(golden.EDGES, "edge_type, source, label, target, rule_id"))
 def golden_graph_edges(spark, sf_dir):
-    mentions, edges = _golden(spark, sf_dir)
-    for end in ("source", "target"):
-        names = mentions.select("caption_id", F.col("mention_id").alias(f"{end}_mention_id"), F.col("text").alias(end))
-        edges = edges.join(names, ["caption_id", f"{end}_mention_id"], "left")
-    return edges.select("caption_id", "edge_type", F.coalesce("source", F.lit("")).alias("source"), "label", F.coalesce("target", F.lit("")).alias("target"), "rule_id")
+    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")), adapters.buckets_of(spark, sf_dir))
+    rows = extract_rows(rows, golden.lexicons(spark), adapters.kept(adapters.buckets_of(spark, sf_dir)))
+    named = F.transform("mentions", lambda m: F.struct(m.mention_id.alias("mention_id"), m.text.alias("text")))
+    edges = rows.select("caption_id", named.alias("named"), F.explode("edges").alias("e")).select("caption_id", "named", "e.*")
+    text = lambda end: F.coalesce(F.get(F.filter("named", lambda m: m.mention_id == F.col(f"{end}_mention_id")), F.lit(0)).text, F.lit("")).alias(end)
+    return edges.select("caption_id", "edge_type", text("source"), "label", text("target"), "rule_id")
 
 
 @query("annotated_to_counts", """WITH c AS (SELECT o_orderkey % 13 AS k FROM orders), o(k, object, n) AS (VALUES (0, 'cat', 1), (0, 'kite', 1), (1, 'lamp', 1), (1, 'chair', 1), (2, 'boat', 1), (3, 'boat', 1), (4, 'curtain', 1), (5, 'girl', 1), (5, 'boat', 1), (6, 'lamp', 1), (6, 'desk', 1), (7, 'cat', 1), (7, 'desk', 1), (7, 'shelf', 1), (8, 'bird', 1), (8, 'girl', 1), (9, 'kite', 1), (9, 'bird', 1), (10, 'girl', 1), (10, 'lamp', 1), (11, 'shelf', 1), (12, 'boat', 1), (12, 'bridge', 1), (12, 'tower', 1))
 SELECT object, count(*) AS count, count(*) AS caption_count FROM c JOIN o USING (k) GROUP BY 1""")
 def annotated_to_counts(spark, sf_dir):
     """The whole path, from annotated captions (one for each order) to a count table."""
-    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
-    raw_mentions, raw_edges = extract(rows, golden.lexicons(spark), adapters.kept(adapters.buckets_of(spark, sf_dir)))
+    raw_mentions, raw_edges = _golden(spark, sf_dir, lambda df: df)  # objects are facts of mentions: edges are not made
     none = spark.createDataFrame([], "raw string, canonical string")
-    m = canonical.canonicalize_mentions(raw_mentions, none, none)
+    m = adapters.kept(adapters.buckets_of(spark, sf_dir))(canonical.canonicalize_mentions(raw_mentions, none, none))
     found = all_facts(m, canonical.canonicalize_edges(raw_edges, m), united=False)
     return counts.count_table(found["entity_exists"], counts.BY_NAME["object_counts"]).select("object", "count", "caption_count")
 

@@ -82,11 +82,14 @@ def annotation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("phrase_parity", "SELECT stage, (SELECT count(*) FROM orders WHERE o_orderkey % 13 IN (2, 3, 4)) AS mentions FROM (VALUES ('raw'), ('canonical'), ('facts')) v(stage)")
 def phrase_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every multi-word attribute of the golden captions is found again in each stage."""
-    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")))
-    mentions, edges = (_cut(x) for x in extract(rows, golden.lexicons(spark), _cut))
+    buckets = adapters.buckets_of(spark, sf_dir)
+    rows = golden.many(spark, adapters.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n")), buckets)
+    mentions, edges = extract(rows, golden.lexicons(spark), lambda df: df)  # attributes are facts of mentions: edges are not made
+    mentions = adapters.kept(buckets)(mentions)
     none = spark.createDataFrame([], "raw string, canonical string")
     m = canonical.canonicalize_mentions(mentions, none, none)
-    return compare.phrase_parity(mentions, m, all_facts(m, canonical.canonicalize_edges(edges, m))["attribute_exists"])
+    with adapters.together(spark):  # three numbers, made here
+        return _cut(compare.phrase_parity(mentions, m, all_facts(m, canonical.canonicalize_edges(edges, m))["attribute_exists"]))
 
 
 @query("shared_aliases", "SELECT o_orderkey, array_to_string(list_sort(list_filter([o_orderstatus, o_orderpriority], lambda x: x IN ('F', '1-URGENT'))), '|') AS shared FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '1-URGENT'")
