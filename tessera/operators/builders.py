@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import status
 from ..functions.text import display_surface, normalize_query, pipe_join, separator_key, separator_variants, surface_key, surface_variant_keys
-from . import inventory
+from . import caption_graph, inventory
 from .extract import ATTRIBUTE_DEPS, BLOCKED_START_DEPS, BLOCKED_START_POS, MWE_BOUNDARY_DEPS, MWE_BOUNDARY_POS, QUANTITY_DEPS, _spread, _surface, _written, object_spans, preposition_matches
 from .fold import dimension, first_per_key, greedy_spans
 
@@ -201,9 +201,17 @@ def attribute_candidates(annotated: DataFrame, objects: DataFrame, prepositions:
     """Every span that may be an attribute: caption_id, place (chunk or segment), unit, start, end, anchor, surface, plural, objectless.
 
     Phrases of two tokens and more end at an anchor and cross no border; single words are the anchors. Tag segments of two words and
-    more without a known object are phrases as wholes."""
+    more without a known object are phrases as wholes. Small lexicons travel to the captions, larger ones are joined with them."""
     if mode not in MODES:
         raise ValueError(f"no such mode: {mode}")
+    known = [caption_graph.small(x, caption_graph.LEXICON_ROWS) for x in (objects.select("key", "query", "canonical_surface", "canonical_label_key", "synset_lemmas"), prepositions)]
+    if None in known:
+        return attribute_candidates_joined(annotated, objects, prepositions, mode)
+    return caption_graph.candidates(annotated, caption_graph.Candidates(*known, mode))
+
+
+def attribute_candidates_joined(annotated: DataFrame, objects: DataFrame, prepositions: DataFrame, mode: str = "all") -> DataFrame:
+    """``attribute_candidates`` by joins, for lexicons of any size."""
     matches = preposition_matches(annotated, prepositions)
     taken = _spread(matches, "start", "end").distinct()
     words = chunk_words(annotated, objects, taken)

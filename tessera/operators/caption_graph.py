@@ -78,18 +78,25 @@ class Caption:
         return "".join([t + (w or "") for t, w in zip(self.text[a:z], self.whitespace[a:z], strict=True) if t is not None]).strip(" ")
 
 
+def values(column: pa.Array) -> list:
+    """As ``to_pylist``, by way of NumPy where that keeps the values; several times as fast."""
+    if pa.types.is_string(column.type) or not column.null_count:
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
 def captions(batch: pa.RecordBatch) -> Iterator[tuple[str, Caption]]:
     def lists(names, prefix):
         out = []
         for name in names:
             column = batch.column(f"{prefix}{name}")
-            ends = list(accumulate(pc.fill_null(pc.list_value_length(column), 0).to_pylist(), initial=0))
-            out.append((column.flatten().to_pylist(), ends))
+            ends = list(accumulate(values(pc.fill_null(pc.list_value_length(column), 0)), initial=0))
+            out.append((values(column.flatten()), ends))
         return out
 
     tokens, chunks, segments = lists(_TOKEN, "t_"), lists(_CHUNK, "c_"), lists(_SEGMENT, "s_")
-    cell = lambda columns, r: [values[ends[r] : ends[r + 1]] for values, ends in columns]
-    for r, (name, shape) in enumerate(zip(batch.column("caption_id").to_pylist(), batch.column("caption_shape").to_pylist(), strict=True)):
+    cell = lambda columns, r: [cells[ends[r] : ends[r + 1]] for cells, ends in columns]
+    for r, (name, shape) in enumerate(zip(values(batch.column("caption_id")), values(batch.column("caption_shape")), strict=True)):
         yield name, Caption(shape, cell(tokens, r), list(zip(*cell(chunks, r), strict=True)), list(zip(*cell(segments, r), strict=True)))
 
 
@@ -455,6 +462,75 @@ def small(lexicon: DataFrame, rows: int) -> dict | None:
     return out if len(found) <= rows and len(out) == sum(r["key"] is not None for r in found) else None
 
 
+_CANDIDATE = "place string, unit string, start int, end int, anchor int, surface string, plural boolean, objectless boolean, span_key string"
+
+
+class Candidates:
+    """The spans of a caption that may be attributes, as ``builders.attribute_candidates`` has them without the caption."""
+
+    def __init__(self, objects: dict, prepositions: dict, mode: str):
+        self.objects, self.prepositions, self.mode = objects, prepositions, mode
+        self.widths = sorted({r["width"] for r in prepositions.values()})
+
+    def __call__(self, c: Caption) -> list[tuple]:
+        from . import builders as b  # the rules' word lists
+
+        phrases, singles, loose = [], [], []
+        taken = {i for s, e, _, _ in phrases_of(c, self.prepositions, self.widths) for i in range(s, e)}
+        spans = span_objects(c, self.objects, b.BLOCKED_START_DEPS, b.BLOCKED_START_POS)
+        quantity = [dep in b.QUANTITY_DEPS or pos == "NUM" for dep, pos in zip(c.dep, c.pos, strict=True)]
+        for o in spans:
+            base, place = o["c_start"], f"c{o['ix']}"
+            inside = range(base, min(o["c_end"], c.n))
+            usable = {i for i in inside if i not in taken and not o["start"] <= i < o["end"] and not quantity[i]}
+            first = base  # after the last border
+            for i in inside:
+                border = i not in usable or c.dep[i] in b.MWE_BOUNDARY_DEPS or c.pos[i] in b.MWE_BOUNDARY_POS
+                if self._anchor(c, i, usable, len(inside), b):
+                    if not border:
+                        for start in range(first, i):
+                            phrases.append((place, b.PHRASE, start, i + 1, i, joined(c.text[start : i + 1]), False, False))
+                    singles.append((place, b.SINGLE, i, i + 1, i, c.text[i], c.tag[i] in b.PLURAL_TAGS, False))
+                if border:
+                    first = i + 1
+        if c.shape == "tag_list":
+            for ix, (_, s, e) in enumerate(c.segments):
+                if s is None or e is None or any(s <= o["root"] < e for o in spans):
+                    continue
+                words = [i for i in range(max(s, 0), min(e, c.n)) if c.pos[i] not in ("PUNCT", "SPACE")]
+                if len(words) > 1 and not any(quantity[i] or i in taken for i in words):
+                    loose.append((f"s{ix}", b.PHRASE, words[0], words[-1] + 1, words[-1], joined(c.text[i] for i in words), False, True))
+        found = {"all": (phrases, singles, loose), "mwe_only": (phrases, loose), "single_token_only": (singles,)}[self.mode]
+        return [(*x, key) for rows in found for x in rows if (key := query_key(x[5]))]
+
+    @staticmethod
+    def _anchor(c: Caption, i: int, usable: set[int], steps: int, b) -> bool:
+        """Heads are followed from conjunct to conjunct, at most once round the chunk, up to a modifier."""
+        for _ in range(steps):
+            if i not in usable:
+                return False
+            if c.dep[i] in b.ATTRIBUTE_DEPS:
+                return True
+            if c.dep[i] != "conj" or c.head_i[i] is None or c.head_i[i] == i:
+                return False
+            i = c.head_i[i]
+        return False
+
+
+def candidates(annotated: DataFrame, spans: Candidates) -> DataFrame:
+    """caption_id and the columns of a candidate: a row for each."""
+    schema = StructType.fromDDL(f"caption_id string, {_CANDIDATE}")
+    kinds = [to_arrow_type(f.dataType) for f in schema]
+
+    def run(batches):
+        for batch in batches:
+            rows = [(name, *x) for name, c in captions(batch) for x in spans(c)]
+            cells = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(list(v), k) for v, k in zip(cells, kinds, strict=True)], names=schema.names)
+
+    return columns(annotated).mapInArrow(run, schema)
+
+
 def graphs(annotated: DataFrame, graph: Graph) -> DataFrame:
     """caption_id, mentions[], edges[]: a row for each caption."""
     schema = StructType.fromDDL(f"caption_id string, mentions {_struct(RAW_MENTION)}, edges {_struct(RAW_EDGE)}")

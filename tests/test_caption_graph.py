@@ -89,3 +89,16 @@ def test_keys_as_spark_makes_them(spark):
     texts = [f"A{chr(i)}_b-{chr(i)} " for i in range(1, 0x3100) if i not in (0x1C89, 0x1C8A)]  # new in Unicode 16, which Spark knows and Python 3.13 does not
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", normalize_query("t").alias("q"), separator_key(F.col("t")).alias("s"))
     assert [r for r in df.collect() if (caption_graph.query_key(r["t"]), caption_graph.spaced_key(r["t"])) != (r["q"], r["s"])] == []
+
+
+def test_same_attribute_candidates_as_the_joins(spark):
+    from tessera.operators import builders
+
+    objects = golden.lexicons(spark).objects
+    words = spark.createDataFrame([("on top of", 3), ("top of", 2)], "key string, width int")
+    rows = golden.captions(spark).unionByName(spark.createDataFrame([*trees(3000), ("none", "", "sentence", None, None, None)], ANNOTATED)).repartition(3).persist()
+    for mode in builders.MODES:
+        got, want = (f(rows, objects, words, mode) for f in (builders.attribute_candidates, builders.attribute_candidates_joined))
+        a, b = (sorted(map(str, df.select(want.columns).collect())) for df in (got, want))
+        assert a == b and len(a) > 300, mode
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().replace("REPARTITION_BY_NUM", "").split("InMemoryTableScan")[0]
