@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_query, separator_key
 from tessera.operators import caption_graph
-from tessera.operators.extract import extract, extract_joined
+from tessera.operators.extract import extract, extract_joined, extract_rows
 from tessera.plans import golden
 from tessera.schema import ANNOTATED
 
@@ -85,6 +85,16 @@ def test_large_lexicons_are_joined(spark, monkeypatch):
     assert mentions.count() == sum(map(len, golden.MENTIONS.values()))
 
 
+def test_rows_with_large_lexicons(spark, monkeypatch):
+    lex = golden.lexicons(spark)
+    some = golden.captions(spark, ("c0", "c2", "c7"))
+    few = extract_rows(some, lex)
+    monkeypatch.setattr(caption_graph, "LEXICON_ROWS", 2)
+    for name in ("mentions", "edges"):
+        a, b = ({str(r) for r in df.select("caption_id", F.inline(name)).collect()} for df in (few, extract_rows(some, lex)))
+        assert a == b and a
+
+
 def test_keys_as_spark_makes_them(spark):
     texts = [f"A{chr(i)}_b-{chr(i)} " for i in range(1, 0x3100) if i not in (0x1C89, 0x1C8A)]  # new in Unicode 16, which Spark knows and Python 3.13 does not
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", normalize_query("t").alias("q"), separator_key(F.col("t")).alias("s"))
